@@ -145,14 +145,18 @@ def fit(prepared: Prepared, config: Config | None = None) -> CentroidModel:
         raise ValueError(f"df_scope must be 'all' or 'train', not {cfg.df_scope!r}")
     n_docs = int(T.corpus_size(indexed).first()["n_docs"])
     stats = materialize(T.term_stats(indexed), cfg.keep)
+    # the scoring table has exactly the indexed terms as keys, so its split
+    # threshold can be taken from the term statistics
+    plan = plan_split(stats, "df", cfg.max_broadcast_rows)
     factors = W.idf_factor(stats, n_docs)
     vocab = materialize(L.topic_vocabulary(dterms), cfg.keep)
     sums = materialize(C.centroid_sums(R.train_documents(dterms), factors), cfg.keep)
     tnorms = materialize(C.topic_norms(sums, cfg.exact), cfg.keep)
-    n_topics = vocab.count()
-    default_topic = tnorms.where(F.col("n2") > 0).agg(F.min("topic")).first()[0]
+    row = (vocab.join(tnorms, "topic", "left")
+           .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("n2") > 0, F.col("topic"))).alias("first"))
+           .first())
+    n_topics, default_topic = int(row["n"]), row["first"]
     table = materialize(C.term_table(factors, sums), cfg.keep)
-    plan = plan_split(table, "df", cfg.max_broadcast_rows)
     return CentroidModel(n_docs, factors, sums, vocab, tnorms, table, n_topics, default_topic,
                          plan, cfg, [stats, vocab, sums, tnorms, table])
 
