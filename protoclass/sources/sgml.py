@@ -83,6 +83,12 @@ def _full(pattern: str) -> str:
     return f"^(?:{pattern})$"
 
 
+def _at(arr: Column, idx: Column) -> Column:
+    """1-based element access that is NULL (never an error) for position 0,
+    even when the optimiser evaluates it ahead of the guarding predicate."""
+    return F.when(idx > 0, F.try_element_at(arr, F.greatest(idx, F.lit(1))))
+
+
 def _has(line: Column, token: str) -> Column:
     return F.instr(line, token) > 0
 
@@ -125,7 +131,7 @@ def _step(state: Column, line: Column) -> Column:
 
 def _element(lines: Column, start: Column, close: Column, open_tag: str, close_tag: str) -> Column:
     """Text of a TITLE/BODY element located by the walk ('' if absent)."""
-    first = F.element_at(lines, start)
+    first = _at(lines, start)
     one_line = F.replace(F.replace(first, F.lit(open_tag), F.lit("")), F.lit(close_tag), F.lit(""))
     after_open = first.substr(F.instr(first, open_tag) + F.lit(len(open_tag)), F.lit(1 << 30))
     middle = F.slice(lines, start + 1, F.greatest(close - start - 1, F.lit(0)))
@@ -185,7 +191,7 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
     with_lines = records.select("file", "block", "seq", "value", lines.alias("ln"))
     header_at = F.array_position(F.transform(F.col("ln"), lambda l: l.rlike(_full(HEADER))), True).cast("int")
     located = with_lines.select("*", header_at.alias("h")).where(F.col("h") > 0)
-    head = F.element_at(F.col("ln"), F.col("h"))
+    head = _at(F.col("ln"), F.col("h"))
     int_text = r"^[+-]?[0-9]+$"
 
     def as_id(group: int) -> Column:
@@ -207,16 +213,21 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
     zero = F.lit(0)
     init = F.struct(F.lit(_DOC).alias("m"), zero.alias("i"), zero.alias("tp"), zero.alias("ts"),
                     zero.alias("te"), zero.alias("bs"), zero.alias("be"))
-    walked = good.select("*", rest.alias("rest")).select("*", F.aggregate("rest", init, _step).alias("w"))
-
-    closed = walked.where(F.col("w.m") == _END)
-    unclosed = walked.where(F.col("w.m") != _END)
+    # The walk's result leaves through a generator (``inline`` of a one-element
+    # array): its fields become plain columns, so the optimiser cannot copy the
+    # fold into every filter and projection that reads a field, and the fold
+    # runs once per record.
+    walked = (good.select("*", rest.alias("rest"))
+              .select("*", F.inline(F.array(F.aggregate("rest", init, _step)))))
+
+    closed = walked.where(F.col("m") == _END)
+    unclosed = walked.where(F.col("m") != _END)
     rest_c = F.col("rest")
     documents = closed.select(
         "doc_id", "old_id", "split",
-        _element(rest_c, F.col("w.ts"), F.col("w.te"), TITLE_OPEN, TITLE_CLOSE).alias("title"),
-        _element(rest_c, F.col("w.bs"), F.col("w.be"), BODY_OPEN, BODY_CLOSE).alias("body"),
-        F.when(F.col("w.tp") > 0, parse_topics(F.element_at(rest_c, F.col("w.tp"))))
+        _element(rest_c, F.col("ts"), F.col("te"), TITLE_OPEN, TITLE_CLOSE).alias("title"),
+        _element(rest_c, F.col("bs"), F.col("be"), BODY_OPEN, BODY_CLOSE).alias("body"),
+        F.when(F.col("tp") > 0, parse_topics(_at(rest_c, F.col("tp"))))
         .otherwise(F.array().cast("array<string>")).alias("topics"),
         "file", "block", "seq",
     )
