@@ -86,17 +86,18 @@ def keep_documents(docs: DataFrame, order: Sequence[str] = ("old_id",),
     return dedup_last(drop_empty_bodies(route_splits(docs, keep)), order=order)
 
 
-def balance(docs: DataFrame, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
+def balance(docs: DataFrame, keys: str | Sequence[str] = "doc_id", partitions: int | None = None) -> DataFrame:
     """Spread documents over the cluster when the source offers fewer
     partitions than there are cores (a corpus stored as one large row group
     would otherwise be tokenised by one task). Sources that already come in
     enough splits are left alone, so no text is shuffled for nothing.
 
-    Run it after :func:`dedup_last`: ``key`` is then unique, so hash
-    partitioning on it cannot concentrate rows.
+    Hash partitioning uses all of ``keys``; give the reading order as well as
+    the id when ids may repeat, so that copies of one id spread out.
     """
     spark = docs.sparkSession
     target = partitions or spark.sparkContext.defaultParallelism
     if docs.rdd.getNumPartitions() >= target:
         return docs
-    return docs.repartition(target, key)
+    cols = [keys] if isinstance(keys, str) else list(keys)
+    return docs.repartition(target, *cols)

@@ -74,14 +74,33 @@ class Prepared:
 
 
 def prepare(corpus: DataFrame, config: Config = Config()) -> Prepared:
-    """C1, C2, C5, then E1-E3 per document (no shuffle for the counts)."""
-    docs = R.keep_documents(corpus, order=config.order)
+    """C1 + C2, then E1-E3 per document, then C5 on the per-document counts.
+
+    The source text is scanned once: last-wins de-duplication needs only the
+    id and the reading order, which travel with the (cached) term counts, so
+    duplicates are found and dropped there instead of in a second pass over
+    the text. Tokenising a losing copy is the only work wasted on it.
+    """
+    order = list(config.order)
+    routed = R.drop_empty_bodies(R.route_splits(corpus))
     if config.rebalance is None:
-        docs = R.balance(docs, "doc_id")
+        # copies of one id are spread by their reading order, so a hot id
+        # cannot land in a single partition
+        routed = R.balance(routed, ["doc_id", *order])
     elif config.rebalance:
-        docs = docs.repartition(docs.sparkSession.sparkContext.defaultParallelism, "doc_id")
-    dterms = materialize(T.doc_terms(docs, config.profile, config.stop_words), config.keep)
-    return Prepared(docs, dterms, config, [dterms])
+        routed = routed.repartition(routed.sparkSession.sparkContext.defaultParallelism, "doc_id", *order)
+    counted = materialize(
+        T.doc_terms(routed, config.profile, config.stop_words, keep=("doc_id", "split", "topics", *order)),
+        config.keep)
+    dterms = R.dedup_last(counted, order=order)
+    kept = [counted]
+    if dterms is counted:
+        docs = routed
+    else:
+        dterms = materialize(dterms, config.keep)
+        kept.append(dterms)
+        docs = routed.join(dterms.select("doc_id", *order), ["doc_id", *order], "left_semi")
+    return Prepared(docs, dterms, config, kept)
 
 
 @dataclass
