@@ -54,9 +54,11 @@ def word_pattern(dialect: str = "java") -> str:
     """
     lj, dj = _cls(LETTER_JOINERS), _cls(DIGIT_JOINERS)
     if dialect == "java":
+        # possessive runs: a run is always followed by a non-word character,
+        # so giving characters back can never lead to a match
         return (
-            f"{_WORD_CHAR}+(?:(?:(?<={_LETTER}){lj}(?={_LETTER})"
-            f"|(?<={_DIGIT}){dj}(?={_DIGIT})){_WORD_CHAR}+)*"
+            f"{_WORD_CHAR}++(?:(?:(?<={_LETTER}){lj}(?={_LETTER})"
+            f"|(?<={_DIGIT}){dj}(?={_DIGIT})){_WORD_CHAR}++)*+"
         )
     if dialect == "re2":
         return f"(?:{_LETTER}(?:{lj}{_LETTER})+|{_DIGIT}(?:{dj}{_DIGIT})+|{_WORD_CHAR})+"
@@ -103,7 +105,7 @@ def with_term_counts(df: DataFrame, terms: str, out: str) -> DataFrame:
     that the lambdas read it by reference instead of re-evaluating it.
     """
     s, starts = f"__{out}_sorted", f"__{out}_starts"
-    df = df.withColumn(s, F.array_sort(F.col(terms)))
+    df = df.withColumn(s, F.sort_array(F.col(terms)))
     sc = F.col(s)
     df = df.withColumn(starts, F.filter(
         F.transform(sc, lambda t, i: F.when(i == 0, i).when(t != F.element_at(sc, i), i)),

@@ -4,8 +4,8 @@ The centroid of a topic is the mean of its training documents' weight
 vectors. Because ``w = tf * q(term)`` with a per-term factor ``q``, the sum
 over a topic's documents is ``q(term) * sum(tf)``: term counts are summed per
 ``(topic, term)`` first (map-side partial sums, then one shuffle of the
-small result) and weighted once per centroid entry, instead of weighting
-every training posting. Scoring uses the exact integer sums ``sw``; the mean
+small result) and weighted once per centroid entry, in the same join that
+builds the scoring table, instead of weighting every training posting. Scoring uses the exact integer sums ``sw``; the mean
 ``w = sw / n_train`` only rescales, which cosine ignores.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import clean_topics
+from .lookup import string_bytes
 from .weights import sum_of_products
 
 
@@ -27,15 +28,28 @@ def topic_term_counts(train_terms: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("_t.tf")).alias("tf_sum")))
 
 
-def centroid_sums(train_terms: DataFrame, factors: DataFrame) -> DataFrame:
-    """F5 numerator: ``(topic, term, sw)`` with ``sw = q(term) * tf_sum``.
+def term_table_from_counts(stats: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
+    """Scoring lookup built while fitting, one row per indexed term:
+    ``(term, df, q, cents ARRAY<STRUCT<topic, sw>>)`` with ``q = n_docs div df``
+    and ``sw = q * tf_sum`` (F5 numerator); ``cents`` is empty for terms in no
+    centroid.
 
-    The join on ``term`` has at most one row per topic on the centroid side
-    and one row on the factor side, so no key can be hot.
+    Topic-term counts are gathered per term (at most one entry per topic, so
+    the array is bounded by the topic vocabulary) and meet the term
+    statistics in one join whose both sides have one row per term.
     """
-    counts = topic_term_counts(train_terms)
-    return (counts.join(factors.select("term", "q"), on="term", how="inner")
-            .select("topic", "term", (F.col("tf_sum") * F.col("q")).alias("sw")))
+    by_term = counts.groupBy("term").agg(F.collect_list(F.struct("topic", "tf_sum")).alias("_c"))
+    q = F.expr(f"CAST({int(n_docs)} AS BIGINT) div df")
+    joined = stats.join(by_term, on="term", how="left").select("term", "df", q.alias("q"), "_c")
+    cents = F.transform(F.coalesce(F.col("_c"), F.array().cast("array<struct<topic:string,tf_sum:bigint>>")),
+                        lambda c: F.struct(c["topic"].alias("topic"), (c["tf_sum"] * F.col("q")).alias("sw")))
+    return joined.select("term", "df", "q", cents.alias("cents"))
+
+
+def centroid_sums(table: DataFrame) -> DataFrame:
+    """F5 numerator as rows: ``(topic, term, sw)`` read off the term table."""
+    return (table.select("term", F.explode("cents").alias("_c"))
+            .select(F.col("_c.topic").alias("topic"), "term", F.col("_c.sw").alias("sw")))
 
 
 def centroids(sums: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -50,7 +64,8 @@ def topic_norms(sums: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def term_table(factors: DataFrame, sums: DataFrame) -> DataFrame:
-    """Scoring lookup, one row per indexed term:
+    """Scoring lookup from saved factors and centroid sums (a loaded model),
+    one row per indexed term:
     ``(term, df, q, cents ARRAY<STRUCT<topic, sw>>)``; ``cents`` is empty for
     terms in no centroid. At most one entry per topic, so the array is
     bounded by the topic vocabulary."""
@@ -58,3 +73,11 @@ def term_table(factors: DataFrame, sums: DataFrame) -> DataFrame:
     empty = F.array().cast("array<struct<topic:string,sw:bigint>>")
     return (factors.join(by_term, on="term", how="left")
             .select("term", "df", "q", F.coalesce(F.col("cents"), empty).alias("cents")))
+
+
+def term_table_row_bytes() -> "F.Column":
+    """Size of one scoring-table row (term text, two longs, the centroid
+    array with one topic name and one long per entry), for broadcast bounds."""
+    cents = F.aggregate("cents", F.lit(0).cast("bigint"),
+                        lambda acc, c: acc + string_bytes(c["topic"]) + F.lit(32))
+    return string_bytes(F.col("term")) + F.lit(32) + cents

@@ -8,15 +8,16 @@ The keyed table carries, per key, an upper bound ``freq`` on how many fact
 rows hold that key (for terms: the document frequency). Keys are split at a
 threshold ``theta``:
 
-* hot keys (``freq >= theta``): at most ``sum(freq) / theta`` of them exist,
-  and ``theta`` is chosen so that this bound is at most ``max_broadcast_rows``.
-  They are broadcast and joined map-side; their fact rows never move.
+* hot keys (``freq >= theta``): at most ``sum(freq) / theta`` of them exist.
+  They are broadcast and joined map-side, and their fact rows never move.
+  ``theta`` is chosen so that this count times the largest row's size stays
+  within ``max_broadcast_bytes``.
 * cold keys (``freq < theta``): shuffle join; no key can bring more than
   ``theta`` fact rows into one task.
 
-When the whole table is under the row bound it is broadcast as a whole and
-nothing is shuffled. The broadcast side's size is therefore proven by
-counting, never assumed.
+When the whole table fits the byte budget, it is broadcast as a whole and
+nothing is shuffled. The broadcast side's size is therefore bounded by
+exact counts and sizes taken from the table, never assumed.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000   # for tables whose rows are a few dozen bytes
+ROW_OVERHEAD = 32                        # per-row bookkeeping in a broadcast hash relation
 
 
 @dataclass(frozen=True)
@@ -36,6 +39,8 @@ class SplitPlan:
 
     n_keys: int
     total_freq: int
+    total_bytes: int
+    max_row_bytes: int
     theta: int  # keys with freq >= theta are broadcast; 1 means "all"
 
     @property
@@ -43,28 +48,41 @@ class SplitPlan:
         return self.theta <= 1
 
 
-def plan_split(table: DataFrame, freq: str, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> SplitPlan:
-    """Count the keyed table (one small aggregate) and pick ``theta``."""
-    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(freq)).alias("s")).first()
-    n_keys, total = int(row["n"] or 0), int(row["s"] or 0)
-    if n_keys <= max_broadcast_rows:
-        return SplitPlan(n_keys, total, 1)
-    theta = max(2, math.ceil(total / max_broadcast_rows))
-    return SplitPlan(n_keys, total, theta)
+def string_bytes(c: Column) -> Column:
+    return F.coalesce(F.octet_length(c), F.lit(0))
+
+
+def plan_split(table: DataFrame, freq: str, row_bytes: Column,
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> SplitPlan:
+    """One aggregate over the keyed table (key count, total frequency, total
+    and largest row size) and the resulting ``theta``."""
+    rb = row_bytes + F.lit(ROW_OVERHEAD)
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(freq)).alias("s"),
+                    F.sum(rb).alias("b"), F.max(rb).alias("m")).first()
+    n, total, size, biggest = (int(row[k] or 0) for k in ("n", "s", "b", "m"))
+    if size <= max_broadcast_bytes:
+        return SplitPlan(n, total, size, biggest, 1)
+    # hot keys <= total / theta, each at most `biggest` bytes
+    theta = max(2, math.ceil(total * biggest / max_broadcast_bytes))
+    return SplitPlan(n, total, size, biggest, theta)
 
 
 def skew_safe_join(facts: DataFrame, table: DataFrame, key: str, freq: str,
-                   plan: SplitPlan | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   plan: SplitPlan | None = None, row_bytes: Column | None = None,
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Inner join ``facts`` to ``table`` on ``key`` (one table row per key).
 
     Output columns: ``key``, the other columns of ``facts``, then the other
-    columns of ``table`` (``freq`` included).
+    columns of ``table`` (``freq`` included). Give either a ``plan`` or the
+    ``row_bytes`` expression to make one.
     """
-    plan = plan or plan_split(table, freq, max_broadcast_rows)
+    if plan is None:
+        if row_bytes is None:
+            raise ValueError("skew_safe_join needs a plan or a row size expression")
+        plan = plan_split(table, freq, row_bytes, max_broadcast_bytes)
     if plan.broadcast_all:
         return facts.join(F.broadcast(table), on=key, how="inner")
-    hot = table.where(F.col(freq) >= plan.theta)     # <= total / theta <= max_broadcast_rows rows
+    hot = table.where(F.col(freq) >= plan.theta)
     cold = table.where(F.col(freq) < plan.theta)
     hot_part = facts.join(F.broadcast(hot), on=key, how="inner")
     cold_facts = facts.join(F.broadcast(hot.select(key)), on=key, how="left_anti")

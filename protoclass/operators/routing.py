@@ -18,8 +18,8 @@ TRAIN = "TRAIN"
 TEST = "TEST"
 KEPT_SPLITS = (TRAIN, TEST)
 
-# Largest duplicate-key table that is broadcast (rows: key + order struct).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Largest duplicate-key table (key + winning order) that is broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 def route_splits(docs: DataFrame, keep: Sequence[str] = KEPT_SPLITS) -> DataFrame:
@@ -52,16 +52,17 @@ def test_documents(docs: DataFrame) -> DataFrame:
 
 
 def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("old_id",),
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Keep, for every ``key``, only the row that comes last in ``order``
     (later documents replace earlier ones). ``order`` must be unique per key.
 
     Only the narrow ``(key, order)`` projection is shuffled: a partial
     aggregate per task folds every copy of a key (however hot) into one row
     before the exchange. Keys that occur more than once, with their winning
-    order value, form a small table in the usual case; it is broadcast when
-    its row count is under ``max_broadcast_rows`` and shuffle-joined
-    otherwise, so the document text itself never needs to move for this.
+    order value, form a small table in the usual case. One aggregate measures
+    it: it is broadcast when its size (JSON text of each row plus a per-row
+    allowance, an over-estimate of its binary form) is within
+    ``max_broadcast_bytes``, and shuffle-joined otherwise.
     """
     o = F.struct(*[F.col(c) for c in order])
     dups = (
@@ -71,10 +72,11 @@ def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("ol
         .where(F.col("_copies") > 1)
         .select(key, "_winner")
     )
-    n_dups = dups.count()
-    if n_dups == 0:
+    size = F.octet_length(F.to_json(F.struct(key, "_winner"))) + F.lit(32)
+    stats = dups.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    if not stats["n"]:
         return docs
-    side = F.broadcast(dups) if n_dups <= max_broadcast_rows else dups
+    side = F.broadcast(dups) if int(stats["b"]) <= max_broadcast_bytes else dups
     joined = docs.join(side, on=key, how="left")
     return joined.where(F.col("_winner").isNull() | (o == F.col("_winner"))).drop("_winner")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import DEFAULT_MAX_BROADCAST_ROWS, SplitPlan, skew_safe_join
+from .lookup import SplitPlan, skew_safe_join
 
 EXACT_TYPE = "decimal(38,0)"
 _FACTOR_TYPE = "decimal(19,0)"   # any BIGINT fits; the product is DECIMAL(38,0)
@@ -44,12 +44,11 @@ def cosine(dot: Column, n2_a: Column, n2_b: Column) -> Column:
     return F.when(den > 0, dot.cast("double") / den)
 
 
-def weigh(postings: DataFrame, factors: DataFrame, plan: SplitPlan | None = None,
-          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """E6 + E7: attach ``df``, ``q`` and ``w = tf * q`` to ``(doc_id, ..., term, tf)``
-    postings through a skew-safe join on ``term``."""
-    joined = skew_safe_join(postings, factors, key="term", freq="df", plan=plan,
-                            max_broadcast_rows=max_broadcast_rows)
+def weigh(postings: DataFrame, table: DataFrame, plan: SplitPlan) -> DataFrame:
+    """E6 + E7: attach ``df``, ``q`` (and whatever else ``table`` carries per
+    term) and ``w = tf * q`` to ``(doc_id, ..., term, tf)`` postings through a
+    skew-safe join on ``term``."""
+    joined = skew_safe_join(postings, table, key="term", freq="df", plan=plan)
     return joined.withColumn("w", F.col("tf") * F.col("q"))
 
 

@@ -21,7 +21,8 @@ from ..operators import routing as R
 from ..operators import scoring as S
 from ..operators import terms as T
 from ..operators import weights as W
-from ..operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, SplitPlan, plan_split
+from ..operators.lookup import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, SplitPlan,
+                               plan_split)
 from ..session import materialize
 
 
@@ -33,7 +34,9 @@ class Config:
     df_scope: ``all`` counts N and df over TRAIN and TEST documents, like the
       reference; ``train`` over training documents only.
     exact: accumulate dot products and norms as DECIMAL(38,0) (else DOUBLE).
-    max_broadcast_rows: row bound for any broadcast keyed table.
+    max_broadcast_bytes: byte budget of a broadcast term-keyed table.
+    max_broadcast_rows: row bound for broadcast topic-keyed tables (a few
+      dozen bytes per row).
     keep: how shared intermediates are kept (``persist``/``checkpoint``/``none``).
     order: columns that order copies of a document id (last wins).
     rebalance: None = spread documents only when the source has fewer
@@ -44,6 +47,7 @@ class Config:
     stop_words: tuple[str, ...] = STOP_WORDS
     df_scope: str = "all"
     exact: bool = True
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     keep: str = "persist"
     order: tuple[str, ...] = ("old_id",)
@@ -163,21 +167,19 @@ def fit(prepared: Prepared, config: Config | None = None) -> CentroidModel:
     if cfg.df_scope not in ("all", "train"):
         raise ValueError(f"df_scope must be 'all' or 'train', not {cfg.df_scope!r}")
     n_docs = int(T.corpus_size(indexed).first()["n_docs"])
-    stats = materialize(T.term_stats(indexed), cfg.keep)
-    # the scoring table has exactly the indexed terms as keys, so its split
-    # threshold can be taken from the term statistics
-    plan = plan_split(stats, "df", cfg.max_broadcast_rows)
-    factors = W.idf_factor(stats, n_docs)
+    counts = C.topic_term_counts(R.train_documents(dterms))
+    table = materialize(C.term_table_from_counts(T.term_stats(indexed), counts, n_docs), cfg.keep)
+    plan = plan_split(table, "df", C.term_table_row_bytes(), cfg.max_broadcast_bytes)  # fills the cache
+    factors = table.select("term", "df", "q")
+    sums = C.centroid_sums(table)
     vocab = materialize(L.topic_vocabulary(dterms), cfg.keep)
-    sums = materialize(C.centroid_sums(R.train_documents(dterms), factors), cfg.keep)
     tnorms = materialize(C.topic_norms(sums, cfg.exact), cfg.keep)
     row = (vocab.join(tnorms, "topic", "left")
            .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("n2") > 0, F.col("topic"))).alias("first"))
            .first())
     n_topics, default_topic = int(row["n"]), row["first"]
-    table = materialize(C.term_table(factors, sums), cfg.keep)
     return CentroidModel(n_docs, factors, sums, vocab, tnorms, table, n_topics, default_topic,
-                         plan, cfg, [stats, vocab, sums, tnorms, table])
+                         plan, cfg, [table, vocab, tnorms])
 
 
 @dataclass

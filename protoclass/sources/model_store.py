@@ -33,6 +33,7 @@ def save_model(model: CentroidModel, path: str) -> None:
         "n_docs": model.n_docs, "n_topics": model.n_topics, "default_topic": model.default_topic,
         "profile": cfg.profile, "stop_words": list(cfg.stop_words), "df_scope": cfg.df_scope,
         "exact": cfg.exact, "max_broadcast_rows": cfg.max_broadcast_rows,
+        "max_broadcast_bytes": cfg.max_broadcast_bytes,
     }
     spark = model.factors.sparkSession
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
@@ -43,10 +44,11 @@ def load_model(spark: SparkSession, path: str, keep: str = "persist") -> Centroi
     base = path.rstrip("/")
     meta = json.loads(spark.read.json(f"{base}/meta").select("meta").first()["meta"])
     cfg = Config(profile=meta["profile"], stop_words=tuple(meta["stop_words"]), df_scope=meta["df_scope"],
-                 exact=meta["exact"], max_broadcast_rows=meta["max_broadcast_rows"], keep=keep)
+                 exact=meta["exact"], max_broadcast_rows=meta["max_broadcast_rows"],
+                 max_broadcast_bytes=meta["max_broadcast_bytes"], keep=keep)
     tables = {name: spark.read.parquet(f"{base}/{name}") for name in _TABLES}
     table = materialize(C.term_table(tables["factors"], tables["sums"]), keep)
-    plan = plan_split(table, "df", cfg.max_broadcast_rows)
+    plan = plan_split(table, "df", C.term_table_row_bytes(), cfg.max_broadcast_bytes)
     tnorms = tables["topic_norms"].select("topic", F.col("n2"))
     return CentroidModel(int(meta["n_docs"]), tables["factors"], tables["sums"], tables["vocabulary"],
                          tnorms, table, int(meta["n_topics"]), meta["default_topic"], plan, cfg, [table])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from protoclass.operators.lookup import plan_split, skew_safe_join
+from protoclass.operators.lookup import ROW_OVERHEAD, plan_split, skew_safe_join, string_bytes
 
 
 def _data(spark):
@@ -16,19 +16,32 @@ def _data(spark):
     return facts, table
 
 
-def test_plan_bounds_broadcast_rows(spark):
+def row_bytes():
+    return string_bytes(F.col("term")) + F.lit(16)
+
+
+def test_plan_bounds_broadcast_bytes(spark):
+    facts, table = _data(spark)
+    budget = 50 * 40
+    plan = plan_split(table, "df", row_bytes(), max_broadcast_bytes=budget)
+    assert plan.n_keys == 701 and plan.total_freq == 9000 and plan.theta > 1
+    hot = table.where(F.col("df") >= plan.theta)
+    n_hot = hot.count()
+    assert n_hot <= plan.total_freq / plan.theta
+    hot_bytes = hot.agg(F.sum(row_bytes() + F.lit(ROW_OVERHEAD))).first()[0] or 0
+    assert hot_bytes <= budget
+
+
+def test_whole_table_broadcast_when_it_fits(spark):
     facts, table = _data(spark)
-    plan = plan_split(table, "df", max_broadcast_rows=50)
-    assert plan.n_keys == 701 and plan.total_freq == 9000
-    hot = table.where(F.col("df") >= plan.theta).count()
-    assert hot <= 50 and hot <= plan.total_freq / plan.theta
+    assert plan_split(table, "df", row_bytes(), max_broadcast_bytes=1 << 30).broadcast_all
 
 
 def test_split_join_equals_plain_join(spark):
     facts, table = _data(spark)
     plain = sorted(tuple(r) for r in facts.join(table, "term").collect())
-    for cap in (10**6, 50, 2):
-        joined = skew_safe_join(facts, table, key="term", freq="df", max_broadcast_rows=cap)
+    for budget in (1 << 30, 50 * 40, 100):
+        joined = skew_safe_join(facts, table, key="term", freq="df", row_bytes=row_bytes(), max_broadcast_bytes=budget)
         got = sorted(tuple(r) for r in joined.select(*facts.columns, "df", "payload").collect())
         assert got == plain
 
@@ -38,7 +51,7 @@ def test_split_join_plan_has_both_paths(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit broadcasts
     try:
-        joined = skew_safe_join(facts, table, key="term", freq="df", max_broadcast_rows=50)
+        joined = skew_safe_join(facts, table, key="term", freq="df", row_bytes=row_bytes(), max_broadcast_bytes=50 * 40)
         joined.count()
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:

@@ -30,8 +30,8 @@ def test_dedup_last_wins_and_empty_never_replaces(spark):
 def test_dedup_shuffle_path_equals_broadcast_path(spark):
     rows = [(i % 5, "TRAIN", f"body {i}", ["a"], i) for i in range(60)]
     docs = make_docs(spark, rows)
-    a = sorted(tuple(r) for r in R.dedup_last(docs, max_broadcast_rows=10**6).collect())
-    b = sorted(tuple(r) for r in R.dedup_last(docs, max_broadcast_rows=0).collect())
+    a = sorted(tuple(r) for r in R.dedup_last(docs, max_broadcast_bytes=1 << 30).collect())
+    b = sorted(tuple(r) for r in R.dedup_last(docs, max_broadcast_bytes=0).collect())
     assert a == b and [r[0] for r in a] == [0, 1, 2, 3, 4]
     assert [r[1] for r in a] == [55, 56, 57, 58, 59]
 
