@@ -53,12 +53,20 @@ def weigh(postings: DataFrame, table: DataFrame, plan: SplitPlan) -> DataFrame:
 
 
 def vector_maps(vectors: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Output view of sparse vectors: one row per ``key`` with
-    ``vector MAP<STRING, BIGINT>`` (term -> weight)."""
+    """E7 output view of sparse vectors: one row per ``key`` with
+    ``vector MAP<STRING, BIGINT>`` (term -> weight). One document's vector is
+    at most its distinct terms, so each group is bounded by one row's size."""
     return (vectors.groupBy(key)
             .agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("vector")))
 
 
+def vector_text(vector: Column) -> Column:
+    """A map vector as text, ``term=weight`` pairs in term order joined by
+    ``;`` (for comparison and export)."""
+    entries = F.array_sort(F.map_entries(vector))
+    return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+
+
 def squared_norms(vectors: DataFrame, key: str, weight: str = "w", exact: bool = True) -> DataFrame:
     """``(key, n2)`` with ``n2 = sum(weight^2)``; computed once per key."""
     w = F.col(weight)

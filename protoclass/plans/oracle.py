@@ -140,6 +140,9 @@ SELECT doc_id, old_id, split, title, body FROM (
     "term_stats": "SELECT term, df FROM dfs",
     "corpus_size": "SELECT n_docs FROM ndocs",
     "doc_vectors": "SELECT doc_id, split, term, tf, w FROM vectors",
+    "doc_vector_maps": """
+SELECT doc_id, count(*)::BIGINT AS n_terms, string_agg(term || '=' || w::VARCHAR, ';' ORDER BY term) AS vector
+FROM vectors GROUP BY doc_id""",
     "doc_norms": "SELECT doc_id, sum(w::HUGEINT * w)::DOUBLE AS n2 FROM vectors GROUP BY doc_id",
     "topic_norms": "SELECT topic, n2::DOUBLE AS n2 FROM tnorms",
     "centroids": """

@@ -26,7 +26,10 @@ _LOCK = threading.Lock()
 
 
 def _session_key(spark: SparkSession) -> str:
-    return spark._jsparkSession.toString()
+    try:
+        return spark._jsparkSession.toString()
+    except AttributeError:  # a session without a JVM handle
+        return f"session-{id(spark)}"
 
 
 def shared_run(spark: SparkSession, sf_dir: str, config: Config = Config()) -> Run:
@@ -103,6 +106,15 @@ def q_doc_vectors(spark, sf_dir):
     return run.model.weigh(postings).select("doc_id", "split", "term", "tf", "w")
 
 
+def q_doc_vector_maps(spark, sf_dir):
+    """Each kept document's vector as a term -> weight map (shown as text)."""
+    from ..operators.weights import vector_maps, vector_text
+    run = shared_run(spark, sf_dir)
+    maps = vector_maps(run.model.weigh(run.prepared.term_freq()))
+    return maps.select("doc_id", F.size("vector").cast("bigint").alias("n_terms"),
+                       vector_text(F.col("vector")).alias("vector"))
+
+
 def q_doc_norms(spark, sf_dir):
     """F2 per document (all kept documents)."""
     from ..operators.scoring import doc_norms
@@ -211,6 +223,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_stats": q_term_stats,
     "corpus_size": q_corpus_size,
     "doc_vectors": q_doc_vectors,
+    "doc_vector_maps": q_doc_vector_maps,
     "doc_norms": q_doc_norms,
     "topic_norms": q_topic_norms,
     "centroids": q_centroids,

@@ -137,3 +137,16 @@ def test_train_only_document_frequency(spark):
         assert p["topic"] == "cocoa"
     finally:
         r.close()
+
+
+def test_checkpointed_intermediates_give_same_results(spark):
+    """``keep='checkpoint'`` writes shared intermediates to the session's
+    checkpoint folder (cutting lineage) instead of caching them."""
+    r = run_pipeline(make_docs(spark, BASE), Config(keep="checkpoint"))
+    try:
+        (p,) = r.predictions.collect()
+        assert (p["doc_id"], p["topic"], p["correct"]) == (4, "cocoa", True)
+        plan = r.prepared.doc_terms._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.strip().startswith("LogicalRDD")          # lineage cut at the checkpoint
+    finally:
+        r.close()
