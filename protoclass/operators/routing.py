@@ -89,10 +89,15 @@ def keep_documents(docs: DataFrame, order: Sequence[str] = ("old_id",),
 
 
 def balance(docs: DataFrame, keys: str | Sequence[str] = "doc_id", partitions: int | None = None) -> DataFrame:
-    """Spread documents over the cluster when the source offers fewer
-    partitions than there are cores (a corpus stored as one large row group
-    would otherwise be tokenised by one task). Sources that already come in
-    enough splits are left alone, so no text is shuffled for nothing.
+    """Spread documents over the cluster when the source cannot keep every
+    core busy, and leave it alone otherwise.
+
+    Two cases are spread: fewer partitions than cores, and a small input
+    (Catalyst's size estimate under cores x ``spark.sql.files.maxPartitionBytes``).
+    A small file with one large row group has several splits, but only one
+    of them holds rows, so tokenising it would use one core. Re-spreading
+    small data is cheap. A large source keeps its own splits, so no text is
+    shuffled for nothing.
 
     Hash partitioning uses all of ``keys``; give the reading order as well as
     the id when ids may repeat, so that copies of one id spread out.
@@ -100,6 +105,9 @@ def balance(docs: DataFrame, keys: str | Sequence[str] = "doc_id", partitions: i
     spark = docs.sparkSession
     target = partitions or spark.sparkContext.defaultParallelism
     cols = [keys] if isinstance(keys, str) else list(keys)
-    if docs.rdd.getNumPartitions() >= target:
+    qe = docs._jdf.queryExecution()
+    size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
+    split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if docs.rdd.getNumPartitions() >= target and size >= target * split_bytes:
         return docs
     return docs.repartition(target, *cols)
