@@ -93,13 +93,14 @@ def assign(test_docs: DataFrame, sims: DataFrame, dnorms: DataFrame,
     )
 
 
-def rank_topics(sims: DataFrame) -> DataFrame:
+def rank_topics(sims: DataFrame, k: int | None = None) -> DataFrame:
     """``(doc_id, topic, sim, cos_score, rank)``, rank 1 = nearest, over
     the topics that share a term with the document (all other topics tie
-    below them at similarity 0). A window per document holds at most one row
-    per topic."""
+    below them at similarity 0); ``k`` keeps the ``k`` nearest (top-k). A
+    window per document holds at most one row per topic."""
     w = Window.partitionBy("doc_id").orderBy(F.col("sim").desc(), F.col("topic").asc())
-    return sims.select("doc_id", "topic", "sim", "cos_score", F.row_number().over(w).alias("rank"))
+    ranked = sims.select("doc_id", "topic", "sim", "cos_score", F.row_number().over(w).alias("rank"))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def true_topic_margin(ranked: DataFrame, predictions: DataFrame, test_edges: DataFrame,

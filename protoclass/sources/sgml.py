@@ -169,7 +169,8 @@ def read_records(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
     _check_directory(spark, path)
     pattern = f"{path.rstrip('/')}/{glob}"
     try:
-        raw = spark.read.option("lineSep", separator).text(pattern)
+        # a file removed between listing and reading is skipped, not fatal
+        raw = spark.read.option("lineSep", separator).option("ignoreMissingFiles", "true").text(pattern)
         files = raw.inputFiles()
     except Exception as exc:  # no match: Spark reports a missing path
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):

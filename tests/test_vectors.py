@@ -150,3 +150,16 @@ def test_checkpointed_intermediates_give_same_results(spark):
         assert plan.strip().startswith("LogicalRDD")          # lineage cut at the checkpoint
     finally:
         r.close()
+
+
+def test_top_k_ranking(spark):
+    rows = [(1, "TRAIN", "apple pear", ["a"]), (2, "TRAIN", "apple plum", ["b"]),
+            (3, "TRAIN", "apple fig", ["c"]), (4, "TEST", "apple pear plum", ["a"])]
+    r = run_pipeline(make_docs(spark, rows))
+    try:
+        from protoclass.operators.scoring import rank_topics
+        full = sorted((x["rank"], x["topic"]) for x in rank_topics(r.scored.sims).collect())
+        top2 = sorted((x["rank"], x["topic"]) for x in rank_topics(r.scored.sims, k=2).collect())
+        assert len(full) == 3 and top2 == full[:2]
+    finally:
+        r.close()
