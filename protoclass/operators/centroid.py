@@ -28,26 +28,19 @@ def topic_term_counts(train_terms: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("_t.tf")).alias("tf_sum")))
 
 
-def term_table_from_counts(stats: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
-    """Scoring lookup built while fitting, one row per indexed term:
-    ``(term, df, q, cents ARRAY<STRUCT<topic, sw>>)`` with ``q = n_docs div df``
-    and ``sw = q * tf_sum`` (F5 numerator); ``cents`` is empty for terms in no
-    centroid.
-
-    Topic-term counts are gathered per term (at most one entry per topic, so
-    the array is bounded by the topic vocabulary) and meet the term
-    statistics in one join whose both sides have one row per term.
+def centroid_sums(train_terms: DataFrame, factors: DataFrame) -> DataFrame:
+    """F5 numerator: ``(topic, term, sw)`` with ``sw = q(term) * tf_sum``.
+
+    The join on ``term`` has at most one row per topic on the centroid side
+    and one row on the factor side, so no key can be hot.
     """
-    by_term = counts.groupBy("term").agg(F.collect_list(F.struct("topic", "tf_sum")).alias("_c"))
-    q = F.expr(f"CAST({int(n_docs)} AS BIGINT) div df")
-    joined = stats.join(by_term, on="term", how="left").select("term", "df", q.alias("q"), "_c")
-    cents = F.transform(F.coalesce(F.col("_c"), F.array().cast("array<struct<topic:string,tf_sum:bigint>>")),
-                        lambda c: F.struct(c["topic"].alias("topic"), (c["tf_sum"] * F.col("q")).alias("sw")))
-    return joined.select("term", "df", "q", cents.alias("cents"))
+    counts = topic_term_counts(train_terms)
+    return (counts.join(factors.select("term", "q"), on="term", how="inner")
+            .select("topic", "term", (F.col("tf_sum") * F.col("q")).alias("sw")))
 
 
-def centroid_sums(table: DataFrame) -> DataFrame:
-    """F5 numerator as rows: ``(topic, term, sw)`` read off the term table."""
+def centroid_sums_of_table(table: DataFrame) -> DataFrame:
+    """F5 numerator as rows: ``(topic, term, sw)`` read off a term table."""
     return (table.select("term", F.explode("cents").alias("_c"))
             .select(F.col("_c.topic").alias("topic"), "term", F.col("_c.sw").alias("sw")))
 
@@ -81,3 +74,23 @@ def term_table_row_bytes() -> "F.Column":
     cents = F.aggregate("cents", F.lit(0).cast("bigint"),
                         lambda acc, c: acc + string_bytes(c["topic"]) + F.lit(32))
     return string_bytes(F.col("term")) + F.lit(32) + cents
+
+
+def term_table_sizes(factors: DataFrame, sums: DataFrame, n_topics: int) -> tuple[int, int, int, int]:
+    """``(n_keys, total_df, total_bytes, max_row_bytes)`` of the term table
+    built by :func:`term_table`, measured on its flat inputs in one job:
+    the byte total is exact; the largest row is bounded by the longest term
+    plus ``n_topics`` entries of the longest topic name."""
+    from .lookup import ROW_OVERHEAD
+    f = factors.agg(F.count(F.lit(1)).alias("a"), F.sum("df").alias("b"),
+                    F.sum(string_bytes(F.col("term")) + F.lit(32 + ROW_OVERHEAD)).alias("c"),
+                    F.max(string_bytes(F.col("term"))).alias("d"))
+    t = sums.agg(F.count(F.lit(1)).alias("a"), F.lit(0).cast("bigint").alias("b"),
+                 F.sum(string_bytes(F.col("topic")) + F.lit(32)).alias("c"),
+                 F.max(string_bytes(F.col("topic"))).alias("d"))
+    rows = f.select(F.lit(0).alias("k"), "*").unionByName(t.select(F.lit(1).alias("k"), "*")).collect()
+    by = {r["k"]: r for r in rows}
+    n_keys, total_df = int(by[0]["a"] or 0), int(by[0]["b"] or 0)
+    total_bytes = int(by[0]["c"] or 0) + int(by[1]["c"] or 0)
+    max_row = int(by[0]["d"] or 0) + 32 + ROW_OVERHEAD + n_topics * (int(by[1]["d"] or 0) + 32)
+    return n_keys, total_df, total_bytes, max_row

@@ -52,6 +52,17 @@ def string_bytes(c: Column) -> Column:
     return F.coalesce(F.octet_length(c), F.lit(0))
 
 
+def split_plan_of(n_keys: int, total_freq: int, total_bytes: int, max_row_bytes: int,
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> SplitPlan:
+    """``theta`` from measured sizes: 1 (broadcast all) when the whole table
+    fits the budget; otherwise the smallest ``theta`` for which
+    ``total_freq / theta`` hot keys of at most ``max_row_bytes`` each fit."""
+    if total_bytes <= max_broadcast_bytes:
+        return SplitPlan(n_keys, total_freq, total_bytes, max_row_bytes, 1)
+    theta = max(2, math.ceil(total_freq * max_row_bytes / max_broadcast_bytes))
+    return SplitPlan(n_keys, total_freq, total_bytes, max_row_bytes, theta)
+
+
 def plan_split(table: DataFrame, freq: str, row_bytes: Column,
                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> SplitPlan:
     """One aggregate over the keyed table (key count, total frequency, total
@@ -60,11 +71,7 @@ def plan_split(table: DataFrame, freq: str, row_bytes: Column,
     row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(freq)).alias("s"),
                     F.sum(rb).alias("b"), F.max(rb).alias("m")).first()
     n, total, size, biggest = (int(row[k] or 0) for k in ("n", "s", "b", "m"))
-    if size <= max_broadcast_bytes:
-        return SplitPlan(n, total, size, biggest, 1)
-    # hot keys <= total / theta, each at most `biggest` bytes
-    theta = max(2, math.ceil(total * biggest / max_broadcast_bytes))
-    return SplitPlan(n, total, size, biggest, theta)
+    return split_plan_of(n, total, size, biggest, max_broadcast_bytes)
 
 
 def skew_safe_join(facts: DataFrame, table: DataFrame, key: str, freq: str,

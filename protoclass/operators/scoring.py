@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lookup import DEFAULT_MAX_BROADCAST_ROWS
-from .weights import cosine, sum_of_products
+from .weights import EXACT_TYPE, cosine, product, sum_of_products
 
 
 def _small(df: DataFrame, n_rows: int, max_broadcast_rows: int) -> DataFrame:
@@ -43,6 +43,32 @@ def dot_products(weighted: DataFrame, exact: bool = True) -> DataFrame:
             .agg(sum_of_products(F.col("w"), F.col("_c.sw"), exact).alias("dot")))
 
 
+def doc_topic_sums(weighted: DataFrame, exact: bool = True) -> DataFrame:
+    """F1 + F2 in one pass over the weighted postings: ``(doc_id, topic, v)``
+    where the row with ``topic`` NULL holds the document's squared norm and
+    every other row a dot product with one topic's centroid sums (pairs
+    sharing at least one term). Map-side partial sums keep it to at most
+    one row per (document, topic) per task before the shuffle."""
+    w = F.col("w")
+    own = F.array(F.struct(F.lit(None).cast("string").alias("topic"), product(w, w, exact).alias("v")))
+    contrib = F.transform("cents", lambda c: F.struct(c["topic"].alias("topic"),
+                                                      product(w, c["sw"], exact).alias("v")))
+    parts = weighted.select("doc_id", F.explode(F.concat(own, contrib)).alias("_p"))
+    total = F.sum(F.col("_p.v"))
+    return (parts.groupBy("doc_id", F.col("_p.topic").alias("topic"))
+            .agg((total.cast(EXACT_TYPE) if exact else total).alias("v")))
+
+
+def norms_of(sums: DataFrame) -> DataFrame:
+    """``(doc_id, n2)`` from :func:`doc_topic_sums`."""
+    return sums.where(F.col("topic").isNull()).select("doc_id", F.col("v").alias("n2"))
+
+
+def dots_of(sums: DataFrame) -> DataFrame:
+    """``(doc_id, topic, dot)`` from :func:`doc_topic_sums`."""
+    return sums.where(F.col("topic").isNotNull()).select("doc_id", "topic", F.col("v").alias("dot"))
+
+
 def similarities(dots: DataFrame, dnorms: DataFrame, tnorms: DataFrame, n_topics: int,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """F3 + F4: ``(doc_id, topic, dot, sim, cos_score)``; ``sim`` is the

@@ -22,7 +22,7 @@ from ..operators import scoring as S
 from ..operators import terms as T
 from ..operators import weights as W
 from ..operators.lookup import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, SplitPlan,
-                               plan_split)
+                               split_plan_of)
 from ..session import materialize
 
 
@@ -133,13 +133,18 @@ class CentroidModel:
         return W.weigh(postings, self.table, plan=self.plan)
 
     def score(self, doc_terms: DataFrame) -> "Scored":
-        """Weighted postings, document norms, sparse similarities."""
+        """Weighted postings, document norms, sparse similarities.
+
+        The postings meet the term table once; squared norms and dot
+        products come out of one aggregation per (document, topic), which is
+        the only thing kept."""
         postings = T.term_freq(doc_terms, extra=())
-        weighted = materialize(self.weigh(postings), self.config.keep)
-        dnorms = S.doc_norms(weighted, self.config.exact)
-        dots = S.dot_products(weighted, self.config.exact)
+        weighted = self.weigh(postings)
+        sums = materialize(S.doc_topic_sums(weighted, self.config.exact), self.config.keep)
+        dnorms = S.norms_of(sums)
+        dots = S.dots_of(sums)
         sims = S.similarities(dots, dnorms, self.topic_norms, self.n_topics, self.config.max_broadcast_rows)
-        return Scored(weighted, dnorms, dots, sims, [weighted])
+        return Scored(weighted, dnorms, dots, sims, [sums])
 
     def close(self) -> None:
         for df in self._kept:
@@ -167,19 +172,20 @@ def fit(prepared: Prepared, config: Config | None = None) -> CentroidModel:
     if cfg.df_scope not in ("all", "train"):
         raise ValueError(f"df_scope must be 'all' or 'train', not {cfg.df_scope!r}")
     n_docs = int(T.corpus_size(indexed).first()["n_docs"])
-    counts = C.topic_term_counts(R.train_documents(dterms))
-    table = materialize(C.term_table_from_counts(T.term_stats(indexed), counts, n_docs), cfg.keep)
-    plan = plan_split(table, "df", C.term_table_row_bytes(), cfg.max_broadcast_bytes)  # fills the cache
-    factors = table.select("term", "df", "q")
-    sums = C.centroid_sums(table)
+    # only flat relations are kept (Spark's columnar cache encodes arrays
+    # slowly); the array-shaped scoring table is rebuilt from them on use
+    factors = materialize(W.idf_factor(T.term_stats(indexed), n_docs), cfg.keep)
+    sums = materialize(C.centroid_sums(R.train_documents(dterms), factors), cfg.keep)
     vocab = materialize(L.topic_vocabulary(dterms), cfg.keep)
     tnorms = materialize(C.topic_norms(sums, cfg.exact), cfg.keep)
     row = (vocab.join(tnorms, "topic", "left")
            .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("n2") > 0, F.col("topic"))).alias("first"))
            .first())
     n_topics, default_topic = int(row["n"]), row["first"]
+    plan = split_plan_of(*C.term_table_sizes(factors, sums, n_topics), cfg.max_broadcast_bytes)
+    table = C.term_table(factors, sums)
     return CentroidModel(n_docs, factors, sums, vocab, tnorms, table, n_topics, default_topic,
-                         plan, cfg, [table, vocab, tnorms])
+                         plan, cfg, [factors, sums, vocab, tnorms])
 
 
 @dataclass

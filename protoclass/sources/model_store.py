@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import centroid as C
-from ..operators.lookup import plan_split
+from ..operators.lookup import split_plan_of
 from ..plans.pipeline import CentroidModel, Config
 from ..session import materialize
 
@@ -47,8 +47,10 @@ def load_model(spark: SparkSession, path: str, keep: str = "persist") -> Centroi
                  exact=meta["exact"], max_broadcast_rows=meta["max_broadcast_rows"],
                  max_broadcast_bytes=meta["max_broadcast_bytes"], keep=keep)
     tables = {name: spark.read.parquet(f"{base}/{name}") for name in _TABLES}
-    table = materialize(C.term_table(tables["factors"], tables["sums"]), keep)
-    plan = plan_split(table, "df", C.term_table_row_bytes(), cfg.max_broadcast_bytes)
+    factors, sums = materialize(tables["factors"], keep), materialize(tables["sums"], keep)
+    n_topics = int(meta["n_topics"])
+    plan = split_plan_of(*C.term_table_sizes(factors, sums, n_topics), cfg.max_broadcast_bytes)
+    table = C.term_table(factors, sums)
     tnorms = tables["topic_norms"].select("topic", F.col("n2"))
-    return CentroidModel(int(meta["n_docs"]), tables["factors"], tables["sums"], tables["vocabulary"],
-                         tnorms, table, int(meta["n_topics"]), meta["default_topic"], plan, cfg, [table])
+    return CentroidModel(int(meta["n_docs"]), factors, sums, tables["vocabulary"],
+                         tnorms, table, n_topics, meta["default_topic"], plan, cfg, [factors, sums])
