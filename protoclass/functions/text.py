@@ -95,28 +95,35 @@ def tokenize(body: Column | str, profile: str = "word",
     return F.filter(raw, keep)
 
 
+def run_lengths(sorted_terms: Column) -> Column:
+    """E3 on a sorted ``ARRAY<STRING>``: ``ARRAY<STRUCT<term, tf BIGINT>>``
+    with one entry per run of equal terms.
+
+    Each element is paired with its successor (``arrays_zip`` with the array
+    shifted by one); an element ends a run when the successor differs or is
+    missing. Run-end positions give the counts by differences. Every lambda
+    reads only its own element, so whatever the optimiser inlines, the work
+    stays linear in the array.
+    """
+    s = sorted_terms
+    pairs = F.arrays_zip(s.alias("a"), F.slice(s, 2, F.greatest(F.size(s), F.lit(1))).alias("b"))
+
+    def ends_run(p: Column) -> Column:
+        return p["b"].isNull() | (p["a"] != p["b"])
+
+    end_pos = F.filter(F.transform(pairs, lambda p, i: F.when(ends_run(p), i)), lambda x: x.isNotNull())
+    run_terms = F.transform(F.filter(pairs, ends_run), lambda p: p["a"])
+    prev_pos = F.slice(F.concat(F.array(F.lit(-1)), end_pos), 1, F.size(end_pos))
+    counts = F.transform(F.arrays_zip(end_pos.alias("e"), prev_pos.alias("p")), lambda z: z["e"] - z["p"])
+    return F.transform(F.arrays_zip(run_terms.alias("t"), counts.alias("c")),
+                       lambda z: F.struct(z["t"].alias("term"), z["c"].cast("bigint").alias("tf")))
+
+
 def with_term_counts(df: DataFrame, terms: str, out: str) -> DataFrame:
     """E3 inside each row: ``terms`` (``ARRAY<STRING>``) becomes ``out``
     (``ARRAY<STRUCT<term STRING, tf BIGINT>>``), one entry per distinct term,
     ordered by term. No shuffle: a document's tokens never leave its row.
-
-    Sort, mark the positions where a run of equal terms starts, and take the
-    distance to the next start. Each intermediate array is its own column so
-    that the lambdas read it by reference instead of re-evaluating it.
-    """
-    s, starts = f"__{out}_sorted", f"__{out}_starts"
-    df = df.withColumn(s, F.sort_array(F.col(terms)))
-    sc = F.col(s)
-    df = df.withColumn(starts, F.filter(
-        F.transform(sc, lambda t, i: F.when(i == 0, i).when(t != F.element_at(sc, i), i)),
-        lambda p: p.isNotNull()))
-    st, n = F.col(starts), F.size(sc)
-    # next start (or the array end) beside each start; arrays_zip pads the
-    # empty-document case with one NULL start, which the filter drops
-    nxt = F.concat(F.slice(st, 2, F.greatest(F.size(st), F.lit(1))), F.array(n))
-    pairs = F.filter(F.arrays_zip(st.alias("p"), nxt.alias("q")), lambda z: z["p"].isNotNull())
-    df = df.withColumn(out, F.transform(
-        pairs,
-        lambda z: F.struct(F.element_at(sc, z["p"] + 1).alias("term"),
-                           (z["q"] - z["p"]).cast("bigint").alias("tf"))))
-    return df.drop(s, starts)
+    The sorted array is its own column so that it is sorted once."""
+    tmp = f"__{out}_sorted"
+    df = df.withColumn(tmp, F.sort_array(F.col(terms)))
+    return df.withColumn(out, run_lengths(F.col(tmp))).drop(tmp)
