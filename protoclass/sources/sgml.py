@@ -101,9 +101,11 @@ def _step(state: Column, line: Column) -> Column:
     tp, ts, te, bs, be = state["tp"], state["ts"], state["te"], state["bs"], state["be"]
 
     in_doc, in_text = m == _DOC, m == _TEXT
-    is_topics = in_doc & line.rlike(_full(TOPICS_LINE))
-    opens_text = in_doc & ~is_topics & line.rlike(TEXT_OPEN) & ~_has(line, TEXT_CLOSE)
-    closes_doc = in_doc & ~is_topics & ~line.rlike(TEXT_OPEN) & (line == F.lit(RECORD_CLOSE))
+    # cheap substring tests guard every regular expression (And short-circuits)
+    is_topics = in_doc & line.startswith("<TOPICS>") & line.rlike(_full(TOPICS_LINE))
+    text_tag = _has(line, "<TEXT") & line.rlike(TEXT_OPEN)
+    opens_text = in_doc & ~is_topics & text_tag & ~_has(line, TEXT_CLOSE)
+    closes_doc = in_doc & ~is_topics & ~text_tag & (line == F.lit(RECORD_CLOSE))
     title_open = in_text & _has(line, TITLE_OPEN)
     body_open = in_text & ~title_open & _has(line, BODY_OPEN)
     text_close = in_text & ~title_open & ~body_open & _has(line, TEXT_CLOSE)
@@ -190,7 +192,8 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
     """A2-A9 + C1 on ``(value, file, block, seq)`` rows."""
     lines = F.split(F.regexp_replace(F.col("value"), "\r\n?", "\n"), "\n", -1)
     with_lines = records.select("file", "block", "seq", "value", lines.alias("ln"))
-    header_at = F.array_position(F.transform(F.col("ln"), lambda l: l.rlike(_full(HEADER))), True).cast("int")
+    header_at = F.array_position(
+        F.transform(F.col("ln"), lambda l: l.startswith(RECORD_START) & l.rlike(_full(HEADER))), True).cast("int")
     located = with_lines.select("*", header_at.alias("h")).where(F.col("h") > 0)
     head = _at(F.col("ln"), F.col("h"))
     int_text = r"^[+-]?[0-9]+$"

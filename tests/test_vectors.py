@@ -163,3 +163,11 @@ def test_top_k_ranking(spark):
         assert len(full) == 3 and top2 == full[:2]
     finally:
         r.close()
+
+
+def test_nothing_kept_gives_same_results(spark):
+    """``keep='none'``: every consumer recomputes from the source; the plans
+    must stay linear (no optimiser inlining of per-element work)."""
+    r = run_pipeline(make_docs(spark, BASE), Config(keep="none"))
+    (p,) = r.predictions.collect()
+    assert (p["doc_id"], p["topic"], p["correct"]) == (4, "cocoa", True)
