@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import clean_topics
-from .lookup import string_bytes
+from .lookup import DEFAULT_MAX_BROADCAST_ROWS, string_bytes
 from .weights import sum_of_products
 
 
@@ -45,9 +45,15 @@ def centroid_sums_of_table(table: DataFrame) -> DataFrame:
             .select(F.col("_c.topic").alias("topic"), "term", F.col("_c.sw").alias("sw")))
 
 
-def centroids(sums: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``(topic, term, sw, n_train, w)`` with the mean weight ``w = sw / n_train``."""
-    return (sums.join(F.broadcast(vocabulary.select("topic", "n_train")), on="topic")
+def centroids(sums: DataFrame, vocabulary: DataFrame, n_topics: int | None = None,
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``(topic, term, sw, n_train, w)`` with the mean weight ``w = sw / n_train``.
+    The topic vocabulary is broadcast only when its counted size is known
+    to be within ``max_broadcast_rows``."""
+    v = vocabulary.select("topic", "n_train")
+    if n_topics is not None and n_topics <= max_broadcast_rows:
+        v = F.broadcast(v)
+    return (sums.join(v, on="topic")
             .withColumn("w", F.col("sw").cast("double") / F.col("n_train").cast("double")))
 
 

@@ -143,6 +143,8 @@ def true_topic_margin(ranked: DataFrame, predictions: DataFrame, test_edges: Dat
 
     ``defined_topics``: ``(topic)`` with a non-empty centroid.
     """
+    # position of each scorable topic by name: one ordered window over the
+    # topic vocabulary (at most n_topics rows, counted at fit time)
     vrank = defined_topics.select(
         "topic", F.row_number().over(Window.orderBy("topic")).alias("_vrank"))
     vrank = _small(vrank, n_topics, max_broadcast_rows)

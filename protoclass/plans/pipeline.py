@@ -124,7 +124,7 @@ class CentroidModel:
     _kept: list = field(default_factory=list)
 
     def centroids(self) -> DataFrame:
-        return C.centroids(self.sums, self.vocabulary)
+        return C.centroids(self.sums, self.vocabulary, self.n_topics, self.config.max_broadcast_rows)
 
     def defined_topics(self) -> DataFrame:
         return self.topic_norms.where(F.col("n2") > 0).select("topic")
