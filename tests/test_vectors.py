@@ -171,3 +171,18 @@ def test_nothing_kept_gives_same_results(spark):
     r = run_pipeline(make_docs(spark, BASE), Config(keep="none"))
     (p,) = r.predictions.collect()
     assert (p["doc_id"], p["topic"], p["correct"]) == (4, "cocoa", True)
+
+
+def test_report_lines_exact(run):
+    """H7 + B3 on the hand corpus: the reference's layout and its own
+    (literal) numbers — 0/1 printed as 00.00, an undefined F1 as 'NaN '."""
+    lines = [r["line"] for r in run.report().orderBy("line_no").collect()]
+    assert lines == [
+        "Recall\tPrecision\tF-measure\tTopic",
+        "-------------------------------------------",
+        "00.00\t00.00\t\tNaN \t\t> cocoa",
+        "===========================================",
+        "Overall accuracy: 100.00%",
+    ]
+    standard = [r["line"] for r in run.report(literal=False).orderBy("line_no").collect()]
+    assert standard[2] == "01.00\t01.00\t\t01.00\t\t> cocoa"
