@@ -95,35 +95,39 @@ def tokenize(body: Column | str, profile: str = "word",
     return F.filter(raw, keep)
 
 
-def run_lengths(sorted_terms: Column) -> Column:
-    """E3 on a sorted ``ARRAY<STRING>``: ``ARRAY<STRUCT<term, tf BIGINT>>``
-    with one entry per run of equal terms.
-
-    Each element is paired with its successor (``arrays_zip`` with the array
-    shifted by one); an element ends a run when the successor differs or is
-    missing. Run-end positions give the counts by differences. Every lambda
-    reads only its own element, so whatever the optimiser inlines, the work
-    stays linear in the array.
-    """
+def run_end_positions(sorted_terms: Column) -> Column:
+    """0-based positions of the last element of each run of equal terms in
+    a sorted ``ARRAY<STRING>``: an element ends a run when its successor
+    differs or is missing."""
     s = sorted_terms
-    pairs = F.arrays_zip(s.alias("a"), F.slice(s, 2, F.greatest(F.size(s), F.lit(1))).alias("b"))
+    successor = F.slice(s, 2, F.greatest(F.size(s), F.lit(1)))   # zip_with pads the end with NULL
+    ends = F.zip_with(s, successor, lambda a, b: b.isNull() | (a != b))
+    return F.filter(F.transform(ends, lambda e, i: F.when(e, i).otherwise(F.lit(-1))), lambda p: p >= 0)
 
-    def ends_run(p: Column) -> Column:
-        return p["b"].isNull() | (p["a"] != p["b"])
 
-    end_pos = F.filter(F.transform(pairs, lambda p, i: F.when(ends_run(p), i)), lambda x: x.isNotNull())
-    run_terms = F.transform(F.filter(pairs, ends_run), lambda p: p["a"])
-    prev_pos = F.slice(F.concat(F.array(F.lit(-1)), end_pos), 1, F.size(end_pos))
-    counts = F.transform(F.arrays_zip(end_pos.alias("e"), prev_pos.alias("p")), lambda z: z["e"] - z["p"])
-    return F.transform(F.arrays_zip(run_terms.alias("t"), counts.alias("c")),
-                       lambda z: F.struct(z["t"].alias("term"), z["c"].cast("bigint").alias("tf")))
+def run_lengths(sorted_terms: Column, end_positions: Column) -> Column:
+    """``ARRAY<STRUCT<term, tf BIGINT>>`` from a sorted array and its run
+    ends; the distinct terms of a sorted array are the runs in order, and the
+    run lengths are the differences of consecutive end positions."""
+    e = end_positions
+    prev = F.slice(F.concat(F.array(F.lit(-1)), e), 1, F.size(e))
+    counts = F.zip_with(e, prev, lambda a, b: a - b)
+    return F.zip_with(F.array_distinct(sorted_terms), counts,
+                      lambda t, c: F.struct(t.alias("term"), c.cast("bigint").alias("tf")))
 
 
 def with_term_counts(df: DataFrame, terms: str, out: str) -> DataFrame:
     """E3 inside each row: ``terms`` (``ARRAY<STRING>``) becomes ``out``
     (``ARRAY<STRUCT<term STRING, tf BIGINT>>``), one entry per distinct term,
     ordered by term. No shuffle: a document's tokens never leave its row.
-    The sorted array is its own column so that it is sorted once."""
-    tmp = f"__{out}_sorted"
-    df = df.withColumn(tmp, F.sort_array(F.col(terms)))
-    return df.withColumn(out, run_lengths(F.col(tmp))).drop(tmp)
+
+    After the sort: two passes over the tokens (mark run ends, keep their
+    positions), then one over the distinct terms. Every lambda reads only
+    its own elements, so whatever the optimiser inlines, the work stays
+    linear. Each intermediate array is its own column, so it is computed
+    once.
+    """
+    sorted_col, ends_col = f"__{out}_sorted", f"__{out}_ends"
+    df = df.withColumn(sorted_col, F.sort_array(F.col(terms)))
+    df = df.withColumn(ends_col, run_end_positions(F.col(sorted_col)))
+    return df.withColumn(out, run_lengths(F.col(sorted_col), F.col(ends_col))).drop(sorted_col, ends_col)
