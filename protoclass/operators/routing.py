@@ -18,6 +18,9 @@ TRAIN = "TRAIN"
 TEST = "TEST"
 KEPT_SPLITS = (TRAIN, TEST)
 
+# Partitions per core when a source has to be re-spread (see balance).
+TASKS_PER_CORE = 2
+
 # Largest duplicate-key table (key + winning order) that is broadcast.
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
@@ -103,11 +106,14 @@ def balance(docs: DataFrame, keys: str | Sequence[str] = "doc_id", partitions: i
     the id when ids may repeat, so that copies of one id spread out.
     """
     spark = docs.sparkSession
-    target = partitions or spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
+    # two tasks per core: documents differ widely in length, and smaller
+    # tasks let the scheduler even out the load
+    target = partitions or TASKS_PER_CORE * cores
     cols = [keys] if isinstance(keys, str) else list(keys)
     qe = docs._jdf.queryExecution()
     size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
     split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if docs.rdd.getNumPartitions() >= target and size >= target * split_bytes:
+    if docs.rdd.getNumPartitions() >= cores and size >= cores * split_bytes:
         return docs
     return docs.repartition(target, *cols)

@@ -67,18 +67,19 @@ def test_edges_and_vocabulary(spark):
 
 
 def test_balance_spreads_small_or_narrow_inputs_only(spark, workdir):
-    target = spark.sparkContext.defaultParallelism
-    make_docs(spark, [(i, "TRAIN", "x", ["a"]) for i in range(40)]).repartition(target + 3) \
+    cores = spark.sparkContext.defaultParallelism
+    target = R.TASKS_PER_CORE * cores
+    make_docs(spark, [(i, "TRAIN", "x", ["a"]) for i in range(40)]).repartition(cores + 3) \
         .write.parquet(workdir + "/docs")
     docs = spark.read.parquet(workdir + "/docs")        # a file scan: Catalyst knows its size
     one = docs.coalesce(1)
     assert R.balance(one).rdd.getNumPartitions() == target          # too few partitions
-    many = docs.repartition(target + 3)
+    many = docs.repartition(cores + 3)
     assert R.balance(many).rdd.getNumPartitions() == target         # small input: re-spread
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1")        # now the input counts as large
     try:
-        assert R.balance(many).rdd.getNumPartitions() == target + 3  # left alone
+        assert R.balance(many).rdd.getNumPartitions() == cores + 3   # left alone
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert R.balance(one).agg(F.count("*")).first()[0] == 40
