@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from protoclass.llm.quality_rules import op2_quality_rules
 from protoclass.llm.token_files import op1_token_ids
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
+    "op2_quality_rules": op2_quality_rules,
 }
 
 #: None of these has a plain SQL form; each is tested against brute force.
