@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from protoclass.llm.html_text import op8_html_text
+from protoclass.llm.license_rules import op10_license_scan
 from protoclass.llm.quality_rules import op2_quality_rules
+from protoclass.llm.secret_scan import op7_secret_scan
 from protoclass.llm.token_files import op1_token_ids
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_html_text": op8_html_text,
+    "op10_license_scan": op10_license_scan,
 }
 
 #: None of these has a plain SQL form; each is tested against brute force.
