@@ -6,11 +6,13 @@ from protoclass.llm.html_text import op8_html_text
 from protoclass.llm.license_rules import op10_license_scan
 from protoclass.llm.quality_rules import op2_quality_rules
 from protoclass.llm.secret_scan import op7_secret_scan
+from protoclass.llm.source_mix import op3_source_mix
 from protoclass.llm.token_files import op1_token_ids
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
+    "op3_source_mix": op3_source_mix,
     "op7_secret_scan": op7_secret_scan,
     "op8_html_text": op8_html_text,
     "op10_license_scan": op10_license_scan,
