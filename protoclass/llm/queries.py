@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from protoclass.llm.factorization import op5_quality_classifier
 from protoclass.llm.html_text import op8_html_text
 from protoclass.llm.license_rules import op10_license_scan
 from protoclass.llm.quality_rules import op2_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mix": op3_source_mix,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
     "op8_html_text": op8_html_text,
     "op10_license_scan": op10_license_scan,
