@@ -8,6 +8,7 @@ from protoclass.llm.license_rules import op10_license_scan
 from protoclass.llm.quality_rules import op2_quality_rules
 from protoclass.llm.secret_scan import op7_secret_scan
 from protoclass.llm.source_mix import op3_source_mix
+from protoclass.llm.spaced_seeds import OP6_SQL, op6_spaced_seeds
 from protoclass.llm.token_files import op1_token_ids
 
 QUERIES = {
@@ -15,10 +16,13 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mix": op3_source_mix,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_spaced_seeds": op6_spaced_seeds,
     "op7_secret_scan": op7_secret_scan,
     "op8_html_text": op8_html_text,
     "op10_license_scan": op10_license_scan,
 }
 
-#: None of these has a plain SQL form; each is tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: The others have no plain SQL form; they are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op6_spaced_seeds": OP6_SQL,
+}
