@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from protoclass.llm.chosen_path import op9_chosen_path
 from protoclass.llm.factorization import op5_quality_classifier
 from protoclass.llm.html_text import op8_html_text
 from protoclass.llm.license_rules import op10_license_scan
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_spaced_seeds": op6_spaced_seeds,
     "op7_secret_scan": op7_secret_scan,
     "op8_html_text": op8_html_text,
+    "op9_chosen_path": op9_chosen_path,
     "op10_license_scan": op10_license_scan,
 }
 
