@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORDS, broadcast_if_small, same, table, written
+from protoclass.llm.common import WORDS, broadcast_if_small, packed, same, table, written
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -432,10 +432,10 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     stay = stay.join(same_row, same([F.col("_doc"), F.col("_hash")], [F.col("_d"), F.col("_h")]), "left").select("_doc", "_hash", F.coalesce("_n", F.lit(1)).alias("_n"))
     blank = told.filter("class is null").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.lit(1).cast("bigint").alias("_n")).distinct()
     stay = written(stay.withColumn("_n", F.col("_n").cast("bigint")).unionByName(blank), "paths-stay")
-    mine = [F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))]
-    kept = docs.join(broadcast_if_small(stay, stay.count(), 32), same(mine, [F.col("_doc"), F.col("_hash")]))
+    rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), text_hash=F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    kept = rows.join(broadcast_if_small(stay, stay.count(), 32), same([F.col("doc_id"), F.col("text_hash")], [F.col("_doc"), F.col("_hash")]))
     once = kept.filter("_n = 1").unionByName(kept.filter("_n > 1").dropDuplicates(["_doc", "_hash"]))
-    return once.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return once.select("row.*")
 
 
 def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

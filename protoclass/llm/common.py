@@ -52,6 +52,12 @@ def same(left: Iterable[Column], right: Iterable[Column]) -> Column:
     return out
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """All columns of ``docs`` in one struct ``row``, beside key columns: names
+    of theirs can't clash with what an operator adds. ``select("row.*")`` undoes it."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(key.alias(name) for name, key in keys.items()))
+
+
 def prefix_sums(df: DataFrame, group: list[str], order: list[Column], value: str, out: str, name: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over all rows before this one in its
     group, in the given order.

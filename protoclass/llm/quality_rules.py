@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORDS, broadcast_if_small, same, table, written
+from protoclass.llm.common import WORDS, broadcast_if_small, packed, same, table, written
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -290,8 +290,9 @@ def judged(docs: DataFrame, tail: float = TAIL, min_group: int = MIN_GROUP) -> D
 def quality_rules(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns as they came."""
     verdicts = judged(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash")).distinct()
-    key = [F.col("doc_id").cast("bigint"), F.xxhash64(F.col("doc_id").cast("bigint"), *(F.col(c).cast("string") for c in ("text", "lang", "source")))]
-    return docs.join(verdicts, same(key, [F.col("_id"), F.col("_hash")]), "left_semi")
+    doc_id = F.col("doc_id").cast("bigint")
+    rows = packed(docs, doc_id=doc_id, row_hash=F.xxhash64(doc_id, *(F.col(c).cast("string") for c in ("text", "lang", "source"))))
+    return rows.join(verdicts, same([F.col("doc_id"), F.col("row_hash")], [F.col("_id"), F.col("_hash")]), "left_semi").select("row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORD_PATTERN, broadcast_if_small, prefix_sums, same, table, written
+from protoclass.llm.common import WORD_PATTERN, broadcast_if_small, packed, prefix_sums, same, table, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -190,21 +190,17 @@ def mixed_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     takes = written(takes, "mix-takes")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.col("doc_id").cast("bigint")
-    joined = docs.join(broadcast_if_small(takes, takes.count(), 160), same([doc_id, F.col("source").cast("string"), F.xxhash64(F.lit(SEED), doc_id, text)], here))
-    once = joined.filter("_m is null").unionByName(joined.filter("_m is not null").dropDuplicates([f"_{c}" for c in row]))
-    each = once.withColumn("_t", F.explode("_takes")).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_t.n"))))
-    whole = F.col("_t.words") >= F.col("_t.size")
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0)), F.lit(1), F.greatest(F.col("_t.words"), F.lit(0)).cast("int")), "")
-    each = each.withColumn("_text", F.when(whole, F.col("text")).otherwise(cut))
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(F.col("_text").alias("text"))
-        elif c == "n_chars":
-            columns.append(F.when(whole, F.col("n_chars")).otherwise(F.length("_text")).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(F.col(f"`{c}`"))
-    dealt = each.repartition(shards, F.col("_t.shard")).sortWithinPartitions(F.col("_t.shard"), F.col("_t.place"))
+    rows = packed(docs, doc_id=doc_id, source=F.col("source").cast("string"), h=F.xxhash64(F.lit(SEED), doc_id, text))
+    joined = rows.join(broadcast_if_small(takes, takes.count(), 160), same([F.col(c) for c in row], here))
+    once = joined.filter("_m is null").unionByName(joined.filter("_m is not null").dropDuplicates(row))
+    each = once.withColumn("t", F.explode("_takes")).withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("t.n"))))
+    whole = F.col("t.words") >= F.col("t.size")
+    pieces_of = F.regexp_extract_all(F.col("row.text").cast("string"), F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0))
+    cut = F.array_join(F.slice(pieces_of, F.lit(1), F.col("t.words").cast("int")), "")
+    each = each.withColumn("new_text", F.when(whole, F.col("row.text")).otherwise(cut))
+    changed = {"text": F.col("new_text"), "n_chars": F.when(whole, F.col("row").getField("n_chars")).otherwise(F.length("new_text")) if "n_chars" in docs.columns else None}
+    columns = [(changed[c] if c in changed else F.col("row").getField(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+    dealt = each.repartition(shards, F.col("t.shard")).sortWithinPartitions(F.col("t.shard"), F.col("t.place"))
     return dealt.select(*columns)
 
 

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import broadcast_if_small, same, table, written
+from protoclass.llm.common import broadcast_if_small, packed, same, table, written
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 #: 1: the word counts, 0: it is ignored.
@@ -127,8 +127,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without an overlap, with all their columns."""
     found = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "seed-leaks")
-    mine = [F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))]
-    return docs.join(broadcast_if_small(found, found.count(), 32), same(mine, [F.col("_doc"), F.col("_hash")]), "left_anti")
+    rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), text_hash=F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    on = same([F.col("doc_id"), F.col("text_hash")], [F.col("_doc"), F.col("_hash")])
+    return rows.join(broadcast_if_small(found, found.count(), 32), on, "left_anti").select("row.*")
 
 
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
