@@ -21,8 +21,6 @@ STOP_WORDS: tuple[str, ...] = (
     "the", "their", "then", "there", "these", "they", "this", "to", "was",
     "will", "with",
 )
-# Tokens longer than this many characters are discarded by the analyser.
-MAX_TOKEN_LENGTH = 255
 # Characters that may join two letters inside one word, and two digits
 # inside one number (Unicode word-break rules: MidLetter, MidNumLet,
 # Single_Quote for letters; MidNum, MidNumLet, Single_Quote for digits).
@@ -31,38 +29,33 @@ DIGIT_JOINERS = ".,;'’"
 # ---------------------------------------------------------------------------
 
 _LETTER = r"[\p{L}\p{M}]"
-_DIGIT = r"\p{N}"
-_WORD_CHAR = r"[\p{L}\p{M}\p{N}_]"
+_DIGIT = r"\p{Nd}"
+# one token each, and part of no word (Unicode word-break rules: no rule joins them)
+_IDEOGRAPH = r"[\p{IsHan}\p{IsHiragana}]"
+_WORD_CHAR = r"[\p{L}\p{M}\p{Nd}_&&[^\p{IsHan}\p{IsHiragana}]]"
+_FIRST = r"[\p{L}\p{Nd}&&[^\p{IsHan}\p{IsHiragana}]]"
 
 
 def _cls(chars: str) -> str:
     return "[" + "".join("\\" + c if c in "\\]^-[" else c for c in chars) + "]"
 
 
-def word_pattern(dialect: str = "java") -> str:
+def word_pattern() -> str:
     """Word tokens after Unicode word-break rules (approximation of UAX #29).
 
-    A token is a run of letters, marks, digits and ``_``; a letter joiner is
-    kept inside a token when a letter stands on both sides, a digit joiner
-    when a digit stands on both sides (``can't``, ``u.s``, ``3.14``,
-    ``1,234``).
-
-    ``dialect='java'`` uses look-around (faster in Java's backtracking
-    engine); ``dialect='re2'`` spells the same language without look-around
-    for engines that lack it. Both give the same tokens under leftmost-first
-    matching; ``tests/test_text.py`` checks this.
+    A token is a run of letters, marks, decimal digits and ``_`` with at least
+    one letter or digit; a letter joiner is kept inside a token when a letter
+    stands on both sides, a digit joiner when a digit stands on both sides
+    (``can't``, ``u.s``, ``3.14``, ``1,234``). Ideographs and Hiragana are
+    tokens one by one.
     """
     lj, dj = _cls(LETTER_JOINERS), _cls(DIGIT_JOINERS)
-    if dialect == "java":
-        # possessive runs: a run is always followed by a non-word character,
-        # so giving characters back can never lead to a match
-        return (
-            f"{_WORD_CHAR}++(?:(?:(?<={_LETTER}){lj}(?={_LETTER})"
-            f"|(?<={_DIGIT}){dj}(?={_DIGIT})){_WORD_CHAR}++)*+"
-        )
-    if dialect == "re2":
-        return f"(?:{_LETTER}(?:{lj}{_LETTER})+|{_DIGIT}(?:{dj}{_DIGIT})+|{_WORD_CHAR})+"
-    raise ValueError(f"unknown regex dialect {dialect!r}")
+    # possessive runs: a run is always followed by a non-word character,
+    # so giving characters back can never lead to a match
+    return (
+        f"{_IDEOGRAPH}|_*+{_FIRST}{_WORD_CHAR}*+(?:(?:(?<={_LETTER}){lj}(?={_LETTER})(?!{_IDEOGRAPH})"
+        f"|(?<={_DIGIT}){dj}(?={_DIGIT})){_WORD_CHAR}++)*+"
+    )
 
 
 ASCII_PATTERN = "[a-z0-9]+"
@@ -70,29 +63,28 @@ ASCII_PATTERN = "[a-z0-9]+"
 PROFILES = ("word", "ascii")
 
 
-def token_pattern(profile: str = "word", dialect: str = "java") -> str:
+def token_pattern(profile: str = "word") -> str:
     if profile == "word":
-        return word_pattern(dialect)
+        return word_pattern()
     if profile == "ascii":
         return ASCII_PATTERN
     raise ValueError(f"unknown tokeniser profile {profile!r}; expected one of {PROFILES}")
 
 
 def tokenize(body: Column | str, profile: str = "word",
-             stop_words: tuple[str, ...] | None = STOP_WORDS) -> Column:
-    """E1 + E2: lower-case, split into word tokens, drop over-long tokens and
-    stop words. Returns ``ARRAY<STRING>`` in text order."""
+             stop_words: tuple[str, ...] | None = STOP_WORDS, max_token_length: int | None = None) -> Column:
+    """E1 + E2: lower-case, split into word tokens, drop stop words and, if
+    ``max_token_length`` is given (255 for parity with the analyser), longer
+    tokens. Returns ``ARRAY<STRING>`` in text order."""
     col = F.col(body) if isinstance(body, str) else body
     raw = F.regexp_extract_all(F.lower(col), F.lit(token_pattern(profile)), 0)
     stops = list(stop_words or ())
 
-    def keep(t: Column) -> Column:
-        cond = F.length(t) <= MAX_TOKEN_LENGTH
-        if stops:
-            cond = cond & ~t.isin(stops)
-        return cond
-
-    return F.filter(raw, keep)
+    if stops:
+        raw = F.filter(raw, lambda t: ~t.isin(stops))
+    if max_token_length is not None:
+        raw = F.filter(raw, lambda t: F.length(t) <= max_token_length)
+    return raw
 
 
 def run_end_positions(sorted_terms: Column) -> Column:

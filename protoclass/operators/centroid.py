@@ -39,12 +39,6 @@ def centroid_sums(train_terms: DataFrame, factors: DataFrame) -> DataFrame:
             .select("topic", "term", (F.col("tf_sum") * F.col("q")).alias("sw")))
 
 
-def centroid_sums_of_table(table: DataFrame) -> DataFrame:
-    """F5 numerator as rows: ``(topic, term, sw)`` read off a term table."""
-    return (table.select("term", F.explode("cents").alias("_c"))
-            .select(F.col("_c.topic").alias("topic"), "term", F.col("_c.sw").alias("sw")))
-
-
 def centroids(sums: DataFrame, vocabulary: DataFrame, n_topics: int | None = None,
               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``(topic, term, sw, n_train, w)`` with the mean weight ``w = sw / n_train``.
@@ -74,14 +68,6 @@ def term_table(factors: DataFrame, sums: DataFrame) -> DataFrame:
             .select("term", "df", "q", F.coalesce(F.col("cents"), empty).alias("cents")))
 
 
-def term_table_row_bytes() -> "F.Column":
-    """Size of one scoring-table row (term text, two longs, the centroid
-    array with one topic name and one long per entry), for broadcast bounds."""
-    cents = F.aggregate("cents", F.lit(0).cast("bigint"),
-                        lambda acc, c: acc + string_bytes(c["topic"]) + F.lit(32))
-    return string_bytes(F.col("term")) + F.lit(32) + cents
-
-
 def term_table_sizes(factors: DataFrame, sums: DataFrame, n_topics: int) -> tuple[int, int, int, int]:
     """``(n_keys, total_df, total_bytes, max_row_bytes)`` of the term table
     built by :func:`term_table`, measured on its flat inputs in one job:

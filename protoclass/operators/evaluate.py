@@ -12,9 +12,11 @@ false positives / relevant.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordinal import with_ordinal
+
 # Report layout of the reference.
 REPORT_HEADER = "Recall\tPrecision\tF-measure\tTopic"
 REPORT_RULE = "-------------------------------------------"
@@ -32,7 +34,7 @@ def accuracy(predictions: DataFrame) -> DataFrame:
     """H2: one row ``(correct, incorrect, accuracy_pct)``; ``accuracy_pct`` is
     NULL when nothing was classified."""
     c = F.sum(F.col("correct").cast("bigint"))
-    n = F.count(F.lit(1))
+    n = F.count("correct")   # documents without a label count neither way
     agg = predictions.agg(F.coalesce(c, F.lit(0)).alias("correct"), n.alias("n"))
     return agg.select(
         "correct",
@@ -111,9 +113,8 @@ def report_lines(evaluation_df: DataFrame, accuracy_df: DataFrame, literal: bool
                                  "section int, k string, line string")
     foot = accuracy_df.select(
         F.lit(4).alias("section"), F.lit("").alias("k"),
-        F.format_string("Overall accuracy: %.2f%%", F.col("accuracy_pct")).alias("line"))
+        F.when(F.col("accuracy_pct").isNull(), F.lit(f"Overall accuracy: {NAN_TEXT}%"))
+        .otherwise(F.format_string("Overall accuracy: %.2f%%", F.col("accuracy_pct"))).alias("line"))
     rule = spark.createDataFrame([(3, "", REPORT_FOOTER_RULE)], "section int, k string, line string")
     lines = head.unionByName(body).unionByName(rule).unionByName(foot)
-    return lines.select(
-        # one line per topic plus four: a single ordered partition is fine
-        F.row_number().over(Window.orderBy("section", "k")).alias("line_no"), "line")
+    return with_ordinal(lines, ["section", "k"], "line_no").select("line_no", "line")

@@ -26,7 +26,7 @@ def doc_topics(docs: DataFrame) -> DataFrame:
     train = train_documents(docs)
     test = test_documents(docs)
     both = train.unionByName(test)
-    return both.select("doc_id", "split", F.explode(clean_topics("topics")).alias("topic"))
+    return both.select("doc_id", "split", F.explode(clean_topics("topics")).alias("topic")).distinct()
 
 
 def topic_vocabulary(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The two split tags the reference keeps.
@@ -21,9 +21,6 @@ KEPT_SPLITS = (TRAIN, TEST)
 # Partitions per core when a source has to be re-spread (see balance).
 TASKS_PER_CORE = 2
 
-# Largest duplicate-key table (key + winning order) that is broadcast.
-DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
-
 
 def route_splits(docs: DataFrame, keep: Sequence[str] = KEPT_SPLITS) -> DataFrame:
     """Keep TRAIN and TEST documents, drop every other split."""
@@ -54,34 +51,35 @@ def test_documents(docs: DataFrame) -> DataFrame:
     return docs.where((F.col("split") == TEST) & has_label("topics"))
 
 
-def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("old_id",),
-               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Keep, for every ``key``, only the row that comes last in ``order``
-    (later documents replace earlier ones). ``order`` must be unique per key.
+def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("old_id",)) -> DataFrame:
+    """Exactly one row for every ``key``: the one that comes last in
+    ``order`` (later documents replace earlier ones). Rows that tie in ``order``
+    are ordered by a hash of all their columns, and of rows that are equal in
+    every column one stays.
 
-    Only the narrow ``(key, order)`` projection is shuffled: a partial
-    aggregate per task folds every copy of a key (however hot) into one row
-    before the exchange. Keys that occur more than once, with their winning
-    order value, form a small table in the usual case. One aggregate measures
-    it: it is broadcast when its size (JSON text of each row plus a per-row
-    allowance, an over-estimate of its binary form) is within
-    ``max_broadcast_bytes``, and shuffle-joined otherwise.
+    Only the narrow ``(key, order, hash)`` projection is aggregated: partial
+    aggregates fold every copy of a key (however hot) into one row per task
+    before the exchange. Keys that occur more than once, with their winner,
+    form the other side of a left join on the key; nothing runs while the plan
+    is built, so whether that side is broadcast is left to adaptive execution,
+    which also splits the partition of a hot key.
     """
-    o = F.struct(*[F.col(c) for c in order])
-    dups = (
-        docs.select(F.col(key), o.alias("_order"))
-        .groupBy(key)
-        .agg(F.max("_order").alias("_winner"), F.count(F.lit(1)).alias("_copies"))
+    cols = docs.columns
+    o = F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(c) for c in cols]).alias("_hash"))
+    marked = docs.withColumn("_order", o)
+    winners = (
+        marked.groupBy(key, "_order").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.max(F.struct("_order", "_n")).alias("_last"), F.sum("_n").alias("_copies"))
         .where(F.col("_copies") > 1)
-        .select(key, "_winner")
+        .select("_key", F.col("_last._order").alias("_winner"), F.col("_last._n").alias("_equal"))
     )
-    size = F.octet_length(F.to_json(F.struct(key, "_winner"))) + F.lit(32)
-    stats = dups.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    if not stats["n"]:
-        return docs
-    side = F.broadcast(dups) if int(stats["b"]) <= max_broadcast_bytes else dups
-    joined = docs.join(side, on=key, how="left")
-    return joined.where(F.col("_winner").isNull() | (o == F.col("_winner"))).drop("_winner")
+    joined = marked.join(winners, F.col(key).eqNullSafe(F.col("_key")), "left")
+    kept = joined.where(F.col("_winner").isNull() | (F.col("_order") == F.col("_winner")))
+    single = kept.where(F.col("_equal").isNull() | (F.col("_equal") == 1))
+    # rows equal in all columns: a partial aggregate per task folds them, too
+    equal = kept.where(F.col("_equal") > 1).dropDuplicates([key])
+    return single.unionByName(equal).select(*cols)
 
 
 def keep_documents(docs: DataFrame, order: Sequence[str] = ("old_id",),
@@ -95,25 +93,28 @@ def balance(docs: DataFrame, keys: str | Sequence[str] = "doc_id", partitions: i
     """Spread documents over the cluster when the source cannot keep every
     core busy, and leave it alone otherwise.
 
-    Two cases are spread: fewer partitions than cores, and a small input
-    (Catalyst's size estimate under cores x ``spark.sql.files.maxPartitionBytes``).
-    A small file with one large row group has several splits, but only one
-    of them holds rows, so tokenising it would use one core. Re-spreading
-    small data is cheap. A large source keeps its own splits, so no text is
-    shuffled for nothing.
+    A source whose size, by Catalyst's estimate, is under cores x
+    ``spark.sql.files.maxPartitionBytes`` is spread: a small file with one large
+    row group has several splits, but only one of them holds rows, so tokenising
+    it would use one core. Re-spreading small data is cheap. A larger source
+    keeps its own splits, so no text is shuffled for nothing. Nothing runs here.
 
     Hash partitioning uses all of ``keys``; give the reading order as well as
     the id when ids may repeat, so that copies of one id spread out.
     """
     spark = docs.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * split_bytes(spark):
+        return docs
     # two tasks per core: documents differ widely in length, and smaller
     # tasks let the scheduler even out the load
-    target = partitions or TASKS_PER_CORE * cores
     cols = [keys] if isinstance(keys, str) else list(keys)
-    qe = docs._jdf.queryExecution()
-    size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
-    split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if docs.rdd.getNumPartitions() >= cores and size >= cores * split_bytes:
-        return docs
-    return docs.repartition(target, *cols)
+    return docs.repartition(partitions or TASKS_PER_CORE * cores, *cols)
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """``spark.sql.files.maxPartitionBytes`` in bytes."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower().removesuffix("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(text.rstrip("kmgt")) * unit

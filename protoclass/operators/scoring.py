@@ -10,7 +10,8 @@ Rules for the cases the reference leaves to hash order or crashes on:
 * ties: the smaller topic name wins;
 * a document sharing no term with any centroid: the smallest topic name
   among topics with a non-empty centroid, ``zero_overlap = true``, sim 0;
-* a document without indexed terms: topic NULL, sim NULL, counted incorrect.
+* a document without indexed terms: topic NULL, sim NULL, counted incorrect;
+* a document without a label: ``correct`` NULL.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lookup import DEFAULT_MAX_BROADCAST_ROWS
+from .ordinal import with_ordinal
 from .weights import EXACT_TYPE, cosine, product, sum_of_products
 
 
@@ -31,18 +33,6 @@ def doc_norms(weighted: DataFrame, exact: bool = True) -> DataFrame:
     return weighted.groupBy("doc_id").agg(sum_of_products(F.col("w"), F.col("w"), exact).alias("n2"))
 
 
-def dot_products(weighted: DataFrame, exact: bool = True) -> DataFrame:
-    """``(doc_id, topic, dot)`` for pairs sharing at least one term.
-
-    ``weighted`` holds the postings joined to the scoring term table (``w``
-    and ``cents``); every posting contributes ``w * sw`` to each topic whose
-    centroid contains the term.
-    """
-    contrib = weighted.select("doc_id", "w", F.explode("cents").alias("_c"))
-    return (contrib.groupBy("doc_id", F.col("_c.topic").alias("topic"))
-            .agg(sum_of_products(F.col("w"), F.col("_c.sw"), exact).alias("dot")))
-
-
 def doc_topic_sums(weighted: DataFrame, exact: bool = True) -> DataFrame:
     """F1 + F2 in one pass over the weighted postings: ``(doc_id, topic, v)``
     where the row with ``topic`` NULL holds the document's squared norm and
@@ -115,7 +105,8 @@ def assign(test_docs: DataFrame, sims: DataFrame, dnorms: DataFrame,
     )
     return out.select(
         "doc_id", "topic", "sim", "zero_overlap",
-        F.coalesce(F.array_contains("topics", F.col("topic")), F.lit(False)).alias("correct"),
+        # unknown without a label
+        F.when(F.size("topics") > 0, F.coalesce(F.array_contains("topics", F.col("topic")), F.lit(False))).alias("correct"),
     )
 
 
@@ -143,10 +134,8 @@ def true_topic_margin(ranked: DataFrame, predictions: DataFrame, test_edges: Dat
 
     ``defined_topics``: ``(topic)`` with a non-empty centroid.
     """
-    # position of each scorable topic by name: one ordered window over the
-    # topic vocabulary (at most n_topics rows, counted at fit time)
-    vrank = defined_topics.select(
-        "topic", F.row_number().over(Window.orderBy("topic")).alias("_vrank"))
+    # position of each scorable topic by name
+    vrank = with_ordinal(defined_topics.select("topic"), ["topic"], "_vrank")
     vrank = _small(vrank, n_topics, max_broadcast_rows)
     per_doc = ranked.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("_npos"), F.collect_list("topic").alias("_pos"))

@@ -16,11 +16,12 @@ from ..functions.text import STOP_WORDS, tokenize, with_term_counts
 
 def doc_terms(docs: DataFrame, profile: str = "word",
               stop_words: tuple[str, ...] | None = STOP_WORDS,
-              keep: tuple[str, ...] = ("doc_id", "split", "topics")) -> DataFrame:
+              keep: tuple[str, ...] = ("doc_id", "split", "topics"),
+              max_token_length: int | None = None) -> DataFrame:
     """E1-E3 per document: ``keep`` columns plus
     ``tfs ARRAY<STRUCT<term STRING, tf BIGINT>>`` (sorted by term) and
     ``n_terms`` (number of distinct terms)."""
-    tokens = docs.select(*keep, tokenize("body", profile, stop_words).alias("_terms"))
+    tokens = docs.select(*keep, tokenize("body", profile, stop_words, max_token_length).alias("_terms"))
     counted = with_term_counts(tokens, "_terms", "tfs").drop("_terms")
     return counted.withColumn("n_terms", F.size("tfs"))
 

@@ -65,9 +65,3 @@ def vector_text(vector: Column) -> Column:
     ``;`` (for comparison and export)."""
     entries = F.array_sort(F.map_entries(vector))
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
-
-
-def squared_norms(vectors: DataFrame, key: str, weight: str = "w", exact: bool = True) -> DataFrame:
-    """``(key, n2)`` with ``n2 = sum(weight^2)``; computed once per key."""
-    w = F.col(weight)
-    return vectors.groupBy(key).agg(sum_of_products(w, w, exact).alias("n2"))

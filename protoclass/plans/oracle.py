@@ -8,22 +8,36 @@ Views ``documents`` and ``labels`` are expected to exist.
 
 from __future__ import annotations
 
-from ..functions.text import MAX_TOKEN_LENGTH, STOP_WORDS, token_pattern
+# Fixed values, spelt here on their own: the analyser's stop words.
+_STOPS = ("a an and are as at be but by for if in into is it no not of on or such that the their then there "
+          "these they this to was will with").split()
+# A word: a letter or decimal digit first (after any "_"), then letters, marks,
+# digits and "_"; . ' : \u00b7 \u2019 between letters and . , ; ' \u2019 between digits
+# stay inside. Ideographs and Hiragana are set apart by blanks before.
+_WORD = (r"_*(?:\p{L}(?:[.':\u00b7\u2019][\p{L}\p{M}])+|\p{Nd}(?:[.,;'\u2019]\p{Nd})+|[\p{L}\p{Nd}])"
+         r"(?:[\p{L}\p{M}](?:[.':\u00b7\u2019][\p{L}\p{M}])+|\p{Nd}(?:[.,;'\u2019]\p{Nd})+|[\p{L}\p{M}\p{Nd}_])*"
+         ).replace(r"\u00b7", "\u00b7").replace(r"\u2019", "\u2019")
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _base(profile: str = "word") -> str:
-    pattern = _q(token_pattern(profile, dialect="re2"))
-    stops = ", ".join(_q(w) for w in STOP_WORDS)
+def _tokens(body: str, profile: str) -> str:
+    if profile == "ascii":
+        return f"regexp_extract_all(lower({body}), '[a-z0-9]+', 0)"
+    apart = f"regexp_replace(lower({body}), '([\\p{{Han}}\\p{{Hiragana}}])', ' \\1 ', 'g')"
+    return f"regexp_extract_all({apart}, {_q(_WORD)}, 0)"
+
+
+def _base(profile: str = "word", body: str = "d.text") -> str:
+    stops = ", ".join(_q(w) for w in _STOPS)
     return f"""
 corpus AS (
   SELECT d.doc_id, d.doc_id AS old_id,
          CASE WHEN ((d.doc_id % 10) + 10) % 10 < 7 THEN 'TRAIN'
               WHEN ((d.doc_id % 10) + 10) % 10 < 9 THEN 'TEST' ELSE 'NOT-USED' END AS split,
-         '' AS title, d.text AS body,
+         '' AS title, {body} AS body,
          list_filter(['lang-' || d.lang,
                       CASE WHEN l.quality = 1 THEN 'quality-high' WHEN l.quality = 0 THEN 'quality-low' END,
                       CASE WHEN l.toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL) AS topics
@@ -34,11 +48,11 @@ kept AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY old_id DESC) = 1
 ),
 tokens AS (
-  SELECT doc_id, split, unnest(regexp_extract_all(lower(body), {pattern}, 0)) AS term FROM kept
+  SELECT doc_id, split, unnest({_tokens('body', profile)}) AS term FROM kept
 ),
 tf AS (
   SELECT doc_id, split, term, count(*)::BIGINT AS tf FROM tokens
-  WHERE length(term) <= {MAX_TOKEN_LENGTH} AND term NOT IN ({stops})
+  WHERE term NOT IN ({stops})
   GROUP BY doc_id, split, term
 ),
 ndocs AS (SELECT count(DISTINCT doc_id)::BIGINT AS n_docs FROM tf),
@@ -123,6 +137,26 @@ def _with(select: str, profile: str = "word") -> str:
     return "WITH " + _base(profile).strip() + "\n" + select.strip()
 
 
+def _report(full: bool, literal: bool) -> str:
+    def number(x: str) -> str:
+        text = f"printf('%.2f', {x})"
+        return f"CASE WHEN {x} IS NULL THEN 'NaN' ELSE lpad({text}, greatest(length({text}), 5)::INTEGER, '0') END"
+
+    p = "literal_" if literal else ""
+    f1 = f"CASE WHEN {p}f1 IS NULL THEN 'NaN ' ELSE {number(p + 'f1')} END"
+    some = "" if full else "WHERE retrieved > 0 AND relevant > 0"
+    return f"""
+, lines AS (
+  SELECT 0 AS section, '' AS k, 'Recall' || chr(9) || 'Precision' || chr(9) || 'F-measure' || chr(9) || 'Topic' AS line
+  UNION ALL SELECT 1, '', repeat('-', 43)
+  UNION ALL SELECT 2, topic, {number(p + 'recall')} || chr(9) || {number(p + 'precision')} || chr(9) || chr(9) || {f1} || chr(9) || chr(9) || '> ' || topic FROM ev {some}
+  UNION ALL SELECT 3, '', repeat('=', 43)
+  UNION ALL SELECT 4, '', CASE WHEN count(*) = 0 THEN 'Overall accuracy: NaN%'
+    ELSE printf('Overall accuracy: %.2f%%', 100.0::DOUBLE * sum(CASE WHEN correct THEN 1 ELSE 0 END)::DOUBLE / count(*)::DOUBLE) END FROM preds
+)
+SELECT row_number() OVER (ORDER BY section, k) AS line_no, line FROM lines"""
+
+
 _ORACLE_SELECTS = {
     "split_counts": """
 SELECT c.split, count(*)::BIGINT AS n_docs, sum(CASE WHEN c.body <> '' THEN 1 ELSE 0 END)::BIGINT AS n_nonempty,
@@ -133,7 +167,7 @@ GROUP BY c.split""",
     "topic_vocab": "SELECT topic, n_train FROM vocab",
     "dedup_last": """
 SELECT doc_id, old_id, split, title, body FROM (
-  SELECT ((old_id % 300) + 300) % 300 AS doc_id, old_id, split, title, body FROM corpus
+  SELECT floor(old_id / 3)::BIGINT AS doc_id, old_id, split, title, body FROM corpus
   WHERE split IN ('TRAIN', 'TEST') AND body <> ''
 ) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY old_id DESC) = 1""",
     "term_freq": "SELECT doc_id, split, term, tf FROM tf",
@@ -186,6 +220,36 @@ SELECT topic, retrieved, relevant, hits, literal_precision, literal_recall, lite
 FROM ev WHERE retrieved > 0 AND relevant > 0""",
     "sgml_ingest_roundtrip": """
 SELECT doc_id, old_id, split, title, body, array_to_string(topics, '|') AS topics FROM kept""",
+    "report_lines": _report(full=False, literal=True),
+    "report_lines_full": _report(full=True, literal=False),
+    "corpus_parquet_roundtrip": """
+SELECT k.doc_id, k.old_id, k.split, k.title, k.body, array_to_string(k.topics, '|') AS topics, v.n_terms, v.n_tokens, v.weight
+FROM kept k LEFT JOIN (SELECT doc_id, count(*)::BIGINT AS n_terms, sum(tf)::BIGINT AS n_tokens, sum(w)::BIGINT AS weight
+                       FROM vectors GROUP BY doc_id) v USING (doc_id)""",
+    "classify_unlabelled": f"""
+, newdocs AS (SELECT doc_id, body FROM corpus WHERE split = 'NOT-USED'),
+newtokens AS (SELECT doc_id, unnest({_tokens('body', 'word')}) AS term FROM newdocs),
+newvec AS (SELECT doc_id, term, count(*)::BIGINT * f.q AS w FROM newtokens JOIN factors f USING (term) GROUP BY doc_id, term, f.q),
+newnorms AS (SELECT doc_id, sum(w::HUGEINT * w) AS n2 FROM newvec GROUP BY doc_id),
+newdots AS (SELECT v.doc_id, s.topic, sum(v.w::HUGEINT * s.sw) AS dot FROM newvec v JOIN sums s USING (term) GROUP BY v.doc_id, s.topic),
+newsims AS (SELECT d.doc_id, d.topic, d.dot::DOUBLE / (sqrt(n.n2::DOUBLE) * sqrt(t.n2::DOUBLE)) AS sim
+            FROM newdots d JOIN newnorms n USING (doc_id) JOIN tnorms t USING (topic) WHERE n.n2 > 0 AND t.n2 > 0),
+newbest AS (SELECT doc_id, topic, sim FROM newsims QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, topic ASC) = 1)
+SELECT d.doc_id, CASE WHEN b.topic IS NOT NULL THEN b.topic WHEN n.doc_id IS NOT NULL THEN (SELECT topic FROM deftopic) END AS topic,
+       CASE WHEN b.topic IS NOT NULL THEN b.sim WHEN n.doc_id IS NOT NULL AND (SELECT topic FROM deftopic) IS NOT NULL THEN 0.0::DOUBLE END AS sim,
+       b.topic IS NULL AS zero_overlap, NULL::BOOLEAN AS correct
+FROM newdocs d LEFT JOIN newbest b USING (doc_id) LEFT JOIN newnorms n USING (doc_id)""",
+    "sgml_rejects": """
+, heads AS (
+  SELECT *, ((doc_id % 10) + 10) % 10 AS kind, '<REUTERS TOPICS="YES" LEWISSPLIT="' || split || '" CGISPLIT="X" OLDID="' || old_id || '" NEWID="' ||
+         CASE WHEN ((doc_id % 10) + 10) % 10 = 2 THEN 'x' ELSE '' END || doc_id || '">' AS head FROM corpus)
+SELECT CASE WHEN kind = 5 THEN doc_id + 3000000000 ELSE doc_id END AS doc_id, old_id, split,
+       'T ' || doc_id || CASE WHEN kind = 0 THEN chr(10) || 'second' ELSE '' END AS title,
+       CASE WHEN kind = 6 THEN '<DATELINE>D</DATELINE>' || replace(body, chr(10), ' ') || '</TEXT>' ELSE body END AS body,
+       array_to_string(topics, '|') AS topics, NULL::VARCHAR AS reason, NULL::VARCHAR AS first_line
+FROM heads WHERE kind NOT IN (1, 2, 3)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN kind = 2 THEN 'bad_id' ELSE 'unclosed_record' END, head FROM heads WHERE kind IN (1, 2, 3)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'no_header', '<REUTERS note> more' FROM heads WHERE kind = 3""",
     "model_roundtrip": "SELECT doc_id, topic, sim, zero_overlap, correct FROM preds",
 }
 
@@ -199,3 +263,8 @@ def _render(name: str, select: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {name: _render(name, sel) for name, sel in _ORACLE_SELECTS.items()}
 ORACLE_SQL["term_freq_ascii"] = _with("SELECT doc_id, split, term, tf FROM tf", profile="ascii")
+
+# the same replacements, in the same order, as the query's docstring names
+_EDGE_BODY = ("replace(replace(replace(d.text, ' the ', ' ____ _the_ \u00bd1\u00bd \u6f22\u5b57\u304b\u306a1,2 x\u6f22y '), "
+              "' de ', ' de_la l''a._b 3.x \u0301e '), ' der ', ' \u2168 der\u30ab\u30bf ')")
+ORACLE_SQL["term_freq_edge"] = "WITH " + _base(body=_EDGE_BODY).strip() + "\nSELECT doc_id, split, term, tf FROM tf"

@@ -8,9 +8,9 @@ every relation stays distributed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS
@@ -38,9 +38,12 @@ class Config:
     max_broadcast_rows: row bound for broadcast topic-keyed tables (a few
       dozen bytes per row).
     keep: how shared intermediates are kept (``persist``/``checkpoint``/``none``).
-    order: columns that order copies of a document id (last wins).
-    rebalance: None = spread documents only when the source has fewer
-      partitions than cores; True/False forces it.
+    order: columns that order copies of a document id (last wins); copies that
+      tie in them are ordered by a hash of their content.
+    rebalance: None = spread documents only when the source is small (see
+      ``balance``); True/False forces it.
+    max_token_length: longer tokens are dropped (255 in the analyser whose
+      results the defaults match otherwise); None keeps every token.
     """
 
     profile: str = "word"
@@ -52,6 +55,10 @@ class Config:
     keep: str = "persist"
     order: tuple[str, ...] = ("old_id",)
     rebalance: bool | None = None
+    max_token_length: int | None = None
+
+
+CONTENT = "_content"   # hash of a document's columns, last in the reading order
 
 
 @dataclass
@@ -81,12 +88,15 @@ def prepare(corpus: DataFrame, config: Config = Config()) -> Prepared:
     """C1 + C2, then E1-E3 per document, then C5 on the per-document counts.
 
     The source text is scanned once: last-wins de-duplication needs only the
-    id and the reading order, which travel with the (cached) term counts, so
+    id and the reading order, which travel with the (kept) term counts, so
     duplicates are found and dropped there instead of in a second pass over
-    the text. Tokenising a losing copy is the only work wasted on it.
+    the text. Tokenising a losing copy is the only work wasted on it. A hash of
+    the content ends the order, so that documents and term counts agree on the
+    winner among copies that tie in it.
     """
-    order = list(config.order)
     routed = R.drop_empty_bodies(R.route_splits(corpus))
+    routed = routed.withColumn(CONTENT, F.xxhash64(*routed.columns))
+    order = [*config.order, CONTENT]
     if config.rebalance is None:
         # copies of one id are spread by their reading order, so a hot id
         # cannot land in a single partition
@@ -94,17 +104,12 @@ def prepare(corpus: DataFrame, config: Config = Config()) -> Prepared:
     elif config.rebalance:
         routed = routed.repartition(routed.sparkSession.sparkContext.defaultParallelism, "doc_id", *order)
     counted = materialize(
-        T.doc_terms(routed, config.profile, config.stop_words, keep=("doc_id", "split", "topics", *order)),
+        T.doc_terms(routed, config.profile, config.stop_words, keep=("doc_id", "split", "topics", *order),
+                    max_token_length=config.max_token_length),
         config.keep)
-    dterms = R.dedup_last(counted, order=order)
-    kept = [counted]
-    if dterms is counted:
-        docs = routed
-    else:
-        dterms = materialize(dterms, config.keep)
-        kept.append(dterms)
-        docs = routed.join(dterms.select("doc_id", *order), ["doc_id", *order], "left_semi")
-    return Prepared(docs, dterms, config, kept)
+    dterms = materialize(R.dedup_last(counted, order=order), config.keep)
+    docs = R.dedup_last(routed, order=order).drop(CONTENT)
+    return Prepared(docs, dterms, config, [counted, dterms])
 
 
 @dataclass
@@ -233,6 +238,28 @@ def classify(model: CentroidModel, prepared: Prepared) -> tuple[Scored, DataFram
     return scored, preds
 
 
+def classify_documents(model: CentroidModel, docs: DataFrame) -> tuple[DataFrame, list]:
+    """The nearest topic of every document of ``docs``, labelled or not, of any
+    split: ``(doc_id, topic, sim, zero_overlap, correct)`` with ``correct`` NULL
+    where there is no label, and a row with topic NULL for a document without
+    a known term. Of copies of an id the last in the model's order counts.
+
+    Also returns what was kept for it; call ``unpersist`` on each when done.
+    """
+    cfg = model.config
+    order = [c for c in cfg.order if c in docs.columns] + [CONTENT]
+    topics = F.col("topics") if "topics" in docs.columns else F.array().cast("array<string>")
+    texts = docs.withColumn(CONTENT, F.xxhash64(*docs.columns)).select(
+        "doc_id", *order, F.coalesce("body", F.lit("")).alias("body"), L.clean_topics(topics).alias("topics"))
+    counted = materialize(
+        T.doc_terms(texts, cfg.profile, cfg.stop_words, keep=("doc_id", "topics", *order),
+                    max_token_length=cfg.max_token_length), cfg.keep)
+    dterms = R.dedup_last(counted, order=order)
+    scored = model.score(dterms)
+    preds = S.assign(dterms.select("doc_id", "topics"), scored.sims, scored.doc_norms, model.default_topic)
+    return preds, [counted, *scored._kept]
+
+
 def run_pipeline(corpus: DataFrame, config: Config = Config()) -> Run:
     """The reference's whole job on a document relation."""
     prepared = prepare(corpus, config)
@@ -242,9 +269,5 @@ def run_pipeline(corpus: DataFrame, config: Config = Config()) -> Run:
     return Run(prepared, model, scored, preds, prepared.edges())
 
 
-def with_config(config: Config, **changes) -> Config:
-    return replace(config, **changes)
-
-
 __all__ = ["Config", "Prepared", "CentroidModel", "Scored", "Run", "prepare", "fit", "classify",
-           "run_pipeline", "with_config", "SparkSession"]
+           "classify_documents", "run_pipeline"]

@@ -33,7 +33,8 @@ def save_model(model: CentroidModel, path: str) -> None:
         "n_docs": model.n_docs, "n_topics": model.n_topics, "default_topic": model.default_topic,
         "profile": cfg.profile, "stop_words": list(cfg.stop_words), "df_scope": cfg.df_scope,
         "exact": cfg.exact, "max_broadcast_rows": cfg.max_broadcast_rows,
-        "max_broadcast_bytes": cfg.max_broadcast_bytes,
+        "max_broadcast_bytes": cfg.max_broadcast_bytes, "order": list(cfg.order), "rebalance": cfg.rebalance,
+        "max_token_length": cfg.max_token_length,
     }
     spark = model.factors.sparkSession
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
@@ -45,7 +46,8 @@ def load_model(spark: SparkSession, path: str, keep: str = "persist") -> Centroi
     meta = json.loads(spark.read.json(f"{base}/meta").select("meta").first()["meta"])
     cfg = Config(profile=meta["profile"], stop_words=tuple(meta["stop_words"]), df_scope=meta["df_scope"],
                  exact=meta["exact"], max_broadcast_rows=meta["max_broadcast_rows"],
-                 max_broadcast_bytes=meta["max_broadcast_bytes"], keep=keep)
+                 max_broadcast_bytes=meta["max_broadcast_bytes"], order=tuple(meta["order"]),
+                 rebalance=meta["rebalance"], max_token_length=meta["max_token_length"], keep=keep)
     tables = {name: spark.read.parquet(f"{base}/{name}") for name in _TABLES}
     factors, sums = materialize(tables["factors"], keep), materialize(tables["sums"], keep)
     n_topics = int(meta["n_topics"])

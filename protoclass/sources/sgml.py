@@ -1,8 +1,8 @@
 """Newswire markup source (A1-A9, B1 render) as a splittable Spark text scan.
 
-Records are cut at ``"\\n<REUTERS"`` by the text source itself
-(``lineSep``), so one file is read by many tasks and every row holds exactly
-one record. Inside a row, the record's lines are walked once by Spark's
+The text source itself cuts files at ``"<REUTERS"`` (``lineSep``), so one
+file is read by many tasks, every row holds one record, and line ends (LF,
+CRLF, bare CR) make no difference. Inside a row, the record's lines are walked once by Spark's
 ``aggregate`` (a left fold over the line array, JVM-side) that tracks which
 element the walk is in and remembers line *positions* only; titles, bodies and
 topic lists are cut out of the line array afterwards. Nothing leaves the row,
@@ -22,23 +22,31 @@ Record rules (what the fold recognises):
   line holding the close tag;
 * ``</REUTERS>`` as a whole line, outside any section, closes the record.
 
-A record that ends anywhere else is *unclosed* and goes to ``rejects``
-(reason ``unclosed_record``), as does a header with a non-integer id
-(``bad_id``). With ``mode='FAILFAST'`` any reject raises instead.
+Every piece of a file is a document, a reject, or the file's preamble (what
+stands before its first ``<REUTERS``). Rejects have a reason: ``bad_id`` (a
+header id is no 64-bit integer), ``unclosed_record`` (the record ends inside a
+section or without its closing line), ``no_header`` (a piece that does not
+begin with a full header line: a body line with ``<REUTERS`` in it cuts its
+record in two, and both halves are rejects). Pieces of unused splits are routed
+away before they are parsed. With ``mode='FAILFAST'`` any reject raises.
+
+Pieces are parsed once: documents, rejects and the FAILFAST test all read the
+same kept relation. A file that goes away while it is read is an error, unless
+``ignore_missing_files`` is set; Spark then logs each file that it skips.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.routing import KEPT_SPLITS
+from ..session import materialize
 
 # ---------------------------------------------------------------------------
 # Fixed values of the markup format (as the reference recognises it).
-DOCTYPE_LINE = '<!DOCTYPE lewis SYSTEM "lewis.dtd">'
 HEADER = '<REUTERS.*LEWISSPLIT="(.*?)".*OLDID="(.*?)".*NEWID="(.*?)".*>'
 RECORD_CLOSE = "</REUTERS>"
 TOPICS_LINE = "<TOPICS>.*</TOPICS>"
@@ -75,9 +83,14 @@ class SgmlCorpus:
 
     documents: DataFrame
     rejects: DataFrame
+    _kept: list = field(default_factory=list)
 
     ORDER = ("file", "block", "seq")
 
+    def close(self) -> None:
+        for df in self._kept:
+            df.unpersist()
+
 
 def _full(pattern: str) -> str:
     return f"^(?:{pattern})$"
@@ -131,16 +144,26 @@ def _step(state: Column, line: Column) -> Column:
     )
 
 
-def _element(lines: Column, start: Column, close: Column, open_tag: str, close_tag: str) -> Column:
-    """Text of a TITLE/BODY element located by the walk ('' if absent)."""
+def _element(lines: Column, start: Column, close: Column, open_tag: str, close_tag: str,
+             keep_closing_line: bool = False, strip_inline: bool = False) -> Column:
+    """Text of a TITLE/BODY element located by the walk ('' if absent).
+
+    ``keep_closing_line``: the text before the close tag of a multi-line
+    element stays (else its whole last line goes). ``strip_inline``: a one-line
+    element is only what stands between its tags (else the rest of its line,
+    other tags included, stays)."""
     first = _at(lines, start)
-    one_line = F.replace(F.replace(first, F.lit(open_tag), F.lit("")), F.lit(close_tag), F.lit(""))
-    after_open = first.substr(F.instr(first, open_tag) + F.lit(len(open_tag)), F.lit(1 << 30))
-    middle = F.slice(lines, start + 1, F.greatest(close - start - 1, F.lit(0)))
-    multi = F.concat_ws("\n", after_open, middle)
+    after_open = F.substring(first, F.instr(first, open_tag) + F.lit(len(open_tag)), F.length(first))
+    if strip_inline:
+        one_line = F.substring_index(after_open, close_tag, 1)
+    else:
+        one_line = F.replace(F.replace(first, F.lit(open_tag), F.lit("")), F.lit(close_tag), F.lit(""))
+    rows = F.concat(F.array(after_open), F.slice(lines, start + 1, F.greatest(close - start - 1, F.lit(0))))
+    if keep_closing_line:
+        rows = F.concat(rows, F.array(F.substring_index(_at(lines, close), close_tag, 1)))
     return (F.when(start == 0, F.lit(""))
             .when(start == close, one_line)
-            .otherwise(multi))
+            .otherwise(F.concat_ws("\n", rows)))
 
 
 def parse_topics(line: Column) -> Column:
@@ -152,68 +175,65 @@ def parse_topics(line: Column) -> Column:
     return F.filter(parts, lambda t: t != F.lit(""))
 
 
-def _check_directory(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath) or not fs.getFileStatus(hpath).isDirectory():
-        raise NotADirectoryError(f"not a directory: {path}")
-
-
 def read_records(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
-                 separator: str = "\n" + RECORD_START) -> DataFrame:
-    """A1 + A2: one row per record, ``(value, file, block, seq)``.
+                 ignore_missing_files: bool = False) -> DataFrame:
+    """A1 + A2: one row per piece, ``(value, file, block, seq)``; the first
+    piece of every file is its preamble.
 
     Non-recursive: only files directly in ``path`` whose full name matches
-    ``glob`` (case-sensitive). ``separator`` may be ``"\\r<REUTERS"`` for
-    files with bare carriage-return line ends.
+    ``glob`` (case-sensitive).
     """
-    _check_directory(spark, path)
-    pattern = f"{path.rstrip('/')}/{glob}"
+    reader = spark.read.option("lineSep", RECORD_START)
+    if ignore_missing_files:
+        reader = reader.option("ignoreMissingFiles", "true")
     try:
-        # a file removed between listing and reading is skipped, not fatal
-        raw = spark.read.option("lineSep", separator).option("ignoreMissingFiles", "true").text(pattern)
+        raw = reader.text(f"{path.rstrip('/')}/{glob}")
         files = raw.inputFiles()
     except Exception as exc:  # no match: Spark reports a missing path
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            raise FileNotFoundError(f"no {glob} files in {path}") from exc
-        raise
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        files = []
     if not files:
+        try:
+            own = spark.read.text(path).inputFiles()
+        except Exception:
+            own = []
+        if len(own) == 1 and own[0].rstrip("/").endswith(path.rstrip("/")):
+            raise NotADirectoryError(f"not a directory: {path}")
         raise FileNotFoundError(f"no {glob} files in {path}")
-    value = F.when(F.col("value").startswith(RECORD_START), F.col("value")) \
-        .otherwise(F.concat(F.lit(RECORD_START), F.col("value")))
-    return raw.select(value.alias("value"),
+    return raw.select(F.concat(F.lit(RECORD_START), F.col("value")).alias("value"),
                       F.col("_metadata.file_path").alias("file"),
                       F.col("_metadata.file_block_start").alias("block"),
                       F.monotonically_increasing_id().alias("seq"))
 
 
-def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLITS) -> SgmlCorpus:
-    """A2-A9 + C1 on ``(value, file, block, seq)`` rows."""
+def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLITS,
+                  keep_closing_line: bool = False, strip_inline: bool = False) -> DataFrame:
+    """A2-A9 + C1 on ``(value, file, block, seq)`` rows: the document columns,
+    ``file, block, seq``, and for rejects ``reason`` and ``value`` (else NULL).
+    Preambles are still among the ``no_header`` pieces."""
     lines = F.split(F.regexp_replace(F.col("value"), "\r\n?", "\n"), "\n", -1)
     with_lines = records.select("file", "block", "seq", "value", lines.alias("ln"))
-    header_at = F.array_position(
-        F.transform(F.col("ln"), lambda l: l.startswith(RECORD_START) & l.rlike(_full(HEADER))), True).cast("int")
-    located = with_lines.select("*", header_at.alias("h")).where(F.col("h") > 0)
-    head = _at(F.col("ln"), F.col("h"))
+    head = _at(F.col("ln"), F.lit(1))
+    has_header = F.coalesce(head.rlike(_full(HEADER)), F.lit(False))
     int_text = r"^[+-]?[0-9]+$"
 
     def as_id(group: int) -> Column:
         s = F.regexp_extract(head, HEADER, group)
-        return F.when(s.rlike(int_text), s.try_cast("int")).cast("bigint")
+        return F.when(s.rlike(int_text), s.try_cast("bigint"))
 
-    headed = located.select(
-        "file", "block", "seq", "value", "ln", "h",
-        F.regexp_extract(head, HEADER, 1).alias("split"),
+    headed = with_lines.select(
+        "file", "block", "seq", "value", "ln", has_header.alias("headed"),
+        F.when(has_header, F.regexp_extract(head, HEADER, 1)).alias("split"),
         as_id(2).alias("old_id"),
         as_id(3).alias("doc_id"),
     )
-    bad_id = headed.where(F.col("old_id").isNull() | F.col("doc_id").isNull())
-    good = headed.where(F.col("old_id").isNotNull() & F.col("doc_id").isNotNull())
     if splits is not None:
-        good = good.where(F.col("split").isin(list(splits)))   # C1 before any content parsing
+        headed = headed.where(~F.col("headed") | F.col("split").isin(list(splits)))   # C1 before any content parsing
 
-    rest = F.slice(F.col("ln"), F.col("h") + 1, F.greatest(F.size("ln") - F.col("h"), F.lit(1)))
+    good = F.col("headed") & F.col("old_id").isNotNull() & F.col("doc_id").isNotNull()
+    rest = F.when(good, F.slice(F.col("ln"), F.lit(2), F.greatest(F.size("ln") - 1, F.lit(1)))) \
+        .otherwise(F.array().cast("array<string>"))
     zero = F.lit(0)
     init = F.struct(F.lit(_DOC).alias("m"), zero.alias("i"), zero.alias("tp"), zero.alias("ts"),
                     zero.alias("te"), zero.alias("bs"), zero.alias("be"))
@@ -221,41 +241,62 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
     # array): its fields become plain columns, so the optimiser cannot copy the
     # fold into every filter and projection that reads a field, and the fold
     # runs once per record.
-    walked = (good.select("*", rest.alias("rest"))
+    walked = (headed.select("*", good.alias("good"), rest.alias("rest"))
               .select("*", F.inline(F.array(F.aggregate("rest", init, _step)))))
 
-    closed = walked.where(F.col("m") == _END)
-    unclosed = walked.where(F.col("m") != _END)
     rest_c = F.col("rest")
-    documents = closed.select(
+    reason = (F.when(~F.col("headed"), F.lit("no_header"))
+              .when(~F.col("good"), F.lit("bad_id"))
+              .when(F.col("m") != _END, F.lit("unclosed_record")))
+    return walked.select(
         "doc_id", "old_id", "split",
-        _element(rest_c, F.col("ts"), F.col("te"), TITLE_OPEN, TITLE_CLOSE).alias("title"),
-        _element(rest_c, F.col("bs"), F.col("be"), BODY_OPEN, BODY_CLOSE).alias("body"),
+        _element(rest_c, F.col("ts"), F.col("te"), TITLE_OPEN, TITLE_CLOSE, keep_closing_line, strip_inline).alias("title"),
+        _element(rest_c, F.col("bs"), F.col("be"), BODY_OPEN, BODY_CLOSE, keep_closing_line, strip_inline).alias("body"),
         F.when(F.col("tp") > 0, parse_topics(_at(rest_c, F.col("tp"))))
         .otherwise(F.array().cast("array<string>")).alias("topics"),
         "file", "block", "seq",
+        reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("value"),
     )
-    rejects = (bad_id.select("file", F.lit("bad_id").alias("reason"), "value")
-               .unionByName(unclosed.select("file", F.lit("unclosed_record").alias("reason"), "value")))
+
+
+def corpus_of(parsed: DataFrame) -> SgmlCorpus:
+    """Documents and rejects of one parsed relation."""
+    documents = parsed.where(F.col("reason").isNull()).drop("reason", "value")
+    bad = parsed.where(F.col("reason").isNotNull()).select("file", "block", "seq", "reason", "value")
+    # The first piece of a file never has a header, so among a file's pieces
+    # without one (one for each file, and faults) its preamble comes first.
+    headless = bad.where(F.col("reason") == "no_header")
+    at = Window.partitionBy("file").orderBy("block", "seq")
+    later = headless.withColumn("_k", F.row_number().over(at)).where(F.col("_k") > 1)
+    rejects = (bad.where(F.col("reason") != "no_header").select("file", "reason", "value")
+               .unionByName(later.select("file", "reason", "value")))
     return SgmlCorpus(documents, rejects)
 
 
 def read_sgml(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
               splits: tuple[str, ...] | None = KEPT_SPLITS, mode: str = "PERMISSIVE",
-              separator: str = "\n" + RECORD_START) -> SgmlCorpus:
+              keep_closing_line: bool = False, strip_inline: bool = False,
+              ignore_missing_files: bool = False, keep: str = "checkpoint") -> SgmlCorpus:
     """Read a directory of markup files into documents and rejects.
 
     ``splits``: split tags to keep (None keeps every split). ``mode``:
     ``PERMISSIVE`` returns rejects as a relation; ``FAILFAST`` raises on the
-    first reject.
+    first reject. ``keep``: how the parsed pieces are kept for their readers
+    (see ``materialize``). The default writes them to the shared checkpoint
+    folder: one parse, and a reading order (``seq``) that no later scan can
+    number anew. ``close()`` lets a persisted relation go.
     """
-    corpus = parse_records(read_records(spark, path, glob, separator), splits)
+    if mode.upper() not in ("PERMISSIVE", "FAILFAST"):
+        raise ValueError(f"unknown mode {mode!r}")
+    records = read_records(spark, path, glob, ignore_missing_files)
+    parsed = materialize(parse_records(records, splits, keep_closing_line, strip_inline), keep)
+    corpus = corpus_of(parsed)
+    corpus._kept.append(parsed)
     if mode.upper() == "FAILFAST":
         bad = corpus.rejects.select("reason", "file").limit(1).collect()
         if bad:
+            corpus.close()
             raise ValueError(f"malformed record ({bad[0]['reason']}) in {bad[0]['file']}")
-    elif mode.upper() != "PERMISSIVE":
-        raise ValueError(f"unknown mode {mode!r}")
     return corpus
 
 

@@ -17,16 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import CentroidModel, classify, prepare
-
-
-def classify_batch(model: CentroidModel, docs: DataFrame) -> DataFrame:
-    """Predictions ``(doc_id, topic, sim, zero_overlap, correct)`` for the
-    classifiable documents of one batch; ``correct`` is false for documents
-    whose labels are unknown."""
-    prepared = prepare(docs, model.config)
-    _, preds = classify(model, prepared)
-    return preds
+from ..plans.pipeline import CentroidModel, classify_documents
 
 
 def classify_stream(model: CentroidModel, stream: DataFrame, output: str, checkpoint: str,
@@ -41,8 +32,12 @@ def classify_stream(model: CentroidModel, stream: DataFrame, output: str, checkp
     base = output.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        preds = classify_batch(model, batch)
-        preds.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+        preds, kept = classify_documents(model, batch)
+        try:
+            preds.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+        finally:
+            for df in kept:
+                df.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if trigger:

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from protoclass.plans.pipeline import Config, classify, run_pipeline
+from protoclass.plans.pipeline import Config, classify, classify_documents, run_pipeline
 from protoclass.sources.model_store import load_model, save_model
 from protoclass.sources.tables import corpus_view
 from protoclass.streaming.scoring import classify_stream
@@ -47,4 +47,40 @@ def test_stream_of_documents_is_classified_like_the_batch(spark, run, workdir):
     assert q.exception() is None
     got = spark.read.parquet(out)
     assert got.select("batch_id").distinct().count() == 3
-    assert _preds(got.drop("batch_id")) == _preds(run.predictions)
+    # every document that arrives gets a row, of whatever split and with or without a label
+    assert got.count() == docs.count()
+    known = run.predictions.select("doc_id")
+    assert _preds(got.drop("batch_id").join(known, "doc_id", "left_semi")) == _preds(run.predictions)
+
+
+def test_unlabelled_documents_get_a_row_and_no_verdict(spark, run):
+    docs = corpus_view(spark, SF).drop("topics")
+    preds, kept = classify_documents(run.model, docs)
+    rows = preds.collect()
+    assert len(rows) == docs.count() and {r["correct"] for r in rows} == {None}
+    for df in kept:
+        df.unpersist()
+
+
+def test_a_stream_keeps_nothing_behind(spark, run, workdir):
+    src = os.path.join(workdir, "many")
+    docs = corpus_view(spark, SF).limit(60)
+    docs.repartition(10).write.parquet(src)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = classify_stream(run.model, stream, os.path.join(workdir, "o"), os.path.join(workdir, "c"), trigger={"availableNow": True})
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert spark.read.parquet(os.path.join(workdir, "o")).select("batch_id").distinct().count() == 10
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_a_model_keeps_its_settings(spark, run, workdir):
+    path = os.path.join(workdir, "settings")
+    run.model.config = Config(order=("file", "block", "seq"), rebalance=False, max_token_length=255)
+    try:
+        save_model(run.model, path)
+    finally:
+        run.model.config = Config()
+    cfg = load_model(spark, path).config
+    assert (cfg.order, cfg.rebalance, cfg.max_token_length) == (("file", "block", "seq"), False, 255)

@@ -17,6 +17,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
+from protoclass.plans.oracle import ORACLE_SQL  # noqa: E402
+from protoclass.plans.queries import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("PROTOCLASS_ORACLE_SF", "/root/testdata/sf0.001")
 
@@ -31,11 +33,11 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_text_only():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"report_lines"}
+def test_every_query_of_the_reference_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE_SQL) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     rows = [tuple(r) for r in df.collect()]

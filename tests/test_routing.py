@@ -27,11 +27,23 @@ def test_dedup_last_wins_and_empty_never_replaces(spark):
     assert got == [(7, 2, "second"), (8, 4, "only")]
 
 
+def without_broadcast(spark, run):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_dedup_shuffle_path_equals_broadcast_path(spark):
     rows = [(i % 5, "TRAIN", f"body {i}", ["a"], i) for i in range(60)]
     docs = make_docs(spark, rows)
-    a = sorted(tuple(r) for r in R.dedup_last(docs, max_broadcast_bytes=1 << 30).collect())
-    b = sorted(tuple(r) for r in R.dedup_last(docs, max_broadcast_bytes=0).collect())
+    a = sorted(tuple(r) for r in R.dedup_last(docs).collect())
+    b = without_broadcast(spark, lambda: sorted(tuple(r) for r in R.dedup_last(docs).collect()))
     assert a == b and [r[0] for r in a] == [0, 1, 2, 3, 4]
     assert [r[1] for r in a] == [55, 56, 57, 58, 59]
 
@@ -48,6 +60,33 @@ def test_dedup_hot_key_third_of_rows(spark):
     assert "partial_max" in plan
 
 
+def test_dedup_leaves_one_row_of_tied_and_equal_copies(spark):
+    tied = [(1, "TRAIN", "a", ["t"], 1), (1, "TRAIN", "b", ["t"], 1), (2, "TEST", "c", ["t"], 5)]
+    equal = [(3, "TRAIN", "same", ["t"], 2)] * 400 + [(None, "TRAIN", "no id", ["t"], 2)] * 2
+    docs = make_docs(spark, tied + equal).repartition(6)
+    for got in (R.dedup_last(docs).collect(), without_broadcast(spark, lambda: R.dedup_last(docs).collect())):
+        assert sorted(str(r["doc_id"]) for r in got) == ["1", "2", "3", "None"]
+    assert L.doc_topics(R.keep_documents(docs)).where("doc_id = 3").count() == 1
+
+
+def jobs_of(spark, build):
+    """Spark jobs that run while ``build`` builds its plan."""
+    spark.sparkContext.setJobGroup("building", "plan only")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_building_the_plan_runs_nothing(spark, workdir):
+    make_docs(spark, [(i % 7, "TRAIN", f"x {i}", ["a"], i) for i in range(40)]).write.parquet(workdir + "/docs")
+    docs = spark.read.parquet(workdir + "/docs")
+    joined = docs.join(docs.select("doc_id").distinct(), "doc_id")
+    assert jobs_of(spark, lambda: R.keep_documents(joined)) == 0
+    assert jobs_of(spark, lambda: R.balance(joined)) == 0
+
+
 def test_test_documents_need_a_label(spark):
     docs = make_docs(spark, [
         (1, "TEST", "x", ["", "a"]), (2, "TEST", "y", [""]), (3, "TEST", "z", []), (4, "TEST", "w", None),

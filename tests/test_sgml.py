@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from protoclass.operators import routing as R
 from protoclass.plans.pipeline import Config, run_pipeline
-from protoclass.sources.sgml import SgmlCorpus, read_sgml, write_sgml
+from protoclass.sources.sgml import SgmlCorpus, read_records, read_sgml, write_sgml
 
 DOCTYPE = '<!DOCTYPE lewis SYSTEM "lewis.dtd">'
 
@@ -162,7 +162,7 @@ def test_line_endings_give_identical_rows(spark, workdir):
     cols = ["doc_id", "old_id", "split", "title", "body", "topics"]
     a = sorted(tuple(r) for r in read_sgml(spark, lf).documents.select(cols).collect())
     b = sorted(tuple(r) for r in read_sgml(spark, crlf).documents.select(cols).collect())
-    c = sorted(tuple(r) for r in read_sgml(spark, cr, separator="\r<REUTERS").documents.select(cols).collect())
+    c = sorted(tuple(r) for r in read_sgml(spark, cr).documents.select(cols).collect())
     assert a == b == c and len(a) == 2
 
 
@@ -198,7 +198,7 @@ def test_tiny_splits_give_identical_rows(spark, collection):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
     try:
         corpus = read_sgml(spark, collection)
-        assert corpus.documents.rdd.getNumPartitions() > 4
+        assert read_records(spark, collection).rdd.getNumPartitions() > 4
         tiny = sorted(tuple(r) for r in corpus.documents.select(cols).collect())
         assert corpus.rejects.count() == 0
     finally:
@@ -217,3 +217,28 @@ def test_round_trip(spark, workdir):
     back = read_sgml(spark, out, glob="part-*").documents
     cols = ["doc_id", "old_id", "split", "title", "body", "topics"]
     assert sorted(tuple(r) for r in back.select(cols).collect()) == sorted(rows)
+
+
+def test_every_piece_is_a_document_or_a_reject(spark, workdir):
+    big = "\n".join([header("TRAIN", 2**31 + 5, 3 * 10**9), "<TEXT>", "<TITLE>t\nu</TITLE>", "<BODY>b", "</BODY></TEXT>", "</REUTERS>"])
+    split = "\n".join([header("TRAIN", 1, 80), "<TEXT>", "<BODY>one", "<REUTERS REPORT> two", "</BODY></TEXT>", "</REUTERS>"])
+    huge = "\n".join([header("TRAIN", 1, 10**19), "<TEXT>", "<BODY>b", "</BODY></TEXT>", "</REUTERS>"])
+    for end, folder in (("\n", "lf"), ("\r\n", "crlf"), ("\r", "cr")):
+        text = DOCTYPE + "\npreamble\n" + "\n".join([big, split, NORMAL, huge, ONE_LINE]) + "\ntrailer\n"
+        path = os.path.join(workdir, folder)
+        write(path, "a.sgm", text.replace("\n", end))
+        write(path, "b.sgm", (NORMAL + "\n").replace("\n", end))
+        corpus = read_sgml(spark, path)
+        assert sorted(r["doc_id"] for r in corpus.documents.collect()) == [1, 1, 3, 3 * 10**9]
+        assert sorted(r["reason"] for r in corpus.rejects.collect()) == ["bad_id", "no_header", "unclosed_record"]
+        with pytest.raises(ValueError):
+            read_sgml(spark, path, mode="FAILFAST")
+
+
+def test_closing_line_and_inline_options(spark, workdir):
+    record = "\n".join([header("TRAIN", 1, 90), "<TEXT>", "<TITLE>first", "last</TITLE>", "<DATELINE>D</DATELINE><BODY>one</BODY></TEXT>", "</REUTERS>"])
+    write(workdir, "a.sgm", record + "\n")
+    (d,) = read_sgml(spark, workdir, keep_closing_line=True, strip_inline=True).documents.collect()
+    assert (d["title"], d["body"]) == ("first\nlast", "one")
+    (d,) = read_sgml(spark, workdir).documents.collect()
+    assert (d["title"], d["body"]) == ("first", "<DATELINE>D</DATELINE>one</TEXT>")

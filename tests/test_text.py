@@ -8,12 +8,11 @@ from collections import Counter
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
-from protoclass.functions.text import (MAX_TOKEN_LENGTH, STOP_WORDS, token_pattern, tokenize,
-                                       with_term_counts)
+from protoclass.functions.text import STOP_WORDS, tokenize, with_term_counts
+from protoclass.plans.oracle import _tokens
 
-ALPHABET = list("abzÉéü19_.,;:'’·- \n") + ["ß", "ĳ", "́"]
+ALPHABET = list("abzÉéü19_.,;:'’·- \n") + ["ß", "ĳ", "́", "½", "漢", "か", "カ"]
 
 
 def tokens_of(spark, texts, profile="word"):
@@ -32,28 +31,29 @@ def test_ascii_profile_examples(spark):
     assert got == ["can", "t", "stop", "u", "s", "tat", "3", "14"]
 
 
-def test_stop_words_and_long_tokens_dropped(spark):
-    long_ok, long_bad = "x" * MAX_TOKEN_LENGTH, "y" * (MAX_TOKEN_LENGTH + 1)
-    (got,) = tokens_of(spark, [" ".join(STOP_WORDS) + f" keep {long_ok} {long_bad} The"])
-    assert got == ["keep", long_ok]
+def test_tokens_need_a_letter_or_digit_and_ideographs_stand_alone(spark):
+    (got,) = tokens_of(spark, ["____ _a_ \u00bd \u2168 1\u00bd2 \u6f22\u5b57\u304b\u306ax\u6f22y \u30ab\u30bf \u0301e l'a._b"])
+    assert got == ["_a_", "1", "2", "\u6f22", "\u5b57", "\u304b", "\u306a", "x", "\u6f22", "y", "\u30ab\u30bf", "e", "l'a", "_b"]
+
+
+def test_stop_words_dropped_and_length_cap_optional(spark):
+    long_ok, long_bad = "x" * 255, "y" * 256
+    text = " ".join(STOP_WORDS) + f" keep {long_ok} {long_bad} The"
+    (got,) = tokens_of(spark, [text])
+    assert got == ["keep", long_ok, long_bad]
+    df = spark.createDataFrame([(text,)], "body string")
+    assert df.select(tokenize("body", max_token_length=255).alias("t")).first()["t"] == ["keep", long_ok]
 
 
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=50, max_size=50))
-def test_java_and_re2_patterns_agree(spark, texts):
-    """The look-around pattern (Spark) and the look-around-free pattern
-    (DuckDB) produce the same tokens; both engines agree on the latter."""
+def test_oracle_spells_the_same_tokens(spark, texts):
+    """The oracle's own pattern (another engine, no look-around) gives the same tokens."""
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
-    java = F.regexp_extract_all("s", F.lit(token_pattern("word", "java")), 0)
-    re2 = F.regexp_extract_all("s", F.lit(token_pattern("word", "re2")), 0)
-    rows = df.select("i", java.alias("a"), re2.alias("b")).orderBy("i").collect()
-    for r in rows:
-        assert r["a"] == r["b"], texts[r["i"]]
-    con = duckdb.connect()
-    pat = token_pattern("word", "re2").replace("'", "''")
-    duck = con.execute(f"SELECT regexp_extract_all(s, '{pat}', 0) FROM (SELECT unnest(?) AS s)",
-                       [texts]).fetchall()
-    assert [list(d[0]) for d in duck] == [r["a"] for r in rows]
+    rows = df.select("i", tokenize("s", stop_words=None).alias("a")).orderBy("i").collect()
+    duck = duckdb.connect().execute(f"SELECT {_tokens('s', 'word')} FROM (SELECT unnest(?) AS s)", [texts]).fetchall()
+    for r, d in zip(rows, duck, strict=True):
+        assert r["a"] == list(d[0]), texts[r["i"]]
 
 
 def test_term_counts_match_counter(spark):
