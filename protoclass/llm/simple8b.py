@@ -20,6 +20,8 @@ WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 
 _ONE = np.uint64(1)
 _POWERS = _ONE << np.arange(64, dtype=np.uint64)
+#: Bits of every small id.
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 MAGIC = b"S8B1"
 _HEAD = np.dtype("<u8")
 
@@ -30,75 +32,88 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32), np.zeros(0, np.uint64)
-    bits = np.maximum(np.searchsorted(_POWERS, ids, "right"), 1)
-    place = np.arange(n)
-    block_end = np.minimum((place // BLOCK_IDS + 1) * BLOCK_IDS, n)
-    take = np.zeros(n, np.int32)
-    selector = np.zeros(n, np.uint8)
-    widest = int(bits.max())
+    # A row per block, with zeros behind it: a word that ends there holds them, too.
+    blocks = -(-n // BLOCK_IDS)
+    row = BLOCK_IDS + 60
+    flat = np.zeros((blocks, row), np.uint64)
+    flat[:-1, :BLOCK_IDS] = ids[: (blocks - 1) * BLOCK_IDS].reshape(-1, BLOCK_IDS)
+    flat[-1, : n - (blocks - 1) * BLOCK_IDS] = ids[(blocks - 1) * BLOCK_IDS :]
+    flat = flat.ravel()
+    top = int(ids.max())
+    if top < len(_BITS):
+        bits = _BITS[flat]
+    elif top < 1 << 53:
+        bits = np.frexp(flat.astype(np.float64))[1].astype(np.uint8)
+    else:
+        bits = np.searchsorted(_POWERS, flat, "right").astype(np.uint8)
+    # From wide to narrow: the narrowest selector whose ids all fit stays.
+    selector = np.zeros(len(flat), np.uint8)
+    places = len(flat) - 60
     for s in range(len(WIDTHS), 0, -1):
         width = WIDTHS[s - 1]
-        end = np.minimum(place + 60 // width, block_end)
-        if width >= widest:
-            fits = slice(None)
-        else:
-            wide = np.concatenate(([0], np.cumsum(bits > width)))
-            fits = wide[end] == wide[:-1]
-        take[fits] = (end - place)[fits]
-        selector[fits] = s
-    take[selector == 0] = 1
+        if width >= top.bit_length():
+            selector[:] = s
+            continue
+        narrow = bits <= width
+        fits = narrow[:places].copy()
+        for j in range(1, 60 // width):
+            fits &= narrow[j : places + j]
+        if not fits.any():
+            break
+        np.copyto(selector[:places], s, where=fits)
+    take = np.array([1, *(60 // w for w in WIDTHS)], np.int64)[selector]
     # Walk all blocks in step from word to word.
-    at = np.arange(0, n, BLOCK_IDS)
-    ends = block_end[at]
+    at = np.arange(blocks) * row
+    ends = at + np.minimum(BLOCK_IDS, n - np.arange(blocks) * BLOCK_IDS)
     steps = []
-    live = np.arange(len(at))
-    while len(live):
-        steps.append((live, at[live]))
-        at[live] += take[at[live]]
-        live = live[at[live] < ends[live]]
-    block = np.concatenate([b for b, _ in steps])
-    start = np.concatenate([p for _, p in steps])
-    order = np.argsort(start, kind="stable")
-    start, block = start[order], block[order]
+    while len(at):
+        steps.append(at)
+        at = at + take[at]
+        live = at < ends
+        if not live.all():
+            at, ends = at[live], ends[live]
+    begins = np.zeros(len(flat), bool)
+    begins[np.concatenate(steps)] = True
+    start = np.flatnonzero(begins)
     chosen = selector[start]
     words = chosen.astype(np.uint64) << np.uint64(60)
-    padded = np.concatenate((ids, np.zeros(60, np.uint64)))
-    for s in np.unique(chosen):
+    for s in np.flatnonzero(np.bincount(chosen)):
         at_s = np.flatnonzero(chosen == s)
         if s == 0:
             words[at_s] = np.arange(len(at_s), dtype=np.uint64)
             continue
-        width = WIDTHS[s - 1]
-        for j in range(60 // width):
-            has = at_s[take[start[at_s]] > j]
-            words[has] |= padded[start[has] + j] << np.uint64(j * width)
-    firsts = np.searchsorted(block, np.arange(len(ends) + 1)).astype(np.uint32)
-    return words, firsts, ids[start[chosen == 0]]
+        width, first = WIDTHS[s - 1], start[at_s]
+        value = flat[first]
+        for j in range(1, 60 // width):
+            value |= flat[first + j] << np.uint64(j * width)
+        words[at_s] |= value
+    firsts = np.searchsorted(start, np.arange(blocks + 1) * row).astype(np.uint32)
+    return words, firsts, flat[start[chosen == 0]]
 
 
 def unpack(words: np.ndarray, firsts: np.ndarray, escaped: np.ndarray, n: int) -> np.ndarray:
     """The ids of a packed stream of ``n`` ids."""
-    out = np.zeros(n, np.uint64)
     if not n:
-        return out
+        return np.zeros(0, np.uint64)
     selector = (words >> np.uint64(60)).astype(np.uint8)
-    holds = np.array([1, *(60 // w for w in WIDTHS)], np.int64)[selector]
-    before = np.cumsum(holds) - holds
-    first = firsts[:-1].astype(np.int64)
-    block = np.repeat(np.arange(len(first)), np.diff(firsts.astype(np.int64)))
-    start = block * BLOCK_IDS + before - before[first][block]
-    end = np.minimum((block + 1) * BLOCK_IDS, n)
-    for s in np.unique(selector):
+    before = np.append(0, np.cumsum(np.array([1, *(60 // w for w in WIDTHS)], np.int64)[selector]))
+    # A row per block with room behind it for what a last word holds too many.
+    row = BLOCK_IDS + 60
+    first = firsts.astype(np.int64)
+    blocks = len(first) - 1
+    start = before[:-1] + np.repeat(np.arange(blocks) * row - before[first[:-1]], np.diff(first))
+    out = np.empty(blocks * row, np.uint64)
+    for s in np.flatnonzero(np.bincount(selector)):
         at_s = np.flatnonzero(selector == s)
+        word, place = words[at_s], start[at_s]
         if s == 0:
-            out[start[at_s]] = escaped[(words[at_s] & np.uint64((1 << 60) - 1)).astype(np.int64)]
+            out[place] = escaped[(word & np.uint64((1 << 60) - 1)).astype(np.int64)]
             continue
         width = WIDTHS[s - 1]
         mask = np.uint64((1 << width) - 1)
         for j in range(60 // width):
-            has = at_s[start[at_s] + j < end[at_s]]
-            out[start[has] + j] = (words[has] >> np.uint64(j * width)) & mask
-    return out
+            out[place + j] = (word >> np.uint64(j * width)) & mask
+    return out.reshape(blocks, row)[:, :BLOCK_IDS].reshape(-1)[:n]
 
 
 def to_bytes(ids: np.ndarray, doc_lengths: np.ndarray) -> bytes:

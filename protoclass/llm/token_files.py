@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +33,11 @@ from protoclass.session import scratch_path
 
 SEGMENT_IDS = 1 << 18
 END_ID = 2
-#: Cached pieces a Python worker keeps; beyond them the cache starts anew.
-CACHE_PIECES = 1_200_000
-CACHE_PIECE_CHARS = 64
-
-#: A piece is blanks and the word behind them. The vocabulary's splitting
-#: pattern never joins a word's end to the blanks behind it, so pieces
-#: tokenise as they do within the whole text.
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: Cached words a Python worker keeps; beyond them the cache starts anew.
+CACHE_WORDS = 1_000_000
+CACHE_WORD_CHARS = 64
+CACHE_MARKS = 10_000
+
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 SEGMENTS = "shard int, segment int, shard_start bigint, n_ids bigint, doc_ids array<bigint>, payload binary"
@@ -54,60 +53,89 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
-class Encoder(dict):
-    """Whole texts to arrays of ids. The mapping itself is a bounded cache from
-    pieces to their ids as bytes (None: must be tokenised within its text)."""
+class _Marks(dict):
+    """Bounded cache from the marks behind a word to their ids as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, marks: str) -> bytes:
+        ids = _ids(self.tokenizer, marks)
+        if len(self) < CACHE_MARKS and len(marks) <= CACHE_WORD_CHARS:
+            self[marks] = ids
+        return ids
+
+
+class _Words(dict):
+    """Bounded cache from words (runs without blanks) behind ``lead`` to their
+    ids as bytes; None: must be tokenised within the text."""
+
+    def __init__(self, tokenizer, lead: str):
         super().__init__()
+        self.tokenizer, self.merge, self.lead = tokenizer, tokenizer.model.tokenize, lead
+        self.letters = _byte_letters()
+        self.lead_letters = lead.translate(self.letters)
+        self.marks = _Marks(tokenizer)
+
+    def __missing__(self, word: str) -> bytes | None:
+        body = word.rstrip(string.punctuation)
+        if body.isalpha() and (body.isascii() or max(body) < "\u0250"):
+            if body != word:
+                return self[body] + self.marks[word[len(body) :]]
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.merge(self.lead_letters + letters)]).tobytes()
+        elif _OTHER_SPACE.search(word):  # can tie a word to its neighbours
+            ids = None
+        else:
+            ids = _ids(self.tokenizer, self.lead + word)
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        if len(word) <= CACHE_WORD_CHARS:
+            self[word] = ids
+        return ids
+
+
+class Encoder:
+    """Whole texts to arrays of ids.
+
+    Byte-level vocabularies split a text into words with the blank before them
+    before they merge, so a text whose words stand one blank or newline apart
+    is the concatenation of its words' ids. Texts of another shape go whole.
+    ``plain`` is off for vocabularies that split otherwise.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.letters = _byte_letters()
-        # The short way for plain words holds for vocabularies that split as this one does.
-        probe = "\nThe words, don\'t  they."
-        self.plain = b"".join(map(self.__getitem__, _PIECES.findall(probe))) == self._whole(probe)
-        self.clear()
-
-    #: Set while the vocabulary's own answer is compared with the short way.
-    plain = True
+        self.first, self.next = _Words(self.tokenizer, ""), _Words(self.tokenizer, " ")
+        self.newline = _ids(self.tokenizer, "\n")
+        probes = ["The words, don\'t they.\nA (few) 12 \u00e9t\u00e9s, etc.", "a  b \n\n c\n \nd ", "x!!\ty"]
+        self.plain = all(self._by_words(t) in (None, _ids(self.tokenizer, t)) for t in probes)
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _by_words(self, text: str) -> bytes | None:
+        lines = text.split("\n")
+        if "" in lines or "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
+            return None
+        first, get, out = self.first, self.next.__getitem__, []
+        try:
+            for line in lines:
+                words = line.split(" ")
+                out.append(first[words[0]] + b"".join(map(get, words[1:])))
+        except TypeError:  # a None among them
+            return None
+        return self.newline.join(out)
 
-    def _plain_word(self, piece: str) -> bytes:
-        word = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+    def encode(self, text: str) -> np.ndarray:
+        data = (self._by_words(text) if self.plain else None) if text else b""
+        return np.frombuffer(_ids(self.tokenizer, text) if data is None else data, "<u4")
 
-    def __missing__(self, piece: str) -> bytes | None:
-        if len(self) >= CACHE_PIECES:
-            self.clear()
-        word = piece[1:] if piece[0] == " " else piece
-        if self.plain and word.isalpha() and max(word) < "\u0250":
-            ids = self._plain_word(piece)
-        elif self.plain and len(word) > 1 and word[-1] in ",." and word[:-1].isalpha():
-            return self[piece[:-1]] + self[piece[-1]]
-        elif self.plain and len(piece) > 1 and piece[0] == "\n" and word[1:].isalpha():
-            return self["\n"] + self[piece[1:]]
-        elif _OTHER_SPACE.search(piece):  # can tie a piece to its neighbours
-            ids = None
-        else:
-            ids = self._whole(piece)
-        if len(piece) <= CACHE_PIECE_CHARS:
-            self[piece] = ids
-        return ids
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            try:
-                data = b"".join(map(self.__getitem__, _PIECES.findall(text)))
-            except TypeError:  # a None among them
-                data = self._whole(text)
-            out.append(np.frombuffer(data, "<u4"))
-        return out
+def _ids(tokenizer, text: str) -> bytes:
+    return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -142,7 +170,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             texts = [t or "" for t in b.column("text").to_pylist()]
             names = b.column("doc_id").to_pylist()
             for doc_id, text in zip(names, texts, strict=True):
-                row = enc.encode([text])[0]
+                row = enc.encode(text)
                 ids.append(np.concatenate((row, end)))
                 doc_ids.append(doc_id)
                 held += len(row) + 1
