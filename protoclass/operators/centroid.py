@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import clean_topics
-from .lookup import DEFAULT_MAX_BROADCAST_ROWS, string_bytes
+from .lookup import DEFAULT_MAX_BROADCAST_ROWS, ROW_OVERHEAD, string_bytes
 from .weights import sum_of_products
 
 
@@ -56,33 +56,22 @@ def topic_norms(sums: DataFrame, exact: bool = True) -> DataFrame:
     return sums.groupBy("topic").agg(sum_of_products(F.col("sw"), F.col("sw"), exact).alias("n2"))
 
 
-def term_table(factors: DataFrame, sums: DataFrame) -> DataFrame:
-    """Scoring lookup from saved factors and centroid sums (a loaded model),
-    one row per indexed term:
-    ``(term, df, q, cents ARRAY<STRUCT<topic, sw>>)``; ``cents`` is empty for
-    terms in no centroid. At most one entry per topic, so the array is
-    bounded by the topic vocabulary."""
-    by_term = sums.groupBy("term").agg(F.collect_list(F.struct("topic", "sw")).alias("cents"))
-    empty = F.array().cast("array<struct<topic:string,sw:bigint>>")
-    return (factors.join(by_term, on="term", how="left")
-            .select("term", "df", "q", F.coalesce(F.col("cents"), empty).alias("cents")))
-
-
-def term_table_sizes(factors: DataFrame, sums: DataFrame, n_topics: int) -> tuple[int, int, int, int]:
-    """``(n_keys, total_df, total_bytes, max_row_bytes)`` of the term table
-    built by :func:`term_table`, measured on its flat inputs in one job:
-    the byte total is exact; the largest row is bounded by the longest term
-    plus ``n_topics`` entries of the longest topic name."""
-    from .lookup import ROW_OVERHEAD
-    f = factors.agg(F.count(F.lit(1)).alias("a"), F.sum("df").alias("b"),
-                    F.sum(string_bytes(F.col("term")) + F.lit(32 + ROW_OVERHEAD)).alias("c"),
-                    F.max(string_bytes(F.col("term"))).alias("d"))
-    t = sums.agg(F.count(F.lit(1)).alias("a"), F.lit(0).cast("bigint").alias("b"),
-                 F.sum(string_bytes(F.col("topic")) + F.lit(32)).alias("c"),
-                 F.max(string_bytes(F.col("topic"))).alias("d"))
+def score_table(factors: DataFrame, sums: DataFrame) -> DataFrame:
+    """Scoring lookup, flat: ``(term, df, q, topic, sw)`` with a row for every
+    centroid entry, and one with topic and ``sw`` NULL for every indexed term
+    (it carries the term's share of a document's own norm)."""
+    entries = sums.join(factors, on="term").select("term", "df", "q", "topic", "sw")
+    return entries.unionByName(factors.select(
+        "term", "df", "q", F.lit(None).cast("string").alias("topic"), F.lit(None).cast("bigint").alias("sw")))
+
+
+def table_sizes(factors: DataFrame, sums: DataFrame) -> tuple[int, int, int]:
+    """``(total df, bytes of factors, bytes of the score table)``, measured in
+    one job over the flat inputs."""
+    f = factors.agg(F.sum("df").alias("a"), F.sum(string_bytes(F.col("term")) + F.lit(32 + ROW_OVERHEAD)).alias("b"))
+    t = sums.agg(F.lit(0).cast("bigint").alias("a"),
+                 F.sum(string_bytes(F.col("term")) + string_bytes(F.col("topic")) + F.lit(48 + ROW_OVERHEAD)).alias("b"))
     rows = f.select(F.lit(0).alias("k"), "*").unionByName(t.select(F.lit(1).alias("k"), "*")).collect()
     by = {r["k"]: r for r in rows}
-    n_keys, total_df = int(by[0]["a"] or 0), int(by[0]["b"] or 0)
-    total_bytes = int(by[0]["c"] or 0) + int(by[1]["c"] or 0)
-    max_row = int(by[0]["d"] or 0) + 32 + ROW_OVERHEAD + n_topics * (int(by[1]["d"] or 0) + 32)
-    return n_keys, total_df, total_bytes, max_row
+    own = int(by[0]["b"] or 0)
+    return int(by[0]["a"] or 0), own, 2 * own + int(by[1]["b"] or 0)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .lookup import DEFAULT_MAX_BROADCAST_ROWS
 from .ordinal import with_ordinal
-from .weights import EXACT_TYPE, cosine, product, sum_of_products
+from .weights import cosine, sum_of_products
 
 
 def _small(df: DataFrame, n_rows: int, max_broadcast_rows: int) -> DataFrame:
@@ -34,19 +34,14 @@ def doc_norms(weighted: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def doc_topic_sums(weighted: DataFrame, exact: bool = True) -> DataFrame:
-    """F1 + F2 in one pass over the weighted postings: ``(doc_id, topic, v)``
-    where the row with ``topic`` NULL holds the document's squared norm and
-    every other row a dot product with one topic's centroid sums (pairs
-    sharing at least one term). Map-side partial sums keep it to at most
-    one row per (document, topic) per task before the shuffle."""
-    w = F.col("w")
-    own = F.array(F.struct(F.lit(None).cast("string").alias("topic"), product(w, w, exact).alias("v")))
-    contrib = F.transform("cents", lambda c: F.struct(c["topic"].alias("topic"),
-                                                      product(w, c["sw"], exact).alias("v")))
-    parts = weighted.select("doc_id", F.explode(F.concat(own, contrib)).alias("_p"))
-    total = F.sum(F.col("_p.v"))
-    return (parts.groupBy("doc_id", F.col("_p.topic").alias("topic"))
-            .agg((total.cast(EXACT_TYPE) if exact else total).alias("v")))
+    """F1 + F2 in one pass over postings weighed against the score table:
+    ``(doc_id, topic, v)`` where the row with ``topic`` NULL holds the
+    document's squared norm and every other row a dot product with one topic's
+    centroid sums (pairs sharing at least one term). Map-side partial sums
+    keep it to at most one row per (document, topic) per task before the
+    shuffle."""
+    v = sum_of_products(F.col("w"), F.coalesce("sw", "w"), exact)
+    return weighted.groupBy("doc_id", "topic").agg(v.alias("v"))
 
 
 def norms_of(sums: DataFrame) -> DataFrame:

@@ -45,9 +45,9 @@ def cosine(dot: Column, n2_a: Column, n2_b: Column) -> Column:
 
 
 def weigh(postings: DataFrame, table: DataFrame, plan: SplitPlan) -> DataFrame:
-    """E6 + E7: attach ``df``, ``q`` (and whatever else ``table`` carries per
-    term) and ``w = tf * q`` to ``(doc_id, ..., term, tf)`` postings through a
-    skew-safe join on ``term``."""
+    """E6 + E7: attach ``df``, ``q`` (and whatever else ``table`` carries) and
+    ``w = tf * q`` to ``(doc_id, ..., term, tf)`` postings through a skew-safe
+    join on ``term``; a posting comes once for each table row of its term."""
     joined = skew_safe_join(postings, table, key="term", freq="df", plan=plan)
     return joined.withColumn("w", F.col("tf") * F.col("q"))
 

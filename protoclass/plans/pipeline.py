@@ -21,7 +21,7 @@ from ..operators import routing as R
 from ..operators import scoring as S
 from ..operators import terms as T
 from ..operators import weights as W
-from ..operators.lookup import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, SplitPlan,
+from ..operators.lookup import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_TASK_ROWS, SplitPlan,
                                split_plan_of)
 from ..session import materialize
 
@@ -35,6 +35,7 @@ class Config:
       reference; ``train`` over training documents only.
     exact: accumulate dot products and norms as DECIMAL(38,0) (else DOUBLE).
     max_broadcast_bytes: byte budget of a broadcast term-keyed table.
+    task_rows: postings of one term that one task of a shuffled term join gets.
     max_broadcast_rows: row bound for broadcast topic-keyed tables (a few
       dozen bytes per row).
     keep: how shared intermediates are kept (``persist``/``checkpoint``/``none``).
@@ -51,6 +52,7 @@ class Config:
     df_scope: str = "all"
     exact: bool = True
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+    task_rows: int = DEFAULT_TASK_ROWS
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     keep: str = "persist"
     order: tuple[str, ...] = ("old_id",)
@@ -121,10 +123,11 @@ class CentroidModel:
     sums: DataFrame          # topic, term, sw
     vocabulary: DataFrame    # topic, n_train
     topic_norms: DataFrame   # topic, n2
-    table: DataFrame         # term, df, q, cents
+    table: DataFrame         # term, df, q, topic, sw (the score table)
     n_topics: int
     default_topic: str | None
-    plan: SplitPlan
+    factor_plan: SplitPlan
+    score_plan: SplitPlan
     config: Config
     _kept: list = field(default_factory=list)
 
@@ -135,21 +138,22 @@ class CentroidModel:
         return self.topic_norms.where(F.col("n2") > 0).select("topic")
 
     def weigh(self, postings: DataFrame) -> DataFrame:
-        return W.weigh(postings, self.table, plan=self.plan)
+        """E6 + E7: ``df``, ``q``, ``w`` of every posting whose term is known."""
+        return W.weigh(postings, self.factors, plan=self.factor_plan)
 
     def score(self, doc_terms: DataFrame) -> "Scored":
         """Weighted postings, document norms, sparse similarities.
 
-        The postings meet the term table once; squared norms and dot
+        The postings meet the score table once; squared norms and dot
         products come out of one aggregation per (document, topic), which is
         the only thing kept."""
         postings = T.term_freq(doc_terms, extra=())
-        weighted = self.weigh(postings)
+        weighted = W.weigh(postings, self.table, plan=self.score_plan)
         sums = materialize(S.doc_topic_sums(weighted, self.config.exact), self.config.keep)
         dnorms = S.norms_of(sums)
         dots = S.dots_of(sums)
         sims = S.similarities(dots, dnorms, self.topic_norms, self.n_topics, self.config.max_broadcast_rows)
-        return Scored(weighted, dnorms, dots, sims, [sums])
+        return Scored(dnorms, dots, sims, [sums])
 
     def close(self) -> None:
         for df in self._kept:
@@ -158,7 +162,6 @@ class CentroidModel:
 
 @dataclass
 class Scored:
-    weighted: DataFrame
     doc_norms: DataFrame
     dots: DataFrame
     sims: DataFrame
@@ -177,8 +180,6 @@ def fit(prepared: Prepared, config: Config | None = None) -> CentroidModel:
     if cfg.df_scope not in ("all", "train"):
         raise ValueError(f"df_scope must be 'all' or 'train', not {cfg.df_scope!r}")
     n_docs = int(T.corpus_size(indexed).first()["n_docs"])
-    # only flat relations are kept (Spark's columnar cache encodes arrays
-    # slowly); the array-shaped scoring table is rebuilt from them on use
     factors = materialize(W.idf_factor(T.term_stats(indexed), n_docs), cfg.keep)
     sums = materialize(C.centroid_sums(R.train_documents(dterms), factors), cfg.keep)
     vocab = materialize(L.topic_vocabulary(dterms), cfg.keep)
@@ -187,10 +188,15 @@ def fit(prepared: Prepared, config: Config | None = None) -> CentroidModel:
            .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("n2") > 0, F.col("topic"))).alias("first"))
            .first())
     n_topics, default_topic = int(row["n"]), row["first"]
-    plan = split_plan_of(*C.term_table_sizes(factors, sums, n_topics), cfg.max_broadcast_bytes)
-    table = C.term_table(factors, sums)
-    return CentroidModel(n_docs, factors, sums, vocab, tnorms, table, n_topics, default_topic,
-                         plan, cfg, [factors, sums, vocab, tnorms])
+    return CentroidModel(n_docs, factors, sums, vocab, tnorms, C.score_table(factors, sums), n_topics, default_topic,
+                         *plans_of(factors, sums, cfg), cfg, [factors, sums, vocab, tnorms])
+
+
+def plans_of(factors: DataFrame, sums: DataFrame, cfg: Config) -> tuple[SplitPlan, SplitPlan]:
+    """How postings meet the factors, and the score table."""
+    total_df, factor_bytes, score_bytes = C.table_sizes(factors, sums)
+    return (split_plan_of(total_df, factor_bytes, cfg.max_broadcast_bytes, cfg.task_rows),
+            split_plan_of(total_df, score_bytes, cfg.max_broadcast_bytes, cfg.task_rows))
 
 
 @dataclass

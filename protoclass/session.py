@@ -29,11 +29,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a temporary one only when
-    the session names none (as in local tests)."""
+    """Return the shared checkpoint folder. A session on this machine alone
+    (as in tests) may name none and gets a temporary one; on a cluster that
+    would be another folder on every machine, so there it is an error."""
     current = checkpoint_dir(spark)
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
     local = tempfile.mkdtemp(prefix="protoclass-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()

@@ -15,8 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import centroid as C
-from ..operators.lookup import split_plan_of
-from ..plans.pipeline import CentroidModel, Config
+from ..plans.pipeline import CentroidModel, Config, plans_of
 from ..session import materialize
 
 _TABLES = ("factors", "sums", "vocabulary", "topic_norms")
@@ -34,7 +33,7 @@ def save_model(model: CentroidModel, path: str) -> None:
         "profile": cfg.profile, "stop_words": list(cfg.stop_words), "df_scope": cfg.df_scope,
         "exact": cfg.exact, "max_broadcast_rows": cfg.max_broadcast_rows,
         "max_broadcast_bytes": cfg.max_broadcast_bytes, "order": list(cfg.order), "rebalance": cfg.rebalance,
-        "max_token_length": cfg.max_token_length,
+        "max_token_length": cfg.max_token_length, "task_rows": cfg.task_rows,
     }
     spark = model.factors.sparkSession
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
@@ -47,12 +46,12 @@ def load_model(spark: SparkSession, path: str, keep: str = "persist") -> Centroi
     cfg = Config(profile=meta["profile"], stop_words=tuple(meta["stop_words"]), df_scope=meta["df_scope"],
                  exact=meta["exact"], max_broadcast_rows=meta["max_broadcast_rows"],
                  max_broadcast_bytes=meta["max_broadcast_bytes"], order=tuple(meta["order"]),
-                 rebalance=meta["rebalance"], max_token_length=meta["max_token_length"], keep=keep)
+                 rebalance=meta["rebalance"], max_token_length=meta["max_token_length"],
+                 task_rows=meta["task_rows"], keep=keep)
     tables = {name: spark.read.parquet(f"{base}/{name}") for name in _TABLES}
     factors, sums = materialize(tables["factors"], keep), materialize(tables["sums"], keep)
     n_topics = int(meta["n_topics"])
-    plan = split_plan_of(*C.term_table_sizes(factors, sums, n_topics), cfg.max_broadcast_bytes)
-    table = C.term_table(factors, sums)
     tnorms = tables["topic_norms"].select("topic", F.col("n2"))
     return CentroidModel(int(meta["n_docs"]), factors, sums, tables["vocabulary"],
-                         tnorms, table, n_topics, meta["default_topic"], plan, cfg, [factors, sums])
+                         tnorms, C.score_table(factors, sums), n_topics, meta["default_topic"],
+                         *plans_of(factors, sums, cfg), cfg, [factors, sums])

@@ -51,7 +51,8 @@ def test_scaling_a_centroid_keeps_predictions(run):
     """Cosine ignores scale: ranking with the mean centroid (sw / n_train)
     picks the topics the exact sums picked."""
     cents = run.model.centroids().select("topic", "term", "w")
-    vec = run.scored.weighted.select("doc_id", "term", F.col("w").alias("dw"))
+    postings = run.prepared.term_freq().where(F.col("split") == "TEST")
+    vec = run.model.weigh(postings).select("doc_id", "term", F.col("w").alias("dw"))
     dots = vec.join(cents, "term").groupBy("doc_id", "topic").agg(F.sum(F.col("dw") * F.col("w")).alias("dot"))
     cn = cents.groupBy("topic").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("cn"))
     ranked = dots.join(cn, "topic").withColumn("s", F.col("dot") / F.col("cn"))

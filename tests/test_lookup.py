@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from protoclass.operators.lookup import ROW_OVERHEAD, plan_split, skew_safe_join, string_bytes
+from protoclass.operators.lookup import (DEFAULT_TASK_ROWS, SALT_ROW_BYTES, plan_split, salted_sides, skew_safe_join,
+                                         split_plan_of, string_bytes)
 
 
 def _data(spark):
@@ -23,13 +25,11 @@ def row_bytes():
 def test_plan_bounds_broadcast_bytes(spark):
     facts, table = _data(spark)
     budget = 50 * 40
-    plan = plan_split(table, "df", row_bytes(), max_broadcast_bytes=budget)
-    assert plan.n_keys == 701 and plan.total_freq == 9000 and plan.theta > 1
-    hot = table.where(F.col("df") >= plan.theta)
-    n_hot = hot.count()
-    assert n_hot <= plan.total_freq / plan.theta
-    hot_bytes = hot.agg(F.sum(row_bytes() + F.lit(ROW_OVERHEAD))).first()[0] or 0
-    assert hot_bytes <= budget
+    plan = plan_split(table, "df", row_bytes(), max_broadcast_bytes=budget, task_rows=10)
+    assert plan.total_freq == 9000 and not plan.broadcast_all and plan.task_rows > 10
+    assert table.where(F.col("df") > plan.task_rows).count() * SALT_ROW_BYTES <= budget
+    # the task's budget does not grow with the table's rows or their number of topics
+    assert split_plan_of(10**9, 10**12).task_rows == DEFAULT_TASK_ROWS
 
 
 def test_whole_table_broadcast_when_it_fits(spark):
@@ -39,22 +39,19 @@ def test_whole_table_broadcast_when_it_fits(spark):
 
 def test_split_join_equals_plain_join(spark):
     facts, table = _data(spark)
-    plain = sorted(tuple(r) for r in facts.join(table, "term").collect())
-    for budget in (1 << 30, 50 * 40, 100):
-        joined = skew_safe_join(facts, table, key="term", freq="df", row_bytes=row_bytes(), max_broadcast_bytes=budget)
-        got = sorted(tuple(r) for r in joined.select(*facts.columns, "df", "payload").collect())
-        assert got == plain
-
-
-def test_split_join_plan_has_both_paths(spark):
-    facts, table = _data(spark)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit broadcasts
-    try:
-        joined = skew_safe_join(facts, table, key="term", freq="df", row_bytes=row_bytes(), max_broadcast_bytes=50 * 40)
-        joined.count()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in plan                       # hot keys, map-side
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan  # cold keys, shuffled
+    for several in (table, table.withColumn("topic", F.explode(F.array(*map(F.lit, "abc"))))):
+        plain = sorted(tuple(r) for r in facts.join(several, "term").select(*facts.columns, *several.columns[1:]).collect())
+        for budget, rows in ((1 << 30, 100), (50 * 40, 100), (20_000, 5), (100, 7)):
+            joined = skew_safe_join(facts, several, key="term", freq="df", row_bytes=row_bytes(), max_broadcast_bytes=budget, task_rows=rows)
+            assert sorted(tuple(r) for r in joined.select(*facts.columns, *several.columns[1:]).collect()) == plain
+
+
+@pytest.mark.parametrize("topics", [7, 1000])
+def test_a_term_of_every_document_is_spread(spark, topics):
+    facts = spark.range(0, 20_000).select(F.lit("everywhere").alias("term"), F.col("id").alias("doc_id"))
+    table = spark.range(topics).select(F.lit("everywhere").alias("term"), F.lit(20_000).cast("bigint").alias("df"), F.concat(F.lit("topic name "), "id").alias("topic"))
+    plan = split_plan_of(20_000, 1 << 40, task_rows=1000)
+    dealt, repeated = salted_sides(facts, table, "term", "df", plan)
+    most = dealt.groupBy("term", "_salt").count().agg(F.max("count"), F.count("*")).first()
+    assert most[1] == 20 and most[0] < 1.25 * plan.task_rows
+    assert repeated.count() == 20 * topics

@@ -39,7 +39,7 @@ def main(argv):
         "similarities": scored.sims,
         "predictions": preds,
     }
-    print(f"split plan of the term table: {model.plan}")
+    print(f"split plans: factors {model.factor_plan}, score table {model.score_plan}")
     for name, df in stages.items():
         print("=" * 100)
         print(name)
