@@ -325,12 +325,12 @@ def _sorted_buckets(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
 
 
 def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(signatures, records, found). Records: rec, m (documents), least (the
-    first document: doc_id, text_hash). Found: rec, root, links, from every
+    """(signatures, records, found). Records: rec, m (documents), id (the least,
+    null if all are), least (the first document: doc_id, text_hash). Found: rec, root, links, from every
     bucket where the record has a link; the roots span the classes."""
     sigs = written(signatures(docs, runs_for(recall, similarity, DEPTH), similarity), "paths-signatures")
     records = sigs.filter("rec is not null").groupBy("rec").agg(
-        F.count("*").alias("m"), F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("tree").alias("tree"))
+        F.count("*").alias("m"), F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("tree").alias("tree"))
     records = written(records, "paths-records")
     of_record = _leaves(records.select("rec", "tree")).groupBy("rec").agg(F.sort_array(F.collect_list(F.struct("key", "c"))).alias("leaves")).withColumnRenamed("rec", "_rec")
     members = records.select("rec", "n", "m", "sketch").join(of_record, F.col("rec") == F.col("_rec")).drop("_rec")
@@ -412,10 +412,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     counts = found.groupBy("rec").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rec").alias("u"), F.col("root").alias("v")))
     linked = counts.join(roots.withColumnRenamed("rec", "_rec"), F.col("rec") == F.col("_rec")).select(F.col("rec").alias("_rec"), "links", "root")
-    whole = records.select("rec", "m", "least").join(linked, F.col("rec") == F.col("_rec"), "left").select(
-        "rec", "m", "least", F.coalesce("root", "rec").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"))
+    whole = records.select("rec", "m", "id").join(linked, F.col("rec") == F.col("_rec"), "left").select(
+        "rec", "id", F.coalesce("root", "rec").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"))
     whole = written(whole, "paths-classes")
-    least = whole.groupBy("root").agg(F.min("least.doc_id").alias("class_id")).withColumnRenamed("root", "_root")
+    least = whole.groupBy("root").agg(F.min("id").alias("class_id")).withColumnRenamed("root", "_root")
     of_record = whole.join(least, F.col("root") == F.col("_root")).select(F.col("rec").alias("_rec"), "class_id", "n_links", "root")
     out = sigs.select("doc_id", "text_hash", "rec").join(of_record, F.col("rec") == F.col("_rec"), "left")
     return out.select("doc_id", "text_hash", F.when(F.col("rec").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
