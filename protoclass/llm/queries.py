@@ -11,11 +11,13 @@ from protoclass.llm.secret_scan import op7_secret_scan
 from protoclass.llm.source_mix import op3_source_mix
 from protoclass.llm.spaced_seeds import OP6_SQL, op6_spaced_seeds
 from protoclass.llm.token_files import op1_token_ids
+from protoclass.llm.unit_dedup import op4_unit_dedup
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mix": op3_source_mix,
+    "op4_unit_dedup": op4_unit_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_spaced_seeds": op6_spaced_seeds,
     "op7_secret_scan": op7_secret_scan,
