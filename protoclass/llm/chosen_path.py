@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORDS, broadcast_if_small, packed, same, table, written
+from protoclass.llm.common import CACHES, WORDS, broadcast_if_small, in_worker, packed, same, table, written
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -70,7 +70,7 @@ class _Hashes(dict):
     """Word to 64-bit hash; bounded."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word)
         self[word] = h
@@ -78,6 +78,7 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+CACHES["chosen_path"] = _HASHES.clear
 
 
 def token_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -291,7 +292,7 @@ def signatures(docs: DataFrame, runs: int, similarity: float = SIMILARITY) -> Da
 
     text = F.col("text").cast("string")
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, text_hash bigint, rec binary, n bigint, sketch binary, tree array<struct<k: bigint, kids: array<bigint>>>")
+    return narrow.mapInArrow(in_worker("chosen_path", run), "doc_id bigint, text_hash bigint, rec binary, n bigint, sketch binary, tree array<struct<k: bigint, kids: array<bigint>>>")
 
 
 def _leaves(records: DataFrame) -> DataFrame:
@@ -321,7 +322,7 @@ def _bucket_rows(members: DataFrame) -> DataFrame:
 
 
 def _sorted_buckets(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
-    return rows.repartition("key", "tile").sortWithinPartitions("key", "tile", "rec").mapInArrow(run, schema)
+    return rows.repartition("key", "tile").sortWithinPartitions("key", "tile", "rec").mapInArrow(in_worker("chosen_path", run), schema)
 
 
 def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame, DataFrame]:

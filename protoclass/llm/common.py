@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,25 @@ def same(left: Iterable[Column], right: Iterable[Column]) -> Column:
     return out
 
 
+#: How to empty each operator's cache in this Python worker.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def in_worker(name: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``. Spark hands a worker from one operator to the
+    next: what others have cached in it goes first, and what Arrow has pooled
+    goes back in the end."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other, empty in CACHES.items():
+            if other != name:
+                empty()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def packed(docs: DataFrame, **keys: Column) -> DataFrame:
     """All columns of ``docs`` in one struct ``row``, beside key columns: names
     of theirs can't clash with what an operator adds. ``select("row.*")`` undoes it."""
@@ -96,7 +115,7 @@ def prefix_sums(df: DataFrame, group: list[str], order: list[Column], value: str
                 [*b.columns, pa.array(before), pa.array(np.full(len(v), part, np.int64))],
                 names=[*b.schema.names, "_before", "_part"])
 
-    placed = written(ranged.mapInArrow(run, f"{schema}, _before bigint, _part bigint"), name)
+    placed = written(ranged.mapInArrow(in_worker("prefix_sums", run), f"{schema}, _before bigint, _part bigint"), name)
     totals = placed.groupBy(*group, "_part").agg(F.sum(value).alias("_sum"))
     w = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_part").alias("_p"),

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORDS, table
+from protoclass.llm.common import CACHES, WORDS, in_worker, table
 
 #: Most labelled rows learnt from.
 TRAIN_ROWS = 12_000
@@ -63,6 +63,7 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+CACHES["factorization"] = _HASHES.clear
 
 
 def _share(a: float, n: float) -> float:
@@ -183,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
                  pa.array([v.astype("<f4").tobytes() for _, v in made], pa.binary())], names=["doc_id", "label", "index", "value"])
 
     chosen = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_label")
-    learnt = chosen.mapInArrow(run, "doc_id bigint, label int, index binary, value binary")
+    learnt = chosen.mapInArrow(in_worker("factorization", run), "doc_id bigint, label int, index binary, value binary")
     # Copies of an id can make the join longer than the sample: the bound holds for what comes here, too.
     rows = learnt.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id", "label", F.xxhash64("index", "value")).limit(most).collect()
     made = [(np.frombuffer(r["index"], "<u4").astype(np.int64), np.frombuffer(r["value"], "<f4").astype(np.float64)) for r in rows]
@@ -215,7 +216,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(fold(F.col("doc_id").cast("bigint")) == HELD_FOLD, F.lit(False)).alias("held_out"),
                          F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return narrow.mapInArrow(in_worker("factorization", run), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

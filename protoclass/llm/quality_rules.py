@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORDS, broadcast_if_small, packed, same, table, written
+from protoclass.llm.common import WORDS, broadcast_if_small, in_worker, packed, same, table, written
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -137,7 +137,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     narrow = narrow.withColumn("row_hash", F.xxhash64("doc_id", "text", "lang", "source"))
     schema = ("doc_id bigint, lang string, source string, row_hash bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
               + ", " + ", ".join(f"v{i} double" for i in range(P)))
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(in_worker("quality_rules", run), schema)
 
 
 # --- chi-square in closed form (even degrees of freedom) -------------------

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORD_PATTERN, broadcast_if_small, packed, prefix_sums, same, table, written
+from protoclass.llm.common import WORD_PATTERN, broadcast_if_small, in_worker, packed, prefix_sums, same, shuffle_partitions, table, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -89,25 +89,30 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     root = quotas.groupBy().agg(F.sort_array(F.collect_list(F.struct("k", "quota"))).alias("q")).select(
         F.lit(0).alias("low"), F.lit(shards).alias("high"), F.col("q.quota").alias("counts"), F.transform("q.quota", lambda x: F.lit(0).cast("bigint")).alias("before"))
 
-    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                low, high = row["low"], row["high"]
-                if high - low == 1:
-                    yield pa.RecordBatch.from_pylist([row], schema=_NODES)
-                    continue
-                counts, before = np.array(row["counts"], np.int64), np.array(row["before"], np.int64)
-                mid = (low + high) // 2
-                # Shards differ by a block at most.
-                total = int(counts.sum())
-                first = _splits(total * (mid - low) // (high - low), counts, [seed, low, high])
-                yield pa.RecordBatch.from_pylist([
-                    {"low": low, "high": mid, "counts": first, "before": before},
-                    {"low": mid, "high": high, "counts": counts - first, "before": before + first}], schema=_NODES)
-
-    nodes = root
-    for _ in range(max(0, (shards - 1).bit_length())):
-        nodes = nodes.mapInArrow(halve, "low int, high int, counts array<bigint>, before array<bigint>")
+    def grow(most: int):
+        """Splits every node until it spans at most ``most`` shards."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                open_ = b.to_pylist()
+                while open_:
+                    row = open_.pop()
+                    low, high = row["low"], row["high"]
+                    if high - low <= most:
+                        yield pa.RecordBatch.from_pylist([row], schema=_NODES)
+                        continue
+                    counts, before = np.array(row["counts"], np.int64), np.array(row["before"], np.int64)
+                    mid = (low + high) // 2
+                    # Shards differ by a block at most.
+                    first = _splits(int(counts.sum()) * (mid - low) // (high - low), counts, [seed, low, high])
+                    open_.append({"low": low, "high": mid, "counts": first, "before": before})
+                    open_.append({"low": mid, "high": high, "counts": counts - first, "before": before + first})
+
+        return in_worker("source_mix", run)
+
+    # The upper half of the tree in one task, the subtrees below it in many.
+    nodes, schema = root, "low int, high int, counts array<bigint>, before array<bigint>"
+    nodes = nodes.mapInArrow(grow(max(1, round(shards**0.5))), schema)
+    nodes = nodes.repartition(shuffle_partitions(quotas.sparkSession), "low").mapInArrow(grow(1), schema)
     pair = F.explode(F.arrays_zip("counts", "before", F.sequence(F.lit(0), F.size("counts") - 1).alias("k")))
     leaves = nodes.filter(F.size("counts") > 0).select(F.col("low").alias("shard"), pair.alias("e"))
     return leaves.select("shard", F.col("e.k").alias("k"), F.col("e.counts").alias("n"), F.col("e.before").alias("before")).filter("n > 0")

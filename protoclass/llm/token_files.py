@@ -28,13 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import shuffle_partitions, table
+from protoclass.llm.common import CACHES, in_worker, shuffle_partitions, table
 from protoclass.session import scratch_path
 
 SEGMENT_IDS = 1 << 18
 END_ID = 2
-#: Cached words a Python worker keeps; beyond them the cache starts anew.
-CACHE_WORDS = 1_000_000
+#: Words in the young half of a Python worker's cache. When it is full, it
+#: becomes the old half, from which words that are met again come back.
+CACHE_WORDS = 300_000
+#: Texts taken out of an Arrow batch at a time.
+ROWS_AT_ONCE = 256
 CACHE_WORD_CHARS = 64
 CACHE_MARKS = 10_000
 
@@ -77,8 +80,15 @@ class _Words(dict):
         self.letters = _byte_letters()
         self.lead_letters = lead.translate(self.letters)
         self.marks = _Marks(tokenizer)
+        self.old: dict[str, bytes | None] = {}
 
     def __missing__(self, word: str) -> bytes | None:
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        if word in self.old:
+            ids = self[word] = self.old[word]
+            return ids
         body = word.rstrip(string.punctuation)
         if body.isalpha() and (body.isascii() or max(body) < "\u0250"):
             if body != word:
@@ -89,8 +99,6 @@ class _Words(dict):
             ids = None
         else:
             ids = _ids(self.tokenizer, self.lead + word)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         if len(word) <= CACHE_WORD_CHARS:
             self[word] = ids
         return ids
@@ -141,6 +149,9 @@ def _ids(tokenizer, text: str) -> bytes:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+CACHES["token_files"] = _ENCODERS.clear
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder; kept between tasks because loading takes time."""
     if path not in _ENCODERS:
@@ -166,11 +177,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 {"shard": [shard], "segment": [segment], "shard_start": [start], "n_ids": [held], "doc_ids": [doc_ids],
                  "payload": [simple8b.to_bytes(np.concatenate(ids), lengths)]}, schema=_SEGMENTS)
 
-        for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            names = b.column("doc_id").to_pylist()
-            for doc_id, text in zip(names, texts, strict=True):
-                row = enc.encode(text)
+        for b in (b.slice(a, ROWS_AT_ONCE) for b in batches for a in range(0, b.num_rows, ROWS_AT_ONCE)):
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                row = enc.encode(text or "")
                 ids.append(np.concatenate((row, end)))
                 doc_ids.append(doc_id)
                 held += len(row) + 1
@@ -184,7 +193,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     ranged = narrow.repartitionByRange(shuffle_partitions(spark), *order[:2]).sortWithinPartitions(*order)
-    ranged.mapInArrow(run, SEGMENTS).write.parquet(path)
+    ranged.mapInArrow(in_worker("token_files", run), SEGMENTS).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -226,7 +235,7 @@ def _read(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     ddl = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, shard int" + ", ids array<bigint>" * with_ids
-    return joined.select("shard", "shard_start", "_base", "doc_ids", "payload").mapInArrow(run, ddl)
+    return joined.select("shard", "shard_start", "_base", "doc_ids", "payload").mapInArrow(in_worker("token_files", run), ddl)
 
 
 def token_ids(docs: DataFrame, tokenizer: str | None = None, path: str | None = None) -> DataFrame:
