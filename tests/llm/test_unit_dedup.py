@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 from helpers import clashing, documents, prose
@@ -69,3 +70,53 @@ def test_query_on_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {r.doc_id: r.spans for r in QUERIES["op4_unit_dedup"](spark, SF).collect()}
     assert got == {d: ",".join(f"{a}:{z}" for a, z in s) for d, s in brute(rows).items()}
+
+
+def plain(rows, least=8):
+    """{doc_id: removed spans}, read without the operator's own cutting: repeated lines, and sentences of ``least`` words."""
+    seen, out = set(), defaultdict(set)
+    for doc_id, text in sorted(rows):
+        for line in re.finditer(r"[^\n]+", text or ""):
+            inner = list(re.finditer(r"\S(?:.*?[.!?](?=\s)|.*)", line[0]))
+            whole = " ".join(line[0].lower().split())
+            if not whole:
+                continue
+            keys = {whole: inner} if len(inner) == 1 else {whole: inner} | {" ".join(m[0].lower().split()): [m] for m in inner if len(m[0].split()) >= least}
+            for key, parts in keys.items():
+                if key in seen:
+                    out[doc_id].update((line.start() + m.start(), line.start() + m.end()) for m in parts)
+                seen.add(key)
+    return {d: sorted(s) for d, s in out.items()}
+
+
+def words_left(text, removed):
+    return "".join(_cut(text, removed)).split() + text[removed[-1][1] if removed else 0 :].split()
+
+
+def test_short_and_mixed_lines_go_whole(spark):
+    nine = "one two three four five six seven. Eight nine."
+    short = "Yes. No. Perhaps so."
+    rows = [(1, f"{nine}\nfirst of them\n{short}"), (2, f"second one here\n  {nine.upper()}\n{short}\n\n"), (3, f"x {nine}\nthird\nfirst  of them")]
+    got = spans(by_document(documents(spark, rows)))
+    assert {d: words_left(dict(rows)[d], s) for d, s in got.items()} == {2: ["second", "one", "here"], 3: ["x", *nine.split(), "third"]}
+
+
+def test_whole_table_against_plain_reading(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: r.spans for r in QUERIES["op4_unit_dedup"](spark, SF).collect()}
+    at = {d: [tuple(map(int, x.split(":"))) for x in s.split(",")] for d, s in got.items()}
+    want = plain(rows)
+    assert at.keys() == want.keys()
+    texts = dict(rows)
+    for d in want:
+        assert {i for a, z in at[d] for i in range(a, z) if not texts[d][i].isspace()} == {i for a, z in want[d] for i in range(a, z) if not texts[d][i].isspace()}, d
+    # No line that stood before stays in any word.
+    seen = set()
+    for d, text in sorted(rows):
+        gone = {i for a, z in at.get(d, ()) for i in range(a, z)}
+        for line in re.finditer(r"[^\n]+", text or ""):
+            key = " ".join(line[0].lower().split())
+            if key and key in seen:
+                assert all(i in gone or text[i].isspace() for i in range(*line.span()))
+            seen.add(key)
