@@ -68,7 +68,7 @@ NAMES = [
     ("psf", r"python\s+software\s+foundation\s+licen[sc]e" + _NUMBER, "python"),
     ("php", r"php\s+licen[sc]e" + _NUMBER, "php"),
     ("ofl", r"(?:sil\s+)?open\s+font\s+licen[sc]e" + _NUMBER, "font"),
-    ("odbl", r"(?:open\s+database\s+licen[sc]e|odbl)" + _NUMBER, "od" ),
+    ("odbl", r"(?:open\s+database\s+licen[sc]e|odbl)" + _NUMBER, "d"),
     ("cc0", r"(?:cc0|creative\s+commons\s+zero)(?:\s+\d\.\d)?(?:\s+universal)?", "c"),
     ("cc-by-nc-sa", r"(?:cc|creative\s+commons)[\s-]+(?:by[\s-]+nc[\s-]+sa|attribution[\s-]+non-?commercial[\s-]+share-?alike)(?:\s+\d\.\d)?", "c"),
     ("cc-by-nc-nd", r"(?:cc|creative\s+commons)[\s-]+(?:by[\s-]+nc[\s-]+nd|attribution[\s-]+non-?commercial[\s-]+no-?deriv\w*)(?:\s+\d\.\d)?", "c"),
@@ -88,26 +88,27 @@ FORMS = [
     (54, 0.9, r"licen[sc]e\s*[:=]\s*(?:the\s+)?{}", "licen"),
     (40, 0.7, r"(?<![a-z0-9]){}(?![a-z0-9])", ""),
 ]
-# Hand-written rules of their own: label, priority, weight, pattern, keywords.
+# Hand-written rules of their own: label, priority, weight, pattern, keywords
+# (single words, one of which is in every match, however it is wrapped).
 SIGNATURES = [
     ("spdx", 90, 1.0, r"spdx-license-identifier:\s*\(?[a-z0-9.+-]+(?:\s+(?:and|or|with)\s+[a-z0-9.+-]+)*\)?", ("spdx",)),
-    ("mit", 80, 1.0, r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy", ("hereby granted",)),
-    ("isc", 80, 1.0, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose", ("permission to use",)),
-    ("bsd", 80, 1.0, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", ("redistribution and use",)),
-    ("bsd-3-clause", 81, 1.0, r"neither\s+the\s+name\s+of\s+.{1,120}?\s+nor\s+the\s+names\s+of\s+its\s+contributors", ("neither the name",)),
-    ("gpl", 78, 0.95, r"this\s+program\s+is\s+free\s+software[;:,]\s+you\s+can\s+redistribute\s+it", ("free software",)),
+    ("mit", 80, 1.0, r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy", ("hereby",)),
+    ("isc", 80, 1.0, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose", ("permission",)),
+    ("bsd", 80, 1.0, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", ("redistribution",)),
+    ("bsd-3-clause", 81, 1.0, r"neither\s+the\s+name\s+of\s+.{1,120}?\s+nor\s+the\s+names\s+of\s+its\s+contributors", ("contributors",)),
+    ("gpl", 78, 0.95, r"this\s+program\s+is\s+free\s+software[;:,]\s+you\s+can\s+redistribute\s+it", ("redistribute",)),
     ("unlicense", 78, 1.0, r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain", ("unencumbered",)),
-    ("warranty", 50, 0.7, r"without\s+warrant(?:y|ies)\s+(?:or\s+conditions\s+)?of\s+any\s+kind", ("without warrant",)),
-    ("warranty", 50, 0.7, r"(?:the\s+software\s+is\s+)?provided\s+[\"'“”]?as\s+is[\"'“”]?", ("as is",)),
-    ("warranty", 50, 0.6, r"in\s+no\s+event\s+shall\s+the\s+(?:authors|copyright\s+holders?)", ("in no event",)),
+    ("warranty", 50, 0.7, r"without\s+warrant(?:y|ies)\s+(?:or\s+conditions\s+)?of\s+any\s+kind", ("warrant",)),
+    ("warranty", 50, 0.7, r"(?:the\s+software\s+is\s+)?provided\s+[\"'“”]?as\s+is[\"'“”]?", ("provided",)),
+    ("warranty", 50, 0.6, r"in\s+no\s+event\s+shall\s+the\s+(?:authors|copyright\s+holders?)", ("event",)),
     ("copyright", 45, 0.6, r"copyright\s+(?:\(c\)|©|&copy;)?\s*(?:19|20)\d\d(?:\s*[-,–]\s*(?:19|20)?\d\d)*", ("copyright",)),
     ("copyright", 45, 0.6, r"(?:\(c\)|©)\s*(?:copyright\s+)?(?:19|20)\d\d(?:\s*[-,–]\s*(?:19|20)?\d\d)*", ("(c)", "©")),
     ("reserved", 44, 0.5, r"all\s+rights\s+(?:are\s+)?reserved", ("rights",)),
     ("reserved", 44, 0.5, r"(?:some|no)\s+rights\s+reserved", ("rights",)),
     ("reserved", 44, 0.5, r"(?:alle\s+rechte\s+vorbehalten|tous\s+droits\s+réservés|todos\s+los\s+derechos\s+reservados)", ("rechte", "droits", "derechos")),
-    ("proprietary", 46, 0.6, r"(?:confidential\s+and\s+proprietary|proprietary\s+and\s+confidential|may\s+not\s+be\s+(?:copied|reproduced|redistributed))", ("proprietary", "may not be")),
-    ("public-domain", 48, 0.8, r"(?:in(?:to)?|to)\s+the\s+public\s+domain", ("public domain",)),
-    ("public-domain", 48, 0.8, r"public\s+domain\s+(?:dedication|mark)", ("public domain",)),
+    ("proprietary", 46, 0.6, r"(?:confidential\s+and\s+proprietary|proprietary\s+and\s+confidential|may\s+not\s+be\s+(?:copied|reproduced|redistributed))", ("proprietary", "copied", "reproduced", "redistributed")),
+    ("public-domain", 48, 0.8, r"(?:in(?:to)?|to)\s+the\s+public\s+domain", ("domain",)),
+    ("public-domain", 48, 0.8, r"public\s+domain\s+(?:dedication|mark)", ("domain",)),
     ("cc", 70, 0.95, r"creativecommons\.org/(?:licenses|publicdomain)/[a-z0-9/.+-]+", ("creativecommons.org",)),
     ("apache-2.0", 70, 0.95, r"(?:www\.)?apache\.org/licenses/license-2\.0", ("apache.org",)),
     ("gpl", 70, 0.95, r"(?:www\.)?gnu\.org/licenses/?[a-z0-9/.+-]*", ("gnu.org",)),
@@ -126,10 +127,10 @@ def _rules() -> list[Rule]:
 
 
 RULES = _rules()
-#: No rule can match a text that has none of these.
-_GATE = re.compile(r"licen[sc]|copyright|©|\(c\)|rights|rechte|droits|derechos|public domain|creative\s?commons|creativecommons|apache\.org|gnu\.org|opensource\.org"
-                   r"|gpl|bsd|mozilla|mpl|wtfpl|cddl|eupl|odbl|gfdl|cc0|spdx|hereby granted|permission to use|redistribut|neither the name|unencumbered"
-                   r"|without warrant|as is|in no event|proprietary|may not be|free software|cc[\s-]+by")
+#: No rule can match a text that has none of these, with any white space in them.
+_GATE = re.compile(r"licen[sc]|copyright|©|\(c\)|rights|rechte|droits|derechos|public\s+domain|creative\s+commons|creativecommons|apache\.org|gnu\.org|opensource\.org"
+                   r"|gpl|bsd|mozilla|mpl|wtfpl|cddl|eupl|odbl|gfdl|cc0|spdx|hereby\s+granted|permission\s+to\s+use|redistribut|neither\s+the\s+name|unencumbered"
+                   r"|without\s+warrant|as\s+is|in\s+no\s+event|proprietary|may\s+not\s+be|free\s+software|cc[\s-]+(?:by|attribution)")
 
 
 @dataclass(frozen=True)

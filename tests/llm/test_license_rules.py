@@ -1,7 +1,11 @@
+import random
 import re
+from dataclasses import replace
+from re import _parser
 
 from helpers import clashing, documents, prose
 
+from protoclass.llm import license_rules
 from protoclass.llm.license_rules import RULES, detections, license_scan, scan
 from protoclass.llm.queries import QUERIES
 
@@ -59,3 +63,40 @@ def test_query_against_brute_force(spark):
     for d in docs:
         r = rows[d.doc_id]
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(d.text)
+
+
+def written_out(parsed, rng):
+    """A text that a parsed pattern accepts, with white space of any kind and number."""
+    out = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out.append(chr(arg))
+        elif op == "ANY":
+            out.append(rng.choice("ab "))
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            made = {"LITERAL": lambda v: chr(v), "RANGE": lambda v: chr(rng.randint(*v)), "CATEGORY": lambda v: {"CATEGORY_SPACE": rng.choice(" \n\t\xa0"), "CATEGORY_DIGIT": "2", "CATEGORY_WORD": "x"}[str(v)]}
+            out.append(made[str(kind)](value))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            out += [written_out(inner, rng) for _ in range(rng.randint(low, min(int(high), low + 2)))]
+        elif op == "SUBPATTERN":
+            out.append(written_out(arg[-1], rng))
+        elif op == "BRANCH":
+            out.append(written_out(rng.choice(arg[1]), rng))
+        else:
+            assert op == "ASSERT_NOT", op
+    return "".join(out)
+
+
+def test_no_prefilter_loses_a_match_of_any_rule(monkeypatch):
+    rng = random.Random(7)
+    texts = [(rule, f"— {written_out(_parser.parse(rule.pattern.pattern, re.S), rng)} —") for rule in RULES for _ in range(30)]
+    assert all(rule.pattern.search(t) for rule, t in texts)
+    wrapped = ["open database license", "in  no\nevent shall the authors", "redistribution and\nuse in source and binary forms", "provided as\n is", "into the public\ndomain", "cc attribution-sharealike 4.0"]
+    cases = [t for _, t in texts] + wrapped
+    got = [detections(t) for t in cases]
+    monkeypatch.setattr(license_rules, "RULES", [replace(r, keywords=("",)) for r in RULES])
+    monkeypatch.setattr(license_rules, "_GATE", re.compile(""))
+    assert got == [detections(t) for t in cases] and all(got)
