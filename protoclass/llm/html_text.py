@@ -2,8 +2,11 @@
 
 A page is cut into blocks where a browser would start a new line. Blocks inside
 elements that never hold article text (menus, headers, footers, sidebars,
-forms, scripts ... by element name, ARIA role, or words of class and id) get
-length zero; every other block counts its characters. Over the remaining
+forms, scripts ... by element name, ARIA role, or names in class and id) get
+length zero; every other block counts its characters. A form, class or id does
+not count where it is around more than half of the page's longest article (or
+of its longest ``main``; or of all text, in two blocks or more, if the page has
+neither). Over the remaining
 sequence the lengths are summed in windows of ``WINDOW`` lines; a rise of the
 sums that reaches the surge level opens a run at its first line, sums that dive
 to nothing close it, and the text of the runs is the main text. A page's
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +46,18 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Their content is no mark-up: it ends at the first closing tag.
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 #: No article text in these.
-OUTSIDE = frozenset("head nav header footer aside form menu script style noscript template title textarea select option button svg math iframe object canvas audio video dialog".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar alert alertdialog dialog".split())
-#: Words of class and id that mark what is not the article.
+OUTSIDE = frozenset("head nav header footer aside menu script style noscript template title textarea select option button svg math iframe object canvas audio video dialog".split())
+ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar alert alertdialog dialog".split())
+#: Names in class and id that mark what is not the article, alone or with words of PLACES.
 MARKS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promoted banner banners
 nav navbar navigation menu menus breadcrumb breadcrumbs pager pagination sidebar sidebars aside rail widget widgets related recommended
 header masthead topbar footer colophon copyright cookie cookies consent gdpr notice notices alert popup modal overlay subscribe newsletter
 signup login form search share sharing social comment comments commentlist reply replies disqus responses toc skip hidden""".split())
+PLACES = frozenset("""top bottom left right main site page global primary secondary inner outer wrap wrapper container box block area section
+list item items bar panel link links button buttons icon icons post entry article story""".split())
+#: Of an article's own parts, these are the article's.
+OWN_PARTS = frozenset({"post", "entry", "article", "story"})
+OWN_MARKS = frozenset({"header", "masthead"})
 #: An article may open with its own header: these are kept inside one.
 ARTICLE_OWN = frozenset({"header"})
 #: Opening one of these closes an open paragraph.
@@ -62,40 +71,53 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("name", "outside", "main")
+    """state: (hidden from the text, number of the innermost mark around it,
+    numbers of the outermost article and main around it; 0 is none)."""
 
-    def __init__(self, name: str, outside: bool, main: bool):
-        self.name, self.outside, self.main = name, outside, main
+    __slots__ = ("name", "state")
+
+    def __init__(self, name: str, state: tuple[bool, int, int, int]):
+        self.name, self.state = name, state
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): _html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text and not text.isspace() else {}
 
 
-def _marked(name: str, attributes: dict[str, str]) -> bool:
-    if name in ("html", "body"):
-        return False
+def _hidden(attributes: dict[str, str]) -> bool:
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
         return True
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
+    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _marks(name: str) -> bool:
+    """Whether a whole name of class or id is a mark."""
+    words = {w for w in _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()) if len(w) > 1}
+    found = words & MARKS
+    return bool(found) and words <= MARKS | PLACES and not (words & OWN_PARTS and found <= OWN_MARKS)
+
+
+def _marked(name: str, attributes: dict[str, str]) -> bool:
+    if name == "form" or attributes.get("role", "").lower() == "form":
         return True
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(w in MARKS for w in _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()))
+    return any(map(_marks, f"{attributes.get('class', '')} {attributes.get('id', '')}".split()))
 
 
 def blocks(page: str) -> list[tuple[str, bool, bool]]:
     """(text, outside, main) of every block in page order: outside, if an
     element around it is none of the article's; main, if one says it is."""
-    out: list[tuple[str, bool, bool]] = []
-    stack = [_Element("", False, False)]
+    stack = [_Element("", (False, 0, 0, 0))]
     held: list[str] = []
+    found: list[tuple[str, tuple[bool, int, int, int]]] = []
+    around = [0]  # of every mark, the mark around it
+    numbered = 0
 
     def flush() -> None:
         if held:
             text = _SPACE.sub(" ", _html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                out.append((text, stack[-1].outside, stack[-1].main))
+                found.append((text, stack[-1].state))
 
     def close(k: int) -> None:
         flush()
@@ -118,7 +140,7 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
         if m[1]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
-                    if name in BLOCK or any(e.outside != stack[k - 1].outside for e in stack[k:]):
+                    if name in BLOCK or any(e.state != stack[k - 1].state for e in stack[k:]):
                         close(k)
                     else:
                         # An inline end tag closes no block around or behind it.
@@ -152,16 +174,46 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
             continue
         if name in VOID:
             continue
-        top = stack[-1]
-        main = top.main or name in ("article", "main") or "articlebody" in attributes.get("itemprop", "").lower() or attributes.get("role", "").lower() in ("main", "article")
+        top = stack[-1].state
+        hidden, mark, article, main = top
+        role = attributes.get("role", "").lower()
+        numbered += 1
+        if name == "article" or role == "article" or "articlebody" in attributes.get("itemprop", "").lower():
+            article = article or numbered
+        if name == "main" or role == "main":
+            main = main or numbered
         own = name in ARTICLE_OWN and any(e.name == "article" for e in stack)
-        outside = top.outside or (name in OUTSIDE and not own) or _marked(name, attributes) and name not in ("article", "main")
-        if outside != top.outside:
+        hidden = hidden or (name in OUTSIDE and not own) or _hidden(attributes) and name not in ("html", "body", "article", "main")
+        if not hidden and name not in ("html", "body", "article", "main") and _marked(name, attributes):
+            around.append(mark)
+            mark = len(around) - 1
+        state = (hidden, mark, article, main)
+        if state != top:
             flush()
-        if name in BLOCK or name not in ("b", "i", "em", "strong", "span", "a", "u", "small", "font", "code", "sub", "sup", "mark", "cite", "q") or outside != top.outside:
-            stack.append(_Element(name, outside, main))
+        if name in BLOCK or name not in ("b", "i", "em", "strong", "span", "a", "u", "small", "font", "code", "sub", "sup", "mark", "cite", "q") or state != top:
+            stack.append(_Element(name, state))
     flush()
-    return out
+    # Marks count unless they are around most of the article; of a page without
+    # one, around most of its text, in more than one block (one is an ad's).
+    article, main = Counter(), Counter()
+    for text, state in found:
+        if not state[0]:
+            article[state[2]] += len(text)
+            main[state[3]] += len(text)
+    del article[0], main[0]
+    which, target = (2, max(article, key=article.get)) if article else (3, max(main, key=main.get)) if main else (0, False)
+    inside, n_blocks = [0] * len(around), [0] * len(around)
+    for text, state in found:
+        if not state[0] and state[which] == target:
+            inside[state[1]] += len(text)
+            n_blocks[state[1]] += 1
+    for k in range(len(around) - 1, 0, -1):
+        inside[around[k]] += inside[k]
+        n_blocks[around[k]] += n_blocks[k]
+    counts = [False] * len(around)
+    for k in range(1, len(around)):
+        counts[k] = counts[around[k]] or 2 * inside[k] <= inside[0] or not which and n_blocks[k] < 2
+    return [(text, state[0] or counts[state[1]], bool(state[2] or state[3])) for text, state in found]
 
 
 def runs(lengths: np.ndarray, window: int = WINDOW, surge: float = SURGE, share: float = SURGE_SHARE) -> list[tuple[int, int]]:

@@ -4,7 +4,7 @@ import re
 import numpy as np
 from helpers import clashing
 
-from protoclass.llm.html_text import extract_text, main_text, runs
+from protoclass.llm.html_text import blocks, extract_text, main_text, runs
 from protoclass.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -55,3 +55,17 @@ def test_query_against_a_plain_reading(spark):
         parts = [html.unescape(re.sub(r"<[^>]*>", "", x)) for x in re.split(r"</?p>|</?h1>|<br>", article)]
         want = " ".join(x for x in (" ".join(y.split()) for y in parts) if x)
         assert rows[p.page_id].text == want and rows[p.page_id].n_chars == len(want) and rows[p.page_id].url == p.url
+
+
+def test_wrappers_do_not_hide_the_article():
+    article = '<article><div class="entry-header"><h1>Title</h1></div><p>Some text of the article that goes on for a while.</p><div class="ad">buy</div></article>'
+    for wrapper in ('<div class="content has-sidebar">', '<div class="no-sidebar">', '<div class="post share-enabled">', "<form>", '<div id="widget">', '<div role="form"><div class="sidebar">'):
+        for page in (wrapper + article, wrapper + article.replace("article>", "div>"), wrapper + article + '</div></form><div class="comments"><article>A comment.</article></div>'):
+            assert main_text(page) == "Title Some text of the article that goes on for a while.", page
+    assert main_text("<article><form><p>All of the text is in one form.</p></form></article>") == "All of the text is in one form."
+
+
+def test_marks_are_whole_names():
+    hidden = lambda name: blocks(f'<p>{"text " * 20}</p><div class="{name}">x</div>')[-1][1]
+    assert all(map(hidden, ("ad", "cookie-notice", "topMenu", "site-header", "sidebar left", "widget_area", "post-comments", "comment-list")))
+    assert not any(map(hidden, ("has-sidebar", "no-sidebar", "share-enabled", "entry-header", "post-header", "load", "nocomments")))
