@@ -6,12 +6,13 @@ forms, scripts ... by element name, ARIA role, or names in class and id) get
 length zero; every other block counts its characters. A form, class or id does
 not count where it is around more than half of the page's longest article (or
 of its longest ``main``; or of all text, in two blocks or more, if the page has
-neither). Over the remaining
+neither). Over the whole
 sequence the lengths are summed in windows of ``WINDOW`` lines; a rise of the
 sums that reaches the surge level opens a run at its first line, sums that dive
-to nothing close it, and the text of the runs is the main text. A page's
-own mark-up for its article (``article``, ``main``, ``itemprop=articleBody``)
-narrows the sequence first, when it is there, to the lines inside it.
+to nothing close it, and the text of the runs is the main text. A page's own
+mark-up for its article (``article``, ``main``, ``itemprop=articleBody``) only
+checks the runs and widens them: runs without any line of it go, and its lines
+that no run holds are added.
 
 Defined results: null and empty html give an empty text; broken and cut-off
 mark-up is read as far as it goes (an element never closed lasts to the end of
@@ -239,10 +240,12 @@ def runs(lengths: np.ndarray, window: int = WINDOW, surge: float = SURGE, share:
 def main_text(page: str | None) -> str:
     """The main text of a page."""
     lines = blocks(page or "")
-    if any(main and not outside for _, outside, main in lines):
-        lines = [line for line in lines if line[2] and not line[1]]
     lengths = np.array([0 if outside else len(t) for t, outside, _ in lines], np.int64)
-    return " ".join(lines[i][0] for a, z in runs(lengths) for i in range(a, z) if lengths[i])
+    main = np.array([main for _, _, main in lines], bool) & (lengths > 0)
+    taken = np.zeros(len(lines), bool)
+    for a, z in runs(lengths):
+        taken[a:z] = not main.any() or main[a:z].any()
+    return " ".join(lines[i][0] for i in np.flatnonzero((taken | main) & (lengths > 0)))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -69,3 +69,17 @@ def test_marks_are_whole_names():
     hidden = lambda name: blocks(f'<p>{"text " * 20}</p><div class="{name}">x</div>')[-1][1]
     assert all(map(hidden, ("ad", "cookie-notice", "topMenu", "site-header", "sidebar left", "widget_area", "post-comments", "comment-list")))
     assert not any(map(hidden, ("has-sidebar", "no-sidebar", "share-enabled", "entry-header", "post-header", "load", "nocomments")))
+
+
+def test_surge_and_dive_decide_on_pages_with_an_article():
+    long = "A paragraph that goes on for long enough to count as text."
+    away = "<nav>a</nav>" + "".join(f'<div class="ad">{i}</div>' for i in range(4))
+    page = f"<div>{long} Teaser.</div>{away}<div>{long} Lead.</div><article><p>{long}</p>{away}<p>End.</p></article>{away}<div>{long} Other.</div>"
+    # The lead stands in the article's run; the article's short end, in none, is added; runs without the article go.
+    assert main_text(page) == f"{long} Lead. {long} End."
+
+
+def test_given_pages_without_their_article_tags(spark):
+    """The line blocks alone read the same text."""
+    for p in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        assert main_text(re.sub(r"</?article>", "", p.html)) == main_text(p.html)
