@@ -3,9 +3,10 @@
 Base spans come from three fixed patterns. The method adds spans of kind
 ``efficiency``: runs of credential letters that a tiktoken vocabulary needs
 many tokens for (few characters a token), as random strings do and words do
-not. Left out are runs without a digit or a letter (words, plain numbers),
-digests of usual lengths in hexadecimal, UUIDs, identifiers made of words
-joined by marks, names of mail and web hosts, and runs inside a base span.
+not, with or without digits. Left out are runs without a letter (plain numbers),
+digests of usual lengths in hexadecimal, UUIDs, identifiers made of words of
+under ``MIN_RUN`` letters joined by marks, names of mail and web hosts, and runs
+inside a base span.
 
 Defined results: null and empty texts have no span (the digest is that of the
 empty string); overlapping base spans of different kinds all stay; repeated
@@ -29,7 +30,7 @@ from protoclass.llm.common import table
 
 #: Characters per token below which a run counts as random.
 MAX_CHARS_PER_TOKEN = 2.2
-MIN_RUN = 20
+MIN_RUN = 16
 
 # The base patterns, and the least lengths of what they capture.
 ASSIGN_KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -40,11 +41,11 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "efficiency")
 
 _RUN = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_RUN)
-_HAS_BOTH = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.S)
-_DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
+_LETTER = re.compile(r"[A-Za-z]")
+_DIGEST = re.compile(r"(?:[0-9a-f]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
                      r"|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})", re.I)
-#: Words of letters, or numbers, joined by marks: dotted names, paths, slugs.
-_IDENTIFIER = re.compile(r"[._/=+-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8})[._/=+-]+)*(?:(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}|[0-9]{1,8})[._/=+-]*")
+#: Words of letters, too short for a run of their own, or numbers, joined by marks: dotted names, paths, slugs.
+_IDENTIFIER = re.compile(r"[._/=+-]*(?:(?:WORD|[0-9]{1,8})[._/=+-]+)*(?:(?:WORD)[0-9]{0,4}|[0-9]{1,8})[._/=+-]*".replace("WORD", r"[A-Z]?[a-z]{1,%d}|[A-Z]{1,%d}" % (MIN_RUN - 2, MIN_RUN - 1)))
 
 Span = tuple[str, int, int]
 
@@ -90,7 +91,7 @@ def added_spans(text: str, base: list[Span], words: Vocabulary, most: float = MA
     for m in _RUN.finditer(text):
         run = m[0]
         core = run.strip("._=-+/")
-        if (len(core) < MIN_RUN or not _HAS_BOTH.match(core) or _DIGEST.fullmatch(core) or _IDENTIFIER.fullmatch(core)
+        if (len(core) < MIN_RUN or not _LETTER.search(core) or _DIGEST.fullmatch(core) or _IDENTIFIER.fullmatch(core)
                 or any(a <= m.start() and m.end() <= z for _, a, z in base)):
             continue
         if words.chars_per_token(core) < most:

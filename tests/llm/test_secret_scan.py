@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 from helpers import clashing, documents, prose
@@ -64,3 +66,21 @@ def test_query_against_brute_force(spark):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, k, _ in spans) for x in range(3)]
         told = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{z}" for a, k, z in spans)
         assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest() and set(told.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_random_runs_of_letters_and_short_runs():
+    words = vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(3)
+    for alphabet, n in ((string.ascii_lowercase, 32), (string.ascii_letters, 32), (string.ascii_uppercase, 24), (string.ascii_letters + string.digits, 16)):
+        runs = ["".join(rng.choices(alphabet, k=n)) for _ in range(200)]
+        assert sum(added_spans(f"key {x} end", [], words) == [("efficiency", 4, 4 + n)] for x in runs) >= 196, (alphabet, n)
+    for clean in ("internationalization", "getElementsByClassName", "misunderstandings", "a1b2c3d4e5f60718", "1234567890123456", "Verantwortungsbewusstsein", "some/long/path/to/files.txt"):
+        assert added_spans(clean, [], words) == [], clean
+
+
+def test_false_hits_on_clean_prose(spark):
+    """Invented long words come near random strings: fewer than one hit in 10,000 words."""
+    words = vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = [d.text for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    hits = sum(len(added_spans(t, base_spans(t), words)) for t in texts)
+    assert hits * 10_000 < sum(len(t.split()) for t in texts), hits
