@@ -10,8 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from protoclass.session import local_session  # noqa: E402
 
-DOC_SCHEMA = "doc_id bigint, old_id bigint, split string, title string, body string, topics array<string>"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,14 +22,3 @@ def spark():
 def workdir():
     """A fresh scratch folder per test (never reused, never cleared)."""
     return tempfile.mkdtemp(prefix="protoclass-test-")
-
-
-def make_docs(spark, rows):
-    """rows: (doc_id, split, body, topics[, old_id[, title]])."""
-    full = []
-    for r in rows:
-        doc_id, split, body, topics = r[:4]
-        old_id = r[4] if len(r) > 4 else doc_id
-        title = r[5] if len(r) > 5 else ""
-        full.append((doc_id, old_id, split, title, body, topics))
-    return spark.createDataFrame(full, DOC_SCHEMA)

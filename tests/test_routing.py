@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import make_docs
+from corpus_rows import make_docs
 from protoclass.operators import labels as L
 from protoclass.operators import routing as R
 

@@ -6,7 +6,7 @@ import math
 
 import pytest
 
-from conftest import make_docs
+from corpus_rows import make_docs
 from protoclass.plans.pipeline import Config, run_pipeline
 
 BASE = [
