@@ -14,8 +14,11 @@ sizes and 64-bin sketches allow the similarity. Records with such a pair get
 their texts, and the exact Jaccard similarity of the whole sets decides. Tasks
 return per record its number of links and its place in a spanning forest, never
 pairs, so a group of thousands of near copies yields thousands of rows, not
-millions. A bucket beyond ``TILE`` records is cut into tiles that meet two by
-two in different tasks. Components of the forests are the classes.
+millions. A bucket beyond ``BLOCK_RECORDS`` records or ``BLOCK_TOKENS`` tokens is
+cut into blocks by a hash of the record, and the blocks meet two by two (a
+tile) in different tasks: what a task holds at once is two blocks' sets, a
+count for each pair of their records, and ``STRIP`` rows of anything wider.
+Components of the forests are the classes.
 
 Result: one row per document with class_id (the least id of its class) and
 n_links (other documents at least as similar as the threshold).
@@ -45,16 +48,24 @@ SIMILARITY = 0.8
 RECALL = 0.9999
 DEPTH = 2
 SPLIT_ABOVE = 256
-TILE = 2048
+BLOCK_RECORDS = 1024
+BLOCK_TOKENS = 1_000_000
 BINS = 64
 #: Sketches decide only for larger sets; smaller ones are compared at once.
 SKETCHED_FROM = 65
 #: Share of equal bins below which two sketches rule the similarity out: about
 #: six standard deviations below it.
 SKETCH_SHARE = 0.5
-#: Columns of the matrix that counts common tokens at a time.
-CHUNK = 4096
+#: Columns of the matrices that count common tokens, and their rows looked at, at a time.
+CHUNK = 2048
+STRIP = 128
+#: Texts taken out of an Arrow batch, and rows given back in one, at a time.
+ROWS_AT_ONCE = 256
 _COLUMNS_AT_ONCE = 1 << 16
+#: Rough seconds: of a pair looked up, of each of its tokens, of a token put
+#: into a matrix, and of a product of two matrix entries. They choose between
+#: two ways of counting the same.
+_PER_PAIR, _PER_LOOKUP, _PER_ENTRY, _PER_PRODUCT = 1.2e-5, 5e-8, 4e-7, 5e-11
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9E3779B97F4A7C15))
 _FACTORS = [np.uint64(c) for c in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
@@ -144,126 +155,196 @@ def sketch(x: np.ndarray) -> np.ndarray:
 # --- candidate pairs of a bucket ------------------------------------------
 
 class Bucket:
-    """The records of one bucket, or of one tile of it."""
-
-    def __init__(self, key: int, across: bool, block: np.ndarray, n: np.ndarray, sketches: np.ndarray, keys: list[np.ndarray], similarity: float):
-        self.key, self.across, self.block, self.n, self.sketches, self.keys, self.similarity = key, across, block, n, sketches, keys, similarity
+    """The records of one tile of a bucket: of one block (``left`` and ``right``
+    are all of them), or of two, whose records are compared across."""
+
+    def __init__(self, rows: pa.Table, similarity: float):
+        self.rows, self.similarity = rows, similarity
+        self.key, tile = rows.column("key")[0].as_py(), rows.column("tile")[0].as_py()
+        self.n = rows.column("n").to_numpy()
+        self.sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+        block = rows.column("block").to_numpy()
+        self.across = tile >> _TILE_BITS != tile & ((1 << _TILE_BITS) - 1)
+        self.left = np.flatnonzero(block == tile >> _TILE_BITS)
+        self.right = np.flatnonzero(block == tile & ((1 << _TILE_BITS) - 1)) if self.across else self.left
+
+    def _met(self) -> np.ndarray | None:
+        """Which pairs have met in an earlier bucket, by place in left and right; None if all have."""
+        g = len(self.n)
+        place = np.empty((2, g), np.int64)
+        place[0, self.left], place[1, self.right] = np.arange(len(self.left)), np.arange(len(self.right))
+        in_left, in_right = np.zeros(g, bool), np.zeros(g, bool)
+        in_left[self.left], in_right[self.right] = True, True
+        earlier = defaultdict(list)
+        for i, keys in enumerate(self.rows.column("keys").to_pylist()):
+            for k in keys:
+                if k < self.key:
+                    earlier[k].append(i)
+        met = np.zeros((len(self.left), len(self.right)), bool)
+        for members in earlier.values():
+            if len(members) == g:
+                return None
+            if len(members) > 1:
+                m = np.array(members)
+                met[np.ix_(place[0, m[in_left[m]]], place[1, m[in_right[m]]])] = True
+        return met
 
     def _alike(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs' sketches allow the similarity."""
         out = np.zeros(len(i), bool)
-        for a in range(0, len(i), 1 << 17):
-            p, q = i[a : a + (1 << 17)], j[a : a + (1 << 17)]
+        for a in range(0, len(i), 1 << 16):
+            p, q = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
             s, t = self.sketches[p], self.sketches[q]
             equal = ((s == t) & (s > 0)).sum(axis=1)
             either = BINS - ((s == 0) & (t == 0)).sum(axis=1)
-            out[a : a + (1 << 17)] = (equal >= SKETCH_SHARE * either) | (np.minimum(self.n[p], self.n[q]) < SKETCHED_FROM)
+            out[a : a + (1 << 16)] = (equal >= SKETCH_SHARE * either) | (np.minimum(self.n[p], self.n[q]) < SKETCHED_FROM)
         return out
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs to compare here: not met in an earlier bucket, and not
-        ruled out by sizes, tiles or sketches."""
-        g = len(self.n)
+    def pairs(self) -> np.ndarray | None:
+        """The pairs to compare here, by place in left and right: not met in an
+        earlier bucket, and not ruled out by sizes or sketches; None if there are none."""
+        met = self._met()
+        if met is None:
+            return None
+        wanted = ~met
         n = self.n.astype(np.float64)
-        open_ = np.triu(np.minimum(n[:, None], n[None, :]) >= self.similarity * np.maximum(n[:, None], n[None, :]), 1)
-        if self.across:
-            open_ &= self.block[:, None] != self.block[None, :]
-        earlier = defaultdict(list)
-        for i, ks in enumerate(self.keys):
-            for k in ks[: np.searchsorted(ks, self.key)]:
-                earlier[k].append(i)
-        for members in earlier.values():
-            if len(members) == g:
-                return np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if len(members) > 1:
-                open_[np.ix_(members, members)] = False
-        i, j = np.nonzero(open_)
-        if not len(i):
-            return i, j
-        alike = self._alike(i, j)
-        return i[alike], j[alike]
-
-
-def _buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[tuple[Bucket, pa.Table]]:
-    """The buckets of sorted batches, one after another."""
-    held: pa.Table | None = None
-
-    def cut(rows: pa.Table) -> Iterator[tuple[Bucket, pa.Table]]:
-        keys, tiles = rows.column("key").to_numpy(), rows.column("tile").to_numpy()
-        edges = np.flatnonzero((keys[1:] != keys[:-1]) | (tiles[1:] != tiles[:-1])) + 1
-        starts = np.concatenate(([0], edges))
-        lengths = np.diff(np.append(starts, len(keys)))
-        for a, g in zip(starts[lengths > 1], lengths[lengths > 1], strict=True):
-            part = rows.slice(a, g)
-            tile = int(tiles[a])
-            yield Bucket(int(keys[a]), (tile >> 16) != (tile & 0xFFFF), part.column("block").to_numpy(), part.column("n").to_numpy(),
-                         np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(g, BINS),
-                         [np.array(k, np.int64) for k in part.column("keys").to_pylist()], similarity), part
-
-    for b in batches:
-        if not b.num_rows:
-            continue
-        rows = pa.Table.from_batches([b])
-        if held is not None:
-            rows = pa.concat_tables([held, rows])
-        keys, tiles = rows.column("key").to_numpy(), rows.column("tile").to_numpy()
-        last = int(np.flatnonzero((keys != keys[-1]) | (tiles != tiles[-1]))[-1]) + 1 if (keys[0], tiles[0]) != (keys[-1], tiles[-1]) else 0
-        if last:
-            yield from cut(rows.slice(0, last).combine_chunks())
-        held = rows.slice(last)
-    if held is not None:
-        yield from cut(held.combine_chunks())
-
-
-def common_counts(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Common tokens of the pairs of sets (i, j)."""
-    used = np.unique(np.concatenate((i, j)))
-    sizes = np.array([len(sets[k]) for k in used])
-    if len(i) * 3 < len(used) * len(used) or len(used) < 8:
-        out = np.empty(len(i), np.int64)
-        for k, (a, b) in enumerate(zip(i, j, strict=True)):
-            x, y = (sets[a], sets[b]) if len(sets[a]) <= len(sets[b]) else (sets[b], sets[a])
+        right = n[self.right]
+        for a in range(0, len(self.left), STRIP):
+            left = n[self.left[a : a + STRIP], None]
+            open_ = wanted[a : a + STRIP]
+            open_ &= np.minimum(left, right) >= self.similarity * np.maximum(left, right)
+            if not self.across:
+                open_ &= np.arange(len(right)) > np.arange(a, a + len(left))[:, None]
+            i, j = np.nonzero(open_)
+            if len(i):
+                open_[i, j] = self._alike(self.left[a + i], self.right[j])
+        return wanted if wanted.any() else None
+
+    def used(self, wanted: np.ndarray) -> np.ndarray:
+        """The records that some wanted pair holds."""
+        return np.union1d(self.left[wanted.any(axis=1)], self.right[wanted.any(axis=0)])
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[Bucket]:
+    """The tiles of sorted batches, one after another; only one is held, and
+    batches are taken in small pieces, so that a long tile copies little."""
+    held: list[pa.RecordBatch] = []
+    at: tuple | None = None
+    for b in (b.slice(a, ROWS_AT_ONCE) for b in batches for a in range(0, b.num_rows, ROWS_AT_ONCE)):
+        keys, tiles = b.column("key").to_numpy(), b.column("tile").to_numpy()
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]) | (tiles[1:] != tiles[:-1])) + 1), b.num_rows]
+        for a, z in zip(starts, starts[1:]):
+            if (keys[a], tiles[a]) != at:
+                if sum(x.num_rows for x in held) > 1:
+                    yield Bucket(pa.Table.from_batches(held).combine_chunks(), similarity)
+                held, at = [], (keys[a], tiles[a])
+            held.append(b.slice(a, z - a))
+    if sum(x.num_rows for x in held) > 1:
+        yield Bucket(pa.Table.from_batches(held).combine_chunks(), similarity)
+
+
+def _incidence(sets: list[np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(set, place in ``tokens``) of all tokens of the sets that are among ``tokens``, by place."""
+    rows, columns = [], []
+    for k, x in enumerate(sets):
+        at = np.searchsorted(tokens, x)
+        at[at == len(tokens)] = 0
+        at = at[tokens[at] == x].astype(np.int32)
+        columns.append(at)
+        rows.append(np.full(len(at), k, np.int32))
+    row, column = np.concatenate(rows), np.concatenate(columns)
+    order = np.argsort(column, kind="stable")
+    return row[order], column[order]
+
+
+def _repeated(sets: list[np.ndarray]) -> np.ndarray:
+    """The tokens that stand in two of the sets."""
+    every = np.concatenate(sets)
+    every.sort()
+    again = every[1:][every[1:] == every[:-1]]
+    return again[np.concatenate(([True], again[1:] != again[:-1]))] if len(again) else again
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], wanted: np.ndarray, across: bool = True) -> np.ndarray:
+    """Common tokens of the ``wanted`` pairs of the sets ``left`` and ``right``
+    (the same ones unless ``across``); what it says of other pairs means nothing."""
+    sizes = sum(map(len, left)), sum(map(len, right)) if across else 0
+    mean = sum(sizes) / (len(left) + (len(right) if across else 0))
+    one_by_one = wanted.sum() * (_PER_PAIR + mean * _PER_LOOKUP)
+    tokens = None
+    if one_by_one > sum(sizes) * _PER_ENTRY:
+        tokens = _repeated(left + right if across else left)
+        if one_by_one < sum(sizes) * _PER_ENTRY + len(tokens) * len(left) * len(right) * _PER_PRODUCT:
+            tokens = None
+    total = np.zeros((len(left), len(right)), np.float32)  # counts up to 2^24 are exact
+    if tokens is None:
+        for a, b in zip(*np.nonzero(wanted), strict=True):
+            x, y = (left[a], right[b]) if len(left[a]) <= len(right[b]) else (right[b], left[a])
             at = np.searchsorted(y, x)
             at[at == len(y)] = 0
-            out[k] = int((y[at] == x).sum())
-        return out
-    # Most pairs are wanted: product of the record-by-token matrix with itself, some tokens at a time.
-    tokens, column, seen = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(used)), sizes)
-    shared = seen > 1
-    place = np.cumsum(shared) - 1
-    keep = shared[column]
-    row, column = row[keep], place[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    total = np.zeros((len(used), len(used)), np.float32)
-    for a in range(0, int(shared.sum()), CHUNK):
-        s, e = np.searchsorted(column, (a, a + CHUNK))
-        m = np.zeros((len(used), CHUNK), np.float32)
-        m[row[s:e], column[s:e] - a] = 1
-        total += m @ m.T  # counts up to 2^24 are exact
-    back = np.zeros(len(sets), np.int64)
-    back[used] = np.arange(len(used))
-    return total[back[i], back[j]].astype(np.int64)
-
-
-def _forest(g: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least member of each record's component."""
-    label = np.arange(g)
+            total[a, b] = (y[at] == x).sum()
+        return total
+    # Most pairs are wanted: product of the two set-by-token matrices, some tokens at a time.
+    sides = [_incidence(left, tokens), _incidence(right, tokens) if across else None]
+    for a in range(0, len(tokens), CHUNK):
+        parts = []
+        for (row, column), of in zip(filter(None, sides), (left, right)):
+            s, e = np.searchsorted(column, (a, a + CHUNK))
+            m = np.zeros((len(of), CHUNK), np.float32)
+            m[row[s:e], column[s:e] - a] = 1
+            parts.append(m)
+        total += parts[0] @ parts[-1].T
+    return total
+
+
+def _least(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label``, each record's least linked one so far, after the links (i, j) too."""
     while True:
         low = np.minimum(label[i], label[j])
         new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
+        for side in (i, j):
+            np.minimum.at(new, side, low)
+            np.minimum.at(new, label[side], low)
         new = new[new]
         if (new == label).all():
             return label
         label = new
 
 
+def compare(bucket: Bucket, set_of: Callable[[int], np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
+    """(links of every record, the least record of its component) over the pairs
+    of a tile; None without a pair to compare. ``set_of`` gives a record's set."""
+    wanted = bucket.pairs()
+    if wanted is None:
+        return None
+    none = np.zeros(0, np.uint64)
+    sets = [none] * len(bucket.n)
+    for k in bucket.used(wanted):
+        sets[k] = set_of(int(k))
+    rows, columns = wanted.any(axis=1), wanted.any(axis=0)
+    if not bucket.across:
+        rows = columns = rows | columns
+    left, right = bucket.left[rows], bucket.right[columns]
+    wanted = wanted[np.ix_(rows, columns)]
+    common = common_counts([sets[k] for k in left], [sets[k] for k in right], wanted, bucket.across)
+    m = bucket.rows.column("m").to_numpy()
+    count, label = np.zeros(len(bucket.n), np.int64), np.arange(len(bucket.n))
+    for a in range(0, len(left), STRIP):
+        i, j = np.nonzero(wanted[a : a + STRIP])
+        c = common[a + i, j].astype(np.int64)
+        i, j = left[a + i], right[j]
+        near = c >= bucket.similarity * (bucket.n[i] + bucket.n[j] - c) - 1e-9
+        i, j = i[near], j[near]
+        np.add.at(count, i, m[j])
+        np.add.at(count, j, m[i])
+        label = _least(label, i, j)
+    return count, label
+
+
 # --- the join --------------------------------------------------------------
 
-_ROWS = "key bigint, tile int, block int, rec binary, n bigint, m bigint, sketch binary, keys array<bigint>"
+_TILE_BITS = 31
+_ROWS = "key bigint, tile bigint, block bigint, rec binary, n bigint, m bigint, sketch binary, keys array<bigint>"
 
 
 def signatures(docs: DataFrame, runs: int, similarity: float = SIMILARITY) -> DataFrame:
@@ -271,7 +352,7 @@ def signatures(docs: DataFrame, runs: int, similarity: float = SIMILARITY) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree_type = pa.list_(pa.struct([("k", pa.int64()), ("kids", pa.list_(pa.int64()))]))
-        for b in batches:
+        for b in (b.slice(a, ROWS_AT_ONCE) for b in batches for a in range(0, b.num_rows, ROWS_AT_ONCE)):
             recs, sizes, sketches, trees = [], [], [], []
             for t in b.column("text").to_pylist():
                 x = token_set(t)
@@ -296,28 +377,28 @@ def signatures(docs: DataFrame, runs: int, similarity: float = SIMILARITY) -> Da
 
 
 def _leaves(records: DataFrame) -> DataFrame:
-    """rec, key, c: the buckets of at least two records that a record is in, and their sizes."""
-    first = records.select("rec", F.explode("tree").alias("e")).select("rec", F.col("e.k").alias("key"), F.col("e.kids").alias("kids"))
+    """rec, key, blocks: the buckets of at least two records that a record is in, and into how many blocks each is cut."""
+    first = records.select("rec", "n", F.explode("tree").alias("e")).select("rec", "n", F.col("e.k").alias("key"), F.col("e.kids").alias("kids"))
 
     def sized(rows: DataFrame) -> DataFrame:
-        sizes = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").withColumnRenamed("key", "_key")
+        sizes = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("tokens")).filter("c > 1").withColumnRenamed("key", "_key")
         return rows.join(sizes, F.col("key") == F.col("_key")).drop("_key")
 
     first = written(sized(first), "paths-first")
-    small = first.filter(F.col("c") <= SPLIT_ABOVE).select("rec", "key", "c")
-    # A record goes on along every token it chooses next; what is still large at the last depth is cut into tiles.
-    large = first.filter(F.col("c") > SPLIT_ABOVE).select("rec", F.explode("kids").alias("key")).distinct()
-    return small.unionByName(sized(large).select("rec", "key", "c"))
+    small = first.filter(F.col("c") <= SPLIT_ABOVE).select("rec", "key", "c", "tokens")
+    # A record goes on along every token it chooses next; what is still large at the last depth is cut into blocks.
+    large = first.filter(F.col("c") > SPLIT_ABOVE).select("rec", "n", F.explode("kids").alias("key")).distinct()
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("c") / BLOCK_RECORDS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("bigint")
+    return small.unionByName(sized(large).select("rec", "key", "c", "tokens")).select("rec", "key", blocks.alias("blocks"))
 
 
 def _bucket_rows(members: DataFrame) -> DataFrame:
     """A row for each record, bucket and tile it is in."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("e.c") / TILE)).cast("int")
-    block = F.pmod(F.xxhash64("rec", F.lit(3)), blocks).cast("int")
+    block = F.pmod(F.xxhash64("rec", F.lit(3)), F.col("e.blocks"))
     low, high = F.least(F.col("block"), F.col("other")), F.greatest(F.col("block"), F.col("other"))
-    rows = (members.withColumn("e", F.explode("leaves")).withColumn("blocks", blocks).withColumn("block", block)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    return rows.select(F.col("e.key").alias("key"), (F.shiftleft(low, 16) + high).alias("tile"), "block", "rec", "n", "m", "sketch",
+    rows = (members.withColumn("e", F.explode("leaves")).withColumn("block", block)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("e.blocks") - 1))))
+    return rows.select(F.col("e.key").alias("key"), (F.shiftleft(low, _TILE_BITS) + high).alias("tile"), "block", "rec", "n", "m", "sketch",
                        F.transform("leaves", lambda x: x["key"]).alias("keys"))
 
 
@@ -333,14 +414,14 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECAL
     records = sigs.filter("rec is not null").groupBy("rec").agg(
         F.count("*").alias("m"), F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("tree").alias("tree"))
     records = written(records, "paths-records")
-    of_record = _leaves(records.select("rec", "tree")).groupBy("rec").agg(F.sort_array(F.collect_list(F.struct("key", "c"))).alias("leaves")).withColumnRenamed("rec", "_rec")
+    of_record = _leaves(records.select("rec", "n", "tree")).groupBy("rec").agg(F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("leaves")).withColumnRenamed("rec", "_rec")
     members = records.select("rec", "n", "m", "sketch").join(of_record, F.col("rec") == F.col("_rec")).drop("_rec")
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _buckets(batches, similarity):
-            i, j = bucket.pairs()
-            if len(i):
-                yield from rows.take(np.unique(np.concatenate((i, j)))).combine_chunks().to_batches()
+        for bucket in _buckets(batches, similarity):
+            wanted = bucket.pairs()
+            if wanted is not None:
+                yield from bucket.rows.take(bucket.used(wanted)).combine_chunks().to_batches()
 
     candidates = written(_sorted_buckets(_bucket_rows(members), needed, _ROWS), "paths-candidates")
     n_candidates = candidates.count()
@@ -350,32 +431,20 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECAL
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.alias("text"))
     texts = texts.join(broadcast_if_small(wanted, n_candidates, 64), same([F.col("doc_id"), F.col("text_hash")], [F.col("_doc"), F.col("_hash")]))
-    texts = texts.select(F.col("rec").alias("_rec"), "text")  # a row that is repeated comes more than once
-    rows = candidates.join(texts, F.col("rec") == F.col("_rec")).drop("_rec").dropDuplicates(["key", "tile", "rec"])
+    # A row that is repeated comes more than once; one text of each record then meets its buckets by the same key.
+    texts = texts.select(F.col("rec").alias("_rec"), "text").dropDuplicates(["_rec"])
+    rows = candidates.join(texts, F.col("rec") == F.col("_rec")).drop("_rec")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, part in _buckets(batches, similarity):
-            i, j = bucket.pairs()
-            if not len(i):
-                continue
-            texts_ = part.column("text")
-            sets = [np.zeros(0, np.uint64)] * part.num_rows
-            for k in np.unique(np.concatenate((i, j))):
-                sets[k] = token_set(texts_[int(k)].as_py())
-            common = common_counts(sets, i, j)
-            n = part.column("n").to_numpy()
-            near = common >= similarity * (n[i] + n[j] - common) - 1e-9
-            i, j = i[near], j[near]
-            if not len(i):
+        for bucket in _buckets(batches, similarity):
+            text = bucket.rows.column("text")
+            told = compare(bucket, lambda k: token_set(text[k].as_py()))
+            if told is None:
                 continue
-            m, g = part.column("m").to_numpy(), part.num_rows
-            count = np.zeros(g, np.int64)
-            np.add.at(count, i, m[j])
-            np.add.at(count, j, m[i])
+            count, label = told
             linked = np.flatnonzero(count)
-            rec = part.column("rec").combine_chunks()
-            root = _forest(g, i, j)
-            yield pa.RecordBatch.from_arrays([rec.take(pa.array(linked)), rec.take(pa.array(root[linked])), pa.array(count[linked])], names=["rec", "root", "links"])
+            rec = bucket.rows.column("rec").combine_chunks()
+            yield pa.RecordBatch.from_arrays([rec.take(pa.array(linked)), rec.take(pa.array(label[linked])), pa.array(count[linked])], names=["rec", "root", "links"])
 
     found = _sorted_buckets(rows, compared, "rec binary, root binary, links bigint")
     return sigs, records, written(found, "paths-found")

@@ -1,10 +1,13 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import clashing, documents, prose
 
 from protoclass.llm import chosen_path
-from protoclass.llm.chosen_path import classes, components, one_of_each, runs_for, token_set
+from protoclass.llm.chosen_path import Bucket, classes, compare, components, one_of_each, runs_for, sketch, token_set
 from protoclass.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -69,11 +72,76 @@ def test_against_brute_force(spark):
 
 def test_split_buckets_and_tiles_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "SPLIT_ABOVE", 8)
-    monkeypatch.setattr(chosen_path, "TILE", 7)
+    monkeypatch.setattr(chosen_path, "BLOCK_RECORDS", 7)
     rows = sample()
     assert got(classes(documents(spark, rows))) == sorted(brute(rows), key=str)
 
 
+def test_blocks_bounded_by_tokens_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "SPLIT_ABOVE", 8)
+    monkeypatch.setattr(chosen_path, "BLOCK_TOKENS", 900)
+    rows = sample()
+    assert got(classes(documents(spark, rows))) == sorted(brute(rows), key=str)
+
+
+def tile(sets, blocks, key=9, keys=None):
+    """One tile of records with these sets, the block of each, and their buckets."""
+    low, high = min(blocks), max(blocks)
+    return pa.table({
+        "key": [key] * len(sets), "tile": [(low << 31) + high] * len(sets), "block": blocks, "rec": [b"%06d" % i for i in range(len(sets))],
+        "n": [len(x) for x in sets], "m": [1 + i % 2 for i in range(len(sets))], "sketch": [sketch(x).tobytes() for x in sets], "keys": keys or [[key]] * len(sets)})
+
+
+def plain_links(sets, blocks, keys, key, similarity=0.8):
+    count = [0] * len(sets)
+    for j in range(len(sets)):
+        for i in range(j):
+            if (len(set(blocks)) > 1 and blocks[i] == blocks[j]) or any(k < key for k in set(keys[i]) & set(keys[j])):
+                continue
+            c = len(np.intersect1d(sets[i], sets[j]))
+            if c >= similarity * (len(sets[i]) + len(sets[j]) - c) - 1e-9:
+                count[i] += 1 + j % 2
+                count[j] += 1 + i % 2
+    return count
+
+
+@pytest.mark.parametrize("across", [False, True])
+@pytest.mark.parametrize("way", ["pairs", "matrix", "either"])
+def test_tiles_against_plain_comparison(monkeypatch, across, way):
+    if way != "either":
+        monkeypatch.setattr(chosen_path, "_PER_PAIR", 0.0 if way == "pairs" else 1e9)
+        monkeypatch.setattr(chosen_path, "_PER_LOOKUP", 0.0 if way == "pairs" else 1e9)
+    monkeypatch.setattr(chosen_path, "CHUNK", 50)
+    monkeypatch.setattr(chosen_path, "STRIP", 16)
+    rng = random.Random(3)
+    sets = [token_set(t) for _, t in sample()[100:230]]
+    blocks = [rng.randrange(2) * 3 if across else 4 for _ in sets]
+    keys = [sorted({9, *rng.sample([3, 5, 20], rng.randrange(2))}) for _ in sets]
+    told = compare(Bucket(tile(sets, blocks, 9, keys), 0.8), sets.__getitem__)
+    assert told[0].tolist() == plain_links(sets, blocks, keys, 9)
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_memory_of_a_full_tile(across):
+    """As many records and tokens as a tile has at most: a fraction of the memory that one pair of blocks could take."""
+    per = chosen_path.BLOCK_TOKENS // chosen_path.BLOCK_RECORDS
+    g = chosen_path.BLOCK_RECORDS * (2 if across else 1)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**64, per, np.uint64)
+    sets = []
+    for _ in range(g):
+        x = base.copy()
+        x[rng.integers(0, per, 5)] = rng.integers(0, 2**64, 5, np.uint64)
+        sets.append(np.unique(x))
+    bucket = Bucket(tile(sets, [i % 2 if across else 0 for i in range(g)]), 0.8)
+    tracemalloc.start()
+    count, label = compare(bucket, lambda k: sets[k].copy())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    assert (label == label[0]).all() and set(count.tolist()) <= ({g // 2, g} if across else set(range(g, 2 * g)))
+
+
 def test_nulls_short_and_long_texts_and_repeats(spark):
     long = prose(9, 40_000, 10**6)
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b c"), (None, "a"), (7, long), (8, long + " end"), (9, "x y z v w"), (9, "x y z v w"), (None, "q r"), (None, "q r")]
