@@ -1,12 +1,12 @@
 import random
 import re
-from dataclasses import replace
+import time
 from re import _parser
 
 from helpers import clashing, documents, prose
 
 from protoclass.llm import license_rules
-from protoclass.llm.license_rules import RULES, detections, license_scan, scan
+from protoclass.llm.license_rules import RULES, Detection, detections, license_scan, scan, strongest
 from protoclass.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -86,17 +86,61 @@ def written_out(parsed, rng):
         elif op == "BRANCH":
             out.append(written_out(rng.choice(arg[1]), rng))
         else:
-            assert op == "ASSERT_NOT", op
+            assert op in ("ASSERT_NOT", "AT"), op
     return "".join(out)
 
 
 def test_no_prefilter_loses_a_match_of_any_rule(monkeypatch):
     rng = random.Random(7)
     texts = [(rule, f"— {written_out(_parser.parse(rule.pattern.pattern, re.S), rng)} —") for rule in RULES for _ in range(30)]
-    assert all(rule.pattern.search(t) for rule, t in texts)
+    texts = [(rule, t) for rule, t in texts if rule.pattern.search(t)]  # all but some of one rule that looks ahead
+    assert {rule for rule, _ in texts} == set(RULES) and len(texts) > 30 * (len(RULES) - 1)
     wrapped = ["open database license", "in  no\nevent shall the authors", "redistribution and\nuse in source and binary forms", "provided as\n is", "into the public\ndomain", "cc attribution-sharealike 4.0"]
     cases = [t for _, t in texts] + wrapped
     got = [detections(t) for t in cases]
-    monkeypatch.setattr(license_rules, "RULES", [replace(r, keywords=("",)) for r in RULES])
-    monkeypatch.setattr(license_rules, "_GATE", re.compile(""))
+    monkeypatch.setattr(license_rules, "picked", lambda lower: RULES)
     assert got == [detections(t) for t in cases] and all(got)
+
+
+def plain_strongest(found):
+    kept = []
+    for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start)):
+        if not any(k.start <= d.start and d.end <= k.end for k in kept):
+            kept.append(d)
+    return sorted(kept, key=lambda d: (d.start, d.end))
+
+
+def test_suppression_against_all_pairs():
+    rng = random.Random(3)
+    for _ in range(200):
+        found = [Detection("x", a, a + rng.randrange(1, 9), rng.randrange(3), 0.5) for a in (rng.randrange(30) for _ in range(rng.randrange(40)))]
+        assert strongest(found) == plain_strongest(found)
+
+
+def test_many_detections_in_one_text():
+    found = [Detection("x", 3 * i, 3 * i + 2 + i % 3, i % 7, 0.5) for i in range(100_000)]
+    start = time.process_time()
+    assert len(strongest(found)) > 50_000
+    assert time.process_time() - start < 5
+    text = "All rights reserved. © 2020 A. Released under the MIT License.\n" * 5000
+    start = time.process_time()
+    got = scan(text)
+    assert got["n_base"] == 5000 and got["labels"] == "copyright,mit,reserved" and time.process_time() - start < 20
+
+
+def plain_labels(text):
+    """Labels by every rule on the text and all pairs of detections."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return {d.label for d in plain_strongest([Detection(r.label, *m.span(), r.priority, r.weight) for r in RULES for m in r.pattern.finditer(low)])}
+
+
+def test_labels_of_the_given_documents_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    rows = {r.doc_id: r for r in QUERIES["op10_license_scan"](spark, "/root/testdata/sf0.001").collect()}
+    for d in docs:
+        assert rows[d.doc_id].labels == ",".join(sorted(plain_labels(d.text) | {x for x in brute(d.text)[4].split(",") if x})), d.doc_id
+
+
+def test_rules_are_many_and_their_keywords_are_words():
+    assert len(RULES) > 400 and all(len(k) > 1 or k == "©" for r in RULES for k in r.keywords)
+    assert {"bsd-3-clause"} <= {d.label for d in detections("neither the name of " + "a very long name " * 30 + "nor the names of its contributors")}
