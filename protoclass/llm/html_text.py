@@ -1,23 +1,27 @@
 """Operator 8: main text of web pages by the distribution of line blocks.
 
-A page is cut into blocks where a browser would start a new line. Blocks inside
-elements that never hold article text (menus, headers, footers, sidebars,
-forms, scripts ... by element name, ARIA role, or names in class and id) get
-length zero; every other block counts its characters. A form, class or id does
-not count where it is around more than half of the page's longest article (or
-of its longest ``main``; or of all text, in two blocks or more, if the page has
-neither). Over the whole
-sequence the lengths are summed in windows of ``WINDOW`` lines; a rise of the
-sums that reaches the surge level opens a run at its first line, sums that dive
-to nothing close it, and the text of the runs is the main text. A page's own
-mark-up for its article (``article``, ``main``, ``itemprop=articleBody``) only
-checks the runs and widens them: runs without any line of it go, and its lines
-that no run holds are added.
+A page is cut into blocks (lines) where a browser would start a new one. Every
+line has a weight: its characters, of which those in links count ``LOWERED``,
+and all of them in a line that the page marks as something else than article
+text (menus, headers, footers, sidebars, forms ... by element name, ARIA role, or
+names in class and id). A form, class or id does not count where it is around
+more than half of the page's longest article (or of its longest ``main``; or of
+all text, in two blocks or more, if the page has neither). What a browser does
+not show has no weight.
+
+Over the whole sequence the weights are summed in windows of ``WINDOW`` lines
+(``runs``): a rise of the sums that reaches the surge level opens a run at its
+first line of a character's weight, and sums that dive below one close it.
+Lines of a run whose own weight is below one cut it. The text of the runs is the
+main text, and nothing else is added. A page's own mark-up for its article
+(``article``, ``main``, ``itemprop=articleBody``) checks the runs: one without any
+line of it goes, and one within it needs no surge; links inside it count in full.
 
 Defined results: null and empty html give an empty text; broken and cut-off
 mark-up is read as far as it goes (an element never closed lasts to the end of
-its parent); repeated rows each get a row; an empty table gives no rows; only
-``page_id``, ``url`` and ``html`` are read.
+its parent); a page is read whole, whatever its length, in one pass; repeated
+rows each get a row; an empty table gives no rows; only ``page_id``, ``url`` and
+``html`` are read.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ import html as _html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,8 @@ WINDOW = 3
 SURGE = 40
 #: ... or to this share of the page's largest window, whichever is less.
 SURGE_SHARE = 0.2
+#: What a character counts in a link, or in a line that is marked as no article text.
+LOWERED = 1 / 2048
 
 # Element names.
 BLOCK = frozenset("""address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form
@@ -46,8 +53,10 @@ h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre se
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no mark-up: it ends at the first closing tag.
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-#: No article text in these.
-OUTSIDE = frozenset("head nav header footer aside menu script style noscript template title textarea select option button svg math iframe object canvas audio video dialog".split())
+#: Not shown, or no text.
+UNSHOWN = frozenset("head script style noscript template title textarea select option button svg math iframe object canvas audio video".split())
+#: Mostly no article text in these.
+FURNITURE = frozenset("nav header footer aside menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar alert alertdialog dialog".split())
 #: Names in class and id that mark what is not the article, alone or with words of PLACES.
 MARKS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promoted banner banners
@@ -72,12 +81,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    """state: (hidden from the text, number of the innermost mark around it,
-    numbers of the outermost article and main around it; 0 is none)."""
+    """state: (0: shown, 1: in furniture, 2: not shown; number of the innermost
+    mark around it, numbers of the outermost article and main around it; 0 is none)."""
 
     __slots__ = ("name", "state")
 
-    def __init__(self, name: str, state: tuple[bool, int, int, int]):
+    def __init__(self, name: str, state: tuple[int, int, int, int]):
         self.name, self.state = name, state
 
 
@@ -85,10 +94,10 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): _html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text and not text.isspace() else {}
 
 
-def _hidden(attributes: dict[str, str]) -> bool:
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
-        return True
-    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+def _hidden(attributes: dict[str, str]) -> int:
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        return 2
+    return int(attributes.get("role", "").lower() in ROLES)
 
 
 def _marks(name: str) -> bool:
@@ -104,21 +113,48 @@ def _marked(name: str, attributes: dict[str, str]) -> bool:
     return any(map(_marks, f"{attributes.get('class', '')} {attributes.get('id', '')}".split()))
 
 
-def blocks(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, outside, main) of every block in page order: outside, if an
-    element around it is none of the article's; main, if one says it is."""
-    stack = [_Element("", (False, 0, 0, 0))]
+class Line(NamedTuple):
+    """A block of a page: its text, whether the page marks it as something else
+    than article text, whether it is in the article, how many of its characters
+    are links, and whether it is shown."""
+
+    text: str
+    marked: bool
+    main: bool
+    linked: int
+    shown: bool
+
+    def weight(self) -> float:
+        if not self.shown:
+            return 0.0
+        n = len(self.text)
+        return n * LOWERED if self.marked else n if self.main else n - self.linked * (1 - LOWERED)
+
+
+def blocks(page: str) -> list[Line]:
+    """Every block in page order."""
+    stack = [_Element("", (0, 0, 0, 0))]
     held: list[str] = []
-    found: list[tuple[str, tuple[bool, int, int, int]]] = []
+    links: list[str] = []
+    found: list[tuple[str, tuple[int, int, int, int], int]] = []
     around = [0]  # of every mark, the mark around it
-    numbered = 0
+    numbered, in_link = 0, False
+
+    def hold(text: str) -> None:
+        held.append(text)
+        if in_link:
+            links.append(text)
+
+    def plain(parts: list[str]) -> str:
+        return _SPACE.sub(" ", _html.unescape("".join(parts))).strip()
 
     def flush() -> None:
         if held:
-            text = _SPACE.sub(" ", _html.unescape("".join(held))).strip()
+            text = plain(held)
             held.clear()
             if text:
-                found.append((text, stack[-1].state))
+                found.append((text, stack[-1].state, min(len(text), len(plain(links))) if links else 0))
+            links.clear()
 
     def close(k: int) -> None:
         flush()
@@ -128,17 +164,21 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
     while at < len(page):
         m = _TOKEN.search(page, at)
         if not m:
-            held.append(page[at:])
+            hold(page[at:])
             break
         if m.start() > at:
-            held.append(page[at : m.start()])
+            hold(page[at : m.start()])
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             if m[0].startswith("<![CDATA["):
-                held.append(_html.escape(m[0][9:].removesuffix("]]>")))
+                hold(_html.escape(m[0][9:].removesuffix("]]>")))
             continue
+        if name == "a":
+            in_link = not m[1]
         if m[1]:
+            if name in BLOCK:  # a link that is never closed ends with its block
+                in_link = False
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
                     if name in BLOCK or any(e.state != stack[k - 1].state for e in stack[k:]):
@@ -184,7 +224,8 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
         if name == "main" or role == "main":
             main = main or numbered
         own = name in ARTICLE_OWN and any(e.name == "article" for e in stack)
-        hidden = hidden or (name in OUTSIDE and not own) or _hidden(attributes) and name not in ("html", "body", "article", "main")
+        own_state = 2 if name in UNSHOWN else int(name in FURNITURE and not own)
+        hidden = max(hidden, own_state, _hidden(attributes) if name not in ("html", "body", "article", "main") else 0)
         if not hidden and name not in ("html", "body", "article", "main") and _marked(name, attributes):
             around.append(mark)
             mark = len(around) - 1
@@ -197,14 +238,14 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
     # Marks count unless they are around most of the article; of a page without
     # one, around most of its text, in more than one block (one is an ad's).
     article, main = Counter(), Counter()
-    for text, state in found:
+    for text, state, _ in found:
         if not state[0]:
             article[state[2]] += len(text)
             main[state[3]] += len(text)
     del article[0], main[0]
     which, target = (2, max(article, key=article.get)) if article else (3, max(main, key=main.get)) if main else (0, False)
     inside, n_blocks = [0] * len(around), [0] * len(around)
-    for text, state in found:
+    for text, state, _ in found:
         if not state[0] and state[which] == target:
             inside[state[1]] += len(text)
             n_blocks[state[1]] += 1
@@ -214,25 +255,30 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
     counts = [False] * len(around)
     for k in range(1, len(around)):
         counts[k] = counts[around[k]] or 2 * inside[k] <= inside[0] or not which and n_blocks[k] < 2
-    return [(text, state[0] or counts[state[1]], bool(state[2] or state[3])) for text, state in found]
+    return [Line(text, state[0] > 0 or counts[state[1]], bool(state[2] or state[3]), linked, state[0] < 2) for text, state, linked in found]
 
 
-def runs(lengths: np.ndarray, window: int = WINDOW, surge: float = SURGE, share: float = SURGE_SHARE) -> list[tuple[int, int]]:
-    """Line ranges [a, z) between surge and dive points: from the first line of
-    a rise whose window sums reach the surge level to where they dive to zero."""
-    n = len(lengths)
+def runs(weights: np.ndarray, window: int = WINDOW, surge: float = SURGE, share: float = SURGE_SHARE, article: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Line ranges [a, z) of the main text: what lies between surge and dive
+    points, cut where a line weighs less than a character. ``article``: which
+    lines the page has in its article."""
+    n = len(weights)
     if not n:
         return []
-    total = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))
+    total = np.concatenate((np.zeros(1), np.cumsum(weights)))
     sums = total[np.minimum(np.arange(n) + window, n)] - total[:n]
-    level = min(surge, share * sums.max()) if sums.max() else surge
+    sums[sums < 1 - 1e-6] = 0
+    text = weights >= 1
+    inside = np.zeros(n, bool) if article is None else article & text
+    level = max(min(surge, share * sums.max()), 1)
     out, a = [], None
     for i in range(n + 1):
-        if i < n and sums[i] > 0 and (a is not None or lengths[i] > 0):
+        if i < n and sums[i] > 0 and (a is not None or text[i]):
             a = i if a is None else a
         elif a is not None:
-            if sums[a:i].max() >= max(level, 1):
-                out.append((a, i))
+            if inside[a:i].any() if inside.any() else sums[a:i].max() >= level:
+                edges = np.flatnonzero(np.diff(np.concatenate(([0], text[a:i], [0]))))
+                out += [(a + int(x), a + int(y)) for x, y in zip(edges[::2], edges[1::2])]
             a = None
     return out
 
@@ -240,12 +286,9 @@ def runs(lengths: np.ndarray, window: int = WINDOW, surge: float = SURGE, share:
 def main_text(page: str | None) -> str:
     """The main text of a page."""
     lines = blocks(page or "")
-    lengths = np.array([0 if outside else len(t) for t, outside, _ in lines], np.int64)
-    main = np.array([main for _, _, main in lines], bool) & (lengths > 0)
-    taken = np.zeros(len(lines), bool)
-    for a, z in runs(lengths):
-        taken[a:z] = not main.any() or main[a:z].any()
-    return " ".join(lines[i][0] for i in np.flatnonzero((taken | main) & (lengths > 0)))
+    weights = np.array([line.weight() for line in lines], np.float64)
+    article = np.array([line.main and not line.marked for line in lines], bool)
+    return " ".join(line.text for a, z in runs(weights, article=article) for line in lines[a:z])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

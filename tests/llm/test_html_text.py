@@ -4,6 +4,7 @@ import re
 import numpy as np
 from helpers import clashing
 
+from protoclass.llm import html_text
 from protoclass.llm.html_text import blocks, extract_text, main_text, runs
 from protoclass.llm.queries import QUERIES
 
@@ -83,3 +84,33 @@ def test_given_pages_without_their_article_tags(spark):
     """The line blocks alone read the same text."""
     for p in spark.read.parquet(f"{SF}/pages.parquet").collect():
         assert main_text(re.sub(r"</?article>", "", p.html)) == main_text(p.html)
+
+
+def neutral(page):
+    """The page with all elements of a block by one name, without attributes: nothing marks its parts."""
+    page = re.sub(r"<(script|style|title)>.*?</\1>", "", page, flags=re.S)
+    return re.sub(r"<(/?)(?:nav|ul|li|article|footer|h1|div|p|a)\b[^>]*>", r"<\1div>", page)
+
+
+def test_switching_the_runs_off_changes_every_given_page(spark, monkeypatch):
+    pages = [p.html for p in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    texts = [main_text(p) for p in pages]
+    monkeypatch.setattr(html_text, "runs", lambda weights, article=None: [(0, len(weights))])
+    assert all(t != main_text(p) and t in main_text(p) for t, p in zip(texts, pages, strict=True))
+
+
+def test_runs_find_the_article_of_pages_without_marks(spark):
+    """Names and classes sharpen the edges: without any the runs still hold the whole article, and little else."""
+    pages = [p.html for p in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    want, got = [main_text(p) for p in pages], [main_text(neutral(p)) for p in pages]
+    assert all(w in g for w, g in zip(want, got, strict=True))
+    assert sum(map(len, got)) < 1.15 * sum(map(len, want))
+
+
+def test_marks_lower_weights_and_do_not_rule_out():
+    long = "A paragraph of a page that has all of its text in what it calls a sidebar. " * 40
+    assert main_text(f'<div class="sidebar"><p>{long}</p></div><p>tiny</p>') == long.strip() + " tiny"
+    links = "".join(f'<p><a href="/{i}">A title of some other page {i}</a></p>' for i in range(8))
+    text = "A paragraph that goes on for long enough to count as text."
+    assert main_text(f"{links}<p>{text}</p>{links}") == text
+    assert main_text(f'<article><p>{text}</p><p><a href="/">Read on here.</a></p></article>{links}') == f"{text} Read on here."
