@@ -59,6 +59,8 @@ SKETCH_SHARE = 0.5
 #: Columns of the matrices that count common tokens, and their rows looked at, at a time.
 CHUNK = 2048
 STRIP = 128
+#: Edges that one file of a table of stars holds.
+EDGES_A_FILE = 250_000
 #: Texts taken out of an Arrow batch, and rows given back in one, at a time.
 ROWS_AT_ONCE = 256
 _COLUMNS_AT_ONCE = 1 << 16
@@ -452,20 +454,23 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECAL
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """rec, root: the least member of the component of every node of ``edges``
-    (u, v), by large and small stars in turn until nothing changes."""
+    (u, v), by large and small stars in turn until nothing changes. Tables of
+    few edges are written in few files."""
     edges = written(edges.filter("u <> v").distinct(), "stars")
-    before = None
+    state = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
+    before = edges.agg(*state).first()
+    files = 1 + before[0] // EDGES_A_FILE  # stars never add edges
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low")).withColumnRenamed("u", "_u")
         large = both.join(least, F.col("u") == F.col("_u")).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = written(large.filter("u <> v").distinct(), "stars")
+        large = written(large.filter("u <> v").distinct().coalesce(files), "stars")
         # Small star: here every edge already points from the larger to the smaller node.
         least = large.groupBy("u").agg(F.min("v").alias("low")).withColumnRenamed("u", "_u")
         joined = large.join(least, F.col("u") == F.col("_u"))
         small = joined.select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(joined.select("u", F.col("low").alias("v")))
-        edges = written(small.filter("u <> v").distinct(), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        edges = written(small.filter("u <> v").distinct().coalesce(files), "stars")
+        now = edges.agg(*state).first()
         if now == before:
             break
         before = now
