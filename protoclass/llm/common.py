@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from protoclass.session import scratch_path
 
@@ -40,6 +41,29 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def width(value: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes up, about: fixed fields 8 (decimals 16), and what strings, binaries and arrays hold."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        return sum((width(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+            each = F.transform(value, lambda x: width(x, kind.elementType).cast("bigint"))
+            return F.coalesce(F.aggregate(each, F.lit(0).cast("bigint"), lambda a, b: a + b), F.lit(0)) + 16
+        return F.coalesce(F.size(value), F.lit(0)) * 8 + 16
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+
+
+def broadcast_if_fits(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its rows, measured in one aggregate, are
+    within the bound, else unchanged (a shuffle join, whose hot keys adaptive
+    execution splits). ``df`` should be written, or cheap to compute twice."""
+    row = width(F.struct(*(F.col(f"`{c}`") for c in df.columns)), df.schema) + 32
+    size = df.agg(F.sum(row)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -121,6 +145,6 @@ def prefix_sums(df: DataFrame, group: list[str], order: list[Column], value: str
     offsets = totals.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_part").alias("_p"),
                             F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_offset"))
     on = same([F.col(g) for g in group] + [F.col("_part")], [F.col(f"_g{i}") for i in range(len(group))] + [F.col("_p")])
-    return (placed.join(broadcast_if_small(offsets, offsets.count(), 64), on)
+    return (placed.join(broadcast_if_fits(offsets), on)
             .withColumn(out, F.col("_before") + F.col("_offset"))
             .drop("_before", "_offset", "_part", "_p", *[f"_g{i}" for i in range(len(group))]))

@@ -6,8 +6,10 @@
    source's size, and the excess is shared again by weight until none is above.
 3. Streams: each source's documents stand in a permuted order (a keyed hash),
    cut into blocks of equally many words. The mix takes whole rounds of the
-   stream and then its first words, to the word of the target; a document at
-   the cut is taken in part. Its quota in blocks is exact.
+   stream and then its first documents up to the target: documents are taken
+   whole or not at all, the one at the cut if more than half of it is before
+   it, so a source is off its target by half a document at most. Its quota in
+   blocks is exact.
 4. Tree: the quota vector is split recursively among the output shards. A node
    draws its left half's blocks from its vector without replacement
    (multivariate hypergeometric), seeded by the node, so reruns agree and the
@@ -19,7 +21,11 @@
 The words before a document in its source come from a range partitioning of
 (source, hash), so a hot source spreads over many tasks. One task holds the
 quota vector (a number per source), never rows of a source. Sources are joined
-to documents by a broadcast of counted size, or by a skew-safe join beyond.
+to documents by a broadcast of measured size, or by a skew-safe join beyond.
+There are as many shards as input splits (``spark.sql.files.maxPartitionBytes``)
+would hold the mix, up to ``MAX_SHARDS``; beyond that the texts of a shard are
+dealt to several tasks by ranges of their hashed place, so a task's texts do not
+grow with the data.
 
 Defined results: null and empty texts have size 0 and nothing taken; a source
 of size 0 has target 0; a null source is one of its own; ties in the hash go by
@@ -29,6 +35,7 @@ other columns pass through ``mixed_documents`` as they came.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +43,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import WORD_PATTERN, broadcast_if_small, in_worker, packed, prefix_sums, same, shuffle_partitions, table, written
+from protoclass.llm.common import WORD_PATTERN, broadcast_if_fits, in_worker, packed, prefix_sums, same, shuffle_partitions, table, written
+from protoclass.operators.routing import split_bytes
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -44,7 +52,11 @@ MOST = 2.0
 #: Words in a block, as long as all quotas together stay below ``MAX_BLOCKS``.
 BLOCK_WORDS = 256
 MAX_BLOCKS = 1 << 29
-SHARDS = 64
+MAX_SHARDS = 4096
+#: Bytes that a word of text, with what stands beside it in its row, takes up, about.
+WORD_BYTES = 8
+#: Leaf ranges looked through at a time.
+RANGES_AT_ONCE = 64
 SEED = 20240601
 #: Primes above ``MAX_BLOCKS``.
 PRIMES = (1073741827, 1073741831, 1073741833, 1073741839, 1073741843, 1073741857, 1073741891, 1073741909)
@@ -130,15 +142,21 @@ def permuted(number: Column, n: Column, key: Column) -> Column:
     return F.pmod(F.pmod(number, n) * prime + F.pmod(F.shiftright(key, 8), n), n)
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def task_words(spark: SparkSession) -> int:
+    """Words of an input split's worth of text."""
+    return max(1, split_bytes(spark) // WORD_BYTES)
+
+
+def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces). Documents: doc_id, source, size, h, source_size,
     target, taken, one row per document. Pieces: doc_id, source, h, size, round,
-    words (the first so many are taken), block, shard, place: one row for each
-    time a document is taken, at most ``MOST`` of them; ``place`` orders a shard."""
+    block, shard, place: one row for each time a document is taken, at most
+    ``MOST`` of them; ``place`` orders a shard."""
     narrow = written(sizes(docs), "mix-sizes")
     by_source = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")))
     total = by_source.agg(F.sum("target")).first()[0] or 0.0
     block = max(BLOCK_WORDS, int(total // MAX_BLOCKS) + 1)
+    shards = shards or max(1, min(MAX_SHARDS, math.ceil(total / task_words(docs.sparkSession))))
     goal = F.round("target").cast("bigint")
     rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0).cast("bigint")
     by_source = by_source.withColumn("rounds", rounds).withColumn("rest", goal - F.col("rounds") * F.col("source_size"))
@@ -147,66 +165,68 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFr
                  .withColumn("n_blocks", blocks_in("source_size")).withColumn("rest_blocks", blocks_in("rest"))
                  .withColumn("quota", F.col("rounds") * F.col("n_blocks") + F.col("rest_blocks")))
     by_source = written(by_source, "mix-targets")
-    n_sources = by_source.count()
 
-    side = broadcast_if_small(by_source.withColumnRenamed("source", "_source"), n_sources, 128)
+    side = broadcast_if_fits(by_source.withColumnRenamed("source", "_source"))
     placed = prefix_sums(narrow, ["source"], [F.col("h"), F.col("doc_id")], "size", "at", "mix-placed")
     placed = placed.join(side, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    rest = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("at")))
+    rest = F.when(2 * (F.col("rest") - F.col("at")) >= F.col("size"), F.col("size")).otherwise(0)
     documents = placed.withColumn("rest_taken", rest).withColumn("taken", F.col("rounds") * F.col("size") + F.col("rest_taken"))
 
     # Blocks of all rounds of a source have one number each: the round's blocks
     # in a permuted order behind those of the rounds before.
     number = (F.col("at") / F.lit(block)).cast("bigint")
     of_round = F.when(F.col("round") < F.col("rounds"), F.col("n_blocks")).otherwise(F.col("rest_blocks"))
-    words = F.when(F.col("round") < F.col("rounds"), F.col("size")).otherwise(F.col("rest_taken"))
+    taken = (F.col("round") < F.col("rounds")) | (F.col("rest_taken") > 0)
     pieces = (documents.filter("taken > 0").withColumn("round", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rounds"))))
-              .withColumn("words", words).filter("words > 0").withColumn("block", number).withColumn("of_round", of_round))
+              .filter(taken).withColumn("block", number).withColumn("of_round", of_round))
     pieces = pieces.withColumn("slot", F.col("round") * F.col("n_blocks") + permuted(F.col("block"), F.col("of_round"), F.xxhash64(F.lit(seed), "k", "round")))
 
     tree = written(splitting_tree(by_source.select("k", "quota"), shards, seed), "mix-tree")
-    # All leaf ranges of a source in one array, in shard order.
+    # All leaf ranges of a source in one array, in shard order; one of the few at a time that a slot can be in is looked through.
     ranges = tree.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("before", "shard"))).alias("ranges")).withColumnRenamed("k", "_k")
-    pieces = pieces.join(broadcast_if_small(ranges, n_sources * shards, 16), F.col("k") == F.col("_k"))
-    shard = F.aggregate("ranges", F.lit(0), lambda best, r: F.when(r["before"] <= F.col("slot"), r["shard"]).otherwise(best))
+    ranges = ranges.withColumn("heads", F.transform(F.sequence(F.lit(1), F.size("ranges"), F.lit(RANGES_AT_ONCE)), lambda i: F.col("ranges")[i - 1]["before"]))
+    pieces = pieces.join(broadcast_if_fits(ranges), F.col("k") == F.col("_k"))
+    head = F.aggregate("heads", F.lit(0), lambda n, before: n + F.when(before <= F.col("slot"), 1).otherwise(0))
+    near = F.slice("ranges", (F.greatest(head, F.lit(1)) - 1) * RANGES_AT_ONCE + 1, RANGES_AT_ONCE)
+    shard = F.aggregate(near, F.lit(0), lambda best, r: F.when(r["before"] <= F.col("slot"), r["shard"]).otherwise(best))
     pieces = pieces.withColumn("shard", shard).withColumn("place", F.xxhash64(F.lit(seed), "shard", "h", "round"))
-    pieces = written(pieces.select("doc_id", "source", "h", "size", "at", "round", "words", "block", "shard", "place"), "mix-pieces")
+    pieces = written(pieces.select("doc_id", "source", "h", "size", "at", "round", "block", "shard", "place"), "mix-pieces")
     # What the mix takes of a row is what was drawn: the words of its pieces.
     row = ["doc_id", "source", "h", "size", "at"]
-    drawn = pieces.groupBy(*row).agg(F.sum("words").alias("taken")).select(*(F.col(c).alias(f"_{c}") for c in row), "taken")
+    drawn = pieces.groupBy(*row).agg(F.sum("size").alias("taken")).select(*(F.col(c).alias(f"_{c}") for c in row), "taken")
     whole = documents.select(*row, "source_size", "target").join(drawn, same([F.col(c) for c in row], [F.col(f"_{c}") for c in row]), "left")
     return whole.select("doc_id", "source", "size", "h", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")), pieces
 
 
-def mixed_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The mix as documents: a row for each time a document is taken, its text
-    cut behind the last word taken, with all other columns as they came
-    (``n_chars``, where there is one, follows a cut text). Rows of a shard stand
-    together, in the shard's shuffled order."""
+def mixed_documents(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """The mix as documents: a row for each time a document is taken, whole,
+    with all its columns as they came. Rows of a shard stand together, in the
+    shard's shuffled order."""
     _, pieces = mix(docs, shards, seed)
+    spark = docs.sparkSession
     # Copies of one row stand in one stream side by side. They are told apart
     # only by counts, so a row with a million copies is still a few takes.
     row = ["doc_id", "source", "h"]
-    takes = pieces.groupBy(*row, "size", "round", "words", "shard", "place").agg(F.count("*").alias("n"))
-    takes = takes.groupBy(*(F.col(c).alias(f"_{c}") for c in row)).agg(F.collect_list(F.struct("size", "words", "shard", "place", "n")).alias("_takes"))
+    takes = pieces.groupBy(*row, "round", "shard", "place").agg(F.count("*").alias("n"))
+    takes = takes.groupBy(*(F.col(c).alias(f"_{c}") for c in row)).agg(F.collect_list(F.struct("shard", "place", "n")).alias("_takes"))
     copies = sizes(docs).groupBy(*row).agg(F.count("*").alias("_m")).filter("_m > 1").select(*(F.col(c).alias(f"_c{c}") for c in row), "_m")
     here = [F.col(f"_{c}") for c in row]
     takes = takes.join(copies, same(here, [F.col(f"_c{c}") for c in row]), "left").drop(*(f"_c{c}" for c in row))
     takes = written(takes, "mix-takes")
+    size = pieces.agg(F.sum("size").alias("words"), F.max("shard").alias("shard")).first()
+    n_shards = 1 + (size["shard"] or 0)
+    per_shard = max(1, math.ceil((size["words"] or 0) / n_shards / task_words(spark)))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.col("doc_id").cast("bigint")
     rows = packed(docs, doc_id=doc_id, source=F.col("source").cast("string"), h=F.xxhash64(F.lit(SEED), doc_id, text))
-    joined = rows.join(broadcast_if_small(takes, takes.count(), 160), same([F.col(c) for c in row], here))
+    joined = rows.join(broadcast_if_fits(takes), same([F.col(c) for c in row], here))
     once = joined.filter("_m is null").unionByName(joined.filter("_m is not null").dropDuplicates(row))
     each = once.withColumn("t", F.explode("_takes")).withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("t.n"))))
-    whole = F.col("t.words") >= F.col("t.size")
-    pieces_of = F.regexp_extract_all(F.col("row.text").cast("string"), F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0))
-    cut = F.array_join(F.slice(pieces_of, F.lit(1), F.col("t.words").cast("int")), "")
-    each = each.withColumn("new_text", F.when(whole, F.col("row.text")).otherwise(cut))
-    changed = {"text": F.col("new_text"), "n_chars": F.when(whole, F.col("row").getField("n_chars")).otherwise(F.length("new_text")) if "n_chars" in docs.columns else None}
-    columns = [(changed[c] if c in changed else F.col("row").getField(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
-    dealt = each.repartition(shards, F.col("t.shard")).sortWithinPartitions(F.col("t.shard"), F.col("t.place"))
-    return dealt.select(*columns)
+    # Places are hashes, evenly spread: a shard's texts are dealt to its tasks by equal ranges of them.
+    part = F.floor((F.col("t.place") / F.lit(2.0**64) + 0.5) * per_shard).cast("int")
+    each = each.withColumn("part", F.col("t.shard") * per_shard + F.least(part, F.lit(per_shard - 1)))
+    dealt = each.repartitionById(n_shards * per_shard, F.col("part")).sortWithinPartitions(F.col("t.shard"), F.col("t.place"))
+    return dealt.select("row.*")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import clashing, documents, prose
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
+from protoclass.llm import source_mix
 from protoclass.llm.queries import QUERIES
 from protoclass.llm.source_mix import MAX_BLOCKS, MOST, PRIMES, SHARE, mix, mixed_documents
 
@@ -40,11 +43,20 @@ def check(rows):
     want = brute_targets(sizes)
     for r in rows:
         assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source], rel=1e-9)
-    for s in sizes:
-        assert abs(taken[s] - want[s]) <= 0.51
+    assert_near(taken, want, rows)
     return want
 
 
+def assert_near(taken, want, rows):
+    """Documents are whole: a source is off by half of its longest one at most."""
+    longest = Counter()
+    for r in rows:
+        longest[r.source] = max(longest[r.source], r.size)
+        assert not r.size or r.taken % r.size == 0
+    for s in want:
+        assert abs(taken[s] - want[s]) <= longest[s] / 2 + 0.51
+
+
 def table(spark):
     rows = [(i, prose(i, 5 + (i * 37) % 400), "en", ["hot", "hot", "hot", "a", "b", "c", None][i % 7]) for i in range(210)]
     rows += [(1000, None, "en", "a"), (1001, "", "en", "void"), (None, prose(8, 30), "en", "b"), (1002, prose(9, 30_000), "en", "c")]
@@ -62,7 +74,7 @@ def test_targets_taken_and_reruns(spark):
 def test_shards_hold_their_exact_quotas(spark):
     shards = 8
     pieces = mix(table(spark), shards=shards)[1].collect()
-    per = Counter(r.shard for r in pieces for _ in range(r.words))
+    per = Counter(r.shard for r in pieces for _ in range(r.size))
     assert set(per) <= set(range(shards)) and len(per) == shards
     # Every shard has a part of the largest source.
     assert {r.shard for r in pieces if r.source == "c"} == set(range(shards)) or len({r.shard for r in pieces if r.source == "hot"}) == shards
@@ -80,8 +92,10 @@ def test_mixed_documents_are_what_was_taken(spark):
     out = mixed_documents(docs)
     assert out.columns == docs.columns
     got, want = Counter(), Counter()
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
     for r in out.collect():
         assert r.n_chars == len(r.text or "") and r.shard == "own shard"
+        assert (r.doc_id, r.text) in texts
         got[r.source] += words(r.text)
     for r in mix(docs)[0].collect():
         want[r.source] += r.taken
@@ -104,4 +118,23 @@ def test_query_on_whole_table(spark):
         taken[d.source] += rows[d.doc_id].taken
     want = brute_targets(sizes)
     for d in docs:
-        assert rows[d.doc_id].target == pytest.approx(want[d.source]) and abs(taken[d.source] - want[d.source]) <= 0.51
+        assert rows[d.doc_id].target == pytest.approx(want[d.source])
+    assert_near(taken, want, [Row(source=d.source, size=rows[d.doc_id].size, taken=rows[d.doc_id].taken) for d in docs])
+
+
+def test_a_tasks_texts_do_not_grow_with_the_mix(spark, monkeypatch):
+    rows = [(i, prose(i, 200), "en", f"s{i % 5}") for i in range(400)]
+    monkeypatch.setattr(source_mix, "task_words", lambda spark: 2000)
+    monkeypatch.setattr(source_mix, "MAX_SHARDS", 7)
+    docs = documents(spark, rows)
+    out = mixed_documents(docs)
+    per = out.groupBy(F.spark_partition_id()).agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).collect()
+    assert len(per) > 40 and max(r.n for r in per) < 8000
+    total = sum(r.taken for r in mix(docs)[0].collect())
+    assert sum(r.n for r in per) == total
+
+
+def test_many_leaf_ranges_are_looked_through_in_two_steps(spark, monkeypatch):
+    whole = sorted(map(tuple, mix(table(spark), shards=40)[1].select("doc_id", "h", "round", "shard").collect()), key=str)
+    monkeypatch.setattr(source_mix, "RANGES_AT_ONCE", 3)
+    assert whole == sorted(map(tuple, mix(table(spark), shards=40)[1].select("doc_id", "h", "round", "shard").collect()), key=str)
