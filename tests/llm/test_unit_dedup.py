@@ -66,12 +66,6 @@ def test_empty_table(spark):
     assert by_document(documents(spark, [])).count() == 0 and without_repeats(documents(spark, [])).count() == 0
 
 
-def test_query_on_whole_table(spark):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    got = {r.doc_id: r.spans for r in QUERIES["op4_unit_dedup"](spark, SF).collect()}
-    assert got == {d: ",".join(f"{a}:{z}" for a, z in s) for d, s in brute(rows).items()}
-
-
 def plain(rows, least=8):
     """{doc_id: removed spans}, read without the operator's own cutting: repeated lines, and sentences of ``least`` words."""
     seen, out = set(), defaultdict(set)
