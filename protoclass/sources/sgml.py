@@ -22,26 +22,37 @@ Record rules (what the fold recognises):
   line holding the close tag;
 * ``</REUTERS>`` as a whole line, outside any section, closes the record.
 
-Every piece of a file is a document, a reject, or the file's preamble (what
-stands before its first ``<REUTERS``). Rejects have a reason: ``bad_id`` (a
-header id is no 64-bit integer), ``unclosed_record`` (the record ends inside a
-section or without its closing line), ``no_header`` (a piece that does not
-begin with a full header line: a body line with ``<REUTERS`` in it cuts its
-record in two, and both halves are rejects). Pieces of unused splits are routed
-away before they are parsed. With ``mode='FAILFAST'`` any reject raises.
+A piece begins a record if a full header line stands at its front and the text
+before it ends a line. Any other piece comes of a line that only mentions
+``<REUTERS``; it belongs to the record before it (``loose_pieces``), or, before
+the first record of a file, to the file's preamble. Which record that is comes
+from a scan over the pieces in reading order: they are range-partitioned by
+(file, place) without their text, each partition tells where its last record
+begins and how its last piece ends, and what the partitions before tell is
+carried into the next. Only records that are still open at a cut are put
+together and parsed again; after a record's closing line the rest is skipped.
+
+Every record is a document or a reject. Rejects have a reason: ``bad_id`` (a
+header id is no 64-bit integer) or ``unclosed_record`` (the record ends inside a
+section or without its closing line before the next header). Pieces of unused
+splits are routed away before their content is parsed. With ``mode='FAILFAST'``
+any reject raises.
 
 Pieces are parsed once: documents, rejects and the FAILFAST test all read the
 same kept relation. A file that goes away while it is read is an error, unless
-``ignore_missing_files`` is set; Spark then logs each file that it skips.
+``ignore_missing_files`` is set; Spark then logs each file that it skips. A
+header whose own attributes hold ``<REUTERS`` is not recognised.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.lookup import DEFAULT_MAX_BROADCAST_BYTES
 from ..operators.routing import KEPT_SPLITS
 from ..session import materialize
 
@@ -69,7 +80,11 @@ RECORD_START = "<REUTERS"
 # walk states
 _DOC, _TEXT, _TITLE, _BODY, _END = 0, 1, 2, 3, 4
 
+# reasons of pieces that are neither documents nor rejects
+NO_HEADER, UNUSED = "no_header", "unused_split"
+
 DEFAULT_GLOB = "*.sgm"
+_PLACE_BYTES = 96   # a place, its home and bookkeeping, in a broadcast
 
 
 @dataclass
@@ -178,7 +193,7 @@ def parse_topics(line: Column) -> Column:
 def read_records(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
                  ignore_missing_files: bool = False) -> DataFrame:
     """A1 + A2: one row per piece, ``(value, file, block, seq)``; the first
-    piece of every file is its preamble.
+    piece of every file is its preamble (with the separator before it, too).
 
     Non-recursive: only files directly in ``path`` whose full name matches
     ``glob`` (case-sensitive).
@@ -210,8 +225,9 @@ def read_records(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
 def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLITS,
                   keep_closing_line: bool = False, strip_inline: bool = False) -> DataFrame:
     """A2-A9 + C1 on ``(value, file, block, seq)`` rows: the document columns,
-    ``file, block, seq``, and for rejects ``reason`` and ``value`` (else NULL).
-    Preambles are still among the ``no_header`` pieces."""
+    ``file, block, seq``, for pieces that are no documents ``reason`` and ``value``
+    (NULL for documents and for unused splits), and what the scan over the
+    pieces needs: ``headed``, ``ends_line``, ``bare`` (nothing behind the cut)."""
     lines = F.split(F.regexp_replace(F.col("value"), "\r\n?", "\n"), "\n", -1)
     with_lines = records.select("file", "block", "seq", "value", lines.alias("ln"))
     head = _at(F.col("ln"), F.lit(1))
@@ -228,10 +244,8 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
         as_id(2).alias("old_id"),
         as_id(3).alias("doc_id"),
     )
-    if splits is not None:
-        headed = headed.where(~F.col("headed") | F.col("split").isin(list(splits)))   # C1 before any content parsing
-
-    good = F.col("headed") & F.col("old_id").isNotNull() & F.col("doc_id").isNotNull()
+    used = F.lit(True) if splits is None else F.col("split").isin(list(splits))   # C1 before any content parsing
+    good = F.col("headed") & used & F.col("old_id").isNotNull() & F.col("doc_id").isNotNull()
     rest = F.when(good, F.slice(F.col("ln"), F.lit(2), F.greatest(F.size("ln") - 1, F.lit(1)))) \
         .otherwise(F.array().cast("array<string>"))
     zero = F.lit(0)
@@ -241,11 +255,12 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
     # array): its fields become plain columns, so the optimiser cannot copy the
     # fold into every filter and projection that reads a field, and the fold
     # runs once per record.
-    walked = (headed.select("*", good.alias("good"), rest.alias("rest"))
+    walked = (headed.select("*", good.alias("good"), used.alias("used"), rest.alias("rest"))
               .select("*", F.inline(F.array(F.aggregate("rest", init, _step)))))
 
     rest_c = F.col("rest")
-    reason = (F.when(~F.col("headed"), F.lit("no_header"))
+    reason = (F.when(~F.col("headed"), F.lit(NO_HEADER))
+              .when(~F.col("used"), F.lit(UNUSED))
               .when(~F.col("good"), F.lit("bad_id"))
               .when(F.col("m") != _END, F.lit("unclosed_record")))
     return walked.select(
@@ -255,22 +270,101 @@ def parse_records(records: DataFrame, splits: tuple[str, ...] | None = KEPT_SPLI
         F.when(F.col("tp") > 0, parse_topics(_at(rest_c, F.col("tp"))))
         .otherwise(F.array().cast("array<string>")).alias("topics"),
         "file", "block", "seq",
-        reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("value"),
+        reason.alias("reason"), F.when(reason != UNUSED, F.col("value")).alias("value"),
+        "headed", F.substring("value", -1, 1).isin("\r", "\n").alias("ends_line"), (F.col("value") == RECORD_START).alias("bare"),
     )
 
 
-def corpus_of(parsed: DataFrame) -> SgmlCorpus:
-    """Documents and rejects of one parsed relation."""
-    documents = parsed.where(F.col("reason").isNull()).drop("reason", "value")
-    bad = parsed.where(F.col("reason").isNotNull()).select("file", "block", "seq", "reason", "value")
-    # The first piece of a file never has a header, so among a file's pieces
-    # without one (one for each file, and faults) its preamble comes first.
-    headless = bad.where(F.col("reason") == "no_header")
-    at = Window.partitionBy("file").orderBy("block", "seq")
-    later = headless.withColumn("_k", F.row_number().over(at)).where(F.col("_k") > 1)
-    rejects = (bad.where(F.col("reason") != "no_header").select("file", "reason", "value")
-               .unionByName(later.select("file", "reason", "value")))
-    return SgmlCorpus(documents, rejects)
+def loose_pieces(parsed: DataFrame) -> DataFrame:
+    """The pieces that begin no record although they look like one or follow
+    one: ``(fh, block, seq, headed, home)``, ``fh`` a hash of the file and
+    ``home`` the place of the record they belong to (NULL in a preamble).
+
+    A scan over narrow rows. Within a partition the piece before and the last
+    record's place are found by windows; for the first rows they are carried
+    over from the partitions before, of which each gives one row.
+    """
+    n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marks = parsed.select(F.xxhash64("file").alias("fh"), "block", "seq", "headed", "ends_line", "bare")
+    placed = marks.repartitionByRange(n, "fh", "block", "seq").withColumn("_part", F.spark_partition_id())
+    placed = materialize(placed, "checkpoint")   # the sampled ranges must not be drawn anew
+    inside = Window.partitionBy("_part").orderBy("fh", "block", "seq")
+    piece = F.struct("fh", "ends_line", "bare")
+    rows = placed.select("*", F.row_number().over(inside).alias("_rn"), F.lag(piece).over(inside).alias("_b1"), F.lag(F.col("fh"), 2).over(inside).alias("_f2"))
+
+    def ends(before: Column, file_before: Column) -> Column:
+        # nothing stands before a file's first record but its preamble, which may be empty
+        return before["ends_line"] | (before["bare"] & ~before["fh"].eqNullSafe(file_before))
+
+    place = F.struct("fh", "block", "seq")
+    begins = F.col("headed") & (F.col("_b1.fh") == F.col("fh")) & ends(F.col("_b1"), F.col("_f2"))
+    told = rows.groupBy("_part").agg(
+        F.max(F.when((F.col("_rn") > 2) & begins, place)).alias("_last"), F.max(F.struct("fh", "block", "seq", "ends_line", "bare")).alias("_z"),
+        F.max(F.when(F.col("_rn") <= 2, F.struct("_rn", "headed", "fh", "block", "seq", "ends_line", "bare"))).alias("_second"),
+        F.min(F.struct("_rn", "headed", "fh", "block", "seq", "ends_line", "bare")).alias("_first"), F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(F.col("_rn") > 1, F.struct("fh", "block", "seq", F.col("_b1.fh").alias("before")))).alias("_zb"))
+    # a row for each partition from here on
+    across = Window.orderBy("_part")
+    told = told.withColumn("_p1", F.lag("_z").over(across))
+    told = told.withColumn("_p2", F.when(F.lag("_n").over(across) > 1, F.lag("_zb.before").over(across)).otherwise(F.lag("_p1.fh").over(across)))
+    first, second = F.col("_first"), F.col("_second")
+    first_begins = first["headed"] & (F.col("_p1.fh") == first["fh"]) & ends(F.col("_p1"), F.col("_p2"))
+    second_begins = (F.col("_n") > 1) & second["headed"] & (first["fh"] == second["fh"]) & ends(first, F.col("_p1.fh"))
+    at = lambda x: F.struct(x["fh"].alias("fh"), x["block"].alias("block"), x["seq"].alias("seq"))
+    last = F.coalesce("_last", F.when(second_begins, at(second)), F.when(first_begins, at(first)))
+    carried = told.select(F.col("_part").alias("_p"), "_p1", "_p2", F.last(last, ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+
+    joined = rows.join(F.broadcast(carried), F.col("_part") == F.col("_p"))
+    before = F.when(F.col("_rn") > 1, F.col("_b1")).otherwise(F.struct("_p1.fh", "_p1.ends_line", "_p1.bare"))
+    file_before = F.when(F.col("_rn") > 2, F.col("_f2")).when(F.col("_rn") == 2, F.col("_p1.fh")).otherwise(F.col("_p2"))
+    told = joined.withColumn("_before", before).withColumn("_file2", file_before)
+    told = told.withColumn("_begins", F.coalesce(F.col("headed") & (F.col("_before.fh") == F.col("fh")) & ends(F.col("_before"), F.col("_file2")), F.lit(False)))
+    so_far = F.last(F.when(F.col("_begins"), place), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    told = told.withColumn("_home", F.coalesce(so_far, F.col("_carried")))
+    home = F.when(F.col("_home.fh") == F.col("fh"), F.struct("_home.block", "_home.seq"))
+    return told.where(~F.col("_begins")).select("fh", "block", "seq", "headed", home.alias("home")).where(F.col("headed") | F.col("home").isNotNull())
+
+
+def corpus_of(parsed: DataFrame, records: DataFrame, reparse: Callable[[DataFrame], DataFrame], keep: str = "checkpoint") -> SgmlCorpus:
+    """Documents and rejects of kept parsed pieces: records that a line with
+    ``<REUTERS`` has cut are put together and parsed again by ``reparse``."""
+    columns = [c for c in parsed.columns if c not in ("headed", "ends_line", "bare")]
+    kept, n_loose = [parsed], 0
+    # A file whose only piece without a header is its preamble, and whose pieces all end a line, has no cut record.
+    headless, files, unended = parsed.agg(F.count_if(~F.col("headed")), F.count_distinct("file"), F.count_if(~F.col("ends_line") & ~F.col("bare"))).first()
+    if headless != files or unended:
+        loose = materialize(loose_pieces(parsed), keep)
+        kept.append(loose)
+        n_loose, n_false = loose.agg(F.count(F.lit(1)), F.count_if(F.col("headed") & F.col("home").isNotNull())).first()
+    whole = parsed.where(F.coalesce(F.col("reason") != NO_HEADER, F.lit(True))).select(*columns)
+    if n_loose:
+        small = lambda df: F.broadcast(df) if n_loose * _PLACE_BYTES <= DEFAULT_MAX_BROADCAST_BYTES else df
+        here = [F.xxhash64("file").eqNullSafe(F.col("_fh")), F.col("block") == F.col("_block"), F.col("seq") == F.col("_seq")]
+        spots = loose.select(F.col("fh").alias("_fh"), F.col("block").alias("_block"), F.col("seq").alias("_seq"), "home", F.lit(True).alias("_loose"))
+        homes = loose.where(F.col("home").isNotNull()).select(
+            F.col("fh").alias("_fh"), F.col("home.block").alias("_block"), F.col("home.seq").alias("_seq")).distinct()
+        # Records that are cut while they are open; one that is closed needs nothing of what follows it.
+        open_ = parsed.where(F.col("reason").isin("unclosed_record", "bad_id"))
+        cut = materialize(open_.join(small(homes), here).select("_fh", "_block", "_seq", "file", "block", "seq", "value"), keep)
+        kept.append(cut)
+        belongs = [F.col("_fh") == F.col("_hf"), F.col("home.block") == F.col("_hb"), F.col("home.seq") == F.col("_hs")]
+        mine = small(cut.select(F.col("_fh").alias("_hf"), F.col("_block").alias("_hb"), F.col("_seq").alias("_hs")))
+        wanted = spots.join(mine, belongs).select("_fh", "_block", "_seq", "_hb", "_hs")
+        texts = parsed.where(F.col("value").isNotNull())
+        if n_false:   # a header in the middle of a line: what was parsed for a record of its own has not kept its text
+            texts = records
+        pieces = texts.join(small(wanted), here).select(
+            "_fh", F.col("_hb").alias("_block"), F.col("_hs").alias("_seq"), "file", "block", "seq", "value")
+        parts = pieces.unionByName(cut).groupBy("_fh", "_block", "_seq").agg(
+            F.first("file").alias("file"), F.sort_array(F.collect_list(F.struct("block", "seq", "value"))).alias("parts"))
+        again = reparse(parts.select(F.array_join("parts.value", "").alias("value"), "file", F.col("_block").alias("block"), F.col("_seq").alias("seq")))
+        again = materialize(again.select(*columns), keep)
+        kept.append(again)
+        gone = spots.select("_fh", "_block", "_seq").unionByName(cut.select("_fh", "_block", "_seq"))
+        whole = whole.join(small(gone), here, "left_anti").unionByName(again)
+    documents = whole.where(F.col("reason").isNull()).drop("reason", "value")
+    rejects = whole.where(F.col("reason").isNotNull() & (F.col("reason") != UNUSED)).select("file", "reason", "value")
+    return SgmlCorpus(documents, rejects, kept)
 
 
 def read_sgml(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
@@ -290,8 +384,7 @@ def read_sgml(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
         raise ValueError(f"unknown mode {mode!r}")
     records = read_records(spark, path, glob, ignore_missing_files)
     parsed = materialize(parse_records(records, splits, keep_closing_line, strip_inline), keep)
-    corpus = corpus_of(parsed)
-    corpus._kept.append(parsed)
+    corpus = corpus_of(parsed, records, lambda whole: parse_records(whole, splits, keep_closing_line, strip_inline), keep)
     if mode.upper() == "FAILFAST":
         bad = corpus.rejects.select("reason", "file").limit(1).collect()
         if bad:

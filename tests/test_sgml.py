@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from protoclass.operators import routing as R
 from protoclass.plans.pipeline import Config, run_pipeline
+from protoclass.sources import sgml
 from protoclass.sources.sgml import SgmlCorpus, read_records, read_sgml, write_sgml
 
 DOCTYPE = '<!DOCTYPE lewis SYSTEM "lewis.dtd">'
@@ -229,8 +232,10 @@ def test_every_piece_is_a_document_or_a_reject(spark, workdir):
         write(path, "a.sgm", text.replace("\n", end))
         write(path, "b.sgm", (NORMAL + "\n").replace("\n", end))
         corpus = read_sgml(spark, path)
-        assert sorted(r["doc_id"] for r in corpus.documents.collect()) == [1, 1, 3, 3 * 10**9]
-        assert sorted(r["reason"] for r in corpus.rejects.collect()) == ["bad_id", "no_header", "unclosed_record"]
+        docs = corpus.documents.collect()
+        assert sorted(r["doc_id"] for r in docs) == [1, 1, 3, 80, 3 * 10**9]
+        assert {r["body"] for r in docs if r["doc_id"] == 80} == {"one\n<REUTERS REPORT> two"}
+        assert sorted(r["reason"] for r in corpus.rejects.collect()) == ["bad_id"]
         with pytest.raises(ValueError):
             read_sgml(spark, path, mode="FAILFAST")
 
@@ -242,3 +247,77 @@ def test_closing_line_and_inline_options(spark, workdir):
     assert (d["title"], d["body"]) == ("first\nlast", "one")
     (d,) = read_sgml(spark, workdir).documents.collect()
     assert (d["title"], d["body"]) == ("first", "<DATELINE>D</DATELINE>one</TEXT>")
+
+
+def plain_records(text):
+    """(doc_id, body) of the closed TRAIN records, and the ids of the others: a
+    reading line by line, in which a full header line always begins a record."""
+    docs, rejects, current = [], [], None
+    for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+        found = re.fullmatch(r'<REUTERS.*LEWISSPLIT="(.*?)".*OLDID="(.*?)".*NEWID="(.*?)".*>', line)
+        if found:
+            if current and current["split"] == "TRAIN" and not current["closed"]:
+                rejects.append(current["id"])
+            current = {"split": found[1], "id": int(found[3]), "state": "doc", "body": None, "closed": False}
+        elif current and not current["closed"]:
+            if current["state"] == "doc" and "<TEXT" in line:
+                current["state"] = "text"
+            elif current["state"] == "doc" and line == "</REUTERS>":
+                current["closed"] = True
+                if current["split"] == "TRAIN":
+                    docs.append((current["id"], "" if current["body"] is None else "\n".join(current["body"])))
+            elif current["state"] == "text" and "<BODY>" in line:
+                current["state"], current["body"] = "body", [line[line.index("<BODY>") + 6 :]]
+            elif current["state"] == "body":
+                if "</BODY>" in line:
+                    current["state"] = "doc"
+                else:
+                    current["body"].append(line)
+    if current and current["split"] == "TRAIN" and not current["closed"]:
+        rejects.append(current["id"])
+    return sorted(docs), sorted(rejects)
+
+
+def cut_records(seed, n=40):
+    rng = random.Random(seed)
+    odd = ["<REUTERS", "<REUTERS note> more", "x <REUTERS y", "<REUTERS<REUTERS", "a <REUTERS<REUTERS> b <REUTERS", "see " + header("TRAIN", 1, 999),
+           "<REUTERS " + header("TRAIN", 1, 998)[9:] + " tail", "plain line", ""]
+    out = [rng.choice(["", DOCTYPE, "<REUTERS before", "x <REUTERS"])]
+    for i in range(n):
+        lines = [rng.choice(odd) for _ in range(rng.randrange(6))]
+        split = rng.choice(["TRAIN", "TRAIN", "NOT-USED"])
+        out += [header(split, i, i), "<TEXT>", "<BODY>first " + str(i), *lines]
+        if rng.random() < 0.85:
+            out += ["</BODY></TEXT>", "</REUTERS>"]
+            out += [rng.choice(["<REUTERS after", "junk <REUTERS x> <REUTERS", "trailer"]) for _ in range(rng.randrange(3))]
+    text = "\n".join(out) + rng.choice(["", "\n"])
+    return text.removeprefix("\n") if rng.random() < 0.5 else text
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "700", "128m"])
+@pytest.mark.parametrize("parts", [1, 8])
+def test_records_that_the_tag_cuts_are_put_together(spark, workdir, split_bytes, parts):
+    texts = {f"f{i}.sgm": cut_records(i).replace("\n", end) for i, end in enumerate(["\n", "\r\n", "\r", "\n"])}
+    for name, text in texts.items():
+        write(workdir, name, text)
+    want = [plain_records(t) for t in texts.values()]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        corpus = read_sgml(spark, workdir)
+        docs = sorted((r["doc_id"], r["body"]) for r in corpus.documents.collect())
+        bad = sorted(int(re.search(r'NEWID="(\d+)"', r["value"])[1]) for r in corpus.rejects.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert docs == sorted(d for docs_, _ in want for d in docs_)
+    assert bad == sorted(b for _, bad_ in want for b in bad_)
+
+
+def test_whole_files_are_not_scanned_for_cut_records(spark, collection, monkeypatch):
+    def no_scan(parsed):
+        raise AssertionError("nothing is cut")
+
+    monkeypatch.setattr(sgml, "loose_pieces", no_scan)
+    assert len(docs_of(read_sgml(spark, collection))) == 9
