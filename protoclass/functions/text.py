@@ -21,41 +21,50 @@ STOP_WORDS: tuple[str, ...] = (
     "the", "their", "then", "there", "these", "they", "this", "to", "was",
     "will", "with",
 )
-# Characters that may join two letters inside one word, and two digits
-# inside one number (Unicode word-break rules: MidLetter, MidNumLet,
-# Single_Quote for letters; MidNum, MidNumLet, Single_Quote for digits).
-LETTER_JOINERS = ".':·’"
-DIGIT_JOINERS = ".,;'’"
+# Classes of the Unicode word-break standard, as ranges and properties of the
+# JVM's regular expressions:
+LETTER_JOINERS = r".':\u00B7\u0387\u05F4\u2018\u2019\u2024\u2027\uFE13\uFE52\uFE55\uFF07\uFF0E\uFF1A"   # MidLetter, MidNumLet, Single_Quote
+DIGIT_JOINERS = r".,;'\u037E\u0589\u060C\u060D\u066C\u07F8\u2018\u2019\u2024\u2044\uFE10\uFE14\uFE50\uFE52\uFE54\uFF07\uFF0C\uFF0E\uFF1B"   # MidNum, MidNumLet, Single_Quote
+CONNECTORS = r"\p{Pc}"                                                                # ExtendNumLet
+DIGITS = r"\p{Nd}\u066B"                                                              # Numeric
+KATAKANA = r"\p{IsKatakana}\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70"
+HEBREW = r"\u05D0-\u05EA\u05EF-\u05F2\uFB1D\uFB1F-\uFB28\uFB2A-\uFB4F"
+SYLLABLES = r"\p{IsHan}\p{IsHiragana}"                                                # tokens one by one
+UNSPACED = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"                             # a run is a token
+EXTENDERS = r"[\p{M}\p{Cf}&&[^\u200B]]"                                               # Extend, Format
 # ---------------------------------------------------------------------------
 
-_LETTER = r"[\p{L}\p{M}]"
-_DIGIT = r"\p{Nd}"
-# one token each, and part of no word (Unicode word-break rules: no rule joins them)
-_IDEOGRAPH = r"[\p{IsHan}\p{IsHiragana}]"
-_WORD_CHAR = r"[\p{L}\p{M}\p{Nd}_&&[^\p{IsHan}\p{IsHiragana}]]"
-_FIRST = r"[\p{L}\p{Nd}&&[^\p{IsHan}\p{IsHiragana}]]"
-
-
-def _cls(chars: str) -> str:
-    return "[" + "".join("\\" + c if c in "\\]^-[" else c for c in chars) + "]"
-
 
 def word_pattern() -> str:
-    """Word tokens after Unicode word-break rules (approximation of UAX #29).
-
-    A token is a run of letters, marks, decimal digits and ``_`` with at least
-    one letter or digit; a letter joiner is kept inside a token when a letter
-    stands on both sides, a digit joiner when a digit stands on both sides
-    (``can't``, ``u.s``, ``3.14``, ``1,234``). Ideographs and Hiragana are
-    tokens one by one.
+    """Word tokens by the rules of the Unicode word-break standard (UAX #29).
+
+    The rules are transitions between character classes; here each run of one
+    class is a possessive loop, so a text is read once. Extenders and format
+    characters belong to the character before them, wherever it stands (a soft
+    hyphen or a joiner splits no word). Letters stick to letters and digits;
+    a letter joiner stays between two letters, a digit joiner between two digits
+    (``can't``, ``u.s``, ``3.14``, ``1,234``); a double quote between Hebrew letters
+    and a single one behind a Hebrew letter stay. Katakana stick to Katakana.
+    Connectors (``_``) tie all of these. Ideographs and Hiragana are tokens one by
+    one, runs of scripts without spaces are one token each. A token has at least
+    one letter, digit or Katakana.
     """
-    lj, dj = _cls(LETTER_JOINERS), _cls(DIGIT_JOINERS)
-    # possessive runs: a run is always followed by a non-word character,
-    # so giving characters back can never lead to a match
-    return (
-        f"{_IDEOGRAPH}|_*+{_FIRST}{_WORD_CHAR}*+(?:(?:(?<={_LETTER}){lj}(?={_LETTER})(?!{_IDEOGRAPH})"
-        f"|(?<={_DIGIT}){dj}(?={_DIGIT})){_WORD_CHAR}++)*+"
-    )
+    x = EXTENDERS
+    letter = rf"[\p{{IsAlphabetic}}\u05F3&&[^\p{{M}}\p{{IsIdeographic}}{SYLLABLES}{KATAKANA}{UNSPACED}]]"
+    hebrew, digit, kata, tie = f"[{HEBREW}]", f"[{DIGITS}]", f"[{KATAKANA}]", f"[{CONNECTORS}]"
+    unspaced = rf"[{UNSPACED}&&[\p{{IsAlphabetic}}\p{{M}}]]"
+
+    def run(c: str) -> str:
+        return f"{c}(?:{c}|{x})*+"
+
+    after_hebrew = f"(?<={hebrew}{x}{{0,8}})"
+    letters = (f"{run(letter)}(?:(?:[{LETTER_JOINERS}]{x}*+(?={letter})|{after_hebrew}\"{x}*+(?={hebrew})){run(letter)})*+"
+               f"(?:{after_hebrew}'{x}*+)?+")
+    digits = f"{run(digit)}(?:[{DIGIT_JOINERS}]{x}*+{run(digit)})*+"
+    core = f"(?:(?:{letters}|{digits})++|{run(kata)})"
+    # a run of connectors alone is tried from its front only
+    word = f"(?:(?<!{tie}){run(tie)})?+{core}(?:{run(tie)}{core})*+(?:{run(tie)})?+"
+    return f"[{SYLLABLES}]{x}*+|{run(unspaced)}|{word}"
 
 
 ASCII_PATTERN = "[a-z0-9]+"

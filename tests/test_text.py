@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from protoclass.functions.text import STOP_WORDS, tokenize, with_term_counts
 from protoclass.plans.oracle import _tokens
 
-ALPHABET = list("abzÉéü19_.,;:'’·- \n") + ["ß", "ĳ", "́", "½", "漢", "か", "カ"]
+ALPHABET = list("abzÉéü19_.,;:'’·- \n\"") + ["ß", "ĳ", "́", "½", "漢", "か", "カ", "ー", "\u00ad", "\u200d", "\u200b", "\u2060", "א", "ב", "Ⅷ", "ก", "한"]
 
 
 def tokens_of(spark, texts, profile="word"):
@@ -33,7 +33,28 @@ def test_ascii_profile_examples(spark):
 
 def test_tokens_need_a_letter_or_digit_and_ideographs_stand_alone(spark):
     (got,) = tokens_of(spark, ["____ _a_ \u00bd \u2168 1\u00bd2 \u6f22\u5b57\u304b\u306ax\u6f22y \u30ab\u30bf \u0301e l'a._b"])
-    assert got == ["_a_", "1", "2", "\u6f22", "\u5b57", "\u304b", "\u306a", "x", "\u6f22", "y", "\u30ab\u30bf", "e", "l'a", "_b"]
+    assert got == ["_a_", "\u2178", "1", "2", "\u6f22", "\u5b57", "\u304b", "\u306a", "x", "\u6f22", "y", "\u30ab\u30bf", "e", "l'a", "_b"]
+
+
+def test_published_examples(spark):
+    """Examples of the word-break standard, and texts whose tokens the analyser's public tests state."""
+    cases = {
+        "The quick (\u201cbrown\u201d) fox can\u2019t jump 32.3 feet, right?": ["quick", "brown", "fox", "can\u2019t", "jump", "32.3", "feet", "right"],
+        "O'Reilly you're Jim's R2D2 C3PO 216.239.63.104 21.35 http://x.org/a_b": ["o'reilly", "you're", "jim's", "r2d2", "c3po", "216.239.63.104", "21.35", "http", "x.org", "a_b"],
+        "\u0e01\u0e32\u0e23\u0e17\u0e35\u0e48\u0e44\u0e14\u0e49. \u0e41\u0e25\u0e49\u0e27? \u0e51\u0e52\u0e53": ["\u0e01\u0e32\u0e23\u0e17\u0e35\u0e48\u0e44\u0e14\u0e49", "\u0e41\u0e25\u0e49\u0e27", "\u0e51\u0e52\u0e53"],
+        "\u6211\u662f\u4e2d\u56fd\u4eba\u3002 \uff11\uff12\uff13\uff14 \uff34\uff45\uff53\uff54\uff53 ": ["\u6211", "\u662f", "\u4e2d", "\u56fd", "\u4eba", "\uff11\uff12\uff13\uff14", "\uff54\uff45\uff53\uff54\uff53"],
+        "\u4eee\u540d\u9063\u3044 \u30ab\u30bf\u30ab\u30ca\u30fcab \u30ab\u30bf_ab": ["\u4eee", "\u540d", "\u9063", "\u3044", "\u30ab\u30bf\u30ab\u30ca\u30fc", "ab", "\u30ab\u30bf_ab"],
+        "\uc548\ub155\ud558\uc138\uc694 \ud55c\uae00\uc785\ub2c8\ub2e4": ["\uc548\ub155\ud558\uc138\uc694", "\ud55c\uae00\uc785\ub2c8\ub2e4"],
+        "mo\u0364chte co\u00adop x\u200dy q\u200bb \ufeffz\u2060-": ["mo\u0364chte", "co\u00adop", "x\u200dy", "q", "b", "z\u2060"],
+        "\u05e6\u05d4\"\u05dc \u05d2' \u05d0\" \"\u05d1": ["\u05e6\u05d4\"\u05dc", "\u05d2'", "\u05d0", "\u05d1"],
+        "\u0645\u0627 \u0661\u066b\u0662 \u24b6\u24b7 1.q q.1 q:b q..b": ["\u0645\u0627", "\u0661\u066b\u0662", "\u24d0\u24d1", "1", "q", "q", "1", "q:b", "q", "b"],
+    }
+    assert tokens_of(spark, list(cases)) == list(cases.values())
+
+
+def test_long_runs_are_read_once(spark):
+    (a, b, c) = tokens_of(spark, ["_" * 200_000, "x\u0301" * 100_000, "q'" * 100_000])
+    assert a == [] and len(b) == 1 and len(c) == 1
 
 
 def test_stop_words_dropped_and_length_cap_optional(spark):
