@@ -63,17 +63,18 @@ def evaluation(predictions: DataFrame, vocabulary: DataFrame, relevant: DataFram
     (``full=False``) drops topics with nothing retrieved or nothing relevant;
     test-only topics never appear.
     """
+    none = F.lit(0).cast("bigint")
     per_topic = (predictions.where(F.col("topic").isNotNull())
                  .groupBy("topic")
                  .agg(F.count(F.lit(1)).alias("retrieved"),
                       F.sum(F.col("correct").cast("bigint")).alias("hits")))
-    base = (vocabulary.select("topic")
-            .join(per_topic, "topic", "left")
-            .join(relevant, "topic", "left")
-            .select("topic",
-                    F.coalesce("retrieved", F.lit(0)).cast("bigint").alias("retrieved"),
-                    F.coalesce("relevant", F.lit(0)).cast("bigint").alias("relevant"),
-                    F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")))
+    # one exchange of a few rows for each topic, in place of a join for each relation
+    parts = (vocabulary.select("topic", F.lit(True).alias("_known"), none.alias("retrieved"), none.alias("relevant"), none.alias("hits"))
+             .unionByName(per_topic.select("topic", F.lit(False).alias("_known"), "retrieved", none.alias("relevant"), "hits"))
+             .unionByName(relevant.select("topic", F.lit(False).alias("_known"), none.alias("retrieved"), "relevant", none.alias("hits"))))
+    base = (parts.groupBy("topic").agg(F.max("_known").alias("_known"),
+                                       *[F.coalesce(F.sum(c), none).cast("bigint").alias(c) for c in ("retrieved", "relevant", "hits")])
+            .where("_known").drop("_known"))
     if not full:
         base = base.where((F.col("retrieved") > 0) & (F.col("relevant") > 0))
     p = _ratio(F.col("hits"), F.col("retrieved"))

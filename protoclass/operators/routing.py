@@ -51,31 +51,43 @@ def test_documents(docs: DataFrame) -> DataFrame:
     return docs.where((F.col("split") == TEST) & has_label("topics"))
 
 
-def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("old_id",)) -> DataFrame:
+def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("old_id",), unique: bool = False) -> DataFrame:
     """Exactly one row for every ``key``: the one that comes last in
     ``order`` (later documents replace earlier ones). Rows that tie in ``order``
     are ordered by a hash of all their columns, and of rows that are equal in
     every column one stays.
 
-    Only the narrow ``(key, order, hash)`` projection is aggregated: partial
-    aggregates fold every copy of a key (however hot) into one row per task
-    before the exchange. Keys that occur more than once, with their winner,
-    form the other side of a left join on the key; nothing runs while the plan
-    is built, so whether that side is broadcast is left to adaptive execution,
-    which also splits the partition of a hot key.
+    ``unique``: no two rows of a key are equal in ``order``, because it ends in
+    a place that the source gives its rows (file, block and row). ``order`` then
+    points at the winning row, and the input is read twice: once for
+    the narrow ``(key, order)``, once to take the rows that are pointed at.
+
+    Only the narrow projection is aggregated: partial aggregates fold every
+    copy of a key (however hot) into one row per task before the exchange.
+    Keys that occur more than once, with their winner, form the other side of
+    a left join on the key; nothing runs while the plan is built, so whether
+    that side is broadcast is left to adaptive execution, which also splits the
+    partition of a hot key. If it is not, the rows are shuffled once.
     """
     cols = docs.columns
-    o = F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(c) for c in cols]).alias("_hash"))
+    places = [F.col(c) for c in order]
+    o = F.struct(*places) if unique else F.struct(*places, F.xxhash64(*[F.col(c) for c in cols]).alias("_hash"))
     marked = docs.withColumn("_order", o)
-    winners = (
-        marked.groupBy(key, "_order").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.max(F.struct("_order", "_n")).alias("_last"), F.sum("_n").alias("_copies"))
-        .where(F.col("_copies") > 1)
-        .select("_key", F.col("_last._order").alias("_winner"), F.col("_last._n").alias("_equal"))
-    )
+    if unique:
+        winners = (marked.groupBy(F.col(key).alias("_key")).agg(F.max("_order").alias("_winner"), F.count(F.lit(1)).alias("_copies"))
+                   .where(F.col("_copies") > 1).select("_key", "_winner"))
+    else:
+        winners = (
+            marked.groupBy(key, "_order").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy(F.col(key).alias("_key"))
+            .agg(F.max(F.struct("_order", "_n")).alias("_last"), F.sum("_n").alias("_copies"))
+            .where(F.col("_copies") > 1)
+            .select("_key", F.col("_last._order").alias("_winner"), F.col("_last._n").alias("_equal"))
+        )
     joined = marked.join(winners, F.col(key).eqNullSafe(F.col("_key")), "left")
     kept = joined.where(F.col("_winner").isNull() | (F.col("_order") == F.col("_winner")))
+    if unique:
+        return kept.select(*cols)
     single = kept.where(F.col("_equal").isNull() | (F.col("_equal") == 1))
     # rows equal in all columns: a partial aggregate per task folds them, too
     equal = kept.where(F.col("_equal") > 1).dropDuplicates([key])
@@ -83,10 +95,10 @@ def dedup_last(docs: DataFrame, key: str = "doc_id", order: Sequence[str] = ("ol
 
 
 def keep_documents(docs: DataFrame, order: Sequence[str] = ("old_id",),
-                   keep: Sequence[str] = KEPT_SPLITS) -> DataFrame:
+                   keep: Sequence[str] = KEPT_SPLITS, unique: bool = False) -> DataFrame:
     """C1 + C2 + C5 in the reference's order: unused splits and empty bodies
     never take part in the last-wins de-duplication."""
-    return dedup_last(drop_empty_bodies(route_splits(docs, keep)), order=order)
+    return dedup_last(drop_empty_bodies(route_splits(docs, keep)), order=order, unique=unique)
 
 
 def balance(docs: DataFrame, keys: str | Sequence[str] = "doc_id", partitions: int | None = None) -> DataFrame:

@@ -11,12 +11,24 @@ from __future__ import annotations
 # Fixed values, spelt here on their own: the analyser's stop words.
 _STOPS = ("a an and are as at be but by for if in into is it no not of on or such that the their then there "
           "these they this to was will with").split()
-# A word: a letter or decimal digit first (after any "_"), then letters, marks,
-# digits and "_"; . ' : \u00b7 \u2019 between letters and . , ; ' \u2019 between digits
-# stay inside. Ideographs and Hiragana are set apart by blanks before.
-_WORD = (r"_*(?:\p{L}(?:[.':\u00b7\u2019][\p{L}\p{M}])+|\p{Nd}(?:[.,;'\u2019]\p{Nd})+|[\p{L}\p{Nd}])"
-         r"(?:[\p{L}\p{M}](?:[.':\u00b7\u2019][\p{L}\p{M}])+|\p{Nd}(?:[.,;'\u2019]\p{Nd})+|[\p{L}\p{M}\p{Nd}_])*"
-         ).replace(r"\u00b7", "\u00b7").replace(r"\u2019", "\u2019")
+# Words by the word-break standard, spelt by scripts. Marks and format characters
+# go with the character before them. Ideographs and Hiragana are set apart by
+# blanks before. Hebrew quotes become a letter or a joiner of their own before
+# (private characters) and are put back in the tokens.
+_X = r"[\p{M}\x{00AD}\x{0600}-\x{0605}\x{061C}\x{200C}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{FEFF}]*"
+_HEBREW = r"\x{05D0}-\x{05EA}\x{05EF}-\x{05F2}\x{FB1D}\x{FB1F}-\x{FB28}\x{FB2A}-\x{FB4F}"
+_LETTERS = (r"\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}\p{Georgian}\p{Devanagari}\p{Hangul}\p{Han}\p{Hiragana}\x{0620}-\x{064A}\x{066E}\x{066F}\x{0671}-\x{06D3}\x{06D5}"
+            r"\x{00B5}\x{05F3}\x{24B6}-\x{24E9}\x{E001}" + _HEBREW)
+_KANA = r"\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{FF66}-\x{FF9D}"
+_THAI = r"\x{0E01}-\x{0E3A}\x{0E40}-\x{0E4E}"
+_TIES = r"_\x{203F}\x{2040}\x{2054}\x{FE33}\x{FE34}\x{FE4D}-\x{FE4F}\x{FF3F}"
+_LETTER_MID = r"[.':\x{00B7}\x{2018}\x{2019}\x{2027}\x{05F4}\x{E000}]"
+_DIGIT_MID = r"[.,;'\x{2018}\x{2019}\x{066C}]"
+_CORE = (rf"(?:(?:[{_LETTERS}]{_X}(?:{_LETTER_MID}{_X}[{_LETTERS}]{_X})*|\p{{Nd}}{_X}(?:{_DIGIT_MID}{_X}\p{{Nd}}{_X})*)+|(?:[{_KANA}]{_X})+)")
+_TIE = rf"(?:[{_TIES}]{_X})"
+_WORD = rf"(?:[{_THAI}]{_X})+|{_TIE}*{_CORE}(?:{_TIE}+{_CORE})*{_TIE}*"
+_QUOTED = (rf"([{_HEBREW}]{_X})\"({_X}[{_HEBREW}])", "\\1\ue000\\2")
+_BEFORE = ((rf"([\p{{Han}}\p{{Hiragana}}]{_X})", r" \1 "), _QUOTED, _QUOTED, (rf"([{_HEBREW}]{_X})'({_X})([^{_LETTERS}\p{{M}}]|$)", "\\1\ue001\\2\\3"))
 
 
 def _q(s: str) -> str:
@@ -26,8 +38,11 @@ def _q(s: str) -> str:
 def _tokens(body: str, profile: str) -> str:
     if profile == "ascii":
         return f"regexp_extract_all(lower({body}), '[a-z0-9]+', 0)"
-    apart = f"regexp_replace(lower({body}), '([\\p{{Han}}\\p{{Hiragana}}])', ' \\1 ', 'g')"
-    return f"regexp_extract_all({apart}, {_q(_WORD)}, 0)"
+    text = f"lower({body})"
+    for pattern, new in _BEFORE:
+        text = f"regexp_replace({text}, {_q(pattern)}, {_q(new)}, 'g')"
+    found = f"regexp_extract_all({text}, {_q(_WORD)}, 0)"
+    return f"list_transform({found}, lambda t: replace(replace(t, '\ue000', '\"'), '\ue001', {_q(chr(39))}))"
 
 
 def _base(profile: str = "word", body: str = "d.text") -> str:
@@ -186,6 +201,31 @@ FROM sums s JOIN vocab v USING (topic)""",
     "predictions": "SELECT doc_id, topic, sim, zero_overlap, correct FROM preds",
     "topic_ranking": """
 SELECT doc_id, topic, sim, row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, topic ASC) AS rank FROM sims""",
+    "topic_ranking_k": """
+SELECT doc_id, topic, sim, rank FROM (
+  SELECT doc_id, topic, sim, row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, topic ASC) AS rank FROM sims
+) WHERE rank <= 3""",
+    "predictions_pruned": """
+, defined AS (SELECT topic, sqrt(n2::DOUBLE) AS root FROM tnorms WHERE n2 > 0),
+tails AS (
+  SELECT s.term, max(s.sw::DOUBLE / d.root) AS most FROM sums s JOIN defined d USING (topic)
+  GROUP BY s.term HAVING count(*) > 0.5 * (SELECT count(*) FROM defined)
+),
+rests AS (SELECT doc_id, sum(coalesce(w * most, 0.0::DOUBLE)) AS rest FROM test_vec LEFT JOIN tails USING (term) GROUP BY doc_id),
+firsts AS (
+  SELECT v.doc_id, s.topic, sum(v.w::HUGEINT * s.sw)::DOUBLE / any_value(d.root) AS low
+  FROM test_vec v JOIN sums s USING (term) JOIN defined d ON d.topic = s.topic
+  WHERE v.term NOT IN (SELECT term FROM tails) GROUP BY v.doc_id, s.topic
+),
+bounds AS (
+  SELECT r.doc_id, d.topic, coalesce(f.low, 0.0::DOUBLE) AS low, r.rest
+  FROM rests r CROSS JOIN defined d LEFT JOIN firsts f ON f.doc_id = r.doc_id AND f.topic = d.topic
+),
+winners AS (
+  SELECT doc_id, count(*)::BIGINT AS candidates FROM (SELECT *, max(low) OVER (PARTITION BY doc_id) AS best FROM bounds)
+  WHERE (low + rest) * (1 + 1e-9::DOUBLE) >= best GROUP BY doc_id
+)
+SELECT p.doc_id, p.topic, p.sim, p.zero_overlap, p.correct, w.candidates FROM preds p LEFT JOIN winners w USING (doc_id)""",
     "true_topic_margin": """
 , scored AS (SELECT doc_id, topic AS predicted, sim AS predicted_sim FROM preds WHERE sim IS NOT NULL),
 defined AS (SELECT topic FROM tnorms WHERE n2 > 0),
@@ -245,11 +285,12 @@ FROM newdocs d LEFT JOIN newbest b USING (doc_id) LEFT JOIN newnorms n USING (do
          CASE WHEN ((doc_id % 10) + 10) % 10 = 2 THEN 'x' ELSE '' END || doc_id || '">' AS head FROM corpus)
 SELECT CASE WHEN kind = 5 THEN doc_id + 3000000000 ELSE doc_id END AS doc_id, old_id, split,
        'T ' || doc_id || CASE WHEN kind = 0 THEN chr(10) || 'second' ELSE '' END AS title,
-       CASE WHEN kind = 6 THEN '<DATELINE>D</DATELINE>' || replace(body, chr(10), ' ') || '</TEXT>' ELSE body END AS body,
+       CASE WHEN kind = 6 THEN '<DATELINE>D</DATELINE>' || replace(body, chr(10), ' ') || '</TEXT>'
+            WHEN kind = 3 THEN body || chr(10) || '<REUTERS note> more'
+            WHEN kind = 8 THEN body || chr(10) || 'see ' || head || chr(10) || '<REUTERS<REUTERS' || chr(10) || 'end' ELSE body END AS body,
        array_to_string(topics, '|') AS topics, NULL::VARCHAR AS reason, NULL::VARCHAR AS first_line
-FROM heads WHERE kind NOT IN (1, 2, 3)
-UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN kind = 2 THEN 'bad_id' ELSE 'unclosed_record' END, head FROM heads WHERE kind IN (1, 2, 3)
-UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'no_header', '<REUTERS note> more' FROM heads WHERE kind = 3""",
+FROM heads WHERE kind NOT IN (1, 2)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN kind = 2 THEN 'bad_id' ELSE 'unclosed_record' END, head FROM heads WHERE kind IN (1, 2)""",
     "model_roundtrip": "SELECT doc_id, topic, sim, zero_overlap, correct FROM preds",
 }
 
@@ -265,6 +306,7 @@ ORACLE_SQL: dict[str, str] = {name: _render(name, sel) for name, sel in _ORACLE_
 ORACLE_SQL["term_freq_ascii"] = _with("SELECT doc_id, split, term, tf FROM tf", profile="ascii")
 
 # the same replacements, in the same order, as the query's docstring names
-_EDGE_BODY = ("replace(replace(replace(d.text, ' the ', ' ____ _the_ \u00bd1\u00bd \u6f22\u5b57\u304b\u306a1,2 x\u6f22y '), "
-              "' de ', ' de_la l''a._b 3.x \u0301e '), ' der ', ' \u2168 der\u30ab\u30bf ')")
+_EDGE_BODY = ("replace(replace(replace(d.text, ' the ', ' ____ _the_ \u00bd1\u00bd \u6f22\u5b57\u304b\u306a1,2 x\u6f22y the\u00ad\u200dre '), "
+              "' de ', ' de_la l''a._b 3.x \u0301e d\u0301\u2060e \u05d0\"\u05d1'' \u05d0'' '), "
+              "' der ', ' \u2168 der\u30ab\u30bf der_\u30ab\u30bf\u30fc \u0e01\u0e32 1\u00ad2.\u00ad3 ')")
 ORACLE_SQL["term_freq_edge"] = "WITH " + _base(body=_EDGE_BODY).strip() + "\nSELECT doc_id, split, term, tf FROM tf"

@@ -21,8 +21,8 @@ from ..operators import routing as R
 from ..operators import scoring as S
 from ..operators import terms as T
 from ..operators import weights as W
-from ..operators.lookup import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_TASK_ROWS, SplitPlan,
-                               split_plan_of)
+from ..operators.lookup import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_TASK_ROWS, SplitPlan, plan_split, split_plan_of,
+                               string_bytes)
 from ..session import materialize
 
 
@@ -34,13 +34,19 @@ class Config:
     df_scope: ``all`` counts N and df over TRAIN and TEST documents, like the
       reference; ``train`` over training documents only.
     exact: accumulate dot products and norms as DECIMAL(38,0) (else DOUBLE).
-    max_broadcast_bytes: byte budget of a broadcast term-keyed table.
+    max_broadcast_bytes: byte budget of a broadcast term- or topic-keyed table.
     task_rows: postings of one term that one task of a shuffled term join gets.
-    max_broadcast_rows: row bound for broadcast topic-keyed tables (a few
-      dozen bytes per row).
+    topic_block: topics in a block of the centroid matrix.
+    prune: find the nearest topic by bounds instead of scoring all topics (the
+      result is the same); None does so if there is more than one block, for
+      within one block a document's sums are one row either way.
+    tail_share: terms that more than this share of the topics hold are left
+      out of the first pass of a pruned search.
     keep: how shared intermediates are kept (``persist``/``checkpoint``/``none``).
     order: columns that order copies of a document id (last wins); copies that
       tie in them are ordered by a hash of their content.
+    unique_order: no two copies tie in ``order`` (it ends in the place of a row
+      in its source); de-duplication then reads its input twice, else three times.
     rebalance: None = spread documents only when the source is small (see
       ``balance``); True/False forces it.
     max_token_length: longer tokens are dropped (255 in the analyser whose
@@ -53,9 +59,12 @@ class Config:
     exact: bool = True
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
     task_rows: int = DEFAULT_TASK_ROWS
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    topic_block: int = 16
+    prune: bool | None = None
+    tail_share: float = 0.5
     keep: str = "persist"
     order: tuple[str, ...] = ("old_id",)
+    unique_order: bool = False
     rebalance: bool | None = None
     max_token_length: int | None = None
 
@@ -97,8 +106,10 @@ def prepare(corpus: DataFrame, config: Config = Config()) -> Prepared:
     winner among copies that tie in it.
     """
     routed = R.drop_empty_bodies(R.route_splits(corpus))
-    routed = routed.withColumn(CONTENT, F.xxhash64(*routed.columns))
-    order = [*config.order, CONTENT]
+    order = list(config.order)
+    if not config.unique_order:
+        routed = routed.withColumn(CONTENT, F.xxhash64(*routed.columns))
+        order.append(CONTENT)
     if config.rebalance is None:
         # copies of one id are spread by their reading order, so a hot id
         # cannot land in a single partition
@@ -109,8 +120,8 @@ def prepare(corpus: DataFrame, config: Config = Config()) -> Prepared:
         T.doc_terms(routed, config.profile, config.stop_words, keep=("doc_id", "split", "topics", *order),
                     max_token_length=config.max_token_length),
         config.keep)
-    dterms = materialize(R.dedup_last(counted, order=order), config.keep)
-    docs = R.dedup_last(routed, order=order).drop(CONTENT)
+    dterms = materialize(R.dedup_last(counted, order=order, unique=config.unique_order), config.keep)
+    docs = R.dedup_last(routed, order=order, unique=config.unique_order).drop(CONTENT)
     return Prepared(docs, dterms, config, [counted, dterms])
 
 
@@ -123,49 +134,86 @@ class CentroidModel:
     sums: DataFrame          # topic, term, sw
     vocabulary: DataFrame    # topic, n_train
     topic_norms: DataFrame   # topic, n2
-    table: DataFrame         # term, df, q, topic, sw (the score table)
-    n_topics: int
+    n_topics: int            # of the vocabulary
+    n_defined: int           # with a non-empty centroid
+    topic_bytes: int         # of a topic-keyed table
     default_topic: str | None
+    index: DataFrame         # topic, no, n2, root
+    table: DataFrame         # term, df, q, block, entries, most, own (the score table)
+    tail: DataFrame | None   # term, df, q, block, entries of terms that most topics hold
     factor_plan: SplitPlan
     score_plan: SplitPlan
+    tail_plan: SplitPlan | None
     config: Config
     _kept: list = field(default_factory=list)
 
+    @property
+    def slots(self) -> int:
+        return C.slots_of(self.config.topic_block, self.n_defined)
+
+    @property
+    def n_blocks(self) -> int:
+        return -(-self.n_defined // self.config.topic_block)
+
     def centroids(self) -> DataFrame:
-        return C.centroids(self.sums, self.vocabulary, self.n_topics, self.config.max_broadcast_rows)
+        return C.centroids(self.sums, self.vocabulary, self.topic_bytes, self.config.max_broadcast_bytes)
 
-    def defined_topics(self) -> DataFrame:
-        return self.topic_norms.where(F.col("n2") > 0).select("topic")
+    def topic_blocks(self) -> DataFrame:
+        return C.small(C.topic_blocks(self.index, self.config.topic_block), self.topic_bytes, self.config.max_broadcast_bytes)
 
     def weigh(self, postings: DataFrame) -> DataFrame:
         """E6 + E7: ``df``, ``q``, ``w`` of every posting whose term is known."""
         return W.weigh(postings, self.factors, plan=self.factor_plan)
 
     def score(self, doc_terms: DataFrame) -> "Scored":
-        """Weighted postings, document norms, sparse similarities.
-
-        The postings meet the score table once; squared norms and dot
-        products come out of one aggregation per (document, topic), which is
-        the only thing kept."""
-        postings = T.term_freq(doc_terms, extra=())
-        weighted = W.weigh(postings, self.table, plan=self.score_plan)
-        sums = materialize(S.doc_topic_sums(weighted, self.config.exact), self.config.keep)
-        dnorms = S.norms_of(sums)
-        dots = S.dots_of(sums)
-        sims = S.similarities(dots, dnorms, self.topic_norms, self.n_topics, self.config.max_broadcast_rows)
-        return Scored(dnorms, dots, sims, [sums])
+        return Scored(self, T.term_freq(doc_terms, extra=()))
 
     def close(self) -> None:
         for df in self._kept:
             df.unpersist()
 
 
-@dataclass
 class Scored:
-    doc_norms: DataFrame
-    dots: DataFrame
-    sims: DataFrame
-    _kept: list = field(default_factory=list)
+    """Documents against a model: nearest topics, and pairs where a caller asks for them."""
+
+    def __init__(self, model: CentroidModel, postings: DataFrame):
+        self.model, self.postings = model, postings
+        self._blocks: DataFrame | None = None
+        self._kept: list[DataFrame] = []
+
+    def _sums(self, table: DataFrame) -> DataFrame:
+        weighted = W.weigh(self.postings, table, plan=self.model.score_plan)
+        return S.doc_block_sums(weighted, self.model.slots, self.model.n_blocks, self.model.config.exact)
+
+    def blocks(self) -> DataFrame:
+        """Full sums by (document, block of topics); computed once and kept."""
+        if self._blocks is None:
+            m = self.model
+            table = m.table
+            if m.tail is not None:   # the whole matrix, not the one of the pruned search
+                table = C.score_tables(m.factors, C.blocked_entries(m.sums, _index(m), m.config.topic_block, m.n_defined), m.n_defined, m.n_blocks)[0]
+            self._blocks = materialize(self._sums(table), m.config.keep)
+            self._kept.append(self._blocks)
+        return self._blocks
+
+    @property
+    def sims(self) -> DataFrame:
+        """the similarities of the pairs that share a term."""
+        return S.similarities(self.blocks(), self.model.topic_blocks(), self.model.slots)
+
+    def top(self, k: int) -> DataFrame:
+        """The ``k`` nearest topics of each document, with their ranks."""
+        return S.rank_topics(S.similarities(self.blocks(), self.model.topic_blocks(), self.model.slots, k), k)
+
+    def near(self) -> DataFrame:
+        """``(doc_id, topic, sim, candidates)``; no pair is kept."""
+        m = self.model
+        if m.tail is None:
+            blocks = (self._blocks if self._blocks is not None else self._sums(m.table)).withColumn("candidates", F.lit(m.n_defined))
+        else:
+            blocks = S.pruned_blocks(self._sums(m.table), m.topic_blocks(), m.slots, m.n_defined, m.n_blocks,
+                                     self.postings, m.tail, m.tail_plan, m.config.exact)
+        return S.nearest(blocks, m.topic_blocks(), m.slots, m.n_blocks)
 
     def close(self) -> None:
         for df in self._kept:
@@ -184,19 +232,42 @@ def fit(prepared: Prepared, config: Config | None = None) -> CentroidModel:
     sums = materialize(C.centroid_sums(R.train_documents(dterms), factors), cfg.keep)
     vocab = materialize(L.topic_vocabulary(dterms), cfg.keep)
     tnorms = materialize(C.topic_norms(sums, cfg.exact), cfg.keep)
-    row = (vocab.join(tnorms, "topic", "left")
-           .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("n2") > 0, F.col("topic"))).alias("first"))
-           .first())
-    n_topics, default_topic = int(row["n"]), row["first"]
-    return CentroidModel(n_docs, factors, sums, vocab, tnorms, C.score_table(factors, sums), n_topics, default_topic,
-                         *plans_of(factors, sums, cfg), cfg, [factors, sums, vocab, tnorms])
+    return model_of(n_docs, factors, sums, vocab, tnorms, cfg, [factors, sums, vocab, tnorms])
 
 
-def plans_of(factors: DataFrame, sums: DataFrame, cfg: Config) -> tuple[SplitPlan, SplitPlan]:
-    """How postings meet the factors, and the score table."""
-    total_df, factor_bytes, score_bytes = C.table_sizes(factors, sums)
-    return (split_plan_of(total_df, factor_bytes, cfg.max_broadcast_bytes, cfg.task_rows),
-            split_plan_of(total_df, score_bytes, cfg.max_broadcast_bytes, cfg.task_rows))
+def model_of(n_docs: int, factors: DataFrame, sums: DataFrame, vocab: DataFrame, tnorms: DataFrame, cfg: Config, kept: list) -> CentroidModel:
+    """The model over fitted (or loaded) relations: counts and sizes are
+    measured, topics numbered, the score table and its joins laid out."""
+    has = F.col("n2") > 0
+    row = (vocab.join(tnorms, "topic", "left")
+           .agg(F.count(F.lit(1)).alias("n"), F.count_if(has).alias("defined"), F.min(F.when(has, F.col("topic"))).alias("first"),
+                F.sum(C.topic_row_bytes(F.col("topic"))).alias("bytes"))
+           .first())
+    n_topics, n_defined, topic_bytes = int(row["n"]), int(row["defined"]), int(row["bytes"] or 0)
+    index = C.topic_index(tnorms, topic_bytes, cfg.max_broadcast_bytes)
+    n_blocks = -(-n_defined // cfg.topic_block)
+    pruned = n_blocks > 1 if cfg.prune is None else cfg.prune
+    if n_blocks > 1:   # several plans number and block the topics
+        index = materialize(index, cfg.keep)
+        kept.append(index)
+    entries = C.blocked_entries(sums, C.small(index, topic_bytes, cfg.max_broadcast_bytes), cfg.topic_block, n_defined)
+    if pruned:
+        entries = materialize(entries, cfg.keep)
+        kept.append(entries)
+    table, tail = C.score_tables(factors, entries, n_defined, n_blocks, cfg.tail_share if pruned else None)
+    total_df, factor_bytes, score_bytes = C.table_sizes(factors, sums, cfg.topic_block, n_defined)
+    factor_plan = split_plan_of(total_df, factor_bytes, cfg.max_broadcast_bytes, cfg.task_rows)
+    score_plan = split_plan_of(total_df, score_bytes, cfg.max_broadcast_bytes, cfg.task_rows)
+    tail_plan = None
+    if tail is not None:
+        row_bytes = string_bytes(F.col("term")) + F.lit(64 + 9 * C.slots_of(cfg.topic_block, n_defined))
+        tail_plan = plan_split(tail, "df", row_bytes, cfg.max_broadcast_bytes, cfg.task_rows)
+    return CentroidModel(n_docs, factors, sums, vocab, tnorms, n_topics, n_defined, topic_bytes, row["first"], index, table, tail,
+                         factor_plan, score_plan, tail_plan, cfg, kept)
+
+
+def _index(model: CentroidModel) -> DataFrame:
+    return C.small(model.index, model.topic_bytes, model.config.max_broadcast_bytes)
 
 
 @dataclass
@@ -221,14 +292,12 @@ class Run:
     def report(self, full: bool = False, literal: bool = True) -> DataFrame:
         return E.report_lines(self.evaluation(full), self.accuracy(), literal=literal)
 
-    def ranking(self) -> DataFrame:
-        return S.rank_topics(self.scored.sims)
+    def ranking(self, k: int | None = None) -> DataFrame:
+        return S.rank_topics(self.scored.sims) if k is None else self.scored.top(k)
 
     def true_topic_margin(self) -> DataFrame:
         test_edges = self.edges.where(F.col("split") == R.TEST)
-        return S.true_topic_margin(self.ranking(), self.predictions, test_edges,
-                                   self.model.defined_topics(), self.model.n_topics,
-                                   self.model.config.max_broadcast_rows)
+        return S.true_topic_margin(self.scored.sims, self.predictions, test_edges, _index(self.model))
 
     def close(self) -> None:
         for part in (self.scored, self.model, self.prepared):
@@ -240,8 +309,7 @@ def classify(model: CentroidModel, prepared: Prepared) -> tuple[Scored, DataFram
     """G1-G3 for the classifiable test documents of ``prepared``."""
     test = prepared.test_docs()
     scored = model.score(R.test_documents(prepared.doc_terms))
-    preds = S.assign(test, scored.sims, scored.doc_norms, model.default_topic)
-    return scored, preds
+    return scored, S.assign(test, scored.near(), model.default_topic)
 
 
 def classify_documents(model: CentroidModel, docs: DataFrame) -> tuple[DataFrame, list]:
@@ -261,9 +329,8 @@ def classify_documents(model: CentroidModel, docs: DataFrame) -> tuple[DataFrame
         T.doc_terms(texts, cfg.profile, cfg.stop_words, keep=("doc_id", "topics", *order),
                     max_token_length=cfg.max_token_length), cfg.keep)
     dterms = R.dedup_last(counted, order=order)
-    scored = model.score(dterms)
-    preds = S.assign(dterms.select("doc_id", "topics"), scored.sims, scored.doc_norms, model.default_topic)
-    return preds, [counted, *scored._kept]
+    preds = S.assign(dterms.select("doc_id", "topics"), model.score(dterms).near(), model.default_topic)
+    return preds, [counted]
 
 
 def run_pipeline(corpus: DataFrame, config: Config = Config()) -> Run:
@@ -275,5 +342,5 @@ def run_pipeline(corpus: DataFrame, config: Config = Config()) -> Run:
     return Run(prepared, model, scored, preds, prepared.edges())
 
 
-__all__ = ["Config", "Prepared", "CentroidModel", "Scored", "Run", "prepare", "fit", "classify",
+__all__ = ["Config", "Prepared", "CentroidModel", "Scored", "Run", "prepare", "fit", "model_of", "classify",
            "classify_documents", "run_pipeline"]

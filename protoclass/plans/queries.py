@@ -11,6 +11,7 @@ in executor memory). Callers that want several results of one run use
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +21,23 @@ from ..operators import routing as R
 from ..session import scratch_path
 from ..sources.corpus_store import read_documents, read_vectors, write_documents, write_vectors
 from ..sources.sgml import SgmlCorpus, read_sgml, write_sgml
-from ..sources.tables import NOT_USED, corpus_view
+from ..sources.tables import NOT_USED, ORDER, corpus_view
 from .pipeline import (CentroidModel, Config, Prepared, Run, classify, classify_documents, fit, prepare,
                        run_pipeline)
 
-CONFIG = Config(keep="checkpoint")
+CONFIG = Config(keep="checkpoint", order=ORDER, unique_order=True)
+
+
+def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_view(spark, sf_dir, places=True)
+
+
+def _kept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.keep_documents(_corpus(spark, sf_dir), order=ORDER, unique=True)
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> Prepared:
-    return prepare(corpus_view(spark, sf_dir), CONFIG)
+    return prepare(_corpus(spark, sf_dir), CONFIG)
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> tuple[Prepared, CentroidModel]:
@@ -37,11 +46,13 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[Prepared, CentroidModel]:
 
 
 def _run(spark: SparkSession, sf_dir: str) -> Run:
-    return run_pipeline(corpus_view(spark, sf_dir), CONFIG)
+    return run_pipeline(_corpus(spark, sf_dir), CONFIG)
 
 
 #: Replacements that bring the tokeniser's edge cases into the tables' text.
-EDGE_TEXT = ((" the ", " ____ _the_ \u00bd1\u00bd \u6f22\u5b57\u304b\u306a1,2 x\u6f22y "), (" de ", " de_la l'a._b 3.x \u0301e "), (" der ", " \u2168 der\u30ab\u30bf "))
+EDGE_TEXT = ((" the ", " ____ _the_ \u00bd1\u00bd \u6f22\u5b57\u304b\u306a1,2 x\u6f22y the\u00ad\u200dre "),
+             (" de ", " de_la l'a._b 3.x \u0301e d\u0301\u2060e \u05d0\"\u05d1' \u05d0' "),
+             (" der ", " \u2168 der\u30ab\u30bf der_\u30ab\u30bf\u30fc \u0e01\u0e32 1\u00ad2.\u00ad3 "))
 
 
 def _dbl(c: str) -> F.Column:
@@ -51,7 +62,7 @@ def _dbl(c: str) -> F.Column:
 def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 + C2 (+C5): documents per split before and after routing."""
     corpus = corpus_view(spark, sf_dir)
-    kept = R.keep_documents(corpus).groupBy("split").agg(F.count(F.lit(1)).alias("n_kept"))
+    kept = _kept_documents(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n_kept"))
     return (corpus.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
                                         F.sum((F.col("body") != "").cast("bigint")).alias("n_nonempty"))
             .join(kept, "split", "left")
@@ -66,18 +77,18 @@ def q_doc_topics(spark, sf_dir):
 def q_topic_vocab(spark, sf_dir):
     """D3 + D4: training topics and their member counts."""
     from ..operators.labels import topic_vocabulary
-    return topic_vocabulary(R.keep_documents(corpus_view(spark, sf_dir)))
+    return topic_vocabulary(_kept_documents(spark, sf_dir))
 
 
 def q_dedup_last(spark, sf_dir):
     """C5 on input with repeated ids: three neighbouring table rows, of
     whatever splits, become copies of one id (their own id kept as ``old_id``,
     the reading order), and every tenth row comes twice; the operator keeps the
-    last copy of every id, once."""
-    corpus = corpus_view(spark, sf_dir)
-    rekeyed = corpus.withColumn("doc_id", F.floor(F.col("old_id") / 3).cast("bigint"))
-    rekeyed = rekeyed.unionByName(rekeyed.where(F.col("old_id") % 10 == 4))
-    kept = R.keep_documents(rekeyed, order=("old_id",))
+    last copy of every id, once. A row's place is its file, its row there, and
+    which of the two readings of the file it comes from."""
+    rekeyed = _corpus(spark, sf_dir).withColumn("doc_id", F.floor(F.col("old_id") / 3).cast("bigint"))
+    again = rekeyed.where(F.col("old_id") % 10 == 4).withColumn("reading", F.lit(1))
+    kept = R.keep_documents(rekeyed.withColumn("reading", F.lit(0)).unionByName(again), order=(*ORDER, "reading"), unique=True)
     return kept.select("doc_id", "old_id", "split", "title", "body")
 
 
@@ -88,13 +99,13 @@ def q_term_freq(spark, sf_dir):
 
 def q_term_freq_ascii(spark, sf_dir):
     """E1-E3 with the ascii profile."""
-    prepared = prepare(corpus_view(spark, sf_dir), Config(profile="ascii", keep="checkpoint"))
+    prepared = prepare(_corpus(spark, sf_dir), replace(CONFIG, profile="ascii"))
     return prepared.term_freq()
 
 
 def q_term_freq_edge(spark, sf_dir):
     """E1-E3 on text with underscores, fractions and ideographs put in."""
-    corpus = corpus_view(spark, sf_dir)
+    corpus = _corpus(spark, sf_dir)
     for old, new in EDGE_TEXT:
         corpus = corpus.withColumn("body", F.replace("body", F.lit(old), F.lit(new)))
     return prepare(corpus, CONFIG).term_freq()
@@ -160,6 +171,22 @@ def q_topic_ranking(spark, sf_dir):
         "doc_id", "topic", "sim", F.col("rank").cast("bigint").alias("rank"))
 
 
+def q_topic_ranking_k(spark, sf_dir):
+    """The three nearest topics of each document."""
+    return _run(spark, sf_dir).ranking(3).select("doc_id", "topic", "sim", F.col("rank").cast("bigint").alias("rank"))
+
+
+def q_predictions_pruned(spark, sf_dir):
+    """G1 + G2 by bounds, over blocks of two topics: the nearest topic, and how
+    many topics could still win after the first pass."""
+    from ..operators.scoring import assign
+    prepared = prepare(_corpus(spark, sf_dir), replace(CONFIG, topic_block=2, prune=True))
+    model = fit(prepared)
+    near = model.score(R.test_documents(prepared.doc_terms)).near()
+    counts = near.select("doc_id", F.col("candidates").cast("bigint").alias("candidates"))
+    return assign(prepared.test_docs(), near, model.default_topic).join(counts, "doc_id", "left")
+
+
 def q_true_topic_margin(spark, sf_dir):
     """Best true topic, its rank and the margin to the assignment."""
     return _run(spark, sf_dir).true_topic_margin()
@@ -208,7 +235,7 @@ def q_classify_unlabelled(spark, sf_dir):
     """G1-G3 for documents that the model has never seen and that bear no
     label: those of the unused split."""
     _, model = _fitted(spark, sf_dir)
-    new = corpus_view(spark, sf_dir).where(F.col("split") == NOT_USED).drop("topics", "split")
+    new = _corpus(spark, sf_dir).where(F.col("split") == NOT_USED).drop("topics", "split")
     return classify_documents(model, new)[0]
 
 
@@ -230,9 +257,11 @@ def q_corpus_parquet_roundtrip(spark, sf_dir):
 def q_sgml_rejects(spark, sf_dir):
     """A1-A9 on markup with faults and variants, one by ``doc_id mod 10``: 0 a
     title of two lines, 1 no closing line, 2 an id that is no number, 3 a body
-    line that looks like a header, 4 bare CR line ends, 5 an id over 32 bits,
-    6 a one-line body beside another element, 7 lines before the header. One
-    row per document and per reject (with the first line of what was rejected)."""
+    line that begins like a header, 4 bare CR line ends, 5 an id over 32 bits,
+    6 a one-line body beside another element, 7 lines before the header, 8 a
+    whole header in the middle of a body line and the tag twice in one line, 9
+    the tag behind the closing line. One row per document and per reject (with
+    the first line of what was rejected)."""
     docs = corpus_view(spark, sf_dir)
     kind = F.pmod(F.col("doc_id"), F.lit(10))
     nl = F.lit("\n")
@@ -244,10 +273,11 @@ def q_sgml_rejects(spark, sf_dir):
     title = F.concat(F.lit("<TITLE>T "), F.col("doc_id").cast("string"), F.when(kind == 0, F.lit("\nsecond\n")).otherwise(F.lit("")),
                      F.lit("</TITLE>"))
     one_line = F.concat(F.lit("<DATELINE>D</DATELINE><BODY>"), F.translate("body", "\n", " "), F.lit("</BODY></TEXT>"))
-    many = F.concat(F.lit("<BODY>"), F.col("body"), F.when(kind == 3, F.lit("\n<REUTERS note> more")).otherwise(F.lit("")),
-                    F.lit("\n</BODY></TEXT>"))
+    many = F.concat(F.lit("<BODY>"), F.col("body"), F.when(kind == 3, F.lit("\n<REUTERS note> more"))
+                    .when(kind == 8, F.concat(F.lit("\nsee "), head, F.lit("\n<REUTERS<REUTERS\nend"))).otherwise(F.lit("")), F.lit("\n</BODY></TEXT>"))
     value = F.concat(F.when(kind == 7, F.lit('<!DOCTYPE x>\nbefore\n')).otherwise(F.lit("")), head, nl, topics, nl, F.lit("<TEXT>"), nl, title, nl,
-                     F.when(kind == 6, one_line).otherwise(many), F.when(kind == 1, F.lit("")).otherwise(F.lit("\n</REUTERS>")))
+                     F.when(kind == 6, one_line).otherwise(many), F.when(kind == 1, F.lit("")).otherwise(F.lit("\n</REUTERS>")),
+                     F.when(kind == 9, F.lit("\n<REUTERS trailer>\n x <REUTERS")).otherwise(F.lit("")))
     value = F.when(kind == 4, F.translate(value, "\n", "\r")).otherwise(value)
     path = scratch_path(spark, "sgml-faults")
     docs.select(value.alias("value")).write.text(path)
@@ -263,12 +293,12 @@ def q_sgml_rejects(spark, sf_dir):
 def q_sgml_ingest_roundtrip(spark, sf_dir):
     """B1 + A1-A9: kept documents written as markup files by the executors,
     read back through the markup source, routed and de-duplicated again."""
-    docs = R.keep_documents(corpus_view(spark, sf_dir)).select(
+    docs = _kept_documents(spark, sf_dir).select(
         "doc_id", "old_id", "split", "title", "body", "topics")
     path = scratch_path(spark, "sgml")
     write_sgml(docs, path)
     corpus = read_sgml(spark, path, glob="part-*", mode="FAILFAST")
-    back = R.keep_documents(corpus.documents, order=SgmlCorpus.ORDER)
+    back = R.keep_documents(corpus.documents, order=SgmlCorpus.ORDER, unique=True)
     return back.select("doc_id", "old_id", "split", "title", "body",
                        F.array_join("topics", "|").alias("topics"))
 
@@ -302,6 +332,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similarities": q_similarities,
     "predictions": q_predictions,
     "topic_ranking": q_topic_ranking,
+    "topic_ranking_k": q_topic_ranking_k,
+    "predictions_pruned": q_predictions_pruned,
     "true_topic_margin": q_true_topic_margin,
     "hits": q_hits,
     "accuracy": q_accuracy,

@@ -12,10 +12,8 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from ..operators import centroid as C
-from ..plans.pipeline import CentroidModel, Config, plans_of
+from ..plans.pipeline import CentroidModel, Config, model_of
 from ..session import materialize
 
 _TABLES = ("factors", "sums", "vocabulary", "topic_norms")
@@ -29,10 +27,10 @@ def save_model(model: CentroidModel, path: str) -> None:
     model.topic_norms.write.mode("errorifexists").parquet(f"{base}/topic_norms")
     cfg = model.config
     meta = {
-        "n_docs": model.n_docs, "n_topics": model.n_topics, "default_topic": model.default_topic,
+        "n_docs": model.n_docs,
         "profile": cfg.profile, "stop_words": list(cfg.stop_words), "df_scope": cfg.df_scope,
-        "exact": cfg.exact, "max_broadcast_rows": cfg.max_broadcast_rows,
-        "max_broadcast_bytes": cfg.max_broadcast_bytes, "order": list(cfg.order), "rebalance": cfg.rebalance,
+        "exact": cfg.exact, "topic_block": cfg.topic_block, "prune": cfg.prune, "tail_share": cfg.tail_share,
+        "max_broadcast_bytes": cfg.max_broadcast_bytes, "order": list(cfg.order), "unique_order": cfg.unique_order, "rebalance": cfg.rebalance,
         "max_token_length": cfg.max_token_length, "task_rows": cfg.task_rows,
     }
     spark = model.factors.sparkSession
@@ -44,14 +42,10 @@ def load_model(spark: SparkSession, path: str, keep: str = "persist") -> Centroi
     base = path.rstrip("/")
     meta = json.loads(spark.read.json(f"{base}/meta").select("meta").first()["meta"])
     cfg = Config(profile=meta["profile"], stop_words=tuple(meta["stop_words"]), df_scope=meta["df_scope"],
-                 exact=meta["exact"], max_broadcast_rows=meta["max_broadcast_rows"],
-                 max_broadcast_bytes=meta["max_broadcast_bytes"], order=tuple(meta["order"]),
+                 exact=meta["exact"], topic_block=meta["topic_block"], prune=meta["prune"], tail_share=meta["tail_share"],
+                 max_broadcast_bytes=meta["max_broadcast_bytes"], order=tuple(meta["order"]), unique_order=meta["unique_order"],
                  rebalance=meta["rebalance"], max_token_length=meta["max_token_length"],
                  task_rows=meta["task_rows"], keep=keep)
     tables = {name: spark.read.parquet(f"{base}/{name}") for name in _TABLES}
     factors, sums = materialize(tables["factors"], keep), materialize(tables["sums"], keep)
-    n_topics = int(meta["n_topics"])
-    tnorms = tables["topic_norms"].select("topic", F.col("n2"))
-    return CentroidModel(int(meta["n_docs"]), factors, sums, tables["vocabulary"],
-                         tnorms, C.score_table(factors, sums), n_topics, meta["default_topic"],
-                         *plans_of(factors, sums, cfg), cfg, [factors, sums])
+    return model_of(int(meta["n_docs"]), factors, sums, tables["vocabulary"], tables["topic_norms"], cfg, [factors, sums])

@@ -122,3 +122,32 @@ def test_balance_spreads_small_or_narrow_inputs_only(spark, workdir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert R.balance(one).agg(F.count("*")).first()[0] == 40
+
+
+def placed_docs(spark, workdir, rows):
+    make_docs(spark, rows).repartition(5).write.parquet(workdir + "/placed")
+    docs = spark.read.parquet(workdir + "/placed")
+    return docs.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def test_dedup_by_places_reads_twice_and_shuffles_once(spark, workdir):
+    rows = [(i // 2 if i < 200 else i, "TRAIN", f"copy {i % 7}", ["a"], i % 3) for i in range(400)]
+    rows += [(0, "TRAIN", "hot", ["a"], 2)] * 150 + [(None, "TRAIN", "no id", ["t"], 2)] * 2
+    docs = placed_docs(spark, workdir, rows)
+    order = ("old_id", "file", "row")
+    want = {}
+    for r in docs.collect():
+        if r["doc_id"] not in want or (r["old_id"], r["file"], r["row"]) > want[r["doc_id"]][:3]:
+            want[r["doc_id"]] = (r["old_id"], r["file"], r["row"], r["body"])
+    for run in (lambda f: f(), lambda f: without_broadcast(spark, f)):
+        def check():
+            out = R.dedup_last(docs, order=order, unique=True)
+            got = out.collect()
+            assert len(got) == len(want) and {r["doc_id"]: (r["old_id"], r["file"], r["row"], r["body"]) for r in got} == want
+            return out._jdf.queryExecution().sparkPlan().toString()
+
+        assert run(check).count("FileScan") == 2
+    plan = without_broadcast(spark, lambda: R.dedup_last(docs, order=order, unique=True)._jdf.queryExecution().executedPlan().toString())
+    # one exchange of the narrow rows, one of the rows themselves
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert jobs_of(spark, lambda: R.keep_documents(docs, order=order, unique=True)) == 0

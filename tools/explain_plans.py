@@ -35,8 +35,9 @@ def main(argv):
             T.doc_terms(R.drop_empty_bodies(R.route_splits(corpus_view(spark, sf_dir)))),
         "term statistics": T.term_stats(prepared.doc_terms),
         "scoring term table": model.table,
-        "weighted test postings": scored.weighted,
+        "sums by block": scored.blocks(),
         "similarities": scored.sims,
+        "three nearest topics": scored.top(3),
         "predictions": preds,
     }
     print(f"split plans: factors {model.factor_plan}, score table {model.score_plan}")
