@@ -266,6 +266,7 @@ SELECT doc_id, old_id, split, title, body, array_to_string(topics, '|') AS topic
 SELECT k.doc_id, k.old_id, k.split, k.title, k.body, array_to_string(k.topics, '|') AS topics, v.n_terms, v.n_tokens, v.weight
 FROM kept k LEFT JOIN (SELECT doc_id, count(*)::BIGINT AS n_terms, sum(tf)::BIGINT AS n_tokens, sum(w)::BIGINT AS weight
                        FROM vectors GROUP BY doc_id) v USING (doc_id)""",
+    "corpus_clustered_roundtrip": "SELECT doc_id, old_id, split, title, body, array_to_string(topics, '|') AS topics FROM corpus",
     "classify_unlabelled": f"""
 , newdocs AS (SELECT doc_id, body FROM corpus WHERE split = 'NOT-USED'),
 newtokens AS (SELECT doc_id, unnest({_tokens('body', 'word')}) AS term FROM newdocs),

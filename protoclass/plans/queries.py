@@ -10,6 +10,7 @@ in executor memory). Callers that want several results of one run use
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as E
 from ..operators import routing as R
 from ..session import scratch_path
-from ..sources.corpus_store import read_documents, read_vectors, write_documents, write_vectors
+from ..sources.corpus_store import (read_clustered, read_documents, read_vectors, write_clustered, write_documents,
+                                    write_vectors)
 from ..sources.sgml import SgmlCorpus, read_sgml, write_sgml
-from ..sources.tables import NOT_USED, ORDER, corpus_view
+from ..sources.tables import NOT_USED, ORDER, corpus_of_tables, corpus_view, read_table
 from .pipeline import (CentroidModel, Config, Prepared, Run, classify, classify_documents, fit, prepare,
                        run_pipeline)
 
@@ -254,6 +256,18 @@ def q_corpus_parquet_roundtrip(spark, sf_dir):
         "n_terms", "n_tokens", "weight")
 
 
+def q_corpus_clustered_roundtrip(spark, sf_dir):
+    """B1 clustered: documents and labels written as tables of equally many
+    buckets by id, and the corpus read from them; attaching the labels moves
+    no text."""
+    path, name = scratch_path(spark, "clustered"), f"clustered_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for table in ("documents", "labels"):
+        write_clustered(read_table(spark, sf_dir, table), f"{name}_{table}", f"{path}/{table}", buckets)
+    corpus = corpus_of_tables(read_clustered(spark, f"{name}_documents"), read_clustered(spark, f"{name}_labels"))
+    return corpus.withColumn("topics", F.array_join("topics", "|"))
+
+
 def q_sgml_rejects(spark, sf_dir):
     """A1-A9 on markup with faults and variants, one by ``doc_id mod 10``: 0 a
     title of two lines, 1 no closing line, 2 an id that is no number, 3 a body
@@ -344,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_lines_full": q_report_lines_full,
     "classify_unlabelled": q_classify_unlabelled,
     "corpus_parquet_roundtrip": q_corpus_parquet_roundtrip,
+    "corpus_clustered_roundtrip": q_corpus_clustered_roundtrip,
     "sgml_rejects": q_sgml_rejects,
     "sgml_ingest_roundtrip": q_sgml_ingest_roundtrip,
     "model_roundtrip": q_model_roundtrip,

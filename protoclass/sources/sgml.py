@@ -82,6 +82,7 @@ _DOC, _TEXT, _TITLE, _BODY, _END = 0, 1, 2, 3, 4
 
 # reasons of pieces that are neither documents nor rejects
 NO_HEADER, UNUSED = "no_header", "unused_split"
+REJECTS = ("bad_id", "unclosed_record")
 
 DEFAULT_GLOB = "*.sgm"
 _PLACE_BYTES = 96   # a place, its home and bookkeeping, in a broadcast
@@ -99,6 +100,7 @@ class SgmlCorpus:
     documents: DataFrame
     rejects: DataFrame
     _kept: list = field(default_factory=list)
+    first_reject: tuple[str, str] | None = None   # reason and file, if there is any
 
     ORDER = ("file", "block", "seq")
 
@@ -331,7 +333,9 @@ def corpus_of(parsed: DataFrame, records: DataFrame, reparse: Callable[[DataFram
     columns = [c for c in parsed.columns if c not in ("headed", "ends_line", "bare")]
     kept, n_loose = [parsed], 0
     # A file whose only piece without a header is its preamble, and whose pieces all end a line, has no cut record.
-    headless, files, unended = parsed.agg(F.count_if(~F.col("headed")), F.count_distinct("file"), F.count_if(~F.col("ends_line") & ~F.col("bare"))).first()
+    some = F.when(F.col("reason").isin(*REJECTS), F.struct("reason", "file"))
+    headless, files, unended, first = parsed.agg(
+        F.count_if(~F.col("headed")), F.count_distinct("file"), F.count_if(~F.col("ends_line") & ~F.col("bare")), F.min(some)).first()
     if headless != files or unended:
         loose = materialize(loose_pieces(parsed), keep)
         kept.append(loose)
@@ -344,7 +348,7 @@ def corpus_of(parsed: DataFrame, records: DataFrame, reparse: Callable[[DataFram
         homes = loose.where(F.col("home").isNotNull()).select(
             F.col("fh").alias("_fh"), F.col("home.block").alias("_block"), F.col("home.seq").alias("_seq")).distinct()
         # Records that are cut while they are open; one that is closed needs nothing of what follows it.
-        open_ = parsed.where(F.col("reason").isin("unclosed_record", "bad_id"))
+        open_ = parsed.where(F.col("reason").isin(*REJECTS))
         cut = materialize(open_.join(small(homes), here).select("_fh", "_block", "_seq", "file", "block", "seq", "value"), keep)
         kept.append(cut)
         belongs = [F.col("_fh") == F.col("_hf"), F.col("home.block") == F.col("_hb"), F.col("home.seq") == F.col("_hs")]
@@ -362,9 +366,10 @@ def corpus_of(parsed: DataFrame, records: DataFrame, reparse: Callable[[DataFram
         kept.append(again)
         gone = spots.select("_fh", "_block", "_seq").unionByName(cut.select("_fh", "_block", "_seq"))
         whole = whole.join(small(gone), here, "left_anti").unionByName(again)
+        first = whole.agg(F.min(some)).first()[0]
     documents = whole.where(F.col("reason").isNull()).drop("reason", "value")
-    rejects = whole.where(F.col("reason").isNotNull() & (F.col("reason") != UNUSED)).select("file", "reason", "value")
-    return SgmlCorpus(documents, rejects, kept)
+    rejects = whole.where(F.col("reason").isin(*REJECTS)).select("file", "reason", "value")
+    return SgmlCorpus(documents, rejects, kept, tuple(first) if first else None)
 
 
 def read_sgml(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
@@ -386,10 +391,9 @@ def read_sgml(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB,
     parsed = materialize(parse_records(records, splits, keep_closing_line, strip_inline), keep)
     corpus = corpus_of(parsed, records, lambda whole: parse_records(whole, splits, keep_closing_line, strip_inline), keep)
     if mode.upper() == "FAILFAST":
-        bad = corpus.rejects.select("reason", "file").limit(1).collect()
-        if bad:
+        if corpus.first_reject:
             corpus.close()
-            raise ValueError(f"malformed record ({bad[0]['reason']}) in {bad[0]['file']}")
+            raise ValueError("malformed record ({}) in {}".format(*corpus.first_reject))
     return corpus
 
 

@@ -16,6 +16,8 @@ operators expect; it does none of the pipeline's work:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +43,17 @@ def corpus_view(spark: SparkSession, sf_dir: str, places: bool = False) -> DataF
     docs = read_table(spark, sf_dir, "documents")
     if places:
         docs = docs.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return corpus_of_tables(docs, read_table(spark, sf_dir, "labels"), ["file", "row"] if places else [])
+
+
+def corpus_of_tables(docs: DataFrame, labels: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """The ``documents`` relation of a table of documents and one of labels;
+    ``more``: columns of the documents to pass through."""
+    labels = labels.select("doc_id", "quality", "toxic")
     quality = (F.when(F.col("quality") == 1, F.lit("quality-high"))
                .when(F.col("quality") == 0, F.lit("quality-low")))
     toxic = F.when(F.col("toxic") == 1, F.lit("toxic"))
     topics = F.array_compact(F.array(F.concat(F.lit("lang-"), F.col("lang")), quality, toxic))
     return (docs.join(labels, on="doc_id", how="left")
             .select(F.col("doc_id"), F.col("doc_id").alias("old_id"), split_of(F.col("doc_id")).alias("split"),
-                    F.lit("").alias("title"), F.col("text").alias("body"), topics.alias("topics"), *(["file", "row"] if places else [])))
+                    F.lit("").alias("title"), F.col("text").alias("body"), topics.alias("topics"), *more))

@@ -84,3 +84,27 @@ def test_a_model_keeps_its_settings(spark, run, workdir):
         run.model.config = Config()
     cfg = load_model(spark, path).config
     assert (cfg.order, cfg.rebalance, cfg.max_token_length) == (("file", "block", "seq"), False, 255)
+
+
+def test_clustered_tables_join_without_an_exchange(spark, workdir):
+    from protoclass.sources.corpus_store import read_clustered, register_clustered, write_clustered
+    from protoclass.sources.tables import corpus_of_tables
+
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "s", 6) for i in range(200)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(0, 200, 3)], "doc_id bigint, quality int, toxic int")
+    write_clustered(docs, "c_docs", workdir + "/docs", 6)
+    write_clustered(labels, "c_labels", workdir + "/labels", 6)
+    register_clustered(spark, "c_labels_again", workdir + "/labels", "doc_id bigint, quality int, toxic int", 6)
+    want = sorted(tuple(r) for r in corpus_of_tables(docs, labels).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("c_labels", "c_labels_again"):
+            joined = corpus_of_tables(read_clustered(spark, "c_docs"), read_clustered(spark, name))
+            assert sorted(tuple(r) for r in joined.collect()) == want
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in ("c_docs", "c_labels", "c_labels_again"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

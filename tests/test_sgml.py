@@ -321,3 +321,15 @@ def test_whole_files_are_not_scanned_for_cut_records(spark, collection, monkeypa
 
     monkeypatch.setattr(sgml, "loose_pieces", no_scan)
     assert len(docs_of(read_sgml(spark, collection))) == 9
+
+
+def test_failfast_starts_no_job_of_its_own(spark, collection):
+    def jobs(mode):
+        spark.sparkContext.setJobGroup(f"read-{mode}", mode)
+        try:
+            read_sgml(spark, collection, mode=mode)
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"read-{mode}"))
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+
+    assert jobs("FAILFAST") == jobs("PERMISSIVE")
