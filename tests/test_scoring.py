@@ -10,8 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus_rows import make_docs
-from protoclass.operators import scoring as S
-from protoclass.plans.pipeline import Config, run_pipeline
+from protoclass.plans.pipeline import Config, Run, classify, fit, prepare, run_pipeline
 
 
 def corpus(seed, n_topics=23, n_train=90, n_test=40):
@@ -64,99 +63,80 @@ def brute(rows):
 
 
 VARIANTS = {
-    "one block": Config(topic_block=64), "blocks": Config(topic_block=4, prune=False), "pruned": Config(topic_block=4), "pruned, one block": Config(topic_block=64, prune=True),
-    "all terms left out": Config(topic_block=5, tail_share=0.0), "no term left out": Config(topic_block=5, tail_share=1.0), "doubles": Config(topic_block=4, exact=False),
-    "shuffled": Config(topic_block=4, max_broadcast_bytes=0, task_rows=3),
+    "one block": Config(topic_block=64), "blocks": Config(topic_block=4, prune=False), "pruned": Config(topic_block=4), "one block, doubles": Config(topic_block=64, prune=True, exact=False),
+    "all terms left out, shuffled": Config(topic_block=5, tail_share=0.0, max_broadcast_bytes=0, task_rows=3),
 }
 
 
-@pytest.mark.parametrize("name", VARIANTS)
-def test_nearest_topics_against_brute_force(spark, name):
-    rows = corpus(1)
-    _, best = brute(rows)
-    run = run_pipeline(make_docs(spark, rows), VARIANTS[name])
-    try:
-        got = {r["doc_id"]: (r["topic"], r["sim"]) for r in run.predictions.collect()}
-        assert got == best if name != "doubles" else {d: t for d, (t, _) in got.items()} == {d: t for d, (t, _) in best.items()}
-        near = {r["doc_id"]: r["candidates"] for r in run.scored.near().collect()}
-        n = run.model.n_defined
-        assert all(1 <= c <= n for c in near.values())
-        if name == "pruned":   # bounds rule out most topics of most documents
-            assert sum(near.values()) < 0.5 * n * len(near) and run.model.tail is not None
-        if name in ("one block", "blocks"):
-            assert set(near.values()) == {n}
-    finally:
-        run.close()
+@pytest.fixture(scope="module")
+def prepared(spark):
+    out = prepare(make_docs(spark, ROWS))
+    yield out
+    out.close()
 
 
-@pytest.mark.parametrize("block", [3, 64])
-def test_pairs_top_k_and_margin_against_brute_force(spark, block):
-    rows = corpus(2)
-    sims, best = brute(rows)
-    run = run_pipeline(make_docs(spark, rows), Config(topic_block=block))
-    try:
-        assert {(r["doc_id"], r["topic"]): r["sim"] for r in run.scored.sims.collect()} == sims
-        ranked = defaultdict(list)
-        for (d, t), s in sims.items():
-            ranked[d].append((-s, t))
-        want = {(d, t): k for d, x in ranked.items() for k, (_, t) in enumerate(sorted(x), 1)}
-        assert {(r["doc_id"], r["topic"]): r["rank"] for r in run.ranking().collect()} == want
-        assert {(r["doc_id"], r["topic"]): r["rank"] for r in run.ranking(3).collect()} == {k: v for k, v in want.items() if v <= 3}
-        topics = sorted({t for _, split, _, ts in rows if split == "TRAIN" for t in ts})
-        for r in run.true_topic_margin().collect():
-            order = sorted(topics, key=lambda t: (-sims.get((r["doc_id"], t), 0.0), t))
-            true = [t for t in next(x[3] for x in rows if x[0] == r["doc_id"]) if t in topics]
-            first = min(true, key=order.index, default=None)
-            assert (r["best_true_topic"], r["best_true_rank"]) == (first, first and order.index(first) + 1)
-    finally:
-        run.close()
+ROWS = corpus(1)
+SIMS, BEST = brute(ROWS)
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("name", VARIANTS)
+def test_against_brute_force(spark, prepared, name):
+    model = fit(prepared, VARIANTS[name])
+    scored, preds = classify(model, prepared)
+    run = Run(prepared, model, scored, preds.persist(), prepared.edges())
+    got = {r["doc_id"]: (r["topic"], r["sim"]) for r in run.predictions.collect()}
+    assert got == BEST if "doubles" not in name else {d: t for d, (t, _) in got.items()} == {d: t for d, (t, _) in BEST.items()}
+    assert run.scored._blocks is None   # no pair is kept for assignment
+    near = {r["doc_id"]: r["candidates"] for r in run.scored.near().collect()}
+    n = run.model.n_defined
+    assert all(1 <= c <= n for c in near.values())
+    if name == "pruned":   # bounds rule out most topics of most documents
+        assert sum(near.values()) < 0.5 * n * len(near) and run.model.tail is not None
+        check_plans(run)
+    if name in ("one block", "blocks"):
+        assert set(near.values()) == {n}
+        check_pairs(run)
+    scored.close()
+    model.close()
+    run.predictions.unpersist()
+
+
+def check_pairs(run):
+    """Similarities, rankings and margins."""
+    assert {(r["doc_id"], r["topic"]): r["sim"] for r in run.scored.sims.collect()} == SIMS
+    ranked = defaultdict(list)
+    for (d, t), s in SIMS.items():
+        ranked[d].append((-s, t))
+    want = {(d, t): k for d, x in ranked.items() for k, (_, t) in enumerate(sorted(x), 1)}
+    assert {(r["doc_id"], r["topic"]): r["rank"] for r in run.ranking().collect()} == want
+    assert {(r["doc_id"], r["topic"]): r["rank"] for r in run.ranking(3).collect()} == {k: v for k, v in want.items() if v <= 3}
+    topics = sorted({t for _, split, _, ts in ROWS if split == "TRAIN" for t in ts})
+    for r in run.true_topic_margin().collect():
+        order = sorted(topics, key=lambda t: (-SIMS.get((r["doc_id"], t), 0.0), t))
+        true = [t for t in next(x[3] for x in ROWS if x[0] == r["doc_id"]) if t in topics]
+        first = min(true, key=order.index, default=None)
+        assert (r["best_true_topic"], r["best_true_rank"]) == (first, first and order.index(first) + 1)
 
 
-def test_plans(spark):
-    run = run_pipeline(make_docs(spark, corpus(3)), Config(topic_block=4))
-    try:
-        postings = run.scored.postings
-        weighted = run.model.table.join(postings, "term")
-        # a posting meets a block of topics once, and a term that most topics hold meets one
-        assert weighted.groupBy("doc_id", "term", "block").count().agg(F.max("count")).first()[0] == 1
-        assert weighted.where(F.col("most").isNotNull()).groupBy("doc_id", "term").count().agg(F.max("count")).first()[0] == 1
-        # no more than k rows of a document leave a task
-        top = plan_of(run.ranking(3))
-        assert "WindowGroupLimit" in top and "Partial" in top
-        assert "collect_list" not in plan_of(run.true_topic_margin()).replace("collect_list(struct(no", "")
-        assert run.scored._kept and run.model.tail is not None
-    finally:
-        run.close()
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_pair_is_kept_for_assignment(spark):
-    run = run_pipeline(make_docs(spark, corpus(3)), Config(topic_block=4))
-    try:
-        assert run.predictions.count() == 40 and run.scored._blocks is None
-    finally:
-        run.close()
+def check_plans(run):
+    weighted = run.model.table.join(run.scored.postings, "term")
+    # a posting meets a block of topics once, and a term that most topics hold meets one
+    assert weighted.groupBy("doc_id", "term", "block").count().agg(F.max("count")).first()[0] == 1
+    assert weighted.where(F.col("most").isNotNull()).groupBy("doc_id", "term").count().agg(F.max("count")).first()[0] == 1
+    # no more than k rows of a document leave a task
+    top = plan_of(run.ranking(3))
+    assert "WindowGroupLimit" in top and "Partial" in top
+    assert "collect_list" not in plan_of(run.true_topic_margin()).replace("collect_list(struct(no", "")
 
 
 def test_without_topics_or_terms(spark):
-    for rows in ([(1, "TRAIN", "a1 b1", []), (2, "TEST", "a1", ["x"])], [(1, "TRAIN", "the", ["t"]), (2, "TEST", "a1", ["x"]), (3, "TEST", "the", ["t"])]):
-        for config in (Config(), Config(prune=True)):
-            run = run_pipeline(make_docs(spark, rows), config)
-            assert [(r["topic"], r["sim"]) for r in run.predictions.collect()] == [(None, None)] * (len(rows) - 1)
-            assert run.scored.sims.count() == 0 and run.true_topic_margin().count() == 0
-            run.close()
-
-
-def test_block_of_a_bound_that_is_reached_exactly(spark):
-    """A topic whose upper bound equals the best lower bound still counts: the smaller name wins a tie."""
-    rows = [(1, "TRAIN", "own shared", ["zz"]), (2, "TRAIN", "own shared", ["aa"]), (3, "TRAIN", "shared", ["mm"]), (4, "TEST", "own shared", ["aa"])]
-    run = run_pipeline(make_docs(spark, rows), Config(topic_block=1, prune=True, tail_share=0.7))
-    assert run.predictions.first()["topic"] == "aa"
-    run.close()
-
-
-def test_pairs_are_rows_only_on_request():
-    assert S.SLACK < 1e-6
+    for rows, config in (([(1, "TRAIN", "a1 b1", []), (2, "TEST", "a1", ["x"])], Config()),
+                         ([(1, "TRAIN", "the", ["t"]), (2, "TEST", "a1", ["x"]), (3, "TEST", "the", ["t"])], Config(prune=True))):
+        run = run_pipeline(make_docs(spark, rows), config)
+        assert [(r["topic"], r["sim"]) for r in run.predictions.collect()] == [(None, None)] * (len(rows) - 1)
+        assert run.scored.sims.count() == 0 and run.true_topic_margin().count() == 0
+        run.close()
