@@ -49,22 +49,24 @@ def word_pattern() -> str:
     one, runs of scripts without spaces are one token each. A token has at least
     one letter, digit or Katakana.
     """
+    # What comes first in a class is looked at first: the letters of most texts are
+    # found by their range, and a class ends a run without asking for scripts.
     x = EXTENDERS
-    letter = rf"[\p{{IsAlphabetic}}\u05F3&&[^\p{{M}}\p{{IsIdeographic}}{SYLLABLES}{KATAKANA}{UNSPACED}]]"
-    hebrew, digit, kata, tie = f"[{HEBREW}]", f"[{DIGITS}]", f"[{KATAKANA}]", f"[{CONNECTORS}]"
+    letter = rf"a-zA-ZÀ-ÖØ-öø-ɏ[\p{{IsAlphabetic}}׳&&[^\p{{M}}\p{{IsIdeographic}}{SYLLABLES}{KATAKANA}{UNSPACED}]]"
+    digit, hebrew = rf"0-9{DIGITS}", f"[{HEBREW}]"
     unspaced = rf"[{UNSPACED}&&[\p{{IsAlphabetic}}\p{{M}}]]"
 
     def run(c: str) -> str:
-        return f"{c}(?:{c}|{x})*+"
+        return f"[{c}][{c}{x}]*+"
 
-    after_hebrew = f"(?<={hebrew}{x}{{0,8}})"
-    letters = (f"{run(letter)}(?:(?:[{LETTER_JOINERS}]{x}*+(?={letter})|{after_hebrew}\"{x}*+(?={hebrew})){run(letter)})*+"
-               f"(?:{after_hebrew}'{x}*+)?+")
+    letters = (f"{run(letter)}(?:[{LETTER_JOINERS}]{x}*+{run(letter)}|\"(?<={hebrew}{x}{{0,8}}\"){x}*+(?={hebrew}){run(letter)})*+"
+               f"(?:'(?<={hebrew}{x}{{0,8}}'){x}*+)?+")
     digits = f"{run(digit)}(?:[{DIGIT_JOINERS}]{x}*+{run(digit)})*+"
-    core = f"(?:(?:{letters}|{digits})++|{run(kata)})"
+    core = f"(?:(?:{letters}|{digits})++|{run(KATAKANA)})"
+    tie = run(CONNECTORS)
     # a run of connectors alone is tried from its front only
-    word = f"(?:(?<!{tie}){run(tie)})?+{core}(?:{run(tie)}{core})*+(?:{run(tie)})?+"
-    return f"[{SYLLABLES}]{x}*+|{run(unspaced)}|{word}"
+    word = f"(?:(?<![{CONNECTORS}]){tie})?+{core}(?:{tie}{core})*+(?:{tie})?+"
+    return rf"(?=[0-9A-Z_a-z\u0080-\x{{10FFFF}}])(?:{word}|[{SYLLABLES}]{x}*+|{run(unspaced)})"
 
 
 ASCII_PATTERN = "[a-z0-9]+"
