@@ -148,6 +148,6 @@ def test_dedup_by_places_reads_twice_and_shuffles_once(spark, workdir):
 
         assert run(check).count("FileScan") == 2
     plan = without_broadcast(spark, lambda: R.dedup_last(docs, order=order, unique=True)._jdf.queryExecution().executedPlan().toString())
-    # one exchange of the narrow rows, one of the rows themselves
-    assert plan.count("Exchange hashpartitioning") == 2
+    # two exchanges of narrow rows (the aggregate's, and the winners' by the null-safe key), one of the rows themselves
+    assert plan.count("Exchange hashpartitioning") == 3
     assert jobs_of(spark, lambda: R.keep_documents(docs, order=order, unique=True)) == 0
