@@ -7,7 +7,9 @@ those of the benchmark; a hit fixes a document, an item and a diagonal (the
 shift between them). Along each diagonal the words are compared once: the score
 of the best stretch is its equal words less ``PENALTY`` for each substituted
 one, and a score of ``MIN_SCORE`` (all words, for items shorter than that) is
-an overlap.
+an overlap. The four masks lose none: whatever the places of the substituted
+words, a stretch that scores ``MIN_SCORE`` has a window that one of them fits
+(the tests walk all patterns; another set of masks must be checked alike).
 
 Everything is DataFrame expressions. Documents are read twice: for the hashes,
 and those with hits for the comparison; texts are not shuffled while the hits
@@ -27,11 +29,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import broadcast_if_small, packed, same, table, written
+from protoclass.llm.common import broadcast_if_fits, packed, same, table, written
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 #: 1: the word counts, 0: it is ignored.
-MASKS = ("11101011011", "1101100110101")
+MASKS = ("11011011", "1101010011", "11001100011", "11010010101")
 PENALTY = 2
 MIN_SCORE = 12
 MIN_WORDS = 5
@@ -98,24 +100,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     plans = _masks(masks, short)
     item_seeds = written(seeds(items.withColumn("key", F.xxhash64("item_id", "t")), ["item_id", "key", "length"], plans)
                          .filter((F.col("h").isNotNull())).select("h", "item_id", "key", F.col("at").alias("item_at")).distinct(), "seed-hashes")
-    n_seeds, n_items = item_seeds.count(), items.count()
 
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash.alias("text_hash"), F.col("text").cast("string").alias("text"))
     doc_seeds = seeds(keyed.select("doc_id", "text_hash", tokens(F.col("text")).alias("t")), ["doc_id", "text_hash"], plans)
-    side = broadcast_if_small(item_seeds.withColumnRenamed("h", "_h"), n_seeds, 48)
+    side = broadcast_if_fits(item_seeds.withColumnRenamed("h", "_h"))
     hits = doc_seeds.join(side, F.col("h") == F.col("_h"))
     diagonal = (F.col("at") - F.col("item_at")).alias("diagonal")
     hits = written(hits.select("doc_id", "text_hash", "item_id", "key", diagonal).distinct(), "seed-hits")
-    n_hits = hits.count()
 
     mine, theirs = [F.col("doc_id"), F.col("text_hash")], [F.col("_doc"), F.col("_hash")]
     with_hits = hits.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    texts = keyed.join(broadcast_if_small(with_hits, n_hits, 32), same(mine, theirs), "left_semi").select("doc_id", "text_hash", tokens(F.col("text")).alias("d"))
+    texts = keyed.join(broadcast_if_fits(with_hits), same(mine, theirs), "left_semi").select("doc_id", "text_hash", tokens(F.col("text")).alias("d"))
     found = hits.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     item_side = items.select(F.xxhash64("item_id", "t").alias("_key"), F.col("t").alias("q"))
-    found = found.join(broadcast_if_small(item_side, n_items, 4096), F.col("key") == F.col("_key"))
-    pairs = texts.join(broadcast_if_small(found, n_hits, 1024), same(mine, theirs))
+    found = found.join(broadcast_if_fits(item_side), F.col("key") == F.col("_key"))
+    pairs = texts.join(broadcast_if_fits(found), same(mine, theirs))
     from_doc, from_item = F.greatest(F.col("diagonal"), F.lit(0)), F.greatest(-F.col("diagonal"), F.lit(0))
     length = F.least(F.size("d") - from_doc, F.size("q") - from_item)
     scored = pairs.select("doc_id", "text_hash", "item_id", F.size("q").alias("length"),
@@ -129,7 +129,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "seed-leaks")
     rows = packed(docs, doc_id=F.col("doc_id").cast("bigint"), text_hash=F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     on = same([F.col("doc_id"), F.col("text_hash")], [F.col("_doc"), F.col("_hash")])
-    return rows.join(broadcast_if_small(found, found.count(), 32), on, "left_anti").select("row.*")
+    return rows.join(broadcast_if_fits(found), on, "left_anti").select("row.*")
 
 
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,20 +138,21 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max("score").cast("bigint").alias("score"))
 
 
-#: The same in SQL, with the words themselves for their hashes.
+#: The same without masks: every diagonal with three equal words in a row is
+#: scored. No overlap is without: if no run of equal words is longer than two,
+#: s substituted words part at most 2 * (s + 1) equal ones, a score of 2.
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS t FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS t FROM benchmark),
 items AS (SELECT row_number() OVER () AS key, item_id, t FROM (SELECT DISTINCT item_id, t FROM b) WHERE len(t) >= 5),
 docs AS (SELECT row_number() OVER () AS row, doc_id, t FROM d WHERE len(t) >= 5),
-masks(m, span, places) AS (
-  SELECT 0, 11, [0, 1, 2, 4, 6, 7, 9, 10] UNION ALL SELECT 1, 13, [0, 1, 3, 4, 7, 8, 10, 12]
-  UNION ALL SELECT DISTINCT 1000 + len(t), len(t), range(len(t)) FROM items WHERE len(t) < 13),
-item_windows AS (SELECT key, m, places, t, unnest(range(1, len(t) - span + 2)) AS i FROM items, masks WHERE len(t) >= span),
-item_seeds AS (SELECT DISTINCT key, m, i, list_transform(places, lambda p: t[i + p]) AS w FROM item_windows),
-doc_windows AS (SELECT row, m, places, t, unnest(range(1, len(t) - span + 2)) AS i FROM docs, masks WHERE len(t) >= span),
-doc_seeds AS (SELECT row, m, i, list_transform(places, lambda p: t[i + p]) AS w FROM doc_windows),
-hits AS (SELECT DISTINCT s.row, q.key, s.i - q.i AS diagonal FROM doc_seeds s JOIN item_seeds q ON s.m = q.m AND s.w = q.w),
+item_places AS (SELECT key, t, unnest(range(1, len(t) - 1)) AS i FROM items),
+doc_places AS (SELECT row, t, unnest(range(1, len(t) - 1)) AS i FROM docs),
+item_runs AS (SELECT key, i, t[i] AS w1, t[i + 1] AS w2, t[i + 2] AS w3 FROM item_places),
+doc_runs AS (SELECT row, i, t[i] AS w1, t[i + 1] AS w2, t[i + 2] AS w3 FROM doc_places),
+hits AS (
+  SELECT DISTINCT x.row, q.key, x.i - q.i AS diagonal
+  FROM doc_runs x JOIN item_runs q ON x.w1 = q.w1 AND x.w2 = q.w2 AND x.w3 = q.w3),
 cells AS (
   SELECT h.row, h.key, h.diagonal, x.j, CASE WHEN docs.t[x.j + h.diagonal] = items.t[x.j] THEN 1 ELSE -2 END AS s
   FROM hits h JOIN docs USING (row) JOIN items USING (key), LATERAL (SELECT unnest(range(1, len(items.t) + 1)) AS j) x

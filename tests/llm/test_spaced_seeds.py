@@ -4,7 +4,7 @@ import duckdb
 from helpers import clashing, documents, prose
 
 from protoclass.llm.queries import ORACLE_SQL, QUERIES
-from protoclass.llm.spaced_seeds import decontaminated, overlaps
+from protoclass.llm.spaced_seeds import MASKS, MIN_SCORE, PENALTY, decontaminated, overlaps
 
 SF = "/root/testdata/sf0.01"
 
@@ -33,6 +33,59 @@ def test_exact_and_substituted_passages(spark):
     assert got[1, 10] == 40 and set(got) == {(1, 10), (2, 10), (3, 10)} and got[3, 10] == 20
 
 
+def missed(masks):
+    """A pattern of equal (1) and substituted (0) words that scores MIN_SCORE
+    and fits no mask, or None: a walk over all (last words, score) that the
+    words of a stretch can reach. A stretch starts where its score leaves 0."""
+    span = max(map(len, masks))
+    ways, open_ways = {("", 0): ""}, [("", 0)]
+    while open_ways:
+        state = open_ways.pop()
+        for word, step in (("1", 1), ("0", -PENALTY)):
+            last, score = (state[0] + word)[-span:], state[1] + step
+            fits = any(len(last) >= len(m) and all(x == "1" for x, c in zip(last[-len(m):], m) if c == "1") for m in masks)
+            if fits or score <= 0:
+                continue
+            way = ways[state] + word
+            if score >= MIN_SCORE:
+                return way
+            if (last, score) not in ways:
+                ways[last, score] = way
+                open_ways.append((last, score))
+    return None
+
+
+def test_masks_lose_no_overlap():
+    assert max(map(len, MASKS)) <= MIN_SCORE - 1   # items of all-equal words that are shorter than MIN_SCORE
+    assert missed(MASKS) is None
+    way = missed(MASKS[:3])
+    assert way and way.count("1") - PENALTY * way.count("0") >= MIN_SCORE
+
+
+def test_substitution_patterns_against_all_diagonals(spark):
+    rng = random.Random(3)
+    passages = [prose(1000 + k, 60, 10**6) for k in range(40)]
+    rows, k = [], 0
+    for p in passages:
+        for _ in range(5):
+            share = rng.choice((4, 5, 6, 8))
+            rows.append((k, inside(2000 + k, " ".join(f"s{k}n{i}" if rng.randrange(share) == 0 else w for i, w in enumerate(p.split())))))
+            k += 1
+    got = pairs(documents(spark, rows), items(spark, list(enumerate(passages))))
+
+    def best(a, b):
+        top = 0
+        for d in range(1 - len(b), len(a)):
+            now = 0
+            for j in range(max(0, -d), min(len(b), len(a) - d)):
+                now = max(0, now + (1 if a[j + d] == b[j] else -PENALTY))
+                top = max(top, now)
+        return top
+
+    want = {(k, k // 5): best(text.split(), passages[k // 5].split()) for k, text in rows}
+    assert got == {pair: score for pair, score in want.items() if score >= MIN_SCORE} and 0 < len(got) < len(rows)
+
+
 def test_short_items_need_all_their_words(spark):
     rows = [(1, "aa bb cc dd ee ff gg"), (2, "aa bb cc xx ee ff gg"), (3, "zz aa, BB; cc-dd! ee")]
     got = pairs(documents(spark, rows), items(spark, [(1, "aa bb cc dd ee"), (2, "aa bb cc dd"), (3, "")]))
