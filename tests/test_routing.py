@@ -151,3 +151,18 @@ def test_dedup_by_places_reads_twice_and_shuffles_once(spark, workdir):
     # two exchanges of narrow rows (the aggregate's, and the winners' by the null-safe key), one of the rows themselves
     assert plan.count("Exchange hashpartitioning") == 3
     assert jobs_of(spark, lambda: R.keep_documents(docs, order=order, unique=True)) == 0
+
+
+def test_balance_measures_a_join_by_its_tables(spark, workdir):
+    """A join is estimated as the product of its sides, which left small corpora with labels in one task."""
+    make_docs(spark, [(i, "TRAIN", f"x {i}", ["a"]) for i in range(400)]).coalesce(1).write.parquet(workdir + "/docs")
+    docs = spark.read.parquet(workdir + "/docs")
+    joined = docs.join(docs.select("doc_id", F.lit(1).alias("quality")), "doc_id", "left")
+    tables = R.source_bytes(docs)
+    assert 0 < R.source_bytes(joined) <= 2 * tables
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(tables))    # the product would be over all cores' splits
+    try:
+        assert R.balance(joined).rdd.getNumPartitions() == R.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

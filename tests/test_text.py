@@ -8,8 +8,9 @@ from collections import Counter
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from protoclass.functions.text import STOP_WORDS, tokenize, with_term_counts
+from protoclass.functions.text import STOP_WORDS, plain_word, tokenize, with_term_counts, word_pattern
 from protoclass.plans.oracle import _tokens
 
 ALPHABET = list("abzÉéü19_.,;:'’·- \n\"") + ["ß", "ĳ", "́", "½", "漢", "か", "カ", "ー", "\u00ad", "\u200d", "\u200b", "\u2060", "א", "ב", "Ⅷ", "ก", "한"]
@@ -93,3 +94,20 @@ def test_term_counts_plan_sorts_once(spark):
     df = spark.createDataFrame([(1, ["b", "a", "b"])], "i int, terms array<string>")
     plan = with_term_counts(df, "terms", "tfs")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("array_sort(") + plan.count("sort_array(") == 1
+
+
+def test_plain_words_end_where_the_rules_end_them(spark):
+    """The short branch for words of Latin letters takes all words of a plain
+    text, and what it takes is what the other branches would."""
+    rules = word_pattern().removeprefix(plain_word() + "|")
+    assert rules != word_pattern()
+    rng = random.Random(11)
+    alphabet = [*ALPHABET, *" \n.,:'\"\tabÿ×÷ƀɐª\x00", "\u0301", "\u05d0"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(2000)]
+    texts.append("The words, don't they: \"élan\" (état) u.s. x_y; über.")
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(F.lower("s").alias("s"))
+    columns = [F.regexp_extract_all("s", F.lit(p), 0).alias(a) for p, a in ((word_pattern(), "a"), (rules, "b"), (plain_word(), "p"))]
+    rows = df.select("s", *columns).collect()
+    for r in rows:
+        assert r["a"] == r["b"], r["s"]
+    assert rows[-1]["p"] == ["the", "words", "t", "they", "élan", "état", "s", "y", "über"]
