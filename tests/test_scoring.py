@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus_rows import make_docs
+from protoclass.operators.centroid import topic_term_counts
 from protoclass.plans.pipeline import Config, Run, classify, fit, prepare, run_pipeline
 
 
@@ -140,3 +141,35 @@ def test_without_topics_or_terms(spark):
         assert [(r["topic"], r["sim"]) for r in run.predictions.collect()] == [(None, None)] * (len(rows) - 1)
         assert run.scored.sims.count() == 0 and run.true_topic_margin().count() == 0
         run.close()
+
+
+def test_sums_that_several_branches_read_are_kept_once(spark):
+    rows = corpus(5)
+    both = {}
+    for pairs in (False, True):
+        run = run_pipeline(make_docs(spark, rows), Config(topic_block=64, keep="checkpoint"), pairs=pairs)
+        assert len(run.scored._kept) == int(pairs)      # before the ranking asks for them
+        both[pairs] = [sorted(map(tuple, df.collect())) for df in (run.predictions, run.ranking(3))]
+        run.close()
+    assert both[True] == both[False]
+    prepared = prepare(make_docs(spark, rows), Config(topic_block=4, prune=True, keep="checkpoint"))
+    scored, predictions = classify(fit(prepared), prepared, shared=True)
+    assert len(scored._kept) == 1                       # the first pass, which two branches read
+    assert sorted(map(tuple, predictions.collect())) == both[True][0]
+
+
+def test_training_postings_are_added_up_by_label_set(spark):
+    tf = "doc_id bigint, topics array<string>, tfs array<struct<term: string, tf: bigint>>"
+    rng = random.Random(3)
+    sets = [["a", "b", "c"], ["b", "", "b"], ["c"], [], None, ["", None], ["c", "b", "a"]]
+    rows = [(i, rng.choice(sets), [(t, rng.randrange(1, 4)) for t in rng.sample("uvwxyz", rng.randrange(5))]) for i in range(120)]
+    want = Counter()
+    for _, topics, tfs in rows:
+        for topic in {t for t in topics or [] if t}:
+            for term, n in tfs:
+                want[topic, term] += n
+    out = topic_term_counts(spark.createDataFrame(rows, tf))
+    assert {(r["topic"], r["term"]): r["tf_sum"] for r in out.collect()} == dict(want)
+    # from the top: the topics are taken apart above an aggregate of the terms' rows
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert [line.strip(" +-:").split()[0] for line in plan.splitlines() if "Generate" in line or "Aggregate" in line] == ["Aggregate", "Generate", "Aggregate", "Generate"]
