@@ -186,3 +186,12 @@ def test_report_lines_exact(run):
     ]
     standard = [r["line"] for r in run.report(literal=False).orderBy("line_no").collect()]
     assert standard[2] == "01.00\t01.00\t\t01.00\t\t> cocoa"
+
+
+def test_vector_text_sorts_without_a_comparator(spark):
+    from protoclass.operators.weights import vector_text
+    df = spark.createDataFrame([(1, {"b": 2, "a": 10, "\u00e9": 1}), (2, {})], "doc_id int, vector map<string, bigint>")
+    out = df.select("doc_id", vector_text(df["vector"]).alias("t"))
+    assert [r["t"] for r in out.orderBy("doc_id").collect()] == ["a=10;b=2;\u00e9=1", ""]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan.replace("array_sort(", "")    # a comparator is interpreted for every pair
