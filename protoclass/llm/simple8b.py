@@ -55,9 +55,13 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             selector[:] = s
             continue
         narrow = bits <= width
-        fits = narrow[:places].copy()
-        for j in range(1, 60 // width):
-            fits &= narrow[j : places + j]
+        # runs of twice the length by one step each, the last two may overlap
+        fits, run, count = narrow, 1, 60 // width
+        while run < count:
+            step = min(run, count - run)
+            fits = fits[: len(fits) - step] & fits[step:]
+            run += step
+        fits = fits[:places]
         if not fits.any():
             break
         np.copyto(selector[:places], s, where=fits)

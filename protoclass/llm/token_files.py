@@ -172,7 +172,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         end = np.array([end_id], "<u4")
 
         def close() -> pa.RecordBatch:
-            lengths = np.array([len(x) for x in ids], np.int64)
+            lengths = np.array([len(x) + 1 for x in ids[::2]], np.int64)  # each followed by the end id
             return pa.RecordBatch.from_pydict(
                 {"shard": [shard], "segment": [segment], "shard_start": [start], "n_ids": [held], "doc_ids": [doc_ids],
                  "payload": [simple8b.to_bytes(np.concatenate(ids), lengths)]}, schema=_SEGMENTS)
@@ -180,7 +180,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         for b in (b.slice(a, ROWS_AT_ONCE) for b in batches for a in range(0, b.num_rows, ROWS_AT_ONCE)):
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 row = enc.encode(text or "")
-                ids.append(np.concatenate((row, end)))
+                ids += row, end
                 doc_ids.append(doc_id)
                 held += len(row) + 1
                 if held >= SEGMENT_IDS:
@@ -228,7 +228,7 @@ def _read(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
                 starts = ends - lengths
                 small = ids.astype("<u4")
                 columns = [pa.array(doc_ids, pa.int64()), pa.array(starts + (start + base)), pa.array(lengths),
-                           pa.array([zlib.crc32(small[a:z].tobytes()) for a, z in zip(starts, ends, strict=True)], pa.int64()),
+                           pa.array([zlib.crc32(small[a:z]) for a, z in zip(starts, ends, strict=True)], pa.int64()),
                            pa.array(np.full(len(lengths), shard, np.int32))]
                 if with_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1:]), pa.int32()), pa.array(ids.astype(np.int64))))

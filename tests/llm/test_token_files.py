@@ -74,3 +74,22 @@ def test_query_on_whole_table(spark):
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
     assert len(rows) == 200
+
+
+def test_words_are_those_of_a_plain_greedy_reading():
+    """Every word takes the narrowest width whose ids all fit (zeros stand behind a block's end)."""
+    rng = np.random.default_rng(5)
+    ids = np.minimum(rng.integers(0, 1 << 16, 3000), 1 << rng.integers(0, 16, 3000)).astype(np.uint64)
+    ids[500:900] = 1
+    words, firsts, escaped = simple8b.pack(ids)
+    want = []
+    for a in range(0, len(ids), simple8b.BLOCK_IDS):
+        block, at = [*map(int, ids[a : a + simple8b.BLOCK_IDS])], 0
+        while at < len(block):
+            for s, width in enumerate(simple8b.WIDTHS, 1):
+                part = block[at : at + 60 // width]
+                if max(part) < 1 << width:
+                    break
+            want.append(s << 60 | sum(v << j * width for j, v in enumerate(part)))
+            at += 60 // width
+    assert words.tolist() == want and not len(escaped) and firsts[-1] == len(want)
