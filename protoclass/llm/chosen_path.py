@@ -412,7 +412,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECAL
     """(signatures, records, found). Records: rec, m (documents), id (the least,
     null if all are), least (the first document: doc_id, text_hash). Found: rec, root, links, from every
     bucket where the record has a link; the roots span the classes."""
-    sigs = written(signatures(docs, runs_for(recall, similarity, DEPTH), similarity), "paths-signatures")
+    sigs = written(signatures(docs, runs_for(recall, similarity, DEPTH), similarity), "paths-signatures", texts=True)
     records = sigs.filter("rec is not null").groupBy("rec").agg(
         F.count("*").alias("m"), F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("tree").alias("tree"))
     records = written(records, "paths-records")
@@ -449,7 +449,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECAL
             yield pa.RecordBatch.from_arrays([rec.take(pa.array(linked)), rec.take(pa.array(label[linked])), pa.array(count[linked])], names=["rec", "root", "links"])
 
     found = _sorted_buckets(rows, compared, "rec binary, root binary, links bigint")
-    return sigs, records, written(found, "paths-found")
+    return sigs, records, written(found, "paths-found", texts=True)
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

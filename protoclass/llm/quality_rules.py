@@ -274,7 +274,7 @@ def fit(rows: DataFrame) -> tuple[DataFrame, int]:
 def judged(docs: DataFrame, tail: float = TAIL, min_group: int = MIN_GROUP) -> DataFrame:
     """doc_id, lang, source, row_hash, the counts, base_failed, distance
     (squared, consistent with the normal; null without an estimate), kept."""
-    rows = written(grouped(written(statistics(docs), "quality-stats"), min_group), "quality-vectors")
+    rows = written(grouped(written(statistics(docs), "quality-stats", texts=True), min_group), "quality-vectors")
     estimates, n_rows = fit(rows)
     # The inner share of a normal sample has too little scatter; this factor mends it.
     factor = SUPPORT / _chi2_cdf(_chi2_quantile(1 - SUPPORT, P), P + 2)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from protoclass.llm.common import CACHES, in_worker, shuffle_partitions, table
+from protoclass.llm.common import CACHES, in_worker, shuffle_partitions, table, text_batches
 from protoclass.session import scratch_path
 
 SEGMENT_IDS = 1 << 18
@@ -193,7 +193,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     ranged = narrow.repartitionByRange(shuffle_partitions(spark), *order[:2]).sortWithinPartitions(*order)
-    ranged.mapInArrow(in_worker("token_files", run), SEGMENTS).write.parquet(path)
+    segments = ranged.mapInArrow(in_worker("token_files", run), SEGMENTS)
+    with text_batches(spark):
+        # Pages are cut by size from the first row on: by default the size of a page is looked
+        # at after 100 rows, and so many segments are compressed and read in one piece.
+        segments.write.option("parquet.page.size.row.check.min", 1).parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -221,7 +225,7 @@ def _read(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
     schema = pa.schema(fields + [("ids", pa.list_(pa.int64()))] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(a, 1) for b in batches for a in range(b.num_rows)):
             for shard, start, base, doc_ids, data in zip(*(b.column(c).to_pylist() for c in ("shard", "shard_start", "_base", "doc_ids", "payload")), strict=True):
                 ids, lengths = simple8b.from_bytes(data)
                 ends = np.cumsum(lengths)
